@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,20 +83,33 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return labels
 
 
-class WordCache(dict):
-    """word -> what `make` gives for it, computed once per Python worker and word; starts anew when full."""
+class WordTable:
+    """One row of numbers per distinct white-space word, made in batches and kept in the Python worker; starts
+    anew when full, so its memory is bounded by one Arrow batch and `entries` rows."""
 
-    def __init__(self, make: Callable, entries: int = CACHE_ENTRIES):
-        super().__init__()
+    def __init__(self, make: Callable[[list[str]], np.ndarray], entries: int = CACHE_ENTRIES):
         self.make, self.entries = make, entries
-
-    def __missing__(self, word):
-        out = self.make(word)
-        if len(word) <= CACHE_WORD_CHARS:
-            if len(self) >= self.entries:
-                self.clear()
-            self[word] = out
-        return out
+        self.index: dict[str, int] = {}
+        self.rows: np.ndarray | None = None
+
+    def learn(self, texts: Iterable[str | None]) -> None:
+        """Make the rows of all words of these texts."""
+        if len(self.index) > self.entries:
+            self.index, self.rows = {}, None
+        missing: set[str] = set()
+        for text in texts:
+            if text:
+                missing |= set(text.split()).difference(self.index)
+        if missing:
+            words = sorted(missing)
+            new = self.make(words)
+            self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
+            self.rows = new if self.rows is None else np.concatenate((self.rows, new))
+
+    def of(self, text: str) -> np.ndarray:
+        """Rows of the words of a learnt text, in order."""
+        words = text.split()
+        return self.rows[np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))]
 
 
 #: What a Python worker keeps between tasks, by operator and parameters.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyslip.llm import byte_bpe, embedding, packing, simhash, token_count, url_filter
+from tallyslip.llm import byte_bpe, embedding, language_id, packing, quality, simhash, token_count, toxicity, url_filter, winnowing
 from tallyslip.llm.common import table
 
 
@@ -40,3 +40,32 @@ QUERIES = {
     f.__name__: f
     for f in (op2_byte_bpe, op3_simhash, op6_embedding_dedup, op7_token_count, op9_packing, op10_url_filter)
 }
+
+
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op4_winnowing"] = op4_winnowing
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.predict(docs, quality.train(docs))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~language_id.held_out()))
+    out = language_id.predict(docs, model)
+    return out.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(~toxicity.held_out()))
+    out = toxicity.predict(docs, model)
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+QUERIES |= {f.__name__: f for f in (op1_quality, op5_language_id, op8_toxicity)}
