@@ -135,3 +135,25 @@ def batches(make_rows: Callable[[pa.RecordBatch], dict], schema: pa.Schema) -> C
                 yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in schema], schema=schema)
 
     return run
+
+
+#: Types of added columns: DDL name -> Arrow type.
+ADDED = {"double": pa.float64(), "long": pa.int64(), "string": pa.string()}
+
+
+def add_from_text(df: DataFrame, text_col: str, make: Callable[[list[str | None]], dict], added: dict[str, str]) -> DataFrame:
+    """`df` with columns that `make` gives for a batch of texts; columns of the same names are replaced. Rows stay where
+    they are, so a decision on the new columns needs no join."""
+    df = df.drop(*added)
+    at = df.columns.index(text_col)
+
+    def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            if batch.num_rows:
+                new = make(batch.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(new[c], type=ADDED[t]) for c, t in added.items()]], names=[*batch.schema.names, *added])
+
+    schema = df.schema
+    for name, kind in added.items():
+        schema = schema.add(name, kind)
+    return df.mapInArrow(run, schema)

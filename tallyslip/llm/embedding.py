@@ -25,14 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyslip.llm.common import components, materialize
+from tallyslip.llm.tiles import BLOCK_ROWS, bucket_links
 
 THRESHOLD = 0.9
 #: Wanted chance that a pair at the threshold meets in no table.
 MISS = 1e-4
 #: Vectors per bucket that the number of planes aims at.
 BUCKET_ROWS = 64
-BLOCK_ROWS = 2048
-FAN_OUT = 32
 SEED = 42
 #: Slack of double rounding in bounds and of float32 inputs.
 SLACK = 1e-9
@@ -82,115 +81,6 @@ def tile_links(unit: np.ndarray, other: np.ndarray, threshold: float) -> tuple[n
     return i[good], j[good]
 
 
-def _tree(n: int, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Members of what the pairs connect, each with its parent in a tree of fan-out FAN_OUT."""
-    parent = list(range(n))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for x, y in zip(i.tolist(), j.tolist()):
-        x, y = root(x), root(y)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-    members: dict[int, list[int]] = {}
-    for x in {*i.tolist(), *j.tolist()}:
-        members.setdefault(root(x), []).append(x)
-    for found in members.values():
-        yield from ((found[(k - 1) // FAN_OUT], found[k]) for k in range(1, len(found)))
-
-
-def near_links(vectors: DataFrame, dim: int, planes: int, tables: int, threshold: float, block_rows: int) -> DataFrame:
-    """`vectors`: rep long, weight long, packed binary, of one length. Rows (a, b, n): with b null the number n of vectors that
-    link to a, else a link that joins a and b."""
-    normals = planes_of(dim, planes, tables)
-    spark = vectors.sparkSession
-    shared = spark.sparkContext.broadcast(normals)
-
-    def bucket(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                codes = bucket_codes(_unit(part.column(1).to_pylist()), shared.value, planes, tables)
-                keys = codes + (np.arange(tables, dtype=np.int64) << planes)[None, :]
-                yield pa.RecordBatch.from_pydict({"rep": np.repeat(part.column(0).to_numpy(), tables), "key": keys.ravel()})
-
-    member = vectors.select("rep", "packed").mapInArrow(bucket, "rep long, key long")
-    hot = materialize(member.groupBy("key").count().filter(F.col("count") > block_rows).select("key", F.ceil(F.col("count") / (block_rows // 2)).cast("int").alias("blocks")))
-    member = member.join(hot, "key", "left") if hot.limit(1).count() else member.withColumn("blocks", F.lit(None).cast("int"))
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, block).alias("x"), F.greatest(i, block).alias("y")))
-    alone = F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")))
-    rows = member.select("key", "rep", F.explode(F.when(F.col("blocks") > 1, pairs).otherwise(alone)).alias("pair"), F.when(F.col("blocks") > 1, block).otherwise(0).alias("block"))
-    rows = rows.join(vectors, "rep").select("key", "pair.x", "pair.y", "block", "rep", "weight", "packed")
-    runs = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "rep")
-
-    def link_run(key: int, x: int, y: int, block: np.ndarray, rep: np.ndarray, weight: np.ndarray, packed: list[bytes]):
-        unit = _unit(packed)
-        left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
-        i, j = tile_links(unit[left], unit[right], threshold)
-        i, j = left[i], right[j]
-        keep = i < j if x == y else i != j
-        i, j = i[keep], j[keep]
-        now = key >> planes
-        if now and len(i):  # a pair counts in the first table where it meets
-            who, at = np.unique(np.concatenate((i, j)), return_inverse=True)
-            codes = bucket_codes(unit[who], shared.value[:, : planes * now], planes, now)
-            first = np.concatenate([~(codes[at[: len(i)][p : p + 10_000]] == codes[at[len(i) :][p : p + 10_000]]).any(axis=1) for p in range(0, len(i), 10_000)])
-            i, j = i[first], j[first]
-        if not len(i):
-            return
-        total = np.zeros(len(rep), dtype=np.int64)
-        np.add.at(total, i, weight[j])
-        np.add.at(total, j, weight[i])
-        for k in np.flatnonzero(total).tolist():
-            yield int(rep[k]), None, int(total[k])
-        for p, q in _tree(len(rep), i, j):
-            yield int(rep[p]), int(rep[q]), 0
-
-    def link(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
-        held = None
-        for batch in stream:
-            held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            yield from _flush(held, False, link_run, schema)
-            held = _rest(held)
-        if held is not None and held.num_rows:
-            yield from _flush(held, True, link_run, schema)
-
-    return runs.mapInArrow(link, "a long, b long, n long")
-
-
-def _run_edges(batch: pa.RecordBatch) -> np.ndarray:
-    key = [batch.column(i).to_numpy() for i in range(3)]
-    change = np.zeros(batch.num_rows, dtype=bool)
-    for k in key:
-        change[1:] |= k[1:] != k[:-1]
-    return np.flatnonzero(change)
-
-
-def _rest(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The last run, which may go on in the next batch."""
-    edge = _run_edges(batch)
-    return batch.slice(edge[-1]) if len(edge) else batch
-
-
-def _flush(batch: pa.RecordBatch, ended: bool, link_run, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    edge = [0, *_run_edges(batch).tolist(), *([batch.num_rows] if ended else [])]
-    out = []
-    for a, b in zip(edge[:-1], edge[1:]):
-        if b - a > 1:
-            run = batch.slice(a, b - a)
-            cols = [run.column(i) for i in range(7)]
-            out.extend(link_run(cols[0][0].as_py(), cols[1][0].as_py(), cols[2][0].as_py(), *[c.to_numpy() for c in cols[3:6]], cols[6].to_pylist()))
-    if out:
-        a, b, n = zip(*out)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], schema=schema)
-
-
 def _pack_valid(batches_in: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Vectors as bytes of doubles; null where a vector links with nothing."""
     for batch in batches_in:
@@ -214,7 +104,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, miss: floa
     for (size,) in reps.select(F.length("packed")).distinct().collect():  # a few vector lengths
         same = reps.filter(F.length("packed") == size)
         n = same.count()
-        links = near_links(same.select("rep", "weight", "packed"), size // 8, *table_shape(n, threshold, miss), threshold, block_rows)
+        planes, tables = table_shape(n, threshold, miss)
+        shared = vectors.sparkSession.sparkContext.broadcast(planes_of(size // 8, planes, tables))
+
+        def codes(packed: list[bytes], t: int, shared=shared, planes=planes) -> np.ndarray:
+            return bucket_codes(_unit(packed), shared.value[:, : planes * t], planes, t)
+
+        def tile(left: list[bytes], right: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            return tile_links(_unit(left), _unit(right), threshold)
+
+        links = bucket_links(same.select("rep", "weight", "packed"), tables, planes, codes, tile, block_rows)
         found = links if found is None else found.unionByName(links)
     if found is None:
         return packed.select(F.col("vec_id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))

@@ -14,14 +14,13 @@ repeated results; extra columns are ignored. No labelled documents: everything i
 from __future__ import annotations
 
 import re
+import uuid
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-from tallyslip.llm.common import WordTable, batches, crc32_mod, sample_by_hash, worker_state
+from tallyslip.llm.common import WordTable, add_from_text, crc32_mod, sample_by_hash, worker_state
 
 UNKNOWN = "und"
 DOCS_PER_LANG, TRAIN_WORDS, MAX_LANGS = 600, 40_000, 200
@@ -195,18 +194,16 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return model
 
 
-def predict(docs: DataFrame, model: ByteGRU | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score) per row."""
-    id_type = docs.schema[id_col].dataType
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+def predict(docs: DataFrame, model: ByteGRU | None, text_col: str = "text") -> DataFrame:
+    """`docs` with lang_pred and score."""
     if model is None:
-        return rows.select(F.col("id").alias(id_col), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared_key = uuid.uuid4().hex  # a worker keeps its cache while the model is the same
 
-    def make(batch: pa.RecordBatch) -> dict:
+    def make(texts: list[str | None]) -> dict:
         net = shared.value
-        words = worker_state(("lang", shared.id), lambda: WordTable(net.score_words))
-        texts = batch.column(1).to_pylist()
+        words = worker_state(("lang", shared_key), lambda: WordTable(net.score_words))
         words.learn(texts)
         pred, score = [], []
         for text in texts:
@@ -219,11 +216,9 @@ def predict(docs: DataFrame, model: ByteGRU | None, id_col: str = "doc_id", text
             best = int(np.argmax(p))
             pred.append(net.langs[best])
             score.append(float(p[best] / p.sum()))
-        return {"id": batch.column(0), "lang_pred": pred, "score": score}
+        return {"lang_pred": pred, "score": score}
 
-    schema = pa.schema([("id", to_arrow_type(id_type)), ("lang_pred", pa.string()), ("score", pa.float64())])
-    out = rows.mapInArrow(batches(make, schema), f"id {id_type.simpleString()}, lang_pred string, score double")
-    return out.withColumnRenamed("id", id_col)
+    return add_from_text(docs, text_col, make, {"lang_pred": "string", "score": "double"})
 
 
 def held_out(id_col: str = "doc_id"):

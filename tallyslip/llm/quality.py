@@ -13,15 +13,15 @@ Repeated rows give repeated results; extra columns are ignored. Empty table: emp
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-from tallyslip.llm.common import WordTable, batches, sample_by_hash, worker_state
+from tallyslip.llm.common import WordTable, add_from_text, sample_by_hash, worker_state
 
 TRAIN_ROWS, HASH_BITS = 4000, 18
 EPOCHS, RATE, RIDGE = 150, 0.5, 1e-4
@@ -49,6 +49,10 @@ def word_statistics(words: list[str]) -> np.ndarray:
     """Per word the statistics, the characters being a share of the word's."""
     out = np.zeros((len(words), len(STATISTICS)), dtype=np.float32)
     for row, word in zip(out, words):
+        if word.isalpha() or word[:-1].isalpha() and word[-1] in ".,":  # most words: no marks, no digits
+            row[4] = len(word) > 1 and word[:2].isupper() and word.isupper()
+            row[7] = len(word) > 40
+            continue
         other = len(PLAIN.sub("", word))
         alnum = any(c.isalnum() for c in word)
         row[0] = other > 0 and alnum
@@ -81,14 +85,14 @@ def votes_from(pattern: np.ndarray) -> np.ndarray:
 
 def label_model(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, float], np.ndarray, float]:
     """Expectation-maximisation on pattern counts: (posterior of good per pattern, vote probabilities
-    (class, labeller, vote), share of good). Starts from labellers that are mostly right; one vote says less than
-    several that depend on the same thing, so probabilities are smoothed with a pseudo count."""
+    (class, labeller, vote), share of good). Starts from labellers whose bad votes are rare on good documents and whose good votes say
+    little, as each knows one symptom; pseudo counts keep probabilities off zero."""
     patterns = np.array(sorted(counts))
     n = np.array([counts[p] for p in patterns.tolist()], dtype=float)
     votes = votes_from(patterns)
     k = np.arange(len(LABELLERS))
     prob = np.empty((2, len(LABELLERS), 3))
-    prob[0], prob[1] = (0.4, 0.3, 0.3), (0.05, 0.15, 0.8)
+    prob[0], prob[1] = (0.35, 0.1, 0.55), (0.02, 0.13, 0.85)
     share = 0.8
     post = np.full(len(patterns), share)
     for _ in range(rounds):
@@ -110,6 +114,10 @@ def prob_prior(label: int) -> np.ndarray:
 
 
 def shape_of(word: str) -> str:
+    if word.isalpha():
+        return "A" if word.isupper() else "a"
+    if word[:-1].isalpha():
+        return ("A" if word.isupper() else "a") + ("0" if word[-1].isdigit() else word[-1])
     for run, mark in RUNS:
         word = run.sub(mark, word)
     return word[:16]
@@ -173,23 +181,19 @@ class Model:
         self.posterior, self.prob, self.share, self.scorer = posterior, prob, share, scorer
 
 
-def vote(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, pattern long) per row; null where there are no words."""
-    id_type = docs.schema[id_col].dataType
+def vote(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """`docs` with the vote pattern; null where there are no words."""
 
-    def make(batch: pa.RecordBatch) -> dict:
-        means = worker_state("quality votes", Reader).means(batch.column(1).to_pylist())
-        none = np.isnan(means[:, 0])
-        return {"id": batch.column(0), "pattern": pa.array(pattern_of(votes_of(np.nan_to_num(means))), mask=none)}
+    def make(texts: list[str | None]) -> dict:
+        means = worker_state("quality votes", Reader).means(texts)
+        return {"pattern": pa.array(pattern_of(votes_of(np.nan_to_num(means))), mask=np.isnan(means[:, 0]))}
 
-    schema = pa.schema([("id", to_arrow_type(id_type)), ("pattern", pa.int64())])
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(batches(make, schema), f"id {id_type.simpleString()}, pattern long").withColumnRenamed("id", id_col)
+    return add_from_text(docs, text_col, make, {"pattern": "long"})
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     """The label model over all documents, and the scorer on a bounded sample; None without words."""
-    counts = {r[0]: r[1] for r in vote(docs, id_col, text_col).groupBy("pattern").count().collect() if r[0] is not None}
+    counts = {r[0]: r[1] for r in vote(docs.select(text_col), text_col).groupBy("pattern").count().collect() if r[0] is not None}
     if not counts:
         return None
     posterior, prob, share = label_model(counts)
@@ -216,23 +220,21 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
     return Model(posterior, prob, share, scorer)
 
 
-def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score, keep, label_posterior) per row."""
-    id_type = docs.schema[id_col].dataType
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """`docs` with score, label_posterior and keep."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared_key = uuid.uuid4().hex  # a worker keeps its cache while the model is the same
 
-    def make(batch: pa.RecordBatch) -> dict:
+    def make(texts: list[str | None]) -> dict:
         model = shared.value
         if model is None:
-            return {"id": batch.column(0), "score": [0.0] * batch.num_rows, "label_posterior": [0.0] * batch.num_rows}
-        means = worker_state(("quality", shared.id), lambda: Reader(model.scorer)).means(batch.column(1).to_pylist())
+            return {"score": [0.0] * len(texts), "label_posterior": [0.0] * len(texts)}
+        means = worker_state(("quality", shared_key), lambda: Reader(model.scorer)).means(texts)
         none = np.isnan(means[:, 0])
         score = np.where(none, 0, 1 / (1 + np.exp(-np.nan_to_num(means[:, -1]) - model.scorer.bias)))
         patterns = pattern_of(votes_of(np.nan_to_num(means)))
         posterior = [0.0 if x else model.posterior.get(p, model.share) for p, x in zip(patterns.tolist(), none.tolist())]
-        return {"id": batch.column(0), "score": score, "label_posterior": posterior}
+        return {"score": score, "label_posterior": posterior}
 
-    schema = pa.schema([("id", to_arrow_type(id_type)), ("score", pa.float64()), ("label_posterior", pa.float64())])
-    out = rows.mapInArrow(batches(make, schema), f"id {id_type.simpleString()}, score double, label_posterior double")
-    return out.select(F.col("id").alias(id_col), "score", (F.col("score") >= KEEP).alias("keep"), "label_posterior")
+    out = add_from_text(docs.drop("keep"), text_col, make, {"score": "double", "label_posterior": "double"})
+    return out.withColumn("keep", F.col("score") >= KEEP)

@@ -51,20 +51,21 @@ QUERIES["op4_winnowing"] = op4_winnowing
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return quality.predict(docs, quality.train(docs))
+    out = quality.predict(docs.select("doc_id", "text"), quality.train(docs))
+    return out.select("doc_id", "score", "keep", "label_posterior")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.train(docs.filter(~language_id.held_out()))
-    out = language_id.predict(docs, model)
+    out = language_id.predict(docs.select("doc_id", "text"), model)
     return out.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.filter(~toxicity.held_out()))
-    out = toxicity.predict(docs, model)
+    out = toxicity.predict(docs.select("doc_id", "text"), model)
     return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 

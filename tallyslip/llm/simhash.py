@@ -17,6 +17,7 @@ fingerprints and a component (the smallest id that isn't null, else null). Extra
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyslip.llm.common import batches, components, materialize
+from tallyslip.llm.embedding import BUCKET_ROWS
+from tallyslip.llm.tiles import BLOCK_ROWS as TILE_ROWS
+from tallyslip.llm.tiles import bucket_links
 
 SEGMENTS, MAX_BITS = 5, 4
 #: (lowest bit, width) of each segment.
@@ -37,11 +41,22 @@ SEED = 42
 SLICE = 65_536
 
 
-def simhash(text: str | None, shingle: int) -> int:
-    """The fingerprint: bit b is 1 if it is 1 in over half of the shingles' hashes."""
+def _mixed(h: np.ndarray, lane: int) -> np.ndarray:
+    """Further 64 bits from hashes (a multiply-xorshift finisher, another constant per lane); lane 0: the hashes."""
+    if not lane:
+        return h
+    with np.errstate(over="ignore"):
+        h = h + np.uint64(0x9E3779B97F4A7C15) * np.uint64(lane)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def simhash(text: str | None, shingle: int, lanes: int = 1) -> np.ndarray:
+    """The fingerprint as `lanes` 64-bit words: bit b is 1 if it is 1 in over half of the shingles' hashes."""
     words = text.encode().lower().split() if text else []  # bytes: only A-Z and only ASCII white space
     if not words:
-        return 0
+        return np.zeros(lanes, dtype=np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     k = min(shingle, len(words))
@@ -49,12 +64,13 @@ def simhash(text: str | None, shingle: int) -> int:
     starts = np.concatenate(([0], ends[: n - 1] + 1)).tolist()
     stops = ends[k - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    ones = np.zeros(64, dtype=np.int64)
+    ones = np.zeros((lanes, 64), dtype=np.int64)
     for at in range(0, n, SLICE):
-        part = [digest(joined[a:b], SEED) for a, b in zip(starts[at : at + SLICE], stops[at : at + SLICE])]
-        bits = np.unpackbits(np.array(part, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+        part = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at : at + SLICE], stops[at : at + SLICE])], dtype="<u8")
+        for lane in range(lanes):
+            bits = np.unpackbits(_mixed(part, lane).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones[lane] += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > n, axis=1, bitorder="little").view("<u8").ravel()
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -62,7 +78,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
     id_type = docs.schema[id_col].dataType
 
     def make(batch: pa.RecordBatch) -> dict:
-        prints = np.array([simhash(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
+        prints = np.concatenate([simhash(t, shingle) for t in batch.column(1).to_pylist()])
         return {"id": batch.column(0), "fp": prints.view(np.int64)}
 
     schema = pa.schema([("id", to_arrow_type(id_type)), ("fp", pa.int64())])
@@ -196,3 +212,57 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", t
     return of_docs.join(of_print, "fp", "left").select(
         id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+#: Similar documents: lanes of the wide fingerprint, wanted chance to miss a pair at the similarity.
+LANES, MISS = 16, 0.01
+#: Shingles of similar documents.
+SIMILAR_SHINGLE = 5
+#: Bits over the expected distance at the similarity that still count, in standard deviations.
+MARGIN = 1.5
+
+
+def expected_share(similarity: float) -> float:
+    """Share of bits in which two sets of equal size and this Jaccard similarity are expected to differ."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = SIMILAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text", block_rows: int = TILE_ROWS, miss: float = MISS) -> DataFrame:
+    """(id, component_id) per row: groups of documents whose shingle sets are similar.
+
+    Bits of near copies at a Jaccard similarity of 0.8 differ in about 15 %, which 64 bits can't tell from less
+    similar ones and equal segments can't index. The fingerprint is LANES * 64 bits; keys are bits drawn per table, their
+    number grows as log2 of the number of texts and the number of tables follows from `miss`; pairs that meet are held against
+    the full distance. Ids are long."""
+    id_type = docs.schema[id_col].dataType
+
+    def make(batch: pa.RecordBatch) -> dict:
+        return {"id": batch.column(0), "packed": [simhash(t, shingle, LANES).tobytes() for t in batch.column(1).to_pylist()]}
+
+    schema = pa.schema([("id", to_arrow_type(id_type)), ("packed", pa.binary())])
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    of_docs = materialize(texts.mapInArrow(batches(make, schema), f"id {id_type.simpleString()}, packed binary"))
+    reps = of_docs.groupBy("packed").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("weight"))
+    reps = materialize(reps.withColumn("rep", F.xxhash64("packed")))
+    share, bits_all = expected_share(similarity), 64 * LANES
+    most = bits_all * share + MARGIN * math.sqrt(bits_all * share * (1 - share))
+    bits = min(60, max(8, math.ceil(math.log2(max(1, reps.count()) / BUCKET_ROWS))))
+    tables = math.ceil(math.log(miss) / math.log1p(-((1 - share) ** bits)))
+    drawn = np.random.default_rng(SEED).integers(0, bits_all, size=(tables, bits))
+
+    def unpacked(packed: list[bytes]) -> np.ndarray:
+        return np.unpackbits(np.frombuffer(b"".join(packed), dtype=np.uint8).reshape(len(packed), -1), axis=1, bitorder="little")
+
+    def codes(packed: list[bytes], t: int) -> np.ndarray:
+        return unpacked(packed)[:, drawn[:t]] @ (1 << np.arange(bits, dtype=np.int64))
+
+    def tile(left: list[bytes], right: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        a, b = (unpacked(x).astype(np.float32) * 2 - 1 for x in (left, right))
+        return np.nonzero((bits_all - a @ b.T) / 2 <= most)  # sums of +-1 are exact
+
+    found = materialize(bucket_links(reps.select("rep", "weight", "packed"), tables, bits, codes, tile, block_rows))
+    classes = components(found.filter("b is not null"))
+    members = reps.select("rep", "least").join(classes.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    least = members.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_rep = materialize(members.join(least, "component").select("rep", "component_id"))
+    return of_docs.withColumn("rep", F.xxhash64("packed")).join(of_rep, "rep", "left").select(F.col("id").alias(id_col), "component_id")

@@ -14,15 +14,15 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyslip.llm.boosting import BoostedTrees, isotonic
-from tallyslip.llm.common import WordTable, batches, crc32_mod, sample_by_hash, worker_state
+from tallyslip.llm.common import WordTable, add_from_text, crc32_mod, sample_by_hash, worker_state
 
 TRAIN_ROWS, LEXICON = 10_000, 60
 #: A lexicon word stands in at least this share of the toxic training documents.
@@ -149,19 +149,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score, predicted) per row."""
-    id_type = docs.schema[id_col].dataType
+def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """`docs` with score and predicted."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared_key = uuid.uuid4().hex  # a worker keeps its cache while the model is the same
 
-    def make(batch: pa.RecordBatch) -> dict:
-        maker = worker_state(("toxic", shared.id), lambda: Featurizer(shared.value.lexicon))
-        return {"id": batch.column(0), "score": shared.value.score(maker.features(batch.column(1).to_pylist()))}
+    def make(texts: list[str | None]) -> dict:
+        maker = worker_state(("toxic", shared_key), lambda: Featurizer(shared.value.lexicon))
+        return {"score": shared.value.score(maker.features(texts))}
 
-    schema = pa.schema([("id", to_arrow_type(id_type)), ("score", pa.float64())])
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    out = rows.mapInArrow(batches(make, schema), f"id {id_type.simpleString()}, score double")
-    return out.select(F.col("id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    out = add_from_text(docs.drop("predicted"), text_col, make, {"score": "double"})
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def held_out(id_col: str = "doc_id"):
