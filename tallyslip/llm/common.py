@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Entries that a Python worker keeps in one cache before it starts it anew.
 CACHE_ENTRIES = 300_000
@@ -153,7 +154,7 @@ def add_from_text(df: DataFrame, text_col: str, make: Callable[[list[str | None]
                 new = make(batch.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(new[c], type=ADDED[t]) for c, t in added.items()]], names=[*batch.schema.names, *added])
 
-    schema = df.schema
+    schema = T.StructType([*df.schema.fields])
     for name, kind in added.items():
         schema = schema.add(name, kind)
     return df.mapInArrow(run, schema)
