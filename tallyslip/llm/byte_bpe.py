@@ -1,10 +1,10 @@
 """Byte-level BPE encoding and decoding by merge replay over the distinct words of a block.
 
-A task works on blocks (Arrow batches) of documents. The distinct pre-tokens of a block that its Python
-worker hasn't met lie one after the other in flat lists; an inverted index leads from a merge rank, that
-is a token pair, to the positions in words where that pair stands. Ranks are taken in order; a merge
-touches its two neighbours only, whose new pairs enter the index. Every word ends with the ids that the library
-gives, as each word always has its lowest rank applied first and equal ranks leftmost first. No shuffle.
+A task works on blocks of documents. The distinct pre-tokens of a block that its Python worker hasn't met lie
+one after the other in flat arrays; an inverted index leads from merge ranks, that is token pairs, to the
+positions in words where those pairs stand. Ranks are taken in order; a merge touches its two neighbours
+only, whose new pairs enter the index. Every word ends with the ids that the library gives, as each word
+always has its lowest rank applied first and equal ranks leftmost first. No shuffle.
 
 Defined results: null text counts as empty: no ids, the hashes of empty strings. Very long words pass through
 the same replay and aren't cached. Repeated rows give repeated results; extra columns are ignored.
@@ -13,25 +13,33 @@ the same replay and aren't cached. Repeated rows give repeated results; extra co
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
-import heapq
+from collections import ChainMap
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tallyslip.llm.common import CACHE_ENTRIES, CACHE_WORD_CHARS, batches, worker_state
+from tallyslip.llm.common import CACHE_WORD_CHARS, batches, worker_state
 
 #: White space by Unicode, and the separators that only Python counts as such.
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0                　"
 #: A space beside other white space: only then can the split at spaces differ from the pattern's.
 BESIDE = [pair for s in SPACES for pair in {s + " ", " " + s}]
 
-#: Ids are below 2 ** PAIR_BITS; NO_TOKEN marks the end of a word.
+#: Ids are below 2 ** PAIR_BITS - 1; NO_TOKEN marks words' ends and merged positions, NO_RANK pairs that don't merge.
 PAIR_BITS = 21
-NO_TOKEN = (1 << PAIR_BITS) - 2
+NO_TOKEN = (1 << PAIR_BITS) - 1
+NO_RANK = 1 << 40
+#: Ranks that the index keeps together, and documents of a block.
+BAND = 512
+BLOCK_DOCS = 2000
+#: Words that a worker keeps with their ids, about 400 bytes each.
+CACHE_ENTRIES = 600_000
 
 
 def read_ranks(rank_file: str) -> dict[bytes, int]:
@@ -39,90 +47,121 @@ def read_ranks(rank_file: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+class PairTable:
+    """(left id, right id) -> id of their union, as an open-addressed table with vectorised lookup."""
+
+    def __init__(self, pairs: dict[int, int]):
+        self.bits = max(8, (4 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.values = np.full(1 << self.bits, NO_RANK, dtype=np.int64)
+        left, value = np.array(list(pairs), dtype=np.int64), np.array(list(pairs.values()), dtype=np.int64)
+        slot = self._slot(left)
+        while len(left):
+            slot_free = self.keys[slot] < 0
+            _, winners = np.unique(np.where(slot_free, slot, -1), return_index=True)
+            winners = winners[slot_free[winners]]
+            self.keys[slot[winners]], self.values[slot[winners]] = left[winners], value[winners]
+            rest = np.setdiff1d(np.arange(len(left)), winners)
+            left, value, slot = left[rest], value[rest], (slot[rest] + 1) % len(self.keys)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << PAIR_BITS | right
+        slot = self._slot(key)
+        found = self.keys[slot]
+        out = np.where(found == key, self.values[slot], NO_RANK)
+        open_ = np.flatnonzero((found != key) & (found >= 0))
+        slot = slot[open_]
+        while len(open_):
+            slot = (slot + 1) & (len(self.keys) - 1)
+            found = self.keys[slot]
+            hit = found == key[open_]
+            out[open_[hit]] = self.values[slot[hit]]
+            on = ~hit & (found >= 0)
+            open_, slot = open_[on], slot[on]
+        return out
+
+
 class MergeReplay:
-    """Ranks, the pair table (two ids -> the id of their union) and a cache of encoded words."""
+    """Ranks, the pair table and a cache of encoded words."""
 
     def __init__(self, rank_file: str, pattern: str):
         ranks = read_ranks(rank_file)
         self.pattern = regex.compile(pattern)
         self.bytes_of = {r: t for t, r in ranks.items()}
-        self.first = [ranks[bytes([b])] for b in range(256)]
-        self.text_of = [""] * (max(ranks.values()) + 1)
+        self.first = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.top = max(ranks.values()) + 1
+        self.text_of = [""] * self.top
         for rank in ranks.values():
             self.text_of[rank] = str(rank)
-        self.pairs: dict[int, int] = {}  # by left << PAIR_BITS | right
+        pairs: dict[int, int] = {}  # by left << PAIR_BITS | right
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    self.pairs[left << PAIR_BITS | right] = rank
+                    pairs[left << PAIR_BITS | right] = rank
+        self.pairs = PairTable(pairs)
         self.cache: dict[str, tuple[str, bytes]] = {}
 
     def replay(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word."""
-        first, get = self.first, self.pairs.get
-        token: list[int] = []
-        starts = []
-        for word in words:
-            starts.append(len(token))
-            token.extend([first[b] for b in word.encode()])
-            token.append(NO_TOKEN)  # no pair crosses the end of a word
-        n = len(token)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        index: dict[int, list[int]] = {}
-        for at in range(n - 1):
-            rank = get(token[at] << PAIR_BITS | token[at + 1])
-            if rank is not None:
-                if rank in index:
-                    index[rank].append(at)
-                else:
-                    index[rank] = [at]
-        order = list(index)
-        heapq.heapify(order)
-        dead = NO_TOKEN + 1
-        while order:
-            rank = heapq.heappop(order)
-            places = index.pop(rank, None)
-            if places is None:
-                continue
-            places.sort()
-            late: set[int] = set()
-            for at in places:
-                left = token[at]
-                if left >= NO_TOKEN:
-                    continue
-                right_at = after[at]
-                if get(left << PAIR_BITS | token[right_at]) != rank:
-                    continue
-                token[at], token[right_at] = rank, dead
-                beyond = after[right_at]
-                after[at] = beyond
-                if beyond < n:
-                    before[beyond] = at
-                    new = get(rank << PAIR_BITS | token[beyond])
-                    if new is not None:
-                        if new not in index:
-                            index[new] = []
-                            late.add(new)
-                        index[new].append(at)
-                prior = before[at]
-                if prior >= 0 and token[prior] < NO_TOKEN:
-                    new = get(token[prior] << PAIR_BITS | rank)
-                    if new is not None:
-                        if new not in index:
-                            index[new] = []
-                            late.add(new)
-                        index[new].append(prior)
-            for new in late:
-                heapq.heappush(order, new)
-        out = []
-        for start in starts:
-            ids, at = [], start
-            while token[at] != NO_TOKEN:
-                ids.append(token[at])
-                at = after[at]
-            out.append(ids)
-        return out
+        """The ids of each word.
+
+        Words lie one after the other, a mark before each and after the last. `index` leads from a band of BAND
+        ranks to the positions of its pairs. Bands are replayed in order; within one, every word that has pairs in it
+        applies its lowest rank, leftmost first, until none is left. Words don't touch each other, so
+        this is rank order for each of them."""
+        if not words:
+            return []
+        data = [w.encode() for w in words]
+        sizes = np.fromiter(map(len, data), dtype=np.int64, count=len(data))
+        word = np.repeat(np.arange(len(data)), sizes + 1)
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        token = np.full(len(word) + 1, NO_TOKEN, dtype=np.int64)
+        inside = np.ones(len(word), dtype=bool)
+        inside[starts] = False
+        token[:-1][inside] = self.first[np.frombuffer(b"".join(data), dtype=np.uint8)]
+        word = np.append(word, len(data))
+        after, before = np.arange(1, len(token) + 1), np.arange(-1, len(token) - 1)
+        rank = np.append(self.pairs(token[:-1], token[1:]), NO_RANK)
+        index: list[list[np.ndarray]] = [[] for _ in range(self.top // BAND + 1)]
+
+        def enter(places: np.ndarray) -> None:
+            bands = rank[places] // BAND
+            order = np.argsort(bands, kind="stable")
+            places, bands = places[order], bands[order]
+            edges = np.flatnonzero(bands[1:] != bands[:-1]) + 1
+            for part in np.split(places, edges):
+                if len(part):
+                    index[int(rank[part[0]]) // BAND].append(part)
+
+        enter(np.flatnonzero(rank < NO_RANK))
+        for band, found in enumerate(index):
+            places = np.concatenate(found) if found else None
+            while places is not None:
+                places = places[rank[places] < (band + 1) * BAND]
+                if not len(places):
+                    break
+                places = places[np.lexsort((places, rank[places], word[places]))]
+                own = word[places]
+                head = np.append(True, own[1:] != own[:-1])
+                at, rest = places[head], places[~head]
+                right = after[at]
+                beyond = after[right]
+                token[at] = rank[at]
+                token[right], rank[right] = NO_TOKEN, NO_RANK
+                after[at], before[beyond] = beyond, at
+                touched = np.concatenate((at, before[at]))
+                rank[touched] = self.pairs(token[touched], token[after[touched]])
+                new = touched[rank[touched] < NO_RANK]
+                later = rank[new] >= (band + 1) * BAND
+                enter(new[later])
+                places = np.concatenate((rest, new[~later]))
+        left = token < NO_TOKEN
+        ids = token[left].tolist()
+        stops = np.cumsum(np.bincount(word[left], minlength=len(data))).tolist()
+        return [ids[a:b] for a, b in zip([0, *stops[:-1]], stops)]
 
     def parts_of(self, text: str) -> list[str]:
         """The text as pieces that the pattern splits on their own: mostly words with the space before them."""
@@ -131,13 +170,20 @@ class MergeReplay:
             return [head, *[" " + r for r in rest]]
         return self.pattern.findall(text)
 
+    def words_of(self, part: str) -> list[str]:
+        if part[1:].isalpha() and (part[0] == " " or part[0].isalpha()):
+            return [part]
+        if part[1:-1].isalpha() and part[0] == " " and part[-1] in ".,":
+            return [part[:-1], part[-1]]
+        return self.pattern.findall(part)
+
     def encode_parts(self, documents: list[list[str]]) -> dict[str, tuple[str, bytes]]:
         """part -> (ids as text, decoded bytes), complete for these documents; the cache is updated."""
         cache = self.cache
         missing = {p for parts in documents for p in parts if p not in cache}
         if not missing:
             return cache
-        split = {p: self.pattern.findall(p) for p in missing}
+        split = {p: self.words_of(p) for p in missing}
         words = list({w for ws in split.values() for w in ws if w not in cache})
         bytes_of, text_of = self.bytes_of.__getitem__, self.text_of.__getitem__
         done = {w: (" ".join(map(text_of, ids)), b"".join(map(bytes_of, ids))) for w, ids in zip(words, self.replay(words))}
@@ -145,18 +191,18 @@ class MergeReplay:
         for part, ws in split.items():
             pieces = [done.get(w) or cache[w] for w in ws]
             new[part] = pieces[0] if len(pieces) == 1 else (" ".join([p[0] for p in pieces]), b"".join([p[1] for p in pieces]))
-        if len(cache) + len(new) > CACHE_ENTRIES:
+        if len(cache) + len(new) > CACHE_ENTRIES:  # start anew with the words of this block
             new |= {p: cache[p] for parts in documents for p in parts if p in cache}
             cache.clear()
-        if len(new) + len(cache) > CACHE_ENTRIES or any(len(p) > CACHE_WORD_CHARS for p in missing):
-            known = {**cache, **new} if cache else new
-            cache.update([(p, v) for p, v in new.items() if len(p) <= CACHE_WORD_CHARS][:CACHE_ENTRIES])
-            return known
-        cache.update(new)
-        return cache
+        cache.update((p, v) for p, v in new.items() if len(p) <= CACHE_WORD_CHARS)
+        if len(cache) >= len(new):
+            long = {p: v for p, v in new.items() if len(p) > CACHE_WORD_CHARS}
+            return ChainMap(long, cache) if long else cache
+        return ChainMap(new, cache)
 
 
 def _state(rank_file: str, pattern: str) -> MergeReplay:
+    gc.disable()  # no cycles arise here, and scans of the large caches take longer than the encoding
     return worker_state(("bpe", rank_file, pattern), lambda: MergeReplay(rank_file, pattern))
 
 
@@ -166,9 +212,12 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
 
     def make(batch: pa.RecordBatch) -> dict:
         state = _state(rank_file, pattern)
-        parts = [state.parts_of(t) if t else [] for t in batch.column(1).to_pylist()]
-        known = state.encode_parts(parts)
-        return {"id": batch.column(0), "ids": [[int(i) for p in ps for i in known[p][0].split()] for ps in parts]}
+        out = []
+        for at in range(0, batch.num_rows, BLOCK_DOCS):
+            parts = [state.parts_of(t) if t else [] for t in batch.column(1).slice(at, BLOCK_DOCS).to_pylist()]
+            known = state.encode_parts(parts)
+            out.extend([int(i) for p in ps for i in known[p][0].split()] for ps in parts)
+        return {"id": batch.column(0), "ids": out}
 
     schema = pa.schema([("id", to_arrow_type(id_type)), ("ids", pa.list_(pa.int32()))])
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -194,15 +243,16 @@ def digests(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id
 
     def make(batch: pa.RecordBatch) -> dict:
         state = _state(rank_file, pattern)
-        parts = [state.parts_of(t) if t else [] for t in batch.column(1).to_pylist()]
-        known = state.encode_parts(parts)
         n, a, b = [], [], []
-        for ps in parts:
-            found = [known[p] for p in ps]
-            ids = " ".join([x[0] for x in found])
-            n.append(ids.count(" ") + 1 if ids else 0)
-            a.append(hashlib.sha256(ids.encode()).hexdigest())
-            b.append(hashlib.sha256(b"".join([x[1] for x in found])).hexdigest())
+        for at in range(0, batch.num_rows, BLOCK_DOCS):
+            parts = [state.parts_of(t) if t else [] for t in batch.column(1).slice(at, BLOCK_DOCS).to_pylist()]
+            known = state.encode_parts(parts)
+            for ps in parts:
+                found = [known[p] for p in ps]
+                ids = " ".join([x[0] for x in found])
+                n.append(ids.count(" ") + 1 if ids else 0)
+                a.append(hashlib.sha256(ids.encode()).hexdigest())
+                b.append(hashlib.sha256(b"".join([x[1] for x in found])).hexdigest())
         return {"id": batch.column(0), "n_tokens": n, "ids_sha256": a, "decoded_sha256": b}
 
     schema = pa.schema([("id", to_arrow_type(id_type)), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
