@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Entries that a Python worker keeps in one cache before it starts it anew.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 500_000
+#: Documents whose words are in memory at once.
+BLOCK_DOCS = 2000
 #: Longer words aren't kept in a cache.
 CACHE_WORD_CHARS = 64
 
@@ -119,6 +122,7 @@ _worker: dict = {}
 
 def worker_state(key, make: Callable):
     """A per-worker singleton. Only the latest few are kept, so a long-lived worker doesn't gather models."""
+    gc.disable()  # no cycles arise in the operators, and scans of large caches take longer than their work
     if key not in _worker:
         while len(_worker) >= 4:
             _worker.pop(next(iter(_worker)))
@@ -130,8 +134,9 @@ def batches(make_rows: Callable[[pa.RecordBatch], dict], schema: pa.Schema) -> C
     """A mapInArrow function from one that turns a batch into columns."""
 
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            if batch.num_rows:
+        for whole in stream:
+            for first in range(0, whole.num_rows, BLOCK_DOCS):
+                batch = whole.slice(first, BLOCK_DOCS)
                 cols = make_rows(batch)
                 yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in schema], schema=schema)
 
@@ -149,8 +154,9 @@ def add_from_text(df: DataFrame, text_col: str, make: Callable[[list[str | None]
     at = df.columns.index(text_col)
 
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            if batch.num_rows:
+        for whole in stream:
+            for first in range(0, whole.num_rows, BLOCK_DOCS):
+                batch = whole.slice(first, BLOCK_DOCS)
                 new = make(batch.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(new[c], type=ADDED[t]) for c, t in added.items()]], names=[*batch.schema.names, *added])
 

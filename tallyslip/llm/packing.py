@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tallyslip.llm.common import CACHE_ENTRIES, CACHE_WORD_CHARS, materialize, worker_state
+from tallyslip.llm.common import BLOCK_DOCS, CACHE_ENTRIES, CACHE_WORD_CHARS, materialize, worker_state
 
 CAPACITY = 2048
 END_ID = 0
@@ -75,7 +75,7 @@ def cut_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, i
     schema = pa.schema([("id", to_arrow_type(id_type)), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), *[("ids", pa.binary())] * with_ids])
 
     def run(stream):
-        for batch in stream:
+        for batch in (whole.slice(first, BLOCK_DOCS) for whole in stream for first in range(0, whole.num_rows, BLOCK_DOCS)):
             words = worker_state(("words", tokenizer_file), lambda: WordIds(tokenizer_file))
             texts = [t.split(" ") if t else [] for t in batch.column(1).to_pylist()]
             known = words.lookup(texts)

@@ -109,13 +109,11 @@ def count_tokens(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
         texts = [split_units(t) if t else [] for t in batch.column(1).to_pylist()]
         missing = list({u for units in texts for u in units if u not in frequent and u not in cache})
         now = dict(zip(missing, counter.count_units(missing))) if missing else {}
-        if len(cache) + len(now) > CACHE_ENTRIES:
-            held = {u: cache[u] for units in texts for u in units if u in cache}
+        if len(cache) + len(now) > CACHE_ENTRIES:  # start anew with the units of this block
+            now |= {u: cache[u] for units in texts for u in units if u in cache}
             cache.clear()
-        else:
-            held = cache
-        look = frequent.get
-        n = [sum([x if (x := look(u)) is not None else now[u] if u in now else held[u] for u in units]) for units in texts]
+        get = frequent.get
+        n = [sum([x if (x := get(u)) is not None else now[u] if u in now else cache[u] for u in units]) for units in texts]
         cache.update((u, k) for u, k in now.items() if len(u) <= CACHE_WORD_CHARS)
         return {"id": batch.column(0), "n_bytes": pa.compute.binary_length(batch.column(1).cast(pa.large_binary())).fill_null(0), "n_tokens": n}
 
