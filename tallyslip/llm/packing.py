@@ -15,6 +15,7 @@ separate documents. Extra columns are ignored. Empty table, empty result.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections import deque
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tallyslip.llm.common import BLOCK_DOCS, CACHE_ENTRIES, CACHE_WORD_CHARS, materialize, worker_state
+from tallyslip.llm.common import BLOCK_DOCS, CACHE_WORD_CHARS, materialize, worker_state
 
 CAPACITY = 2048
 END_ID = 0
@@ -32,6 +33,8 @@ END_ID = 0
 STEP = 1 / 24
 #: Buckets of a length when ranks are counted.
 BUCKETS = 64
+#: Words that a worker keeps with their ids, about 250 bytes each.
+CACHE_ENTRIES = 1_000_000
 
 
 class WordIds:
@@ -47,14 +50,24 @@ class WordIds:
 
     def encode(self, words: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
+        return [struct.pack(f"<{len(ids)}I", *ids) for e in encoded for ids in (e.ids,)]
+
+    @staticmethod
+    def base_of(word: str) -> tuple[str, str]:
+        """The word without a last stop or comma, which is always a pre-token of its own, and in lower case, which the
+        tokenizer works in, where that can't differ; and the mark."""
+        base, mark = (word[:-1], word[-1]) if word[-1:] in (".", ",") and word[:-1].isalpha() else (word, "")
+        return (base.lower() if base.isascii() else base), mark
 
     def lookup(self, documents: list[list[str]]) -> dict[str, bytes]:
         cache = self.cache
         missing = list({w for words in documents for w in words if w not in cache})
         if not missing:
             return cache
-        new = dict(zip(missing, self.encode(missing)))
+        split = [self.base_of(w) for w in missing]
+        bases = list({b for pair in split for b in pair if b not in cache})
+        new = dict(zip(bases, self.encode(bases)))
+        new.update((w, (new[b] if b in new else cache[b]) + (new[m] if m in new else cache[m])) for w, (b, m) in zip(missing, split))
         if len(cache) + len(new) > CACHE_ENTRIES:
             new |= {w: cache[w] for words in documents for w in words if w in cache}
             cache.clear()
