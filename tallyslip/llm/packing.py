@@ -33,6 +33,8 @@ END_ID = 0
 STEP = 1 / 24
 #: Buckets of a length when ranks are counted.
 BUCKETS = 64
+#: What marks a token that ends a word, and words to a text.
+WORD_END, JOINED = "</w>", 500
 #: Words that a worker keeps with their ids, about 250 bytes each.
 CACHE_ENTRIES = 1_000_000
 
@@ -47,10 +49,26 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.cache: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
     def encode(self, words: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [struct.pack(f"<{len(ids)}I", *ids) for e in encoded for ids in (e.ids,)]
+        """Letters alone are one pre-token, so such words go to the library many to a text and are told apart by the
+        ids that end a word; other words go one by one."""
+        out: dict[str, bytes] = {}
+        plain = [w for w in words if w.isalpha()]
+        texts = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
+        for part, e in zip(texts, self.tokenizer.encode_batch_fast([" ".join(t) for t in texts], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(stops) == len(part):
+                data, stops = ids.tobytes(), stops.tolist()
+                out.update(zip(part, [data[i:j] for i, j in zip([0, *stops[:-1]], stops)]))
+        rest = [w for w in words if w not in out]
+        encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        out.update((w, struct.pack(f"<{len(ids)}I", *ids)) for w, e in zip(rest, encoded) for ids in (e.ids,))
+        return [out[w] for w in words]
 
     @staticmethod
     def base_of(word: str) -> tuple[str, str]:
