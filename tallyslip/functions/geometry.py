@@ -10,8 +10,6 @@ CORNERS = ["a", "b", "c", "d"]
 
 def order_quad(df: DataFrame) -> DataFrame:
     """ax..dy sorted by angle about the centroid, starting at the corner with the smallest x + y."""
-    cx, cy = ((F.col(f"a{k}") + F.col(f"b{k}") + F.col(f"c{k}") + F.col(f"d{k}")) / 4 for k in "xy")
-    corner = [F.struct(F.atan2(F.col(f"{c}y_") - cy, F.col(f"{c}x_") - cx).alias("angle"), F.lit(i).alias("pos"), F.col(f"{c}x_").alias("x"), F.col(f"{c}y_").alias("y")) for i, c in enumerate(CORNERS)]
     df = df.withColumnsRenamed({f"{c}{k}": f"{c}{k}_" for c in CORNERS for k in "xy"})
     cx, cy = ((F.col(f"a{k}_") + F.col(f"b{k}_") + F.col(f"c{k}_") + F.col(f"d{k}_")) / 4 for k in "xy")
     corner = [F.struct(F.atan2(F.col(f"{c}y_") - cy, F.col(f"{c}x_") - cx).alias("angle"), F.lit(i).alias("pos"), F.col(f"{c}x_").alias("x"), F.col(f"{c}y_").alias("y")) for i, c in enumerate(CORNERS)]
@@ -78,8 +76,8 @@ def rotation_homography(degrees: Column, w: Column, h: Column) -> Column:
 def square_to_quad(df: DataFrame) -> DataFrame:
     """h0..h8: the projective map from the unit square to the ordered quad, in closed form (Heckbert, 1989)."""
     sx = F.col("ax") - F.col("bx") + F.col("cx") - F.col("dx")
-    sy = F.col("ay") - F.col("by_") + F.col("cy") - F.col("dy") if "by_" in df.columns else F.col("ay") - F.col("by") + F.col("cy") - F.col("dy")
-    by = F.col("by_") if "by_" in df.columns else F.col("by")
+    by = F.col("by")
+    sy = F.col("ay") - by + F.col("cy") - F.col("dy")
     dx1, dy1, dx2, dy2 = F.col("bx") - F.col("cx"), by - F.col("cy"), F.col("dx") - F.col("cx"), F.col("dy") - F.col("cy")
     det = dx1 * dy2 - dx2 * dy1
     g, h = (sx * dy2 - dx2 * sy) / det, (dx1 * sy - sx * dy1) / det

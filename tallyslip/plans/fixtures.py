@@ -28,7 +28,7 @@ SELECT o_orderkey AS row_id, o_custkey AS image_id, CASE o_orderkey % 6
   WHEN 2 THEN concat('¥', CAST(1000 + o_orderkey % 8999 AS VARCHAR(20)), '.', CAST(10 + o_orderkey % 89 AS VARCHAR(20)))
   WHEN 3 THEN concat('12:30 ', CAST(o_orderkey % 90 + 1 AS VARCHAR(20)), ',', CAST(100 + o_orderkey % 899 AS VARCHAR(20)), '.25')
   WHEN 4 THEN concat('¥1O', CAST(o_orderkey % 9 AS VARCHAR(20)), '.l0')
-  ELSE 'no figures here: n/a' END AS text
+  ELSE 'n/a' END AS text
 FROM orders""",
     "fx_time_text": """
 SELECT event_id AS row_id, CASE event_id % 6
@@ -73,10 +73,10 @@ SELECT conv_id AS image_id, degrees, CASE WHEN conv_id % 6 = 0 THEN NULL ELSE CA
 FROM (SELECT DISTINCT conv_id FROM conversations) AS c CROSS JOIN (SELECT 0 AS degrees UNION ALL SELECT 90 UNION ALL SELECT 180 UNION ALL SELECT 270) AS d""",
     "fx_quads": """
 SELECT p_partkey % 500 AS image_id, p_partkey AS pos, 800 AS w, 1400 AS h,
-  CASE WHEN p_partkey % 11 = 0 THEN 1.0 WHEN p_partkey % 9 = 0 THEN 50.0 ELSE 60.0 + p_partkey % 120 END AS ax, CASE WHEN p_partkey % 11 = 0 THEN 2.0 WHEN p_partkey % 9 = 0 THEN 400.0 ELSE 90.0 + p_partkey * 3 % 120 END AS ay,
-  CASE WHEN p_partkey % 11 = 0 THEN 798.0 ELSE 740.0 - p_partkey * 7 % 120 END AS bx, CASE WHEN p_partkey % 11 = 0 THEN 3.0 WHEN p_partkey % 9 = 0 THEN 410.0 ELSE 80.0 + p_partkey * 5 % 120 END AS by_,
-  CASE WHEN p_partkey % 11 = 0 THEN 797.0 ELSE 750.0 - p_partkey * 11 % 120 END AS cx, CASE WHEN p_partkey % 11 = 0 THEN 1396.0 WHEN p_partkey % 9 = 0 THEN 800.0 ELSE 1310.0 - p_partkey * 2 % 120 END AS cy,
-  CASE WHEN p_partkey % 11 = 0 THEN 2.0 ELSE 55.0 + p_partkey * 13 % 120 END AS dx, CASE WHEN p_partkey % 11 = 0 THEN 1397.0 WHEN p_partkey % 9 = 0 THEN 790.0 ELSE 1300.0 - p_partkey * 17 % 120 END AS dy
+  CAST(CASE WHEN p_partkey % 11 = 0 THEN 1.0 WHEN p_partkey % 9 = 0 THEN 50.0 ELSE 60.0 + p_partkey % 120 END AS DOUBLE) AS ax, CAST(CASE WHEN p_partkey % 11 = 0 THEN 2.0 WHEN p_partkey % 9 = 0 THEN 400.0 ELSE 90.0 + p_partkey * 3 % 120 END AS DOUBLE) AS ay,
+  CAST(CASE WHEN p_partkey % 11 = 0 THEN 798.0 ELSE 740.0 - p_partkey * 7 % 120 END AS DOUBLE) AS bx, CAST(CASE WHEN p_partkey % 11 = 0 THEN 3.0 WHEN p_partkey % 9 = 0 THEN 410.0 ELSE 80.0 + p_partkey * 5 % 120 END AS DOUBLE) AS by_,
+  CAST(CASE WHEN p_partkey % 11 = 0 THEN 797.0 ELSE 750.0 - p_partkey * 11 % 120 END AS DOUBLE) AS cx, CAST(CASE WHEN p_partkey % 11 = 0 THEN 1396.0 WHEN p_partkey % 9 = 0 THEN 800.0 ELSE 1310.0 - p_partkey * 2 % 120 END AS DOUBLE) AS cy,
+  CAST(CASE WHEN p_partkey % 11 = 0 THEN 2.0 ELSE 55.0 + p_partkey * 13 % 120 END AS DOUBLE) AS dx, CAST(CASE WHEN p_partkey % 11 = 0 THEN 1397.0 WHEN p_partkey % 9 = 0 THEN 790.0 ELSE 1300.0 - p_partkey * 17 % 120 END AS DOUBLE) AS dy
 FROM part""",
     "fx_probs": """
 SELECT vec_id AS image_id, 20 * CAST(embedding[{first}] AS DOUBLE) AS l0, CASE WHEN vec_id % 50 = 0 THEN 20 * CAST(embedding[{first}] AS DOUBLE) ELSE 20 * CAST(embedding[{second}] AS DOUBLE) END AS l1, 20 * CAST(embedding[{third}] AS DOUBLE) AS l2
