@@ -64,6 +64,8 @@ def bucket_links(rows_in: DataFrame, tables: int, bits: int, codes: Callable[[li
 
     def link_run(key: int, x: int, y: int, block: np.ndarray, rep: np.ndarray, weight: np.ndarray, packed: list[bytes]):
         left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+        if not len(left) or not len(right):
+            return
         i, j = tile([packed[k] for k in left], [packed[k] for k in right])
         i, j = left[i], right[j]
         keep = i < j if x == y else i != j
