@@ -116,16 +116,15 @@ class WordTable:
         return self.rows[np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))]
 
 
-#: What a Python worker keeps between tasks, by operator and parameters.
+#: What a Python worker keeps between tasks: one entry, by operator and parameters.
 _worker: dict = {}
 
 
 def worker_state(key, make: Callable):
-    """A per-worker singleton. Only the latest few are kept, so a long-lived worker doesn't gather models."""
+    """A per-worker singleton. Only the latest is kept, so a long-lived worker doesn't gather caches of several operators."""
     gc.disable()  # no cycles arise in the operators, and scans of large caches take longer than their work
     if key not in _worker:
-        while len(_worker) >= 4:
-            _worker.pop(next(iter(_worker)))
+        _worker.clear()
         _worker[key] = make()
     return _worker[key]
 
