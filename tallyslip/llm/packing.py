@@ -79,7 +79,7 @@ class WordIds:
 
     def lookup(self, documents: list[list[str]]) -> dict[str, bytes]:
         cache = self.cache
-        missing = list({w for words in documents for w in words if w not in cache})
+        missing = list(set().union(*[set(words).difference(cache) for words in documents]))
         if not missing:
             return cache
         split = [self.base_of(w) for w in missing]
