@@ -14,12 +14,19 @@ separate documents. Extra columns are ignored. Empty table, empty result.
 
 from __future__ import annotations
 
+import codecs
+import json
 import os
+import re
 import zlib
 from collections import deque
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -34,38 +41,92 @@ STEP = 1 / 24
 BUCKETS = 64
 
 
+def slices(texts: list[np.ndarray], last: np.ndarray) -> Iterator[bytes]:
+    """Ids of texts in slices that end where `last` (by id) is true."""
+    for ids in texts:
+        whole, start = ids.tobytes(), 0
+        for stop in (4 * np.flatnonzero(last[ids]) + 4).tolist():
+            yield whole[start:stop]
+            start = stop
+
+
 class WordIds:
     """Ids of words as little-endian 32-bit bytes. Words are what stands between spaces: this tokenizer
-    drops white space before the merges and no normaliser step crosses a space."""
+    drops white space before the merges and no normaliser step crosses a space.
+
+    Words of common characters are joined around a digit that none of them holds, lower-cased and cut by the
+    tokenizer's own pattern here; its normaliser leaves them otherwise as they are. Each distinct part is then
+    merged once, many parts in one text, as the ids of word ends tell them apart. Other words are encoded one by one."""
+
+    #: The digit between joined words; digits are parts of their own.
+    STOP = "0"
+    #: Parts per text.
+    JOINED = 256
+    #: What keeps a word from being joined: anything but old white space, marks, digits other than STOP and
+    #: letters up to U+00FF; and the bar, which the special tokens hold.
+    ODD = re.compile(r"[^\t\n\r!-/1-{}~À-ÖØ-öø-ÿ]")
 
     def __init__(self, tokenizer_file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        cut = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.cut = regex.compile(cut).findall
+        self.merger = Tokenizer.from_file(tokenizer_file)
+        self.merger.normalizer = None
+        self.merger.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        chars = [chr(b) for b in range(256)]
+        for c in range(0xC0, 0x100):
+            for byte, char in zip(chr(c).encode(), as_bytes.pre_tokenize_str(chr(c))[0][0]):
+                chars[byte] = char
+        self.byte_chars = "".join(chars)
+        (self.stop,) = self.tokenizer.encode(self.STOP, add_special_tokens=False).ids
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {}
 
     def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word by itself."""
         encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
-    def lookup(self, documents: list[list[str]]) -> dict[str, bytes]:
+    def encode_joined(self, words: list[str]) -> list[bytes]:
+        """The same for words without odd characters."""
+        parts = self.cut(self.STOP.join([*words, ""]).lower())
+        distinct = list(set(parts))
+        texts = [" ".join(distinct[at : at + self.JOINED]) for at in range(0, len(distinct), self.JOINED)]
+        texts = [t if t.isascii() else codecs.charmap_decode(t.encode(), "strict", self.byte_chars)[0] for t in texts]
+        merged = [np.array(e.ids, dtype="<u4") for e in self.merger.encode_batch_fast(texts, add_special_tokens=False)]
+        of_part = dict(zip(distinct, slices(merged, self.ends)))
+        whole = np.frombuffer(b"".join(map(of_part.__getitem__, parts)), dtype="<u4")
+        return [ids[:-4] for ids in slices([whole], np.arange(len(self.ends)) == self.stop)]
+
+    def lookup(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, from the cache where it holds them."""
         cache = self.cache
-        missing = list({w for words in documents for w in words if w not in cache})
+        known = [cache.get(w) for w in words]
+        missing = [w for w, ids in zip(words, known) if ids is None]
         if not missing:
-            return cache
-        new = dict(zip(missing, self.encode(missing)))
-        if len(cache) + len(new) > CACHE_ENTRIES:
-            new |= {w: cache[w] for words in documents for w in words if w in cache}
-            cache.clear()
-            cache.update([(w, v) for w, v in new.items() if len(w) <= CACHE_WORD_CHARS][:CACHE_ENTRIES])
-            return new
-        if any(len(w) > CACHE_WORD_CHARS for w in missing):
-            known = {**cache, **new}
-            cache.update((w, v) for w, v in new.items() if len(w) <= CACHE_WORD_CHARS)
             return known
-        cache.update(new)
-        return cache
+        odd = self.ODD.search
+        joined, alone = [w for w in missing if not odd(w)], [w for w in missing if odd(w)]
+        new = dict(zip(joined, self.encode_joined(joined))) | dict(zip(alone, self.encode(alone)))
+        known = [new[w] if ids is None else ids for w, ids in zip(words, known)]
+        if len(cache) + len(new) > CACHE_ENTRIES:  # start anew with the words of this block
+            cache.clear()
+            new = dict(islice(zip(words, known), CACHE_ENTRIES))
+        cache.update((w, ids) for w, ids in new.items() if len(w) <= CACHE_WORD_CHARS)
+        return known
+
+    def documents(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text (null: none): each distinct word is looked up once, and its ids are set where it stands."""
+        lists = pc.split_pattern(texts.fill_null(""), " ")
+        coded = lists.flatten().dictionary_encode()
+        known = self.lookup(coded.dictionary.to_pylist())
+        which, at = coded.indices.to_numpy().tolist(), lists.offsets.to_numpy().tolist()
+        return [b"".join(map(known.__getitem__, which[a:b])) for a, b in zip(at, at[1:])]
 
 
 def cut_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
@@ -77,11 +138,9 @@ def cut_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, i
     def run(stream):
         for batch in (whole.slice(first, BLOCK_DOCS) for whole in stream for first in range(0, whole.num_rows, BLOCK_DOCS)):
             words = worker_state(("words", tokenizer_file), lambda: WordIds(tokenizer_file))
-            texts = [t.split(" ") if t else [] for t in batch.column(1).to_pylist()]
-            known = words.lookup(texts)
             rows, pieces, starts, lengths, sums, ids = [], [], [], [], [], []
-            for row, text in enumerate(texts):
-                whole = b"".join([known[w] for w in text]) + end
+            for row, own in enumerate(words.documents(batch.column(1))):
+                whole = own + end
                 for piece, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]
                     rows.append(row)

@@ -7,6 +7,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers as tok
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -347,3 +348,13 @@ def test_tile_slices_agree():
     i, j = embedding.tile_links(u, u, 0.5)
     assert set(zip(i.tolist(), j.tolist())) == set(map(tuple, np.argwhere(np.einsum("ik,jk->ij", u, u) >= 0.5).tolist()))
     assert tiles.FAN_OUT > 1 and duckdb is not None
+
+
+def test_packing_words_are_encoded_as_by_the_library():
+    words = packing.WordIds(tok.path("word_bpe_49k.json"))
+    texts = ["", None, "Don't  'S 0 100 a0b x7 don'", "ÀÖ÷ Éré, İstanbul ΣΑΣ é µm ²½ ß<|endoftext|> <|ENDOFTEXT|> </w> a</w>b", "a\nb\tc.\r\nd   \x85 \x1c 　e", "' " * 3 + "'ll 'LL ... !?<|>| ¿qué? 你好 🙂 ́", "Don't don't, don't", "x" * 300 + " 0"]
+    expected = [np.array(words.tokenizer.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    for _ in range(2):  # without and with the cache
+        assert words.documents(pa.array(texts)) == expected
+    assert words.documents(pa.array([], pa.string())) == []
+    assert words.encode_joined([]) == []
