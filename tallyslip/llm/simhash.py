@@ -17,18 +17,20 @@ fingerprints and a component (the smallest id that isn't null, else null). Extra
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterable, Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tallyslip.llm.common import batches, components, materialize
-from tallyslip.llm.embedding import BUCKET_ROWS
+from tallyslip.llm.common import BLOCK_DOCS, batches, components, materialize
 from tallyslip.llm.tiles import BLOCK_ROWS as TILE_ROWS
 from tallyslip.llm.tiles import bucket_links
 
@@ -214,40 +216,164 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", t
     )
 
 
-#: Similar documents: lanes of the wide fingerprint, wanted chance to miss a pair at the similarity.
-LANES, MISS = 16, 0.01
+#: Similar documents: lanes of the wide fingerprint, wanted chance that a pair at the similarity meets in no table.
+LANES, MISS = 8, 1e-3
 #: Shingles of similar documents.
 SIMILAR_SHINGLE = 5
-#: Bits over the expected distance at the similarity that still count, in standard deviations.
-MARGIN = 1.5
+#: Bits over the expected distance at the similarity that still make a candidate, in standard deviations.
+MARGIN = 4
+#: Fingerprints per bucket that the number of bits in a key aims at.
+SIMILAR_BUCKET = 256
+#: Shingle sets whose candidates are compared in one run, rows and bytes.
+SET_ROWS, SET_BYTES = 1024, 16 << 20
 
 
-def expected_share(similarity: float) -> float:
-    """Share of bits in which two sets of equal size and this Jaccard similarity are expected to differ."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The hashes of the text's distinct shingles, ascending; fewer words than a shingle are one."""
+    words = text.encode().lower().split() if text else []
+    if not words:
+        return np.zeros(0, dtype="<u8")
+    joined = b" ".join(words)
+    stops = list(itertools.accumulate(len(w) + 1 for w in words))
+    k, digest = min(shingle, len(words)), xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[a : b - 1], SEED) for a, b in zip([0, *stops], stops[k - 1 :])], dtype="<u8"))
 
 
-def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = SIMILAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text", block_rows: int = TILE_ROWS, miss: float = MISS) -> DataFrame:
-    """(id, component_id) per row: groups of documents whose shingle sets are similar.
+def wide_print(hashes: np.ndarray, lanes: int = LANES) -> bytes:
+    """The SimHash of a set of hashes: each shingle votes once."""
+    ones = np.zeros((lanes, 64), dtype=np.int64)
+    for at in range(0, len(hashes), SLICE):
+        for lane in range(lanes):
+            ones[lane] += np.unpackbits(_mixed(hashes[at : at + SLICE], lane).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > len(hashes), axis=1, bitorder="little").tobytes()
+
+
+def differing_share(similarity: Fraction) -> float:
+    """The largest expected share of bits in which two sets of this Jaccard similarity differ. Votes of long texts are
+    nearly normal (the angle between the sets); those of short ones are counted out, where ties and odd sizes cost more bits."""
+    share = max(1e-6, math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+    def one(common: int, own: int, k: int) -> float:
+        """Chance of a bit of 1 where k of the common shingles and any of the own ones vote for it."""
+        return sum(math.comb(own, x) for x in range(own + 1) if 2 * (k + x) > common + own) / 2**own
+
+    for union in range(2, 41):
+        apart = math.floor((1 - similarity) * union)
+        common = union - apart
+        for a in range(apart // 2 + 1):
+            exact = 0.0
+            for k in range(common + 1):
+                p, q = one(common, a, k), one(common, apart - a, k)
+                exact += math.comb(common, k) / 2**common * (p * (1 - q) + q * (1 - p))
+            share = max(share, exact)
+    return share
+
+
+def table_count(share: float, bits_all: int, bits: int, miss: float) -> int:
+    """Tables of `bits` drawn bits in which a pair is missed with probability `miss`, over the spread of its distance."""
+    log = [math.lgamma(bits_all + 1) - math.lgamma(d + 1) - math.lgamma(bits_all - d + 1) + d * math.log(share) + (bits_all - d) * math.log1p(-share) for d in range(bits_all)]
+    chance, apart = np.exp(log), (1 - (1 - np.arange(bits_all) / bits_all) ** bits)
+    tables = 1
+    while (chance * apart**tables).sum() > miss:
+        tables += 1
+    return tables
+
+
+def jaccard_links(sets: list[np.ndarray], similarity: Fraction) -> Iterator[tuple[int, int]]:
+    """Trees of fan-out FAN_OUT over what the pairs of sets at this exact Jaccard similarity connect."""
+    size = np.array([len(s) for s in sets])
+    _, element = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), size)[np.argsort(element, kind="stable")]
+    stop = np.cumsum(np.bincount(element))
+    first = np.concatenate(([0], np.cumsum(size)))
+    left = np.ones(len(sets), dtype=bool)
+    for i in range(len(sets)):
+        if not left[i]:
+            continue
+        left[i] = False
+        found, front = [i], 0
+        while front < len(found) and left.any():
+            f = found[front]
+            mine = element[first[f] : first[f + 1]]
+            start = np.where(mine > 0, stop[mine - 1], 0)
+            n = stop[mine] - start
+            at = np.arange(n.sum()) + np.repeat(start - np.cumsum(n) + n, n)
+            both = np.bincount(owner[at], minlength=len(sets))
+            near = np.flatnonzero(left & (both * similarity.denominator >= (size + size[f] - both) * similarity.numerator))
+            left[near] = False
+            found.extend(near.tolist())
+            front += 1
+        yield from ((found[(k - 1) // FAN_OUT], found[k]) for k in range(1, len(found)))
 
-    Bits of near copies at a Jaccard similarity of 0.8 differ in about 15 %, which 64 bits can't tell from less
-    similar ones and equal segments can't index. The fingerprint is LANES * 64 bits; keys are bits drawn per table, their
-    number grows as log2 of the number of texts and the number of tables follows from `miss`; pairs that meet are held against
-    the full distance. Ids are long."""
-    id_type = docs.schema[id_col].dataType
+
+def _exact_links(texts: DataFrame, shingle: int, similarity: Fraction, set_rows: int) -> DataFrame:
+    """`texts`: component, rep, text. Links (a, b) of reps within a component; what they connect is what all its pairs at the
+    similarity connect. Components of many rows or bytes are dealt in blocks, and every pair of blocks meets in a run."""
 
     def make(batch: pa.RecordBatch) -> dict:
-        return {"id": batch.column(0), "packed": [simhash(t, shingle, LANES).tobytes() for t in batch.column(1).to_pylist()]}
-
-    schema = pa.schema([("id", to_arrow_type(id_type)), ("packed", pa.binary())])
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    of_docs = materialize(texts.mapInArrow(batches(make, schema), f"id {id_type.simpleString()}, packed binary"))
-    reps = of_docs.groupBy("packed").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("weight"))
-    reps = materialize(reps.withColumn("rep", F.xxhash64("packed")))
-    share, bits_all = expected_share(similarity), 64 * LANES
+        return {"component": batch.column(0), "rep": batch.column(1), "hashes": [shingle_set(t, shingle).tobytes() for t in batch.column(2).to_pylist()]}
+
+    def link(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def linked_run(run: dict[int, bytes]) -> pa.RecordBatch:
+            reps = list(run)
+            pairs = list(jaccard_links([np.frombuffer(x, dtype="<u8") for x in run.values()], similarity)) if len(reps) > 1 else []
+            return pa.RecordBatch.from_pydict({"a": pa.array([reps[i] for i, _ in pairs], pa.int64()), "b": pa.array([reps[j] for _, j in pairs], pa.int64())})
+
+        now, run = None, {}
+        for batch in stream:
+            for *key, rep, hashes in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != now:
+                    if run:
+                        yield linked_run(run)
+                    now, run = key, {}
+                run[rep] = hashes
+        if run:
+            yield linked_run(run)
+
+    schema = pa.schema([("component", pa.int64()), ("rep", pa.int64()), ("hashes", pa.binary())])
+    sets = materialize(texts.mapInArrow(batches(make, schema), "component long, rep long, hashes binary"))
+    size = F.greatest(F.count(F.lit(1)) / (set_rows / 2), F.sum(F.length("hashes")) / (SET_BYTES / 2))
+    hot = materialize(sets.groupBy("component").agg(F.least(F.ceil(size), F.count(F.lit(1))).cast("int").alias("blocks")).filter("blocks > 2"))
+    dealt = sets.join(hot, "component", "left")
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, block).alias("x"), F.greatest(i, block).alias("y")))
+    alone = F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")))
+    rows = dealt.select("component", F.explode(F.when(F.col("blocks").isNotNull(), pairs).otherwise(alone)).alias("pair"), "rep", "hashes")
+    runs = rows.select("component", "pair.x", "pair.y", "rep", "hashes").repartition("component", "x", "y").sortWithinPartitions("component", "x", "y")
+    return runs.mapInArrow(link, "a long, b long")
+
+
+def similar_rows(docs: DataFrame, similarity: float = 0.8, shingle: int = SIMILAR_SHINGLE, text_col: str = "text", block_rows: int = TILE_ROWS, miss: float = MISS, set_rows: int = SET_ROWS) -> tuple[DataFrame, DataFrame]:
+    """`docs` with a number `_row` for each row, written once, and (_row, _group): what pairs of texts connect whose sets of
+    distinct shingles have at least this Jaccard similarity.
+
+    Equal sets are one from the start. Candidates come from SimHash: fingerprints of LANES * 64 bits on the distinct shingles,
+    keys of bits drawn per table, their number as log2 of the number of texts and the number of tables by `miss`, then the
+    full distance with a margin of MARGIN deviations. Within what the candidates connect, every pair is decided by its shingle sets."""
+    exact = Fraction(str(similarity))
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    at = numbered.columns.index(text_col)
+
+    def make(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in stream:
+            for start in range(0, whole.num_rows, BLOCK_DOCS):
+                batch = whole.slice(start, BLOCK_DOCS)
+                reps, prints = [], []
+                for text in batch.column(at).to_pylist():
+                    hashes = shingle_set(text, shingle)
+                    reps.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+                    prints.append(wide_print(hashes) if len(hashes) else None)
+                new = [pa.array(np.array(reps, dtype=np.uint64).view(np.int64)), pa.array(prints, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "_rep", "_packed"])
+
+    schema = T.StructType([*numbered.schema.fields, T.StructField("_rep", T.LongType()), T.StructField("_packed", T.BinaryType())])
+    rows = materialize(numbered.mapInArrow(make, schema))
+    reps = rows.filter("_packed is not null").groupBy(F.col("_rep").alias("rep")).agg(F.max("_packed").alias("packed"), F.min("_row").alias("_row"))
+    reps = materialize(reps.withColumn("weight", F.lit(1).cast("long")))
+    share, bits_all = differing_share(exact), 64 * LANES
     most = bits_all * share + MARGIN * math.sqrt(bits_all * share * (1 - share))
-    bits = min(60, max(8, math.ceil(math.log2(max(1, reps.count()) / BUCKET_ROWS))))
-    tables = math.ceil(math.log(miss) / math.log1p(-((1 - share) ** bits)))
+    bits = min(60, max(8, math.ceil(math.log2(max(1, reps.count()) / SIMILAR_BUCKET))))
+    tables = table_count(share, bits_all, bits, miss)
     drawn = np.random.default_rng(SEED).integers(0, bits_all, size=(tables, bits))
 
     def unpacked(packed: list[bytes]) -> np.ndarray:
@@ -260,9 +386,17 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = S
         a, b = (unpacked(x).astype(np.float32) * 2 - 1 for x in (left, right))
         return np.nonzero((bits_all - a @ b.T) / 2 <= most)  # sums of +-1 are exact
 
-    found = materialize(bucket_links(reps.select("rep", "weight", "packed"), tables, bits, codes, tile, block_rows))
-    classes = components(found.filter("b is not null"))
-    members = reps.select("rep", "least").join(classes.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    least = members.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_rep = materialize(members.join(least, "component").select("rep", "component_id"))
-    return of_docs.withColumn("rep", F.xxhash64("packed")).join(of_rep, "rep", "left").select(F.col("id").alias(id_col), "component_id")
+    candidates = components(materialize(bucket_links(reps.select("rep", "weight", "packed"), tables, bits, codes, tile, block_rows, counts=False)))
+    heads = candidates.withColumnRenamed("id", "rep").join(reps.select("rep", "_row"), "rep")
+    texts = rows.select("_row", F.col(text_col).alias("_text")).join(heads, "_row").select("component", "rep", "_text")
+    classes = components(materialize(_exact_links(texts, shingle, exact, set_rows)))
+    of_rows = rows.select("_row", F.col("_rep").alias("id")).join(classes, "id", "left")
+    return rows.drop("_rep", "_packed"), materialize(of_rows.select("_row", F.coalesce("component", "id").alias("_group")))
+
+
+def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = SIMILAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text", block_rows: int = TILE_ROWS, miss: float = MISS, set_rows: int = SET_ROWS) -> DataFrame:
+    """(id, component_id) per row: groups of documents whose shingle sets are similar, by their smallest id."""
+    rows, groups = similar_rows(docs.select(id_col, text_col), similarity, shingle, text_col, block_rows, miss, set_rows)
+    of_rows = rows.select("_row", id_col).join(groups, "_row")
+    least = of_rows.groupBy("_group").agg(F.min(id_col).alias("component_id"))
+    return of_rows.join(least, "_group").select(id_col, "component_id")

@@ -41,9 +41,24 @@ def _tree(n: int, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[int, int]]:
         yield from ((found[(k - 1) // FAN_OUT], found[k]) for k in range(1, len(found)))
 
 
-def bucket_links(rows_in: DataFrame, tables: int, bits: int, codes: Callable[[list[bytes], int], np.ndarray], tile: Callable[[list[bytes], list[bytes]], tuple[np.ndarray, np.ndarray]], block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """`rows_in`: rep long, weight long, packed binary. Rows (a, b, n): with b null the weight n of the rows that link to a, else a
-    link that joins a and b. `codes(packed, t)`: bucket codes below 2 ** bits in the first t tables."""
+def _thinned(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of every linked index to the smallest one that the pairs connect it with: fewer pairs, the same components."""
+    label = np.arange(n)
+    while len(i):
+        before = label.copy()
+        least = np.minimum(label[i], label[j])
+        np.minimum.at(label, i, least)
+        np.minimum.at(label, j, least)
+        label = label[label]
+        if (label == before).all():
+            break
+    moved = np.flatnonzero(label != np.arange(n))
+    return label[moved], moved
+
+
+def bucket_links(rows_in: DataFrame, tables: int, bits: int, codes: Callable[[list[bytes], int], np.ndarray], tile: Callable[[list[bytes], list[bytes]], tuple[np.ndarray, np.ndarray]], block_rows: int = BLOCK_ROWS, counts: bool = True) -> DataFrame:
+    """`rows_in`: rep long, weight long, packed binary. Rows (a, b, n): with b null the weight n of the rows that link to a (without
+    `counts` there are none), else a link that joins a and b. `codes(packed, t)`: bucket codes below 2 ** bits in the first t tables."""
 
     def bucket(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
@@ -70,6 +85,10 @@ def bucket_links(rows_in: DataFrame, tables: int, bits: int, codes: Callable[[li
         i, j = left[i], right[j]
         keep = i < j if x == y else i != j
         i, j = i[keep], j[keep]
+        if not counts:
+            for p, q in _tree(len(rep), *_thinned(len(rep), i, j)):
+                yield int(rep[p]), int(rep[q]), 0
+            return
         now = key >> bits
         if now and len(i):  # a pair counts in the first table where it meets
             who, at = np.unique(np.concatenate((i, j)), return_inverse=True)

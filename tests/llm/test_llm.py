@@ -186,6 +186,44 @@ def test_similar_documents(spark):
     assert got[40]["component_id"] == 0 and got[42]["component_id"] == got[41]["component_id"] == 41
 
 
+def brute_set(text, k=5):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+@pytest.mark.parametrize("set_rows", [1024, 6])
+def test_similar_documents_by_exact_jaccard(spark, set_rows):
+    """Repeated lines neither link different texts nor part copies; pairs around 0.8 and short texts as by brute force."""
+    rng = random.Random(11)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line = words(16)
+    texts = [" ".join(words(104) + line * 10) for _ in range(4)]  # J about 0.06 by sets, votes nearly all of the line
+    texts += [" ".join(a + b * n + c) for a, b, c in [(words(50), words(14), words(50))] for n in (1, 5)]
+    for n in (104, 304):
+        for tail in range(n // 12, n // 7, 3):  # Jaccard from about 0.85 to 0.75
+            base = words(n)
+            texts += [" ".join(base), " ".join(base[:-tail] + words(tail))]
+    for n in (8, 9, 10, 13):
+        base = words(n)
+        texts += [" ".join(base), " ".join(base + words(1)), " ".join(words(1) + base), " ".join(base + words(2))]
+    texts += [" ".join(line * n) for n in (1, 3)] + [texts[0], None, "", "one", "One", "one two"]
+    rows = list(enumerate(texts))
+    got = by_id(simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), set_rows=set_rows, miss=1e-9).collect())
+    sets = [brute_set(t) for t in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    assert [got[i]["component_id"] for i in range(len(texts))] == classes(len(texts), links)
+    near = [len(a & b) / len(a | b) for a, b in zip(sets[6::2], sets[7::2]) if a | b]
+    assert any(0.78 < x < 0.8 for x in near) and any(0.8 <= x < 0.85 for x in near)
+
+
+def test_jaccard_links_are_those_of_brute_force():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 14, 12).astype("<u8")) for _ in range(120)]
+    for similarity in (simhash.Fraction("0.8"), simhash.Fraction("0.95")):
+        want = [(i, j) for i in range(120) for j in range(i) if len(np.intersect1d(sets[i], sets[j])) >= similarity * len(np.union1d(sets[i], sets[j]))]
+        assert classes(120, list(simhash.jaccard_links(sets, similarity))) == classes(120, want)
+
+
 @pytest.mark.parametrize("block_rows", [2048, 10])
 def test_embedding(spark, block_rows):
     rng = np.random.default_rng(1)
