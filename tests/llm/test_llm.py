@@ -224,6 +224,20 @@ def test_jaccard_links_are_those_of_brute_force():
         assert classes(120, list(simhash.jaccard_links(sets, similarity))) == classes(120, want)
 
 
+def test_one_of_each_with_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(13)
+    own = [" ".join(f"v{rng.randrange(10**6)}" for _ in range(40)) for _ in range(8)]
+    rows = [(None, own[0]), (None, own[1]), (None, own[2]), (5, own[3]), (5, own[4]), (5, own[5]), (6, own[5]), (None, own[6]), (7, own[6]), (7, own[7] + " end"), (7, own[7])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = corpus_pipeline.one_of_each(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = [(r["doc_id"], r["text"].removesuffix(" end")) for r in out.collect()]
+    want = [(None, own[0]), (None, own[1]), (None, own[2]), (5, own[3]), (5, own[4]), (5, own[5]), (7, own[6]), (7, own[7])]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("block_rows", [2048, 10])
 def test_embedding(spark, block_rows):
     rng = np.random.default_rng(1)
