@@ -10,7 +10,11 @@ The edited text of a document needs the text of the next one in descending id or
 buckets at their quantiles; a window leads within each bucket, and each bucket also gets the first document
 of the one after it as a guest row, so no task sees all rows and texts move through one shuffle.
 
-Defined results: null text counts as empty. Fewer words than GRAM: one hash of all of them; no words: an empty
+A text whose first half (what an edited text keeps) has too few whole words to be sure of a shared choice is taken by
+characters instead, lower-cased and with single spaces: grams and windows of 16 characters, or the largest of 8, 4, 2 and 1 that
+the first half guarantees. The edited text and, for `near_next`, the next one are taken at the level of the text.
+
+Defined results: null text counts as empty. Fewer units than a gram: one hash of all of them; no words: an empty
 fingerprint. Two empty fingerprints are alike (1), an empty and another not at all (0). Very long texts are
 taken whole; positions wrap at 2**24 grams, where only tie choices are affected. Repeated rows follow one another, equal ids ordered by text.
 Null ids come last. A single document is its own next. Extra columns are ignored.
@@ -23,6 +27,8 @@ from pyspark.sql import functions as F
 
 GRAM, WINDOW = 5, 4
 POSITION_BITS = 24
+#: Characters of grams and windows of texts with few words; level 0: by words.
+LEVELS = (16, 8, 4, 2, 1)
 #: Buckets per shuffle partition in which neighbours are found.
 BUCKETS_PER_PARTITION = 8
 
@@ -41,21 +47,71 @@ def gram_hashes(words: Column) -> Column:
     return _pairwise(four, one, 4, mix)
 
 
-def with_winnow(df: DataFrame, text: Column, name: str) -> DataFrame:
-    """`df` with `name`: array of longs, each a chosen hash (upper 40 bits) and its position counted down."""
+def _let(value: Column, f) -> Column:
+    """f(value), with the value made once."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _normal(text: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
+
+
+def kept_half(text: Column) -> Column:
+    """The first half of a text, which its edited version keeps."""
+    return text.substr(F.lit(1), F.length(text) - F.floor(F.length(text) / 2).cast("int"))
+
+
+def level_of(text: Column) -> Column:
+    """0 if the kept half has WINDOW + GRAM whole words (a cut-off one follows), else the characters of a gram: the largest of
+    LEVELS whose window and gram fit into the kept half."""
+    pieces = WINDOW + GRAM + 1
+    whole = F.size(F.filter(F.split(kept_half(text), r"\s+", pieces + 1), lambda w: w != "")) >= pieces
+    kept = F.length(_normal(kept_half(text)))
+    by_length = F.lit(LEVELS[-1])
+    for n in reversed(LEVELS[:-1]):
+        by_length = F.when(kept >= 2 * n - 1, F.lit(n)).otherwise(by_length)
+    return F.when(whole, F.lit(0)).otherwise(by_length)
+
+
+def _marked(grams: Column) -> Column:
     low = (1 << POSITION_BITS) - 1
+    return F.transform(grams, lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(F.lit(low).cast("long") - F.pmod(i, F.lit(low + 1))))
+
+
+def by_characters(text: Column, level: Column) -> Column:
+    """Chosen grams of `level` characters in windows of as many, marked as in with_winnow."""
+
+    def rolled(values: Column, f) -> Column:
+        for n in reversed(LEVELS[1:]):
+            values = _let(values, lambda v, n=n: F.when(level > n, _pairwise(v, v, n, f)).otherwise(v))
+        return values
+
+    def grams(units: Column) -> Column:
+        return F.when(F.size(units) >= level, rolled(F.transform(units, lambda c: F.xxhash64(c)), lambda a, b: F.xxhash64(a, b))).otherwise(
+            F.when(F.size(units) > 0, F.array(F.xxhash64(units))).otherwise(F.array().cast("array<bigint>"))
+        )
+
+    def chosen(marked: Column) -> Column:
+        few = F.when(F.size(marked) > 0, F.array(F.array_min(marked))).otherwise(marked)
+        return F.when(F.size(marked) < level, few).otherwise(rolled(marked, lambda a, b: F.least(a, b)))
+
+    units = F.filter(F.split(_normal(text), ""), lambda c: c != "")
+    return F.array_distinct(_let(_marked(_let(units, grams)), chosen))
+
+
+def with_winnow(df: DataFrame, text: Column, name: str, level: Column) -> DataFrame:
+    """`df` with `name`: array of longs, each a chosen hash (upper 40 bits) and its position counted down."""
     words = f"_{name}_words"
-    df = df.withColumn(words, F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""))
+    df = df.withColumn(words, F.when(level == 0, F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")).otherwise(F.array().cast("array<string>")))
     grams = F.when(F.size(words) >= GRAM, gram_hashes(F.col(words))).otherwise(
         F.when(F.size(words) > 0, F.array(F.xxhash64(words))).otherwise(F.array().cast("array<bigint>"))
     )
-    marked = F.transform(grams, lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(F.lit(low).cast("long") - F.pmod(i, F.lit(low + 1))))
-    df = df.withColumn(name, marked).drop(words)
+    df = df.withColumn(name, _marked(grams)).drop(words)
     smaller = lambda a, b: F.least(a, b)
     df = df.withColumn(name, F.when(F.size(name) < WINDOW, F.when(F.size(name) > 0, F.array(F.array_min(name))).otherwise(F.col(name))).otherwise(
         _pairwise(_pairwise(F.col(name), F.col(name), 1, smaller), _pairwise(F.col(name), F.col(name), 1, smaller), 2, smaller)
     ))
-    return df.withColumn(name, F.array_distinct(name))
+    return df.withColumn(name, F.when(level == 0, F.array_distinct(name)).otherwise(by_characters(text, level)))
 
 
 def hashes_of(chosen: Column) -> Column:
@@ -80,7 +136,8 @@ def digest(chosen: Column) -> Column:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, hashes array<long>, positions array<long>) per row."""
-    rows = with_winnow(docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text")), F.col("_text"), "_chosen")
+    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).withColumn("_level", level_of(F.col("_text")))
+    rows = with_winnow(rows, F.col("_text"), "_chosen", F.col("_level"))
     return rows.select(id_col, F.transform("_chosen", lambda c: F.shiftright(c, POSITION_BITS)).alias("hashes"), positions_of(F.col("_chosen")).alias("positions"))
 
 
@@ -122,11 +179,15 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_chosen)."""
     none = -(1 << 63)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(none)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = with_next(rows, lambda df: with_winnow(df, F.col("text"), "chosen"))
+    level = F.col("level")
+    rows = with_next(rows, lambda df: with_winnow(df.withColumn("level", level_of(F.col("text"))), F.col("text"), "chosen", level))
     half = F.floor(F.length("text") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.substring(F.col("next.text"), F.lit(1), half)))
-    rows = with_winnow(rows, F.col("edited"), "edited_chosen")
-    rows = rows.withColumns({"_own": hashes_of(F.col("chosen")), "_edited": hashes_of(F.col("edited_chosen")), "_next": hashes_of(F.col("next.chosen"))})
+    rows = with_winnow(rows, F.col("edited"), "edited_chosen", level)
+    same = F.col("next.level") == level
+    rows = rows.withColumn("_other", F.when(same, F.lit("")).otherwise(F.col("next.text")))
+    rows = with_winnow(rows, F.col("_other"), "_other_chosen", level)
+    rows = rows.withColumns({"_own": hashes_of(F.col("chosen")), "_edited": hashes_of(F.col("edited_chosen")), "_next": hashes_of(F.when(same, F.col("next.chosen")).otherwise(F.col("_other_chosen")))})
     return rows.select(
         F.when(F.col("key") != none, F.col("key")).alias(id_col),
         F.length("text").cast("long").alias("n_chars"),

@@ -286,6 +286,25 @@ def test_winnowing(spark, odd):
     assert winnowing.edited_fingerprints(odd.limit(0)).count() == 0
 
 
+def test_winnowing_half_edited_texts_are_alike(spark):
+    """Whatever keeps its first half shares a choice, from one word up and without white space; the next text shares none."""
+    rng = random.Random(6)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    texts = [" ".join(word("abcdefghijklm", rng.randint(1, 14)) for _ in range(n)) for n in [*range(1, 41), 100, 300] for _ in range(2)]
+    texts += [word("abcdefghijklm", n) for n in (2, 3, 30, 61, 5000)] + ["\u65e5\u672c\u8a9e\u306e" * 40, "x" * 200 + " a b c d e f g h i j", " A  b\tC  d\n"]
+    others = [word("nopqrstuvwxyz", len(t)) for t in texts]
+    rows = [r for i, (t, o) in enumerate(zip(texts, others)) for r in ((2 * i + 1, t), (2 * i, o))]
+    got = by_id(winnowing.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    for i, t in enumerate(texts):
+        r = got[2 * i + 1]
+        assert 0 < r["near_edited"] and (r["near_edited"] < 1 or len(t) < 2 or "\u65e5" in t or t[0] in "x "), t
+        if t[0] not in "x ":
+            assert r["near_next"] == 0, t
+    copies = [(3, "one two"), (2, "One  two"), (1, " ".join(["same"] * 3)), (0, "same same same")]
+    got = by_id(winnowing.edited_fingerprints(spark.createDataFrame(copies, "doc_id long, text string")).collect())
+    assert got[3]["near_next"] == got[1]["near_next"] == 1 and got[2]["near_next"] < 1
+
+
 def test_winnowing_choice_and_guarantee(spark):
     """Chosen positions are those of a plain reading of the rule; a shared passage of window + gram - 1 words shares a hash."""
     words = "a b a b a b a b a b c d e f g h i j k l m n".split()
