@@ -6,31 +6,38 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Entries that a Python worker keeps in one cache before it starts it anew.
 CACHE_ENTRIES = 500_000
-#: Documents whose words are in memory at once.
-BLOCK_DOCS = 2000
+#: Documents, and bytes of their texts, whose words are in memory at once (a longer text is a block by itself).
+BLOCK_DOCS, BLOCK_BYTES = 2000, 16 << 20
 #: Longer words aren't kept in a cache.
 CACHE_WORD_CHARS = 64
 
 _own_dir: dict[str, str] = {}
+#: Written tables that may be deleted, by identity.
+_written: dict[int, tuple[DataFrame, str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests on one machine) a temporary one."""
+    """The folder in spark.checkpoint.dir. Where that is unset, a temporary one in local mode (tests), else an error: the
+    executors of a cluster can't read each other's local folders."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
-        _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+        _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return _own_dir[app]
 
 
@@ -40,7 +47,19 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[id(out)] = (out, path)
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete written tables that no later step reads."""
+    for frame in frames:
+        _, path = _written.pop(id(frame), (None, None))
+        if path:
+            jvm, conf = frame.sparkSession.sparkContext._jvm, frame.sparkSession.sparkContext._jsc.hadoopConfiguration()
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,9 +71,13 @@ def crc32_mod(id_col: str, modulus: int):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def sample_by_hash(df: DataFrame, id_col: str, fraction: float) -> DataFrame:
-    """A repeatable sample: the rows whose hashed id falls below the fraction."""
-    return df.filter((F.xxhash64(F.lit(7), id_col) / F.lit(2.0**64) + 0.5) < fraction)
+def sample_by_hash(df: DataFrame, cols: list[str], rows: int, total: int) -> DataFrame:
+    """A repeatable sample of at most `rows` of about `total` rows: those with the smallest hashes of `cols`, rows equal in
+    all of these once. A threshold on the hash leaves few more than that before they are ordered."""
+    share = min(1.0, 1.3 * (rows + 50) / max(1, total))
+    hashed = df.withColumn("_hash", F.xxhash64(F.lit(7), *cols))
+    few = hashed.filter(F.col("_hash") / F.lit(2.0**64) + 0.5 < share).dropDuplicates(["_hash"])
+    return few.orderBy("_hash").limit(rows).drop("_hash")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -69,22 +92,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     labels = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")))
     while True:
         near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("component").alias("m"))
-        moved = labels.join(near.withColumnRenamed("a", "id"), "id", "left").select(
-            "id", F.col("component").alias("before"), F.least("component", F.coalesce("m", "component")).alias("component")
-        )
-        moved = materialize(moved)
-        jump = (
-            moved.select(F.col("component").alias("id")).distinct()
-            .join(moved.select("id", F.col("component").alias("target")), "id")
-            .filter("target < id")
-            .select(F.col("id").alias("component"), "target")
-        )
-        after = moved.join(jump, "component", "left").select("id", F.coalesce("target", "component").alias("component"), "before")
-        after = materialize(after)
+        moved = materialize(labels.join(near.withColumnRenamed("a", "id"), "id").select(
+            "id", F.col("component").alias("before"), F.least("component", "m").alias("component")
+        ))
+        jump = moved.filter("component < id").select(F.col("id").alias("component"), F.col("component").alias("target"))
+        after = materialize(moved.join(jump, "component", "left").select("id", F.coalesce("target", "component").alias("component"), "before"))
         changed = after.filter("component != before").limit(1).count()
-        labels = after.select("id", "component")
+        discard(labels, moved)
         if not changed:
-            return labels
+            discard(both)
+            return after.select("id", "component")
+        labels = after
 
 
 class WordTable:
@@ -122,22 +140,46 @@ _worker: dict = {}
 
 def worker_state(key, make: Callable):
     """A per-worker singleton. Only the latest is kept, so a long-lived worker doesn't gather caches of several operators."""
-    gc.disable()  # no cycles arise in the operators, and scans of large caches take longer than their work
     if key not in _worker:
         _worker.clear()
         _worker[key] = make()
     return _worker[key]
 
 
-def batches(make_rows: Callable[[pa.RecordBatch], dict], schema: pa.Schema) -> Callable:
-    """A mapInArrow function from one that turns a batch into columns."""
+@contextmanager
+def without_gc() -> Iterator[None]:
+    """No garbage collection while a block is worked on: no cycles arise there, and scans of large caches take longer than the work."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+def text_blocks(stream: Iterable[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most BLOCK_DOCS rows and BLOCK_BYTES bytes of the texts in column `at`, a row at least."""
+    for batch in stream:
+        total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        while first < batch.num_rows:
+            before = total[first - 1] if first else 0
+            fits = int(np.searchsorted(total, before + BLOCK_BYTES, side="right"))
+            last = max(first + 1, min(fits, first + BLOCK_DOCS))
+            yield batch.slice(first, last - first)
+            first = last
+
+
+def batches(make_rows: Callable[[pa.RecordBatch], dict], schema: pa.Schema, text_at: int = 1) -> Callable:
+    """A mapInArrow function from one that turns a block into columns; `text_at` is the column of the texts."""
 
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in stream:
-            for first in range(0, whole.num_rows, BLOCK_DOCS):
-                batch = whole.slice(first, BLOCK_DOCS)
+        for batch in text_blocks(stream, text_at):
+            with without_gc():
                 cols = make_rows(batch)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in schema], schema=schema)
+                out = pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in schema], schema=schema)
+            yield out
 
     return run
 
@@ -153,11 +195,11 @@ def add_from_text(df: DataFrame, text_col: str, make: Callable[[list[str | None]
     at = df.columns.index(text_col)
 
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in stream:
-            for first in range(0, whole.num_rows, BLOCK_DOCS):
-                batch = whole.slice(first, BLOCK_DOCS)
+        for batch in text_blocks(stream, at):
+            with without_gc():
                 new = make(batch.column(at).to_pylist())
-                yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(new[c], type=ADDED[t]) for c, t in added.items()]], names=[*batch.schema.names, *added])
+                out = pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(new[c], type=ADDED[t]) for c, t in added.items()]], names=[*batch.schema.names, *added])
+            yield out
 
     schema = T.StructType([*df.schema.fields])
     for name, kind in added.items():

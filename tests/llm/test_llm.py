@@ -81,7 +81,9 @@ def test_packing(spark, odd, docs):
 
     lib = Tokenizer.from_file(tok.path("word_bpe_49k.json"))
     for df in (odd, docs):
-        rows = packing.pack(packing.cut_pieces(df, tok.path("word_bpe_49k.json"))).collect()
+        pieces = common.materialize(packing.cut_pieces(df, tok.path("word_bpe_49k.json")))
+        rows = packing.pack(pieces).collect()
+        assert sorted(map(str, packing.pack(pieces, plan_rows=0).collect())) == sorted(map(str, rows))  # a joined plan
         bins = {}
         for r in rows:
             bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
@@ -104,6 +106,14 @@ def test_packing(spark, odd, docs):
         assert len(bins) <= -(-total // 2048) + 1
 
 
+def test_packing_weighs_opening_until_the_fewest_bins_are_open():
+    rng = random.Random(8)
+    counts = {n: rng.randint(1, 40) for n in rng.sample(range(1, 1500), 200)}
+    plan = packing.plan_packing(counts)
+    assert max(p[3] + p[2] for p in plan) <= -(-sum(k * n for k, n in counts.items()) // 2048) + 1
+    assert packing.plan_packing({}) == [] and packing.plan_packing({2048: 3}) and len(packing.plan_packing({1: 1})) == 1
+
+
 def test_packing_plan_scales_by_counts():
     counts = {700: 90_000, 1300: 50_000, 41: 200_000, 2048: 10, 3: 7}
     plan = packing.plan_packing(counts)
@@ -423,9 +433,8 @@ def test_tile_slices_agree():
 
 def test_packing_words_are_encoded_as_by_the_library():
     words = packing.WordIds(tok.path("word_bpe_49k.json"))
-    texts = ["", None, "Don't  'S 0 100 a0b x7 don'", "ÀÖ÷ Éré, İstanbul ΣΑΣ é µm ²½ ß<|endoftext|> <|ENDOFTEXT|> </w> a</w>b", "a\nb\tc.\r\nd   \x85 \x1c 　e", "' " * 3 + "'ll 'LL ... !?<|>| ¿qué? 你好 🙂 ́", "Don't don't, don't", "x" * 300 + " 0"]
+    texts = ["", None, "Don't  'S 0 100 a0b x7 don'", "ÀÖ÷ Éré, İstanbul ΣΑΣ é µm ²½ ß<|endoftext|> <|ENDOFTEXT|> </w> a</w>b", "a\nb\tc.\r\nd   \x85 \x1c 　e", "' " * 3 + "'ll 'LL ... !?<|>| ¿qué? 你好 🙂 ́", "Don't don't, don't", "x" * 300 + " 0", "Été, été; ÉTÉ! (word) a--b c... x_y _ `a` {b} ÿ×÷"]
     expected = [np.array(words.tokenizer.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
     for _ in range(2):  # without and with the cache
         assert words.documents(pa.array(texts)) == expected
     assert words.documents(pa.array([], pa.string())) == []
-    assert words.encode_joined([]) == []
