@@ -6,7 +6,8 @@ to the residual gap for which the sum over gaps of the squared number of open bi
 bin is weighed as such a move too, until as many are open as the tokens need at least; from then on a bin opens only if
 no open one holds the document. Equal documents move in steps of a share of those left, between which the sums are
 looked at again, so the plan is short; its rows say which ranks of a length go to which bins at which
-offset. Every piece then looks up its place by its length and its rank among pieces of that length: in the
+offset. Where short documents are few, weighing the opening costs a few sequences, so the plan is also made with bins that
+open only for what fits nowhere, and the plan with fewer sequences is taken. Every piece then looks up its place by its length and its rank among pieces of that length: in the
 broadcast plan, or by a join with it where it has over `plan_rows` rows.
 Ranks are counted by (length, bucket) with buckets of hashed row numbers, their number by the largest count of a length, so
 neither a very common length nor a very common id meets in one task.
@@ -206,8 +207,14 @@ def cut_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, i
 def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, step: float = STEP) -> list[tuple[int, int, int, int, int]]:
     """Rows (length, first rank, number, first bin, offset): documents of that length and those ranks go to
     consecutive bins. Lengths go from long to short; see the module for the rule."""
-    plan = []
     fewest = -(-sum(length * n for length, n in counts.items()) // capacity)
+    plans = [_plan(counts, capacity, step, weighed) for weighed in (fewest, 0)]
+    return min(plans, key=lambda p: p[1])[0]
+
+
+def _plan(counts: dict[int, int], capacity: int, step: float, fewest: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
+    """The plan in which opening is weighed until `fewest` bins are open, and its number of bins."""
+    plan = []
     open_bins = np.zeros(capacity + 1, dtype=np.int64)  # by residual gap; gap 0 isn't open
     ranges: list[deque] = [deque() for _ in range(capacity + 1)]
     bins = 0
@@ -245,7 +252,7 @@ def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, step: float =
             if gap > length:
                 open_bins[gap - length] += number
             left -= number
-    return plan
+    return plan, bins
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, plan_rows: int = PLAN_ROWS) -> DataFrame:

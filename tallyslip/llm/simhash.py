@@ -21,6 +21,7 @@ import itertools
 import math
 from collections.abc import Iterable, Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tallyslip.llm.common import BLOCK_DOCS, batches, components, materialize
-from tallyslip.llm.tiles import BLOCK_ROWS as TILE_ROWS
-from tallyslip.llm.tiles import bucket_links
+from tallyslip.llm.common import batches, components, discard, materialize, text_blocks
+from tallyslip.llm.tiles import thinned, tree, whole_runs
 
 SEGMENTS, MAX_BITS = 5, 4
 #: (lowest bit, width) of each segment.
@@ -40,39 +40,34 @@ LAYOUT = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
 BLOCK_ROWS = 4096
 FAN_OUT = 32
 SEED = 42
-SLICE = 65_536
+#: Shingles whose bits are in memory at once.
+SLICE = 8192
 
 
-def _mixed(h: np.ndarray, lane: int) -> np.ndarray:
-    """Further 64 bits from hashes (a multiply-xorshift finisher, another constant per lane); lane 0: the hashes."""
-    if not lane:
-        return h
-    with np.errstate(over="ignore"):
-        h = h + np.uint64(0x9E3779B97F4A7C15) * np.uint64(lane)
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def simhash(text: str | None, shingle: int, lanes: int = 1) -> np.ndarray:
-    """The fingerprint as `lanes` 64-bit words: bit b is 1 if it is 1 in over half of the shingles' hashes."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """The XXH64 of every shingle in order, repeats included; fewer words than a shingle are one."""
     words = text.encode().lower().split() if text else []  # bytes: only A-Z and only ASCII white space
     if not words:
-        return np.zeros(lanes, dtype=np.uint64)
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    k = min(shingle, len(words))
-    n = len(words) - k + 1
-    starts = np.concatenate(([0], ends[: n - 1] + 1)).tolist()
-    stops = ends[k - 1 :].tolist()
-    digest = xxhash.xxh64_intdigest
-    ones = np.zeros((lanes, 64), dtype=np.int64)
-    for at in range(0, n, SLICE):
-        part = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at : at + SLICE], stops[at : at + SLICE])], dtype="<u8")
-        for lane in range(lanes):
-            bits = np.unpackbits(_mixed(part, lane).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones[lane] += bits.sum(axis=0, dtype=np.int64)
-    return np.packbits(ones * 2 > n, axis=1, bitorder="little").view("<u8").ravel()
+    stops = list(itertools.accumulate(len(w) + 1 for w in words))
+    k, digest = min(shingle, len(words)), xxhash.xxh64_intdigest
+    return np.array([digest(joined[a : b - 1], SEED) for a, b in zip([0, *stops], stops[k - 1 :])], dtype="<u8")
+
+
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How often each bit is 1, over rows of 64-bit words."""
+    total = np.zeros(64 * hashes.shape[1], dtype=np.int64)
+    for at in range(0, len(hashes), SLICE):
+        part = np.ascontiguousarray(hashes[at : at + SLICE])
+        total += np.unpackbits(part.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint16)
+    return total
+
+
+def simhash(text: str | None, shingle: int) -> np.ndarray:
+    """The fingerprint, one 64-bit word: bit b is 1 if it is 1 in over half of the shingles' hashes."""
+    hashes = shingle_hashes(text, shingle)
+    return np.packbits(_ones(hashes[:, None]) * 2 > len(hashes), bitorder="little").view("<u8")
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -216,187 +211,167 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", t
     )
 
 
-#: Similar documents: lanes of the wide fingerprint, wanted chance that a pair at the similarity meets in no table.
-LANES, MISS = 8, 1e-3
+#: Similar documents: 64-bit lanes of the wide fingerprint; each lane also gives a min-wise value of the shingles.
+LANES = 16
 #: Shingles of similar documents.
 SIMILAR_SHINGLE = 5
-#: Bits over the expected distance at the similarity that still make a candidate, in standard deviations.
-MARGIN = 4
-#: Fingerprints per bucket that the number of bits in a key aims at.
-SIMILAR_BUCKET = 256
-#: Shingle sets whose candidates are compared in one run, rows and bytes.
-SET_ROWS, SET_BYTES = 1024, 16 << 20
-
-
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """The hashes of the text's distinct shingles, ascending; fewer words than a shingle are one."""
-    words = text.encode().lower().split() if text else []
-    if not words:
-        return np.zeros(0, dtype="<u8")
-    joined = b" ".join(words)
-    stops = list(itertools.accumulate(len(w) + 1 for w in words))
-    k, digest = min(shingle, len(words)), xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(joined[a : b - 1], SEED) for a, b in zip([0, *stops], stops[k - 1 :])], dtype="<u8"))
+#: Fingerprints compared in one run; length of chains at which larger buckets are cut in blocks; expected pivots of those.
+RUN_ROWS, CHAIN, PIVOTS = 1024, 4, 32
 
 
-def wide_print(hashes: np.ndarray, lanes: int = LANES) -> bytes:
-    """The SimHash of a set of hashes: each shingle votes once."""
-    ones = np.zeros((lanes, 64), dtype=np.int64)
+def sketch(hashes: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Of a set of hashes the wide SimHash, each shingle voting once, and the smallest value in each lane (a multiply-xorshift
+    finisher of the hashes, another constant per lane)."""
+    ones, least = np.zeros(64 * LANES, dtype=np.int64), np.full(LANES, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(hashes), SLICE):
-        for lane in range(lanes):
-            ones[lane] += np.unpackbits(_mixed(hashes[at : at + SLICE], lane).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(ones * 2 > len(hashes), axis=1, bitorder="little").tobytes()
-
-
-def differing_share(similarity: Fraction) -> float:
-    """The largest expected share of bits in which two sets of this Jaccard similarity differ. Votes of long texts are
-    nearly normal (the angle between the sets); those of short ones are counted out, where ties and odd sizes cost more bits."""
-    share = max(1e-6, math.acos(2 * similarity / (1 + similarity)) / math.pi)
-
-    def one(common: int, own: int, k: int) -> float:
-        """Chance of a bit of 1 where k of the common shingles and any of the own ones vote for it."""
-        return sum(math.comb(own, x) for x in range(own + 1) if 2 * (k + x) > common + own) / 2**own
-
-    for union in range(2, 41):
-        apart = math.floor((1 - similarity) * union)
-        common = union - apart
-        for a in range(apart // 2 + 1):
-            exact = 0.0
-            for k in range(common + 1):
-                p, q = one(common, a, k), one(common, apart - a, k)
-                exact += math.comb(common, k) / 2**common * (p * (1 - q) + q * (1 - p))
-            share = max(share, exact)
-    return share
-
-
-def table_count(share: float, bits_all: int, bits: int, miss: float) -> int:
-    """Tables of `bits` drawn bits in which a pair is missed with probability `miss`, over the spread of its distance."""
-    log = [math.lgamma(bits_all + 1) - math.lgamma(d + 1) - math.lgamma(bits_all - d + 1) + d * math.log(share) + (bits_all - d) * math.log1p(-share) for d in range(bits_all)]
-    chance, apart = np.exp(log), (1 - (1 - np.arange(bits_all) / bits_all) ** bits)
-    tables = 1
-    while (chance * apart**tables).sum() > miss:
-        tables += 1
-    return tables
-
-
-def jaccard_links(sets: list[np.ndarray], similarity: Fraction) -> Iterator[tuple[int, int]]:
-    """Trees of fan-out FAN_OUT over what the pairs of sets at this exact Jaccard similarity connect."""
-    size = np.array([len(s) for s in sets])
-    _, element = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), size)[np.argsort(element, kind="stable")]
-    stop = np.cumsum(np.bincount(element))
-    first = np.concatenate(([0], np.cumsum(size)))
-    left = np.ones(len(sets), dtype=bool)
-    for i in range(len(sets)):
-        if not left[i]:
-            continue
-        left[i] = False
-        found, front = [i], 0
-        while front < len(found) and left.any():
-            f = found[front]
-            mine = element[first[f] : first[f + 1]]
-            start = np.where(mine > 0, stop[mine - 1], 0)
-            n = stop[mine] - start
-            at = np.arange(n.sum()) + np.repeat(start - np.cumsum(n) + n, n)
-            both = np.bincount(owner[at], minlength=len(sets))
-            near = np.flatnonzero(left & (both * similarity.denominator >= (size + size[f] - both) * similarity.numerator))
-            left[near] = False
-            found.extend(near.tolist())
-            front += 1
-        yield from ((found[(k - 1) // FAN_OUT], found[k]) for k in range(1, len(found)))
-
-
-def _exact_links(texts: DataFrame, shingle: int, similarity: Fraction, set_rows: int) -> DataFrame:
-    """`texts`: component, rep, text. Links (a, b) of reps within a component; what they connect is what all its pairs at the
-    similarity connect. Components of many rows or bytes are dealt in blocks, and every pair of blocks meets in a run."""
-
-    def make(batch: pa.RecordBatch) -> dict:
-        return {"component": batch.column(0), "rep": batch.column(1), "hashes": [shingle_set(t, shingle).tobytes() for t in batch.column(2).to_pylist()]}
+        with np.errstate(over="ignore"):
+            h = hashes[at : at + SLICE, None] + np.uint64(0x9E3779B97F4A7C15) * np.arange(1, LANES + 1, dtype=np.uint64)
+            h ^= h >> np.uint64(30)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(27)
+            h *= np.uint64(0x94D049BB133111EB)
+            h ^= h >> np.uint64(31)
+        ones += _ones(h)
+        least = np.minimum(least, h.min(axis=0))
+    return np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes(), least
+
+
+def similar_pairs(one: np.ndarray, other: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of wide fingerprints (rows of LANES words) that differ in at most `most` bits."""
+    if len(one) * len(other) <= 4096:
+        apart = np.bitwise_count(one[:, None, :] ^ other[None, :, :]).sum(axis=2, dtype=np.int32)
+    else:
+        a, b = (np.unpackbits(x.view(np.uint8), axis=1).astype(np.float32) * 2 - 1 for x in (one, other))
+        apart = (a.shape[1] - a @ b.T) / 2  # sums of +-1 are exact
+    return np.nonzero(apart <= most)
+
+
+def _similar_runs(runs: DataFrame, most: int) -> DataFrame:
+    """Links (a, b) over what is similar within each run of equal `run`; rows (run, side, rep, print) come sorted by run. Rows of
+    side 0 are compared with each other, rows of side 1 with those of side 2."""
+
+    def linked_run(side: np.ndarray, rep: np.ndarray, prints: np.ndarray) -> Iterator[tuple[int, int]]:
+        if side.any():
+            left, right = np.flatnonzero(side == 1), np.flatnonzero(side == 2)
+            i, j = similar_pairs(prints[left], prints[right], most)
+            i, j = left[i], right[j]
+        else:
+            i, j = similar_pairs(prints, prints, most)
+        apart = rep[i] != rep[j]
+        for p, q in tree(len(rep), *thinned(len(rep), i[apart], j[apart])):
+            yield int(rep[p]), int(rep[q])
 
     def link(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def linked_run(run: dict[int, bytes]) -> pa.RecordBatch:
-            reps = list(run)
-            pairs = list(jaccard_links([np.frombuffer(x, dtype="<u8") for x in run.values()], similarity)) if len(reps) > 1 else []
-            return pa.RecordBatch.from_pydict({"a": pa.array([reps[i] for i, _ in pairs], pa.int64()), "b": pa.array([reps[j] for _, j in pairs], pa.int64())})
-
-        now, run = None, {}
-        for batch in stream:
-            for *key, rep, hashes in zip(*(c.to_pylist() for c in batch.columns)):
-                if key != now:
-                    if run:
-                        yield linked_run(run)
-                    now, run = key, {}
-                run[rep] = hashes
-        if run:
-            yield linked_run(run)
-
-    schema = pa.schema([("component", pa.int64()), ("rep", pa.int64()), ("hashes", pa.binary())])
-    sets = materialize(texts.mapInArrow(batches(make, schema), "component long, rep long, hashes binary"))
-    size = F.greatest(F.count(F.lit(1)) / (set_rows / 2), F.sum(F.length("hashes")) / (SET_BYTES / 2))
-    hot = materialize(sets.groupBy("component").agg(F.least(F.ceil(size), F.count(F.lit(1))).cast("int").alias("blocks")).filter("blocks > 2"))
-    dealt = sets.join(hot, "component", "left")
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, block).alias("x"), F.greatest(i, block).alias("y")))
-    alone = F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")))
-    rows = dealt.select("component", F.explode(F.when(F.col("blocks").isNotNull(), pairs).otherwise(alone)).alias("pair"), "rep", "hashes")
-    runs = rows.select("component", "pair.x", "pair.y", "rep", "hashes").repartition("component", "x", "y").sortWithinPartitions("component", "x", "y")
-    return runs.mapInArrow(link, "a long, b long")
-
-
-def similar_rows(docs: DataFrame, similarity: float = 0.8, shingle: int = SIMILAR_SHINGLE, text_col: str = "text", block_rows: int = TILE_ROWS, miss: float = MISS, set_rows: int = SET_ROWS) -> tuple[DataFrame, DataFrame]:
-    """`docs` with a number `_row` for each row, written once, and (_row, _group): what pairs of texts connect whose sets of
-    distinct shingles have at least this Jaccard similarity.
-
-    Equal sets are one from the start. Candidates come from SimHash: fingerprints of LANES * 64 bits on the distinct shingles,
-    keys of bits drawn per table, their number as log2 of the number of texts and the number of tables by `miss`, then the
-    full distance with a margin of MARGIN deviations. Within what the candidates connect, every pair is decided by its shingle sets."""
-    exact = Fraction(str(similarity))
+        for batch in whole_runs(stream):
+            run = batch.column(0).to_numpy()
+            side, rep = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            prints = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype="<u8").reshape(-1, LANES)
+            edge = np.flatnonzero(run[1:] != run[:-1]) + 1
+            first, stop = np.append(0, edge), np.append(edge, len(run))
+            two = first[(stop - first == 2) & (side[first] == 0)]
+            near = two[np.bitwise_count(prints[two] ^ prints[two + 1]).sum(axis=1, dtype=np.int32) <= most]
+            pairs = list(zip(rep[near].tolist(), rep[near + 1].tolist()))
+            for a, b in zip(first.tolist(), stop.tolist()):
+                if b - a > 2 or b - a == 2 and side[a]:
+                    pairs.extend(linked_run(side[a:b], rep[a:b], prints[a:b]))
+            yield pa.RecordBatch.from_pydict({"a": pa.array([p for p, _ in pairs], pa.int64()), "b": pa.array([q for _, q in pairs], pa.int64())})
+
+    dealt = runs.select("run", "side", "rep", "print").repartition("run").sortWithinPartitions("run", "side", "rep")
+    return dealt.mapInArrow(link, "a long, b long")
+
+
+def _buckets(sketches: DataFrame, run_rows: int, chain: int) -> tuple[DataFrame, DataFrame]:
+    """(run, rep) of buckets of 2 to `run_rows` rows, and (run, rep, n) of larger ones: rows meet that share a lane's smallest value; a
+    larger bucket is parted by the next lane in the ring of lanes, in chains of at most `chain` lanes."""
+    small, large = [], None
+    for length in range(1, chain + 1):
+        if length == 1:
+            member = sketches.select("rep", F.posexplode("least").alias("start", "run"))
+            member = member.select("rep", "start", F.xxhash64("start", "run").alias("run"))
+        else:
+            lane = F.col("least")[(F.col("start") + length - 1) % LANES]
+            member = large.join(sketches.select("rep", "least"), "rep").select("rep", "start", F.xxhash64("run", lane).alias("run"))
+        counts = materialize(member.groupBy("run").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+        shared = materialize(member.join(counts, "run"))
+        discard(counts)
+        small.append(shared.filter(F.col("n") <= run_rows).select("run", "rep"))
+        large = shared.filter(F.col("n") > run_rows)
+        if not large.limit(1).count():
+            break
+    return reduce(DataFrame.unionByName, small), large
+
+
+def similar_links(sketches: DataFrame, most: int, run_rows: int = RUN_ROWS, chain: int = CHAIN) -> DataFrame:
+    """`sketches`: rep long, print binary, least array of LANES longs. (id, component) of all reps that some pair of fingerprints with
+    at most `most` different bits connects, of those pairs that meet in a bucket.
+
+    Buckets that stay large hold texts that agree in whole chains of lanes, so mostly one group. They are cut in blocks;
+    every block also gets the bucket's few pivots, which join what is one group over all blocks at a cost that grows with the bucket.
+    Then what isn't in the bucket's main group meets all blocks, so no pair of the bucket goes unseen."""
+    prints = sketches.select("rep", "print")
+    small, large = _buckets(sketches, run_rows, chain)
+    links = materialize(_similar_runs(small.join(prints, "rep").withColumn("side", F.lit(0)), most))
+    if not large.limit(1).count():
+        return components(links)
+    blocks = F.ceil(F.col("n") / run_rows).cast("int")
+    large = materialize(large.select("run", "rep", blocks.alias("blocks"), (F.pmod(F.xxhash64(F.lit(3), "rep"), F.ceil(F.col("n") / PIVOTS)) == 0).alias("pivot")))
+    large = large.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    dealt = large.select("run", "rep", F.explode(F.when(F.col("pivot"), every).otherwise(F.array("block"))).alias("block"))
+    dealt = dealt.select(F.xxhash64("run", "block").alias("run"), "rep", F.lit(0).alias("side"))
+    links = materialize(links.unionByName(_similar_runs(dealt.join(prints, "rep"), most)))
+    found = components(links)
+    labelled = large.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    labelled = materialize(labelled)
+    of_run = materialize(labelled.groupBy("run", "component").count())
+    main = of_run.groupBy("run").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.sum("count").alias("n"), F.max("count").alias("most"))
+    main = materialize(main.filter("most < n").select("run", "main", F.ceil((F.col("n") - F.col("most")) / (run_rows / 2)).cast("int").alias("parts")))
+    if not main.limit(1).count():
+        return found
+    rest = materialize(labelled.join(main, "run"))
+    parts = F.sequence(F.lit(0), F.col("parts") - 1)
+    part = F.pmod(F.xxhash64(F.lit(5), "rep"), F.col("parts")).cast("int")
+    residents = rest.select("run", "block", F.explode(parts).alias("part"), "rep", F.lit(2).alias("side"))
+    guests = rest.filter("component != main").select("run", F.explode(every).alias("block"), part.alias("part"), "rep", F.lit(1).alias("side"))
+    meet = residents.unionByName(guests).select(F.xxhash64("run", "block", "part").alias("run"), "rep", "side")
+    more = _similar_runs(meet.join(prints, "rep"), most)
+    return components(materialize(links.unionByName(more)))
+
+
+def similar_rows(docs: DataFrame, similarity: float = 0.8, shingle: int = SIMILAR_SHINGLE, text_col: str = "text", run_rows: int = RUN_ROWS, chain: int = CHAIN) -> tuple[DataFrame, DataFrame]:
+    """`docs` with a number `_row` for each row, written once, and (_row, _group): what pairs of similar texts connect.
+
+    Texts are similar if their SimHash fingerprints, of LANES * 64 bits over the distinct shingles, agree in at least `similarity` of the
+    bits; at 0.8 that is a cosine of 0.81 between the shingle sets. Equal sets are one from the start. Candidates share the
+    smallest value of a lane, and keys of chains of lanes where buckets are large; each candidate is decided by its full distance."""
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     at = numbered.columns.index(text_col)
 
     def make(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in stream:
-            for start in range(0, whole.num_rows, BLOCK_DOCS):
-                batch = whole.slice(start, BLOCK_DOCS)
-                reps, prints = [], []
-                for text in batch.column(at).to_pylist():
-                    hashes = shingle_set(text, shingle)
-                    reps.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
-                    prints.append(wide_print(hashes) if len(hashes) else None)
-                new = [pa.array(np.array(reps, dtype=np.uint64).view(np.int64)), pa.array(prints, pa.binary())]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "_rep", "_packed"])
-
-    schema = T.StructType([*numbered.schema.fields, T.StructField("_rep", T.LongType()), T.StructField("_packed", T.BinaryType())])
+        for batch in text_blocks(stream, at):
+            reps, prints, least = [], [], []
+            for text in batch.column(at).to_pylist():
+                hashes = np.unique(shingle_hashes(text, shingle))
+                reps.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+                wide, low = sketch(hashes) if len(hashes) else (None, None)
+                prints.append(wide)
+                least.append(None if low is None else low.view(np.int64))
+            new = [pa.array(np.array(reps, dtype=np.uint64).view(np.int64)), pa.array(prints, pa.binary()), pa.array(least, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "_rep", "_print", "_least"])
+
+    schema = T.StructType([*numbered.schema.fields, T.StructField("_rep", T.LongType()), T.StructField("_print", T.BinaryType()), T.StructField("_least", T.ArrayType(T.LongType()))])
     rows = materialize(numbered.mapInArrow(make, schema))
-    reps = rows.filter("_packed is not null").groupBy(F.col("_rep").alias("rep")).agg(F.max("_packed").alias("packed"), F.min("_row").alias("_row"))
-    reps = materialize(reps.withColumn("weight", F.lit(1).cast("long")))
-    share, bits_all = differing_share(exact), 64 * LANES
-    most = bits_all * share + MARGIN * math.sqrt(bits_all * share * (1 - share))
-    bits = min(60, max(8, math.ceil(math.log2(max(1, reps.count()) / SIMILAR_BUCKET))))
-    tables = table_count(share, bits_all, bits, miss)
-    drawn = np.random.default_rng(SEED).integers(0, bits_all, size=(tables, bits))
-
-    def unpacked(packed: list[bytes]) -> np.ndarray:
-        return np.unpackbits(np.frombuffer(b"".join(packed), dtype=np.uint8).reshape(len(packed), -1), axis=1, bitorder="little")
-
-    def codes(packed: list[bytes], t: int) -> np.ndarray:
-        return unpacked(packed)[:, drawn[:t]] @ (1 << np.arange(bits, dtype=np.int64))
-
-    def tile(left: list[bytes], right: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        a, b = (unpacked(x).astype(np.float32) * 2 - 1 for x in (left, right))
-        return np.nonzero((bits_all - a @ b.T) / 2 <= most)  # sums of +-1 are exact
-
-    candidates = components(materialize(bucket_links(reps.select("rep", "weight", "packed"), tables, bits, codes, tile, block_rows, counts=False)))
-    heads = candidates.withColumnRenamed("id", "rep").join(reps.select("rep", "_row"), "rep")
-    texts = rows.select("_row", F.col(text_col).alias("_text")).join(heads, "_row").select("component", "rep", "_text")
-    classes = components(materialize(_exact_links(texts, shingle, exact, set_rows)))
+    sketches = rows.filter("_print is not null").select(F.col("_rep").alias("rep"), F.col("_print").alias("print"), F.col("_least").alias("least"))
+    sketches = materialize(sketches.dropDuplicates(["rep"]))
+    most = math.floor(64 * LANES * (1 - Fraction(str(similarity))))
+    classes = similar_links(sketches, most, run_rows, chain)
     of_rows = rows.select("_row", F.col("_rep").alias("id")).join(classes, "id", "left")
-    return rows.drop("_rep", "_packed"), materialize(of_rows.select("_row", F.coalesce("component", "id").alias("_group")))
+    return rows.drop("_rep", "_print", "_least"), materialize(of_rows.select("_row", F.coalesce("component", "id").alias("_group")))
 
 
-def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = SIMILAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text", block_rows: int = TILE_ROWS, miss: float = MISS, set_rows: int = SET_ROWS) -> DataFrame:
+def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = SIMILAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text", run_rows: int = RUN_ROWS, chain: int = CHAIN) -> DataFrame:
     """(id, component_id) per row: groups of documents whose shingle sets are similar, by their smallest id."""
-    rows, groups = similar_rows(docs.select(id_col, text_col), similarity, shingle, text_col, block_rows, miss, set_rows)
-    of_rows = rows.select("_row", id_col).join(groups, "_row")
-    least = of_rows.groupBy("_group").agg(F.min(id_col).alias("component_id"))
+    rows, groups = similar_rows(docs.select(id_col, text_col), similarity, shingle, text_col, run_rows, chain)
+    of_rows = materialize(rows.select("_row", id_col).join(groups, "_row"))
+    least = materialize(of_rows.groupBy("_group").agg(F.min(id_col).alias("component_id")))
     return of_rows.join(least, "_group").select(id_col, "component_id")

@@ -1,26 +1,17 @@
-"""Links within hashed buckets: rows meet in tiles, bucket by bucket, and never leave as all pairs.
-
-`codes` gives every row one bucket per table, `tile` the linked index pairs of two sets of rows. A run is a bucket,
-or two blocks of one with over `block_rows` rows. A pair that meets in several tables counts in the first. A run returns
-link counts per row and a tree of bounded fan-out over what its links join.
-"""
+"""What the near-duplicate operators share: rows meet in sorted runs, and a run gives a tree of bounded fan-out over what its
+links join, never all pairs."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from tallyslip.llm.common import materialize
 
-BLOCK_ROWS = 2048
 FAN_OUT = 32
 
 
-def _tree(n: int, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[int, int]]:
+def tree(n: int, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[int, int]]:
     """Members of what the pairs connect, each with its parent in a tree of fan-out FAN_OUT."""
     parent = list(range(n))
 
@@ -41,7 +32,7 @@ def _tree(n: int, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[int, int]]:
         yield from ((found[(k - 1) // FAN_OUT], found[k]) for k in range(1, len(found)))
 
 
-def _thinned(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def thinned(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links of every linked index to the smallest one that the pairs connect it with: fewer pairs, the same components."""
     label = np.arange(n)
     while len(i):
@@ -56,90 +47,25 @@ def _thinned(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return label[moved], moved
 
 
-def bucket_links(rows_in: DataFrame, tables: int, bits: int, codes: Callable[[list[bytes], int], np.ndarray], tile: Callable[[list[bytes], list[bytes]], tuple[np.ndarray, np.ndarray]], block_rows: int = BLOCK_ROWS, counts: bool = True) -> DataFrame:
-    """`rows_in`: rep long, weight long, packed binary. Rows (a, b, n): with b null the weight n of the rows that link to a (without
-    `counts` there are none), else a link that joins a and b. `codes(packed, t)`: bucket codes below 2 ** bits in the first t tables."""
-
-    def bucket(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                keys = codes(part.column(1).to_pylist(), tables) + (np.arange(tables, dtype=np.int64) << bits)[None, :]
-                yield pa.RecordBatch.from_pydict({"rep": np.repeat(part.column(0).to_numpy(), tables), "key": keys.ravel()})
-
-    member = rows_in.select("rep", "packed").mapInArrow(bucket, "rep long, key long")
-    hot = materialize(member.groupBy("key").count().filter(F.col("count") > block_rows).select("key", F.ceil(F.col("count") / (block_rows // 2)).cast("int").alias("blocks")))
-    member = member.join(hot, "key", "left") if hot.limit(1).count() else member.withColumn("blocks", F.lit(None).cast("int"))
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, block).alias("x"), F.greatest(i, block).alias("y")))
-    alone = F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")))
-    rows = member.select("key", "rep", F.explode(F.when(F.col("blocks") > 1, pairs).otherwise(alone)).alias("pair"), F.when(F.col("blocks") > 1, block).otherwise(0).alias("block"))
-    rows = rows.join(rows_in, "rep").select("key", "pair.x", "pair.y", "block", "rep", "weight", "packed")
-    runs = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "rep")
-
-    def link_run(key: int, x: int, y: int, block: np.ndarray, rep: np.ndarray, weight: np.ndarray, packed: list[bytes]):
-        left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
-        if not len(left) or not len(right):
-            return
-        i, j = tile([packed[k] for k in left], [packed[k] for k in right])
-        i, j = left[i], right[j]
-        keep = i < j if x == y else i != j
-        i, j = i[keep], j[keep]
-        if not counts:
-            for p, q in _tree(len(rep), *_thinned(len(rep), i, j)):
-                yield int(rep[p]), int(rep[q]), 0
-            return
-        now = key >> bits
-        if now and len(i):  # a pair counts in the first table where it meets
-            who, at = np.unique(np.concatenate((i, j)), return_inverse=True)
-            own = codes([packed[k] for k in who], now)
-            first = np.concatenate([~(own[at[: len(i)][p : p + 10_000]] == own[at[len(i) :][p : p + 10_000]]).any(axis=1) for p in range(0, len(i), 10_000)])
-            i, j = i[first], j[first]
-        if not len(i):
-            return
-        total = np.zeros(len(rep), dtype=np.int64)
-        np.add.at(total, i, weight[j])
-        np.add.at(total, j, weight[i])
-        for k in np.flatnonzero(total).tolist():
-            yield int(rep[k]), None, int(total[k])
-        for p, q in _tree(len(rep), i, j):
-            yield int(rep[p]), int(rep[q]), 0
-
-    def link(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
-        held = None
-        for batch in stream:
-            held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            yield from _flush(held, False, link_run, schema)
-            held = _rest(held)
-        if held is not None and held.num_rows:
-            yield from _flush(held, True, link_run, schema)
-
-    return runs.mapInArrow(link, "a long, b long, n long")
-
-
-def _run_edges(batch: pa.RecordBatch) -> np.ndarray:
-    key = [batch.column(i).to_numpy() for i in range(3)]
-    change = np.zeros(batch.num_rows, dtype=bool)
-    for k in key:
-        change[1:] |= k[1:] != k[:-1]
-    return np.flatnonzero(change)
-
-
-def _rest(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The last run, which may go on in the next batch."""
-    edge = _run_edges(batch)
-    return batch.slice(edge[-1]) if len(edge) else batch
-
-
-def _flush(batch: pa.RecordBatch, ended: bool, link_run, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    edge = [0, *_run_edges(batch).tolist(), *([batch.num_rows] if ended else [])]
-    out = []
-    for a, b in zip(edge[:-1], edge[1:]):
-        if b - a > 1:
-            run = batch.slice(a, b - a)
-            cols = [run.column(i) for i in range(7)]
-            out.extend(link_run(cols[0][0].as_py(), cols[1][0].as_py(), cols[2][0].as_py(), *[c.to_numpy() for c in cols[3:6]], cols[6].to_pylist()))
-    if out:
-        a, b, n = zip(*out)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], schema=schema)
+def whole_runs(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of rows sorted by their first column, so that no run of equal values is split between two."""
+    held: list[pa.RecordBatch] = []
+    for batch in stream:
+        if not batch.num_rows:
+            continue
+        run = batch.column(0).to_numpy()
+        edge = np.flatnonzero(run[1:] != run[:-1]) + 1
+        if held and held[-1].column(0)[0].as_py() != run[0]:
+            yield _joined(held)
+            held = []
+        if not len(edge):
+            held.append(batch)
+            continue
+        yield _joined([*held, batch.slice(0, edge[-1])])
+        held = [batch.slice(edge[-1])]
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]

@@ -106,11 +106,19 @@ def test_packing(spark, odd, docs):
         assert len(bins) <= -(-total // 2048) + 1
 
 
-def test_packing_weighs_opening_until_the_fewest_bins_are_open():
+def test_packing_plan_is_about_as_good_as_first_fit_decreasing():
     rng = random.Random(8)
     counts = {n: rng.randint(1, 40) for n in rng.sample(range(1, 1500), 200)}
     plan = packing.plan_packing(counts)
-    assert max(p[3] + p[2] for p in plan) <= -(-sum(k * n for k, n in counts.items()) // 2048) + 1
+    gaps = []  # first fit, longest first
+    for n in sorted((n for n, k in counts.items() for _ in range(k)), reverse=True):
+        at = next((i for i, gap in enumerate(gaps) if gap >= n), None)
+        if at is None:
+            gaps.append(2048 - n)
+        else:
+            gaps[at] -= n
+    assert max(p[3] + p[2] for p in plan) <= 1.002 * len(gaps)
+    assert sum(p[2] for p in plan) == sum(counts.values()) and packing.plan_packing({}) == [] and len(packing.plan_packing({1: 1})) == 1
     assert packing.plan_packing({}) == [] and packing.plan_packing({2048: 3}) and len(packing.plan_packing({1: 1})) == 1
 
 
@@ -196,42 +204,79 @@ def test_similar_documents(spark):
     assert got[40]["component_id"] == 0 and got[42]["component_id"] == got[41]["component_id"] == 41
 
 
-def brute_set(text, k=5):
+def brute_print(text, k=5):
+    """The wide fingerprint as bits, or None without words."""
     words = (text or "").encode().lower().split()
-    return {b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
-
-
-@pytest.mark.parametrize("set_rows", [1024, 6])
-def test_similar_documents_by_exact_jaccard(spark, set_rows):
-    """Repeated lines neither link different texts nor part copies; pairs around 0.8 and short texts as by brute force."""
+    if not words:
+        return None
+    hashes = {xxhash.xxh64_intdigest(b" ".join(words[i : i + k]), 42) for i in range(max(1, len(words) - k + 1))}
+    top = (1 << 64) - 1
+    bits = 0
+    for lane in range(1, simhash.LANES + 1):
+        ones = [0] * 64
+        for h in hashes:
+            h = (h + 0x9E3779B97F4A7C15 * lane) & top
+            h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & top
+            h = (h ^ h >> 27) * 0x94D049BB133111EB & top
+            h ^= h >> 31
+            for b in range(64):
+                ones[b] += h >> b & 1
+        bits |= sum(1 << b for b in range(64) if 2 * ones[b] > len(hashes)) << 64 * (lane - 1)
+    return bits
+
+
+def brute_groups(texts):
+    prints = [brute_print(t) for t in texts]
+    most = 64 * simhash.LANES // 5
+    same = lambda p, q: p is q is None or None not in (p, q) and (p ^ q).bit_count() <= most
+    return classes(len(texts), [(i, j) for i in range(len(texts)) for j in range(i) if same(prints[i], prints[j])])
+
+
+@pytest.mark.parametrize("run_rows, chain", [(1024, 4), (6, 2)])
+def test_similar_documents_as_by_brute_force(spark, run_rows, chain):
+    """Repeated lines neither link different texts nor part copies; pairs around the similarity, short texts, and a group far larger
+    than a run, as all pairs of fingerprints say."""
     rng = random.Random(11)
     words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
     line = words(16)
-    texts = [" ".join(words(104) + line * 10) for _ in range(4)]  # J about 0.06 by sets, votes nearly all of the line
+    texts = [" ".join(words(104) + line * 10) for _ in range(4)]  # few common shingles, votes nearly all of the line
     texts += [" ".join(a + b * n + c) for a, b, c in [(words(50), words(14), words(50))] for n in (1, 5)]
     for n in (104, 304):
-        for tail in range(n // 12, n // 7, 3):  # Jaccard from about 0.85 to 0.75
+        for tail in range(n // 12, n // 4, 3):  # a cosine from about 0.92 to 0.7
             base = words(n)
             texts += [" ".join(base), " ".join(base[:-tail] + words(tail))]
     for n in (8, 9, 10, 13):
         base = words(n)
         texts += [" ".join(base), " ".join(base + words(1)), " ".join(words(1) + base), " ".join(base + words(2))]
     texts += [" ".join(line * n) for n in (1, 3)] + [texts[0], None, "", "one", "One", "one two"]
+    base = words(120)
+    for _ in range(40):  # one group of near copies
+        copy = list(base)
+        copy[rng.randrange(120)] = "changed"
+        texts.append(" ".join(copy))
+    passage = words(60)
+    texts += [" ".join([*words(90), *passage]) for _ in range(30)]  # a passage that many different texts share
     rows = list(enumerate(texts))
-    got = by_id(simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), set_rows=set_rows, miss=1e-9).collect())
-    sets = [brute_set(t) for t in texts]
-    links = [(i, j) for i in range(len(texts)) for j in range(i) if sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
-    assert [got[i]["component_id"] for i in range(len(texts))] == classes(len(texts), links)
-    near = [len(a & b) / len(a | b) for a, b in zip(sets[6::2], sets[7::2]) if a | b]
-    assert any(0.78 < x < 0.8 for x in near) and any(0.8 <= x < 0.85 for x in near)
+    got = by_id(simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), run_rows=run_rows, chain=chain).collect())
+    want = brute_groups(texts)
+    assert [got[i]["component_id"] for i in range(4)] == [0, 1, 2, 3] and got[5]["component_id"] == 4
+    assert [got[i]["component_id"] for i in range(len(texts))] == want
 
 
-def test_jaccard_links_are_those_of_brute_force():
-    rng = np.random.default_rng(4)
-    sets = [np.unique(rng.integers(0, 14, 12).astype("<u8")) for _ in range(120)]
-    for similarity in (simhash.Fraction("0.8"), simhash.Fraction("0.95")):
-        want = [(i, j) for i in range(120) for j in range(i) if len(np.intersect1d(sets[i], sets[j])) >= similarity * len(np.union1d(sets[i], sets[j]))]
-        assert classes(120, list(simhash.jaccard_links(sets, similarity))) == classes(120, want)
+def test_similar_recall_near_the_bar(spark):
+    """Planted pairs whose fingerprints agree in 80 to 84 % of the bits: at least 0.98 of them are found."""
+    rng = random.Random(17)
+    texts = []
+    for _ in range(300):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        copy = list(base)
+        for at in rng.sample(range(120), 5):
+            copy[at] = "x"
+        texts += [" ".join(base), " ".join(copy)]
+    prints = [brute_print(t) for t in texts]
+    near = [i for i in range(0, 600, 2) if 0.16 * 1024 <= (prints[i] ^ prints[i + 1]).bit_count() <= 0.2 * 1024]
+    got = by_id(simhash.similar_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    assert len(near) > 50 and sum(got[i + 1]["component_id"] == i for i in near) >= 0.98 * len(near)
 
 
 def test_one_of_each_with_null_and_repeated_ids(spark):
@@ -421,16 +466,39 @@ def test_pipeline(spark):
     assert 0.5 * n < len(ids) < n
 
 
-def test_tile_slices_agree():
-    """A tile's links equal brute force at the exact threshold."""
+def test_tile_bounds_leave_doubt_only_near_the_threshold(monkeypatch):
+    """What a tile calls sure and what it recomputes equal brute force at the exact threshold."""
+    monkeypatch.setattr(embedding, "PAIRS", 7)
     rng = np.random.default_rng(9)
     u = rng.standard_normal((40, 8))
     u /= np.linalg.norm(u, axis=1, keepdims=True)
-    i, j = embedding.tile_links(u, u, 0.5)
-    assert set(zip(i.tolist(), j.tolist())) == set(map(tuple, np.argwhere(np.einsum("ik,jk->ij", u, u) >= 0.5).tolist()))
+    short = embedding.Short.unpacked(embedding.Short(*embedding.quantise(u)).packed())
+    sure, maybe = embedding.tile_bounds(short, short, 0.5)
+    want = np.einsum("ik,jk->ij", u, u) >= 0.5
+    i, j = np.nonzero(maybe)
+    good = embedding.exact_pairs(u, i, j, 0.5)
+    assert (sure <= want).all() and (want <= sure | maybe).all() and maybe.any() and not maybe.all()
+    sure[i[good], j[good]] = True
+    assert (sure == want).all()
     assert tiles.FAN_OUT > 1 and duckdb is not None
 
 
+def test_embedding_recall_near_the_threshold(spark):
+    """Planted pairs at 0.90-0.92 among random vectors, as by brute force."""
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.standard_normal((1000, 64))
+    z -= (z * x[:1000]).sum(axis=1, keepdims=True) * x[:1000]
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    c = rng.uniform(0.9, 0.92, (1000, 1))
+    x = np.concatenate((x, c * x[:1000] + np.sqrt(1 - c * c) * z))
+    got = embedding.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = int(((u @ u.T) >= 0.9).sum() - len(x))
+    assert want >= 1990 and got.agg(F.sum("n_links")).first()[0] >= 0.99 * want
+
+
 def test_packing_words_are_encoded_as_by_the_library():
     words = packing.WordIds(tok.path("word_bpe_49k.json"))
     texts = ["", None, "Don't  'S 0 100 a0b x7 don'", "ÀÖ÷ Éré, İstanbul ΣΑΣ é µm ²½ ß<|endoftext|> <|ENDOFTEXT|> </w> a</w>b", "a\nb\tc.\r\nd   \x85 \x1c 　e", "' " * 3 + "'ll 'LL ... !?<|>| ¿qué? 你好 🙂 ́", "Don't don't, don't", "x" * 300 + " 0", "Été, été; ÉTÉ! (word) a--b c... x_y _ `a` {b} ÿ×÷"]
