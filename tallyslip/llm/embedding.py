@@ -62,7 +62,8 @@ class Tables:
         pair = [quantise(v)[0] for v in (x, threshold * x + math.sqrt(max(0.0, 1 - threshold**2)) * z)]
         chance = 1.0
         for width in self.turns:
-            a, b = (self._largest(v @ self._matrix(rng, dim, width)) for v in (p.astype(np.float64) for p in pair))
+            matrix = self._matrix(rng, dim, width)
+            a, b = (self._largest(v.astype(np.float64) @ matrix) for v in pair)
             chance *= float((a == b).mean())
         chance = min(max(chance * 0.98, 1e-6), 1 - 1e-9)  # less the error of the trials
         self.count = max(1, math.ceil(math.log(miss) / math.log1p(-chance)))
@@ -77,11 +78,12 @@ class Tables:
         at = np.abs(turned).argmax(axis=1)
         return 2 * at + (turned[np.arange(len(turned)), at] > 0)
 
-    def codes(self, quantised: np.ndarray) -> np.ndarray:
-        """(vectors, tables) bucket codes below 2 ** bits."""
+    def codes(self, quantised: np.ndarray, tables: int | None = None) -> np.ndarray:
+        """(vectors, tables) bucket codes below 2 ** bits, of all or the first tables."""
         x = quantised.astype(np.float64)
-        out = np.zeros((len(x), self.count), dtype=np.int64)
-        for t, turns in enumerate(self.matrices):
+        used = self.matrices[:tables]
+        out = np.zeros((len(x), len(used)), dtype=np.int64)
+        for t, turns in enumerate(used):
             for matrix in turns:
                 out[:, t] = out[:, t] * 2 * matrix.shape[1] + self._largest(x @ matrix)
         return out
@@ -143,7 +145,7 @@ def _run_links(tables: Tables, threshold: float, table: int, side: np.ndarray, r
     left, right = (np.flatnonzero(side == 1), np.flatnonzero(side == 2)) if side.any() else (np.arange(len(rep)), np.arange(len(rep)))
     if not len(left) or not len(right):
         return
-    before = tables.codes(short.codes)[:, :table] if table else None
+    before = None
     total = np.zeros(len(rep), dtype=np.int64)
     doubtful = np.zeros(len(rep), dtype=bool)
     ones, others = [], []
@@ -152,7 +154,8 @@ def _run_links(tables: Tables, threshold: float, table: int, side: np.ndarray, r
         sure, maybe = tile_bounds(short[part], short[right], threshold)
         mask = sure if unit is None else maybe
         fresh = part[:, None] < right[None, :] if not side.any() else np.ones(mask.shape, dtype=bool)
-        if before is not None and (sure | maybe).any():  # a pair counts in the first table where it meets
+        if table and (sure | maybe).any():  # a pair counts in the first table where it meets
+            before = tables.codes(short.codes, table) if before is None else before
             for t in range(table):
                 fresh &= before[part, t][:, None] != before[right, t][None, :]
         mask &= fresh
