@@ -128,10 +128,14 @@ class WordTable:
             self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
             self.rows = new if self.rows is None else np.concatenate((self.rows, new))
 
+    def at(self, text: str) -> np.ndarray:
+        """Row numbers of the words of a learnt text, in order; equal words have equal numbers."""
+        words = text.split()
+        return np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
+
     def of(self, text: str) -> np.ndarray:
         """Rows of the words of a learnt text, in order."""
-        words = text.split()
-        return self.rows[np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))]
+        return self.rows[self.at(text)]
 
 
 #: What a Python worker keeps between tasks: one entry, by operator and parameters.

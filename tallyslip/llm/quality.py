@@ -3,8 +3,8 @@
 Overlapping heuristics vote good, bad or abstain on every document. The counts of vote patterns over all documents
 (at most 3 ** number of labellers rows) are all that expectation-maximisation needs: it estimates each labeller's
 accuracies on good and bad documents and the posterior of every pattern. Posteriors are the soft labels of a
-logistic scorer over hashed word shapes and words, trained on at most `TRAIN_ROWS` documents by hashed id;
-documents are scored whole.
+logistic scorer over hashed word shapes, words and repetition, trained on at most `TRAIN_ROWS` documents, those with the smallest
+hashes of id and text; documents are scored whole.
 
 Defined results: null or empty text, or only white space: score 0, not kept. Very long texts are read whole.
 Repeated rows give repeated results; extra columns are ignored. Empty table: empty result.
@@ -26,6 +26,11 @@ from tallyslip.llm.common import WordTable, add_from_text, sample_by_hash, worke
 TRAIN_ROWS, HASH_BITS = 4000, 18
 EPOCHS, RATE, RIDGE = 150, 0.5, 1e-4
 KEEP = 0.5
+#: Pseudo counts of a labeller's own class, as a share of all documents.
+OWN_PRIOR = 0.02
+#: The thresholds of bad votes are such that at most this share of good documents gets one from a labeller; without
+#: that bound a symptom that comes alone would be explained as well by the good class.
+MOST_FALSE = 0.005
 #: Votes.
 BAD, ABSTAIN, GOOD = 0, 1, 2
 #: (name, statistic, bad above, good below): what lies between abstains. Statistics are shares of a document's words.
@@ -38,8 +43,11 @@ LABELLERS = [
     ("repeated marks", "repeats", 0.10, 0.01),
     ("digits", "digits", 0.30, 0.10),
     ("long words", "long", 0.10, 0.02),
+    ("echoes", "echoes", 0.20, 0.02),
 ]
-STATISTICS = ["symbols", "symbol_chars", "lone", "exclaim", "capitals", "repeats", "digits", "long"]
+#: Those of single words, and the share of words that repeat the one before.
+WORD_STATISTICS = ["symbols", "symbol_chars", "lone", "exclaim", "capitals", "repeats", "digits", "long"]
+STATISTICS = [*WORD_STATISTICS, "echoes"]
 PLAIN = re.compile(r"[\w.,;:!?'\"()\-’“”«»¿¡…–—]")
 REPEAT = re.compile(r"([^\w\s.])\1")
 RUNS = [(re.compile(r"[^\W\d_]*[a-zß-ÿ][^\W\d_]*"), "a"), (re.compile(r"[^\W\d_]+"), "A"), (re.compile(r"\d+"), "0")]
@@ -47,7 +55,7 @@ RUNS = [(re.compile(r"[^\W\d_]*[a-zß-ÿ][^\W\d_]*"), "a"), (re.compile(r"[^\W\d
 
 def word_statistics(words: list[str]) -> np.ndarray:
     """Per word the statistics, the characters being a share of the word's."""
-    out = np.zeros((len(words), len(STATISTICS)), dtype=np.float32)
+    out = np.zeros((len(words), len(WORD_STATISTICS)), dtype=np.float32)
     for row, word in zip(out, words):
         if word.isalpha() or word[:-1].isalpha() and word[-1] in ".,":  # most words: no marks, no digits
             row[4] = len(word) > 1 and word[:2].isupper() and word.isupper()
@@ -85,32 +93,37 @@ def votes_from(pattern: np.ndarray) -> np.ndarray:
 
 def label_model(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, float], np.ndarray, float]:
     """Expectation-maximisation on pattern counts: (posterior of good per pattern, vote probabilities
-    (class, labeller, vote), share of good). Starts from labellers whose bad votes are rare on good documents and whose good votes say
-    little, as each knows one symptom; pseudo counts keep probabilities off zero."""
+    (class, labeller, vote), share of good). Junk shows few symptoms at once, so there is one hidden class per labeller, of documents
+    with that symptom, beside the good one (class 0); in its own class a labeller's votes start as bad and are held there by pseudo
+    counts in proportion to the documents, everything else is estimated, a good document's bad votes within MOST_FALSE."""
     patterns = np.array(sorted(counts))
     n = np.array([counts[p] for p in patterns.tolist()], dtype=float)
     votes = votes_from(patterns)
     k = np.arange(len(LABELLERS))
-    prob = np.empty((2, len(LABELLERS), 3))
-    prob[0], prob[1] = (0.35, 0.1, 0.55), (0.02, 0.13, 0.85)
-    share = 0.8
-    post = np.full(len(patterns), share)
+    prior = np.tile(np.array([0.2, 1.0, 2.0]), (len(k) + 1, len(k), 1))
+    prior[k + 1, k] = np.array([0.9, 0.09, 0.01]) * max(1.0, OWN_PRIOR * n.sum())
+    prob = np.empty_like(prior)
+    prob[0], prob[1:] = (0.002, 0.098, 0.9), (0.1, 0.1, 0.8)
+    prob[k + 1, k] = (0.9, 0.09, 0.01)
+    share = np.append(0.8, np.full(len(k), 0.2 / len(k)))
+    post = np.full(len(patterns), share[0])
     for _ in range(rounds):
-        log = [np.log(prob[c][k, votes]).sum(axis=1) + np.log(share if c else 1 - share) for c in (0, 1)]
-        new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -500, 500)))
-        for c, weight in ((0, n * (1 - new)), (1, n * new)):
-            for j in range(len(LABELLERS)):
-                hits = np.bincount(votes[:, j], weight, 3) + prob_prior(c)
-                prob[c, j] = hits / hits.sum()
-        share = float(np.clip((n * new).sum() / n.sum(), 0.02, 0.98))
-        done, post = np.abs(new - post).max() < 1e-6, new
+        log = np.log(prob[:, k, votes]).sum(axis=2) + np.log(share)[:, None]
+        weight = np.exp(log - log.max(axis=0))
+        weight /= weight.sum(axis=0)
+        done, post = np.abs(weight[0] - post).max() < 1e-6, weight[0]
         if done:
             break
-    return dict(zip(patterns.tolist(), post.tolist())), prob, share
-
-
-def prob_prior(label: int) -> np.ndarray:
-    return np.array([1.0, 1.0, 1.0]) if label == 0 else np.array([0.2, 1.0, 2.0])
+        weight = weight * n
+        for j in range(len(k)):
+            hits = np.stack([weight[:, votes[:, j] == v].sum(axis=1) for v in (BAD, ABSTAIN, GOOD)], axis=1) + prior[:, j]
+            prob[:, j] = hits / hits.sum(axis=1, keepdims=True)
+        excess = np.maximum(prob[0, :, BAD] - MOST_FALSE, 0)
+        prob[0, :, BAD] -= excess
+        prob[0, :, GOOD] += excess
+        share = np.maximum(weight.sum(axis=1), 1e-3 * n.sum())
+        share /= share.sum()
+    return dict(zip(patterns.tolist(), post.tolist())), prob, float(share[0])
 
 
 def shape_of(word: str) -> str:
@@ -129,6 +142,15 @@ def slots_of(words: list[str]) -> np.ndarray:
     return np.array([[zlib.crc32(b"s" + shape_of(w).encode()) % size, zlib.crc32(b"w" + w.lower().encode()) % size] for w in words], dtype=np.int64).reshape(-1, 2)
 
 
+#: The hashed feature of repetition.
+ECHO_SLOT = zlib.crc32(b"echo") % (1 << HASH_BITS)
+
+
+def echoes(words: np.ndarray) -> float:
+    """The share of words that equal the one before."""
+    return float((words[1:] == words[:-1]).mean()) if len(words) > 1 else 0.0
+
+
 class Scorer:
     """Logistic on mean hashed counts."""
 
@@ -166,13 +188,17 @@ class Reader:
         return np.concatenate((own, self.scorer.weights[slots_of(words)].sum(axis=1, keepdims=True)), axis=1)
 
     def means(self, texts: list[str | None]) -> np.ndarray:
-        """Mean row of each text's words; NaN where there are no words."""
+        """Mean row of each text's words, with its echoes; NaN where there are no words."""
         self.table.learn(texts)
-        width = len(STATISTICS) + (self.scorer is not None)
-        out = np.full((len(texts), width), np.nan)
+        out = np.full((len(texts), len(STATISTICS) + (self.scorer is not None)), np.nan)
+        n = len(WORD_STATISTICS)
         for i, text in enumerate(texts):
             if text and not text.isspace():
-                out[i] = self.table.of(text).mean(axis=0, dtype=np.float64)
+                at = self.table.at(text)
+                mean = self.table.rows[at].mean(axis=0, dtype=np.float64)
+                out[i, :n], out[i, n] = mean[:n], echoes(at)
+                if self.scorer is not None:
+                    out[i, -1] = mean[n] + out[i, n] * self.scorer.weights[ECHO_SLOT]
         return out
 
 
@@ -197,7 +223,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
     if not counts:
         return None
     posterior, prob, share = label_model(counts)
-    sample = sample_by_hash(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", min(1.0, TRAIN_ROWS / sum(counts.values())))
+    sample = sample_by_hash(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), ["id", "text"], TRAIN_ROWS, sum(counts.values()))
 
     def make(stream):
         reader = Reader()
@@ -209,8 +235,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
             for text in texts:
                 words = (text or "").split()
                 found, n = np.unique(slots_of(words).ravel(), return_counts=True)
-                slots.append(found)
-                shares.append(n / max(1, len(words)))
+                slots.append(np.append(found, ECHO_SLOT))
+                shares.append(np.append(n / max(1, len(words)), echoes(np.array(words))))
             yield pa.RecordBatch.from_pydict({"pattern": pa.array(pattern, mask=np.isnan(means[:, 0])), "slots": pa.array(slots, pa.list_(pa.int64())), "shares": pa.array(shares, pa.list_(pa.float64()))})
 
     rows = sample.mapInArrow(make, "pattern long, slots array<long>, shares array<double>").filter("pattern is not null").collect()

@@ -1,8 +1,8 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-The lexicon is learnt: words whose share of toxic documents stands out among the labelled training rows. Features
+The lexicon is learnt: the `LEXICON` words whose share of toxic documents stands out most among the labelled training rows. Features
 are lexicon densities and counts, second-person proximity, capitals, punctuation and obfuscation rates. Trees and lexicon learn from
-at most `TRAIN_ROWS` labelled rows by hashed id; the calibration rows are those whose crc32(id) mod 5 is 4.
+at most `TRAIN_ROWS` labelled rows, those with the smallest hashes; the calibration rows are those whose crc32(id) mod 5 is 4.
 
 Defined results: null and empty texts have all features zero and get a score like any other. No labels, or
 labels of one kind: the score is the (smoothed) share of toxic ones. A document labelled twice counts once, as toxic
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyslip.llm.boosting import BoostedTrees, isotonic
-from tallyslip.llm.common import WordTable, add_from_text, crc32_mod, sample_by_hash, worker_state
+from tallyslip.llm.common import WordTable, add_from_text, crc32_mod, discard, materialize, sample_by_hash, worker_state
 
 TRAIN_ROWS, LEXICON = 10_000, 60
 #: A lexicon word stands in at least this share of the toxic training documents.
@@ -123,10 +123,11 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Lexicon, trees and calibration from labelled documents (already without the held-out ones)."""
     labels = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic"))
-    fraction = min(1.0, TRAIN_ROWS / max(1, labels.count()))
+    labels = sample_by_hash(labels, ["id"], TRAIN_ROWS, labels.count())
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = sample_by_hash(texts, "id", fraction).join(sample_by_hash(labels, "id", fraction), "id").withColumn("calibrate", crc32_mod("id", 5) == 4)
-    rows = rows.persist()
+    rows = texts.join(F.broadcast(labels), "id")  # at most TRAIN_ROWS labels
+    rows = sample_by_hash(rows, ["id", "text"], TRAIN_ROWS, TRAIN_ROWS).withColumn("calibrate", crc32_mod("id", 5) == 4)  # an id may have many texts
+    rows = materialize(rows)
     lexicon = learn_lexicon(rows.filter("not calibrate and text is not null"))
     feature_type = "toxic int, calibrate boolean, features array<double>"
 
@@ -135,8 +136,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in stream:
             yield pa.RecordBatch.from_pydict({"toxic": batch.column(1).cast(pa.int32()), "calibrate": batch.column(2), "features": pa.array(list(maker.features(batch.column(0).to_pylist())), pa.list_(pa.float64()))})
 
-    sample = rows.select("text", "toxic", "calibrate").mapInArrow(make, feature_type).collect()  # at most about TRAIN_ROWS short rows
-    rows.unpersist()
+    sample = rows.select("text", "toxic", "calibrate").mapInArrow(make, feature_type).collect()  # at most TRAIN_ROWS short rows
+    discard(rows)
     y = np.array([r[0] for r in sample], dtype=float)
     model = Model(lexicon, float((y.sum() + 0.5) / (len(y) + 1)))
     if 0 < y.sum() < len(y):
