@@ -2,9 +2,10 @@
 
 A task works on blocks of documents. The distinct pre-tokens of a block that its Python worker hasn't met lie
 one after the other in flat arrays; an inverted index leads from merge ranks, that is token pairs, to the
-positions in words where those pairs stand. Ranks are taken in order; a merge touches its two neighbours
-only, whose new pairs enter the index. Every word ends with the ids that the library gives, as each word
-always has its lowest rank applied first and equal ranks leftmost first. No shuffle.
+positions in words where those pairs stand. Every merge is applied in rank order, at all its positions at once, and touches its
+neighbours only, whose new pairs enter the index. Every word ends with the ids that the library gives, as each word
+always has its lowest rank applied first and equal ranks leftmost first. No shuffle: looking up the distinct words of
+the whole corpus instead of a block's would send every pre-token through one.
 
 Defined results: null text counts as empty: no ids, the hashes of empty strings. Very long words pass through
 the same replay and aren't cached. Repeated rows give repeated results; extra columns are ignored.
@@ -14,7 +15,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections import ChainMap
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +33,22 @@ SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0          
 #: A space beside other white space: only then can the split at spaces differ from the pattern's.
 BESIDE = [pair for s in SPACES for pair in {s + " ", " " + s}]
 
+#: Characters that the installed `regex` knows as letters, numbers or otherwise by a newer Unicode than the library,
+#: for which they are unassigned; found by encoding every character before an apostrophe and a letter.
+NEWER_RANGES = """
+558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7 10ED9-10EEE
+11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA
+18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE
+1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F
+""".split()
+NEWER = re.compile("[" + "".join("-".join(chr(int(end, 16)) for end in r.split("-")) for r in NEWER_RANGES) + "]")
+#: An unassigned character, which takes their place where a text is split.
+STAND_IN = "\u0378"
+
 #: Ids are below 2 ** PAIR_BITS - 1; NO_TOKEN marks words' ends and merged positions, NO_RANK pairs that don't merge.
 PAIR_BITS = 21
 NO_TOKEN = (1 << PAIR_BITS) - 1
 NO_RANK = 1 << 40
-#: Ranks that the index keeps together.
-BAND = 512
 #: Words that a worker keeps with their ids, about 400 bytes each.
 CACHE_ENTRIES = 600_000
 
@@ -101,15 +114,18 @@ class MergeReplay:
                 if left is not None and right is not None:
                     pairs[left << PAIR_BITS | right] = rank
         self.pairs = PairTable(pairs)
+        # tokens that form a lower rank with some neighbour
+        self.falling = {part for pair, rank in pairs.items() for part in (pair >> PAIR_BITS, pair & NO_TOKEN) if rank < part}
         self.cache: dict[str, tuple[str, bytes]] = {}
 
     def replay(self, words: list[str]) -> list[list[int]]:
         """The ids of each word.
 
-        Words lie one after the other, a mark before each and after the last. `index` leads from a band of BAND
-        ranks to the positions of its pairs. Bands are replayed in order; within one, every word that has pairs in it
-        applies its lowest rank, leftmost first, until none is left. Words don't touch each other, so
-        this is rank order for each of them."""
+        Words lie one after the other, a mark before each and after the last. `index` leads from a merge's rank, that is a token
+        pair, to the positions where the pair was seen. Ranks are taken in order, each at all its positions at once: in a run of
+        overlapping pairs every second one, from the left. Only what a merge touches, itself and its left neighbour, gets a new pair and
+        enters the index anew. (Where the new token may form a pair of a lower rank, a run is merged one pair at a time, as that pair
+        then comes first.)"""
         if not words:
             return []
         data = [w.encode() for w in words]
@@ -123,39 +139,50 @@ class MergeReplay:
         word = np.append(word, len(data))
         after, before = np.arange(1, len(token) + 1), np.arange(-1, len(token) - 1)
         rank = np.append(self.pairs(token[:-1], token[1:]), NO_RANK)
-        index: list[list[np.ndarray]] = [[] for _ in range(self.top // BAND + 1)]
+        index: dict[int, list[np.ndarray]] = {}
+        waiting: list[int] = []
 
         def enter(places: np.ndarray) -> None:
-            bands = rank[places] // BAND
-            order = np.argsort(bands, kind="stable")
-            places, bands = places[order], bands[order]
-            edges = np.flatnonzero(bands[1:] != bands[:-1]) + 1
-            for part in np.split(places, edges):
-                if len(part):
-                    index[int(rank[part[0]]) // BAND].append(part)
-
-        enter(np.flatnonzero(rank < NO_RANK))
-        for band, found in enumerate(index):
-            places = np.concatenate(found) if found else None
-            while places is not None:
-                places = places[rank[places] < (band + 1) * BAND]
-                if not len(places):
-                    break
-                places = places[np.lexsort((places, rank[places], word[places]))]
-                own = word[places]
-                head = np.append(True, own[1:] != own[:-1])
-                at, rest = places[head], places[~head]
-                right = after[at]
-                beyond = after[right]
-                token[at] = rank[at]
-                token[right], rank[right] = NO_TOKEN, NO_RANK
-                after[at], before[beyond] = beyond, at
-                touched = np.concatenate((at, before[at]))
-                rank[touched] = self.pairs(token[touched], token[after[touched]])
-                new = touched[rank[touched] < NO_RANK]
-                later = rank[new] >= (band + 1) * BAND
-                enter(new[later])
-                places = np.concatenate((rest, new[~later]))
+            ranks = rank[places]
+            order = np.argsort(ranks, kind="stable")
+            places, ranks = places[order], ranks[order]
+            edge = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(places)]
+            for r, p, q in zip(ranks[edge[:-1]].tolist(), edge, edge[1:]):
+                if r in index:
+                    index[r].append(places[p:q])
+                else:
+                    index[r] = [places[p:q]]
+                    heappush(waiting, r)
+
+        if len(found := np.flatnonzero(rank < NO_RANK)):
+            enter(found)
+        while waiting:
+            now = heappop(waiting)
+            found = index.pop(now)
+            places = found[0] if len(found) == 1 else np.unique(np.concatenate(found))
+            places = places[rank[places] == now]
+            if len(places) > 1 and (joint := after[places[:-1]] == places[1:]).any():
+                head = np.append(True, ~joint)
+                at = np.arange(len(places))
+                depth = at - np.maximum.accumulate(np.where(head, at, 0))
+                kept = depth % 2 == 0
+                if now in self.falling:
+                    kept = depth == 0
+                    enter(places[~kept])
+                places = places[kept]
+            if not len(places):
+                continue
+            right = after[places]
+            beyond = after[right]
+            token[places] = now
+            token[right], rank[right] = NO_TOKEN, NO_RANK
+            after[places], before[beyond] = beyond, places
+            touched = np.concatenate((places, before[places]))
+            ranks = self.pairs(token[touched], token[after[touched]])
+            rank[touched] = ranks
+            touched = touched[ranks < NO_RANK]
+            if len(touched):
+                enter(touched)
         left = token < NO_TOKEN
         ids = token[left].tolist()
         stops = np.cumsum(np.bincount(word[left], minlength=len(data))).tolist()
@@ -166,9 +193,17 @@ class MergeReplay:
         if text[0] != " " and text[-1] != " " and not any(pair in text for pair in BESIDE):
             head, *rest = text.split(" ")
             return [head, *[" " + r for r in rest]]
+        return self.split(text)
+
+    def split(self, text: str) -> list[str]:
+        """What the pattern finds in a text."""
+        if not text.isascii() and NEWER.search(text):
+            return [text[m.start() : m.end()] for m in self.pattern.finditer(NEWER.sub(STAND_IN, text))]
         return self.pattern.findall(text)
 
     def words_of(self, part: str) -> list[str]:
+        if not part.isascii() and NEWER.search(part):
+            return self.split(part)
         if part[1:].isalpha() and (part[0] == " " or part[0].isalpha()):
             return [part]
         if part[1:-1].isalpha() and part[0] == " " and part[-1] in ".,":

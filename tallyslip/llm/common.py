@@ -163,9 +163,11 @@ def without_gc() -> Iterator[None]:
 
 
 def text_blocks(stream: Iterable[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most BLOCK_DOCS rows and BLOCK_BYTES bytes of the texts in column `at`, a row at least."""
+    """The batches in slices of at most BLOCK_DOCS rows and BLOCK_BYTES bytes of the texts (or elements of the arrays) in
+    column `at`, a row at least."""
     for batch in stream:
-        total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        size = pc.list_value_length if pa.types.is_list(batch.schema.types[at]) else pc.binary_length
+        total = np.cumsum(pc.fill_null(size(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         first = 0
         while first < batch.num_rows:
             before = total[first - 1] if first else 0
