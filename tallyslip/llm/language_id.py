@@ -1,41 +1,54 @@
 """Language ID by a bidirectional gated recurrent network over bytes, in numpy.
 
-The network reads runs of letters (lower-cased, UTF-8, at most `SEGMENT` bytes at once) from both ends, labels every
-byte position with a distribution over languages, and a document pools them: the mean log probability of a
-word's positions, summed over its words, made a distribution. Every letter of the whole text is labelled; equal
-words give equal labels, so a worker labels each distinct word once. Training is backpropagation through time with
-Adam on a bounded table of words: at most `DOCS_PER_LANG` documents per language (by hashed id), their
-`TRAIN_WORDS` most frequent (word, language) pairs.
-
-Defined results: null text, or no letter: `und` with score 0. Very long texts are read whole. Repeated rows give
+The network reads the UTF-8 bytes of the lower-cased text from both ends, in windows of `WINDOW` bytes that carry `CONTEXT` bytes of their
+neighbours, cut between characters. It labels every position with a distribution over languages; a document pools
+them as the mean probability over the positions of its letters, so the score doesn't rise with length. Every byte of the
+whole text is read. Training is backpropagation through time with Adam on a bounded sample: `WINDOWS_PER_DOC` stretches of
+`TRAIN_WINDOW` bytes of at most `DOCS_PER_LANG` documents of every language, those with the smallest hashes of id and text. The network has one
+output per language, so what the driver holds grows with the number of languages only.
+
+Defined results: null text, or no letter (\\p{L}): `und` with score 0. Very long texts are read whole. Repeated rows give
 repeated results; extra columns are ignored. No labelled documents: everything is `und`. One language: it always wins.
 """
 
 from __future__ import annotations
 
-import re
-import uuid
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyslip.llm.common import WordTable, add_from_text, crc32_mod, sample_by_hash, worker_state
+from tallyslip.llm.common import add_from_text, crc32_mod
 
 UNKNOWN = "und"
-DOCS_PER_LANG, TRAIN_WORDS, MAX_LANGS = 600, 40_000, 200
-HIDDEN, SEGMENT = 16, 32
-STEPS, BATCH, RATE, SEED = 500, 256, 0.01, 42
-LETTERS = re.compile(r"[^\W\d_]+")
+DOCS_PER_LANG, WINDOWS_PER_DOC, TRAIN_WINDOW = 400, 6, 48
+HIDDEN, WINDOW, CONTEXT = 8, 480, 16
+#: Windows that are read at once.
+READ_AT_ONCE = 1024
+STEPS, BATCH, RATE, SEED = 300, 160, 0.02, 42
+LETTER = regex.compile(r"\p{L}")
+#: Bytes that belong to letters: ASCII letters and all of longer characters.
+LETTER_BYTE = np.array([b >= 128 or chr(b).isalpha() for b in range(256)])
+
+
+def char_start(data: bytes, at: int) -> int:
+    """The start of the character that byte `at` belongs to; `data` is UTF-8."""
+    while 0 < at < len(data) and data[at] & 0xC0 == 0x80:
+        at -= 1
+    return min(at, len(data))
 
 
-def segments(word: str) -> list[bytes]:
-    """Runs of letters as bytes, cut to SEGMENT bytes."""
-    out = []
-    for run in LETTERS.findall(word.lower()):
-        data = run.encode()
-        out.extend(data[i : i + SEGMENT] for i in range(0, len(data), SEGMENT))
-    return out
+def windows(data: bytes, size: int = WINDOW, context: int = CONTEXT) -> Iterator[tuple[bytes, int, int]]:
+    """Windows with the places in them that are labelled there; together these are all bytes, once."""
+    first = 0
+    while first < len(data):
+        last = char_start(data, first + size) if first + size < len(data) else len(data)
+        before, after = char_start(data, max(0, first - context)), char_start(data, last + context)
+        yield data[before:after], first - before, last - before
+        first = last
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -149,48 +162,96 @@ class ByteGRU:
                 self.w[k] = (self.w[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
         return losses
 
-    def score_words(self, words: list[str]) -> np.ndarray:
-        """Per word: the sum over its segments of the mean log probability of their positions, and the count of segments."""
-        cut = [segments(w) for w in words]
-        distinct = sorted({s for ss in cut for s in ss}, key=lambda s: (len(s), s))
-        at = dict(zip(distinct, range(len(distinct))))
-        rows = np.zeros((len(distinct), len(self.langs) + 1), dtype=np.float32)
-        for i in range(0, len(distinct), 4096):
-            part = distinct[i : i + 4096]
-            ids, mask = self.padded(part)
-            rows[i : i + len(part), :-1] = (self.log_probabilities(ids, mask) * mask[:, :, None]).sum(axis=0) / mask.sum(axis=0)[:, None]
-        rows[:, -1] = 1
-        out = np.zeros((len(words), rows.shape[1]), dtype=np.float32)
-        sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
-        if len(distinct):
-            np.add.at(out, np.repeat(np.arange(len(words)), sizes), rows[[at[s] for ss in cut for s in ss]])
-        return out
+    def fast(self) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+        """Weights for reading: columns are windows, and gates' sigmoids are tanh of half their input."""
+        h = HIDDEN
+        half = np.repeat(np.array([0.5, 0.5, 1.0], dtype=np.float32), h)[:, None]
+        sides = [(np.ascontiguousarray(((self.w["x" + s] + self.w["c" + s]).T * half)), np.ascontiguousarray(self.w["u" + s].T * np.float32(0.5))) for s in "fb"]
+        return sides, np.ascontiguousarray(self.w["v"].T), self.w["d"][:, None]
+
+    def read(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """(languages, steps, windows) probabilities at every position of windows given as columns of byte numbers, in order of size."""
+        h, (steps, n) = HIDDEN, ids.shape
+        sides, v, d = self.fast()
+        states = np.empty((steps, 2 * h, n), dtype=np.float32)
+        a, b, gates, new = (np.empty((k, n), dtype=np.float32) for k in (3 * h, 3 * h, 2 * h, h))
+        for side, (x, u) in enumerate(sides):
+            state = np.zeros((h, n), dtype=np.float32)
+            for t in range(steps) if side == 0 else range(steps - 1, -1, -1):
+                np.take(x, ids[t], axis=1, out=a, mode="clip")
+                np.matmul(u, state, out=b)
+                np.add(a[: 2 * h], b[: 2 * h], out=gates)
+                np.tanh(gates, out=gates)
+                gates += 1
+                np.multiply(gates[h:], b[2 * h :], out=new)
+                new += a[2 * h :]
+                np.tanh(new, out=new)
+                new -= state
+                new *= gates[:h]
+                new *= 0.5
+                state = np.add(state, new, out=states[t, side * h : side * h + h])
+                if side and t >= sizes[0]:
+                    state *= t < sizes  # beyond its end a window has no state
+        y = np.matmul(v, states) + d  # (steps, languages, windows)
+        y -= y.max(axis=1, keepdims=True)
+        np.exp(y, out=y)
+        y /= y.sum(axis=1, keepdims=True)
+        return y.transpose(1, 0, 2)
+
+    def pooled(self, texts: list[str | None]) -> np.ndarray:
+        """Per text the mean probabilities over its letters' positions; NaN where it has no letter."""
+        parts, owner = [], []
+        for i, text in enumerate(texts):
+            if text and LETTER.search(text):
+                own = list(windows(text.lower().encode()))
+                parts.extend(own)
+                owner.extend([i] * len(own))
+        total, count = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
+        order = sorted(range(len(parts)), key=lambda k: len(parts[k][0]))
+        for p in range(0, len(order), READ_AT_ONCE):
+            own = [parts[k] for k in order[p : p + READ_AT_ONCE]]
+            sizes = np.array([len(w) for w, _, _ in own])
+            data = np.frombuffer(b"".join([w.ljust(sizes[-1], b"\0") for w, _, _ in own]), dtype=np.uint8).reshape(len(own), -1).T
+            at = np.arange(sizes[-1])[:, None]
+            used = LETTER_BYTE[data] & (at >= np.array([a for _, a, _ in own])) & (at < np.array([b for _, _, b in own]))
+            sums = np.einsum("ltn,tn->nl", self.read(data.astype(np.intp), sizes), used.astype(np.float32))
+            who = np.array([owner[k] for k in order[p : p + READ_AT_ONCE]])
+            np.add.at(total, who, sums)
+            np.add.at(count, who, used.sum(axis=0))
+        return total / np.where(count > 0, count, np.nan)[:, None]
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteGRU | None:
     """A network from documents with a language; None if there are none."""
+    spark = labelled.sparkSession
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().limit(MAX_LANGS + 1).collect()}
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return None
-    parts = None
-    for lang, n in sorted(counts.items()):
-        part = sample_by_hash(rows.filter(F.col("lang") == lang), "id", min(1.0, DOCS_PER_LANG / n))
-        parts = part if parts is None else parts.unionByName(part)
-    words = parts.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).filter("word != ''")
-    table = words.groupBy("lang", "word").count().orderBy(F.desc("count"), "lang", "word").limit(TRAIN_WORDS).collect()
+    shares = spark.createDataFrame([(lang, min(1.0, 1.5 * (DOCS_PER_LANG + 20) / n)) for lang, n in counts.items()], "lang string, share double")
+    hashed = rows.withColumn("hash", F.xxhash64(F.lit(7), "id", "text")).join(F.broadcast(shares), "lang")
+    few = hashed.filter(F.col("hash") / F.lit(2.0**64) + 0.5 < F.col("share")).dropDuplicates(["lang", "hash"])
+    few = few.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("hash"))).filter(F.col("n") <= DOCS_PER_LANG)
+
+    def cut(stream):
+        for batch in stream:
+            langs, data = [], []
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                whole = text.lower().encode()
+                for k in range(WINDOWS_PER_DOC):
+                    first = char_start(whole, k * max(0, len(whole) - TRAIN_WINDOW) // max(1, WINDOWS_PER_DOC - 1))
+                    part = whole[first : char_start(whole, first + TRAIN_WINDOW)]
+                    if LETTER.search(part.decode(errors="ignore")) and (k == 0 or len(whole) > TRAIN_WINDOW):
+                        langs.append(lang)
+                        data.append(part)
+            yield pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()), "part": pa.array(data, pa.binary())})
+
+    sample = sorted(map(tuple, few.select("lang", "text").mapInArrow(cut, "lang string, part binary").collect()))
     langs = sorted(counts)
     model = ByteGRU(langs)
-    data, label, weight = [], [], []
-    for lang, word, n in table:
-        for s in segments(word):
-            data.append(s)
-            label.append(langs.index(lang))
-            weight.append(n**0.5)
-    if data and len(langs) > 1:
-        model.train(data, np.array(label), np.array(weight))
+    if sample and len(langs) > 1:
+        number = {lang: k for k, lang in enumerate(langs)}
+        model.train([bytes(p) for _, p in sample], np.array([number[lang] for lang, _ in sample]), np.ones(len(sample)))
     return model
 
 
@@ -199,24 +260,14 @@ def predict(docs: DataFrame, model: ByteGRU | None, text_col: str = "text") -> D
     if model is None:
         return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    shared_key = uuid.uuid4().hex  # a worker keeps its cache while the model is the same
 
     def make(texts: list[str | None]) -> dict:
         net = shared.value
-        words = worker_state(("lang", shared_key), lambda: WordTable(net.score_words))
-        words.learn(texts)
-        pred, score = [], []
-        for text in texts:
-            total = words.of(text).sum(axis=0, dtype=np.float64) if text and not text.isspace() else None
-            if total is None or total[-1] == 0:
-                pred.append(UNKNOWN)
-                score.append(0.0)
-                continue
-            p = np.exp(total[:-1] - total[:-1].max())
-            best = int(np.argmax(p))
-            pred.append(net.langs[best])
-            score.append(float(p[best] / p.sum()))
-        return {"lang_pred": pred, "score": score}
+        mean = net.pooled(texts)
+        none = np.isnan(mean[:, 0])
+        best = np.nan_to_num(mean).argmax(axis=1)
+        score = np.where(none, 0.0, np.clip(np.nan_to_num(mean).max(axis=1), 0, 1))
+        return {"lang_pred": [UNKNOWN if x else net.langs[k] for x, k in zip(none, best)], "score": score}
 
     return add_from_text(docs, text_col, make, {"lang_pred": "string", "score": "double"})
 

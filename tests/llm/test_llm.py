@@ -457,6 +457,32 @@ def test_empty_tables(spark, odd):
     assert embedding.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_pipeline_stages_on_odd_rows(spark):
+    """Nulls, empties, long texts, ties, repeated rows, an empty table and clashing names, stage by stage."""
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    text = lambda n: " ".join(rng.choice("the house of a man and his dog went to town with".split()) + rng.choice(["", "s", "er"]) for _ in range(n))
+    texts = [None, "", " ", "12 %% 34", text(60), text(60), text(20_000), "y" * 30_000, text(50) + ".", "#$%# &&& *** !!! " * 30]
+    rows = [(i if i % 3 else None, t, "en", "s", 1, "own score", "own row", i) for i, t in enumerate([*texts, texts[4], texts[4]])]
+    names = "doc_id long, text string, lang string, source string, n_chars long, score string, _row string, keep long"
+    docs = spark.createDataFrame(rows, names).repartition(3)
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, docs, SF)
+        assert out.schema.names == docs.schema.names
+        got = out.collect()
+        assert all(r["score"] == "own score" and r["_row"] == "own row" for r in got) and len({r["keep"] for r in got}) == len(got)
+        assert stage(spark, docs.limit(0), SF).count() == 0
+        kept = {r["keep"] for r in got}
+        if name == "simhash_dedup":
+            assert {k for k in kept if k not in (4, 10, 11)} == {1, 3, 5, 6, 7, 8, 9} and len(kept & {4, 10, 11}) == 1 and 0 not in kept
+        else:
+            assert not kept & {0, 1, 2} and {4, 5, 6, 8, 10, 11} <= kept
+    packed = corpus_pipeline.packed(spark, docs, SF).collect()
+    assert len({(r["doc_id"], r["piece"], r["sequence_id"], r["offset"]) for r in packed}) == len(packed)
+    assert corpus_pipeline.packed(spark, docs.limit(0), SF).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
