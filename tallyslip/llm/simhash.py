@@ -280,10 +280,10 @@ def _similar_runs(runs: DataFrame, most: int) -> DataFrame:
     return dealt.mapInArrow(link, "a long, b long")
 
 
-def _buckets(sketches: DataFrame, run_rows: int, chain: int) -> tuple[DataFrame, DataFrame]:
-    """(run, rep) of buckets of 2 to `run_rows` rows, and (run, rep, n) of larger ones: rows meet that share a lane's smallest value; a
+def _buckets(sketches: DataFrame, run_rows: int, chain: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(run, rep) of buckets of 2 to `run_rows` rows, (run, rep, n) of larger ones, and the tables that these read: rows meet that share a lane's smallest value; a
     larger bucket is parted by the next lane in the ring of lanes, in chains of at most `chain` lanes."""
-    small, large = [], None
+    small, large, written = [], None, []
     for length in range(1, chain + 1):
         if length == 1:
             member = sketches.select("rep", F.posexplode("least").alias("start", "run"))
@@ -294,11 +294,12 @@ def _buckets(sketches: DataFrame, run_rows: int, chain: int) -> tuple[DataFrame,
         counts = materialize(member.groupBy("run").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
         shared = materialize(member.join(counts, "run"))
         discard(counts)
+        written.append(shared)
         small.append(shared.filter(F.col("n") <= run_rows).select("run", "rep"))
         large = shared.filter(F.col("n") > run_rows)
         if not large.limit(1).count():
             break
-    return reduce(DataFrame.unionByName, small), large
+    return reduce(DataFrame.unionByName, small), large, written
 
 
 def similar_links(sketches: DataFrame, most: int, run_rows: int = RUN_ROWS, chain: int = CHAIN) -> DataFrame:
@@ -309,12 +310,14 @@ def similar_links(sketches: DataFrame, most: int, run_rows: int = RUN_ROWS, chai
     every block also gets the bucket's few pivots, which join what is one group over all blocks at a cost that grows with the bucket.
     Then what isn't in the bucket's main group meets all blocks, so no pair of the bucket goes unseen."""
     prints = sketches.select("rep", "print")
-    small, large = _buckets(sketches, run_rows, chain)
+    small, large, written = _buckets(sketches, run_rows, chain)
     links = materialize(_similar_runs(small.join(prints, "rep").withColumn("side", F.lit(0)), most))
     if not large.limit(1).count():
+        discard(*written)
         return components(links)
     blocks = F.ceil(F.col("n") / run_rows).cast("int")
     large = materialize(large.select("run", "rep", blocks.alias("blocks"), (F.pmod(F.xxhash64(F.lit(3), "rep"), F.ceil(F.col("n") / PIVOTS)) == 0).alias("pivot")))
+    discard(*written)
     large = large.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     dealt = large.select("run", "rep", F.explode(F.when(F.col("pivot"), every).otherwise(F.array("block"))).alias("block"))
@@ -366,7 +369,9 @@ def similar_rows(docs: DataFrame, similarity: float = 0.8, shingle: int = SIMILA
     most = math.floor(64 * LANES * (1 - Fraction(str(similarity))))
     classes = similar_links(sketches, most, run_rows, chain)
     of_rows = rows.select("_row", F.col("_rep").alias("id")).join(classes, "id", "left")
-    return rows.drop("_rep", "_print", "_least"), materialize(of_rows.select("_row", F.coalesce("component", "id").alias("_group")))
+    groups = materialize(of_rows.select("_row", F.coalesce("component", "id").alias("_group")))
+    discard(sketches)
+    return rows.drop("_rep", "_print", "_least"), groups
 
 
 def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = SIMILAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text", run_rows: int = RUN_ROWS, chain: int = CHAIN) -> DataFrame:
