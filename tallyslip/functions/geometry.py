@@ -9,7 +9,7 @@ CORNERS = ["a", "b", "c", "d"]
 
 
 def order_quad(df: DataFrame) -> DataFrame:
-    """ax..dy sorted by angle about the centroid, starting at the corner with the smallest x + y."""
+    """ax..dy sorted by angle about the centroid, starting at the corner with the smallest x + y; null where corners repeat."""
     df = df.withColumnsRenamed({f"{c}{k}": f"{c}{k}_" for c in CORNERS for k in "xy"})
     cx, cy = ((F.col(f"a{k}_") + F.col(f"b{k}_") + F.col(f"c{k}_") + F.col(f"d{k}_")) / 4 for k in "xy")
     corner = [F.struct(F.atan2(F.col(f"{c}y_") - cy, F.col(f"{c}x_") - cx).alias("angle"), F.lit(i).alias("pos"), F.col(f"{c}x_").alias("x"), F.col(f"{c}y_").alias("y")) for i, c in enumerate(CORNERS)]
@@ -17,7 +17,8 @@ def order_quad(df: DataFrame) -> DataFrame:
     sums = F.transform("_q", lambda p: p["x"] + p["y"])
     start = F.array_position(sums, F.array_min(sums)).cast("int")
     df = df.withColumn("_q", F.concat(F.slice("_q", start, F.lit(4)), F.slice("_q", F.lit(1), start - 1)))
-    df = df.withColumns({f"{c}{k}": F.col("_q")[i][k] for i, c in enumerate(CORNERS) for k in "xy"})
+    whole = F.size(F.array_distinct(F.transform("_q", lambda p: F.struct(p["x"], p["y"])))) == 4
+    df = df.withColumns({f"{c}{k}": F.when(whole, F.col("_q")[i][k]) for i, c in enumerate(CORNERS) for k in "xy"})
     return df.drop("_q", *[f"{c}{k}_" for c in CORNERS for k in "xy"])
 
 
@@ -26,7 +27,7 @@ def _side(p: str, q: str) -> Column:
 
 
 def quad_score(prefer_portrait: bool = True) -> Column:
-    """The score of an ordered quad as a screen, -1 where it can't be one."""
+    """The score of an ordered quad as a screen, -1 where it can't be one. The limits below are fixed values that decide results."""
     area = F.abs(sum((F.col(f"{p}x") * F.col(f"{q}y") - F.col(f"{q}x") * F.col(f"{p}y") for p, q in zip(CORNERS, "bcda")), F.lit(0.0))) / 2
     image = (F.col("w") * F.col("h")).cast("double")
     whole = {k: [F.col(f"{c}{k}").cast("int") for c in CORNERS] for k in "xy"}
@@ -92,3 +93,42 @@ def project(u: Column, v: Column) -> tuple[Column, Column]:
     """(x, y) of a point under h0..h8."""
     n = F.col("h6") * u + F.col("h7") * v + F.col("h8")
     return (F.col("h0") * u + F.col("h1") * v + F.col("h2")) / n, (F.col("h3") * u + F.col("h4") * v + F.col("h5")) / n
+
+
+def bbox_to_polygon(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """The four corners of a box, clockwise from the top left one."""
+    return F.array(F.array(x1, y1), F.array(x2, y1), F.array(x2, y2), F.array(x1, y2))
+
+
+def full_image_quad(w: Column, h: Column) -> Column:
+    """The quad of a whole image, by the centres of its corner pixels."""
+    return bbox_to_polygon(F.lit(0), F.lit(0), w - 1, h - 1)
+
+
+def determinant(m: Column) -> Column:
+    """Of nine numbers by rows."""
+    a, b, c, d, e, f, g, h, i = (F.get(m, F.lit(k)) for k in range(9))
+    return a * (e * i - f * h) - b * (d * i - f * g) + c * (d * h - e * g)
+
+
+def validate_geometry(df: DataFrame, tolerance: float = 1e-5) -> DataFrame:
+    """`violations` of staged geometry: `to_rectified` and `to_original` (nine numbers by rows), `rotation_degrees`, `screen_quad` (four
+    points), and recorded sizes against the present ones (source_w, source_h, rectified_w, rectified_h and the same with now_)."""
+    finite = lambda a: F.forall(a, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    invertible = lambda m: F.coalesce((F.size(m) == 9) & finite(m) & (F.abs(determinant(m)) >= 1e-12), F.lit(False))
+    one, other = F.col("to_rectified"), F.col("to_original")
+    cell = lambda m, r, c: F.get(m, F.lit(3 * r + c))
+    product = {(r, c): sum((cell(one, r, k) * cell(other, k, c) for k in range(3)), F.lit(0.0)) for r in range(3) for c in range(3)}
+    near = [F.abs(x - float(r == c)) <= tolerance + tolerance * float(r == c) for (r, c), x in product.items()]
+    inverse = near[0]
+    for n in near[1:]:
+        inverse = inverse & n
+    quad = F.coalesce((F.size("screen_quad") == 4) & F.forall("screen_quad", lambda p: (F.size(p) == 2) & finite(p)), F.lit(False))
+    same = lambda k: F.coalesce((F.col(f"{k}_w") == F.col(f"now_{k}_w")) & (F.col(f"{k}_h") == F.col(f"now_{k}_h")), F.lit(False))
+    checks = [
+        (~same("source"), "source size"), (~same("rectified"), "rectified size"), (~quad, "screen quad"),
+        (~invertible(one), "to_rectified"), (~invertible(other), "to_original"),
+        (invertible(one) & invertible(other) & ~F.coalesce(inverse, F.lit(False)), "not inverse"),
+        (~F.coalesce(F.col("rotation_degrees").isin(0, 90, 180, 270), F.lit(False)), "rotation"),
+    ]
+    return df.withColumn("violations", F.array_compact(F.array(*[F.when(c, F.lit(name)) for c, name in checks])))

@@ -46,3 +46,16 @@ def style_tags(df: DataFrame) -> DataFrame:
     other = dict(zip(["platform", "review_tag", "requires_manual_review", "reason"], OTHER_TAGS))
     out = out.withColumns({c: F.when(F.col("_known"), F.col(c)).otherwise(F.lit(v)) for c, v in other.items()})
     return out.withColumns({"authenticity": F.lit("not_assessed"), "rule_version": F.lit(RULE_VERSION)}).drop("_known")
+
+
+def style_record(boxes: DataFrame, gated: DataFrame, model: str, config: float, schema_version: int = 2) -> DataFrame:
+    """Per strongest status box (image_id, x1..y2) the record of its style: classified, in review, or unavailable where it has no
+    class probabilities; with the box (in full; it is rounded on export) and the model and config that made it."""
+    rows = boxes.join(gated, "image_id", "left")
+    known = F.col("label").isNotNull()
+    label = F.coalesce("label", F.lit("unknown"))
+    return rows.withColumns({
+        "schema_version": F.lit(schema_version), "state": F.when(~known, "unavailable").when(label == "unknown", "review").otherwise("classified"),
+        "business_tag": business_tag(label), "candidate_label": F.coalesce("candidate", F.lit("unknown")), "confidence": F.round(F.coalesce("confidence", F.lit(0.0)), 9),
+        "model": F.lit(model), "config": F.lit(config), "label": label,
+    }).drop("candidate")

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyslip.functions.style import business_tag
+
+# Suffixes of images.
 IMAGE_SUFFIXES = ["jpg", "jpeg", "png", "webp", "bmp", "tif", "tiff"]
 
 
@@ -72,18 +77,22 @@ def output_name_collisions(df: DataFrame) -> DataFrame:
     return df.groupBy(F.lower(stem_of(F.col("image_id"))).alias("stem")).agg(F.count(F.lit(1)).alias("n"), F.min("image_id").alias("first")).filter("n > 1")
 
 
-def is_committed(ocr_mode: bool = True) -> Column:
+def is_committed(ocr_mode: bool = True, style: dict | None = None) -> Column:
     """Whether a bundle still stands for its image: all outputs there, not older, an object of fields, the same source,
-    and in OCR mode boxes that all have a result."""
+    in OCR mode boxes that all have a result, and in style mode (`style`: schema_version, model, config) a style record made
+    under the same version, model and config whose tags are those of its label by the present rules."""
     out = F.col("all_outputs") & (F.col("result_mtime") >= F.col("mtime")) & F.col("fields_object") & (F.col("recorded_source") == F.col("image_id"))
     if ocr_mode:
         out = out & (F.col("n_detections") > 0) & (F.col("n_detections") == F.col("n_with_ocr"))
+    if style:
+        same = [F.col("style_schema") == style["schema_version"], F.col("style_model") == style["model"], F.col("style_config") == style["config"]]
+        out = reduce(Column.__and__, same, out) & F.col("style_tag").eqNullSafe(business_tag(F.col("style_label")))
     return F.coalesce(out, F.lit(False))
 
 
-def split_committed(images: DataFrame, bundles: DataFrame) -> DataFrame:
+def split_committed(images: DataFrame, bundles: DataFrame, ocr_mode: bool = True, style: dict | None = None) -> DataFrame:
     """`committed` per image: those become skipped_existing, the others are the work list."""
-    return images.join(bundles, F.col("image_id") == F.col("source"), "left").withColumn("committed", is_committed())
+    return images.join(bundles, F.col("image_id") == F.col("source"), "left").withColumn("committed", is_committed(ocr_mode, style))
 
 
 def rehydrate(stage: DataFrame, images: DataFrame) -> DataFrame:
@@ -113,8 +122,8 @@ def unmatched_names(df: DataFrame, root: str) -> DataFrame:
 
 
 def stale_crops(images: DataFrame, bundles: DataFrame) -> DataFrame:
-    """`stale`: the crop is missing, empty, or older than its bundle or source."""
-    joined = images.join(bundles, F.col("image_id") == F.col("source"))
+    """`stale`: the bundle or crop is missing, or the crop is empty or older than its bundle or source."""
+    joined = images.join(bundles, F.col("image_id") == F.col("source"), "left")
     fresh = (F.col("crop_size") > 0) & (F.col("crop_mtime") >= F.greatest("result_mtime", "mtime"))
     return joined.select("image_id", (~F.coalesce(fresh, F.lit(False))).alias("stale"))
 
@@ -127,13 +136,59 @@ def group_id(source: Column, result: Column) -> Column:
     return F.concat_ws("/", folder, F.coalesce(F.nullif(cut, F.lit("")), stem_of(base_name(result))))
 
 
+# What is put behind the stem of an image's outputs and of its stage files.
+OUTPUT_SUFFIXES = {"result": ".json", "annotated_rectified": "_rectified_annotated.jpg", "annotated_original": "_original_annotated.jpg"}
+
+
+def result_paths(path: Column) -> list[Column]:
+    """The output paths of an image."""
+    return [F.concat(stem_of(path), F.lit(suffix)).alias(name) for name, suffix in OUTPUT_SUFFIXES.items()]
+
+
+def shard_suffix(index: int, count: int) -> str:
+    """What names a shard's manifest: empty for a single one, else its number among all."""
+    if not 0 <= index < count:
+        raise ValueError("the shard must be in [0, count)")
+    return "" if count == 1 else f".shard-{index:03d}-of-{count:03d}"
+
+
 def manifest_rows(df: DataFrame) -> DataFrame:
     """Output paths and status per image."""
-    stem = stem_of(F.col("image_id"))
-    return df.select(
-        F.col("image_id").alias("source"), F.concat(stem, F.lit(".json")).alias("result"), F.concat(stem, F.lit("_rectified_annotated.jpg")).alias("annotated_rectified"),
-        F.concat(stem, F.lit("_original_annotated.jpg")).alias("annotated_original"), F.when(F.col("committed"), "skipped_existing").otherwise("written").alias("status"),
-    )
+    status = F.when(F.col("committed"), "skipped_existing").otherwise("written").alias("status")
+    return df.select(F.col("image_id").alias("source"), *result_paths(F.col("image_id")), status)
+
+
+def union_manifests(*shards: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows to read text for, rows carried over) of the shards' manifests: what was skipped as existing is carried without a reading. A
+    carried row whose five values aren't all there ends the job."""
+    rows = reduce(DataFrame.unionByName, shards)
+    names = ["source", *OUTPUT_SUFFIXES, "status"]
+    whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in names])
+    skipped = rows.filter(F.col("status") == "skipped_existing").select(*names)
+    skipped = skipped.filter(F.when(whole, F.lit(True)).otherwise(F.raise_error(F.lit("invalid skipped row in a manifest")).cast("boolean")))
+    return rows.filter(~F.coalesce(F.col("status") == "skipped_existing", F.lit(False))), skipped
+
+
+def rectification_manifest(df: DataFrame, root: str, geometry: list[str]) -> DataFrame:
+    """One row per prepared image: where it came from, where its rectified image lies, and its flat geometry."""
+    source = F.concat(F.lit(root.rstrip("/") + "/"), F.col("image_id"))
+    rectified = F.concat(F.lit("images/"), stem_of(F.col("image_id")), F.lit(".jpg"))
+    return df.select(source.alias("source"), F.col("image_id").alias("source_relative"), rectified.alias("rectified_image"), *geometry)
+
+
+def config_mismatches(rows: DataFrame, config: dict) -> DataFrame:
+    """Rows per config found (columns as in `config`), with `same`: whether it is the wanted one."""
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.lit(v)) for k, v in config.items()])
+    return rows.groupBy(*config).agg(F.count(F.lit(1)).alias("n")).withColumn("same", same)
+
+
+def require_same_config(rows: DataFrame, config: dict, overwrite: bool = False) -> DataFrame:
+    """`rows`, which must have been made under `config`; a row under another one ends the job. With `overwrite` they are all to be made
+    anew and get the config."""
+    if overwrite:
+        return rows.withColumns({k: F.lit(v) for k, v in config.items()})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.lit(v)) for k, v in config.items()])
+    return rows.filter(F.when(same, F.lit(True)).otherwise(F.raise_error(F.lit("rows were made under another config; overwrite them")).cast("boolean")))
 
 
 def batch_summary(manifest: DataFrame, errors: DataFrame) -> DataFrame:
@@ -150,12 +205,14 @@ def union_in_stages(*frames: DataFrame) -> DataFrame:
 
 
 def choose_orientation(df: DataFrame, prefer_portrait: bool = True) -> DataFrame:
-    """Degrees per image: the explicit value modulo 360, else the best text score (a bonus of 0.02 if the turned image stands
+    """Degrees per image: the explicit value modulo 360 (no multiple of 90 ends the job), else the best text score (a bonus of 0.02 if the turned image stands
     upright), the smallest on ties; without any score 90 for wide images, else 0."""
     wide = F.col("w") > F.col("h")
     upright = F.when(F.col("degrees") % 180 == 0, F.col("h") >= F.col("w")).otherwise(F.col("w") >= F.col("h"))
     score = F.col("confidence") + F.least(F.col("n_lines"), F.lit(10)) * 0.01 + F.when(upright & F.lit(prefer_portrait), 0.02).otherwise(0.0)
     best = F.row_number().over(Window.partitionBy("image_id").orderBy(F.coalesce(score, F.lit(float("-inf"))).desc(), "degrees"))
     top = df.withColumn("_s", score).withColumn("_n", best).filter("_n = 1")
-    chosen = F.when(F.col("explicit_degrees").isNotNull(), F.pmod("explicit_degrees", F.lit(360))).when(F.col("_s").isNotNull(), F.col("degrees")).when(wide & F.lit(prefer_portrait), 90).otherwise(0)
+    turn = F.pmod("explicit_degrees", F.lit(360))
+    turn = F.when(turn % 90 == 0, turn).otherwise(F.raise_error(F.concat(F.lit("orientation must be a multiple of 90: "), F.col("explicit_degrees"))).cast("int"))
+    chosen = F.when(F.col("explicit_degrees").isNotNull(), turn).when(F.col("_s").isNotNull(), F.col("degrees")).when(wide & F.lit(prefer_portrait), 90).otherwise(0)
     return top.select("image_id", chosen.cast("int").alias("orientation"))

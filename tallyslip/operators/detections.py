@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyslip.functions.text import LABELS
+from tallyslip.functions.text import LABELS, extract_field_value, normalize_amount, normalize_time
 
 # Names shown for labels, in display order.
 DISPLAY_NAMES = {"time": "时间", "amount": "金额", "transfer_status": "转账状态", "recipient_field": "收款方", "payment_method_field": "付款方式"}
+# The name and the values shown for status styles.
+STYLE_DISPLAY_NAME = "设备/风险标签"
+STYLE_DISPLAY_VALUES = {"check_offset": "Android", "check_aligned": "iOS", "check_absent": "疑似假图", "unknown": "待复核"}
 
 
 def labels_dim(spark: SparkSession) -> DataFrame:
@@ -46,6 +49,12 @@ def validate_detections(df: DataFrame) -> DataFrame:
     return df.withColumn("violations", F.array_compact(F.array(*[F.when(c, F.lit(name)) for c, name in checks])))
 
 
+def validate_images(df: DataFrame) -> DataFrame:
+    """Per image all violations of its boxes, as one bad box fails the image; empty if there are none."""
+    found = F.array_sort(F.array_distinct(F.flatten(F.collect_list("violations"))))
+    return validate_detections(df).groupBy("image_id").agg(found.alias("violations"))
+
+
 def best_per_label(df: DataFrame) -> DataFrame:
     """The strongest box of every image and label; the first one on ties."""
     first = Window.partitionBy("image_id", "label").orderBy(F.desc("score"), "pos")
@@ -81,10 +90,18 @@ def ocr_crop_box(df: DataFrame, width: int, height: int) -> DataFrame:
 
 
 def status_crop_box(df: DataFrame, width: int, height: int, margin: float = 0.3) -> DataFrame:
-    """As ocr_crop_box with a relative margin and no least one; boxes that aren't finite or are empty have no crop."""
+    """As ocr_crop_box with a relative margin and no least one; boxes that aren't finite or are empty keep their row, with no crop
+    and the reason in `crop_error`, as do those outside the image."""
     if margin < 0:
         raise ValueError("the margin must not be negative")
-    return _crop(df.filter(_finite("x1") & _finite("y1") & _finite("x2") & _finite("y2") & (F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1"))), (F.col("x2") - F.col("x1")) * margin, (F.col("y2") - F.col("y1")) * margin, width, height)
+    finite = _finite("x1") & _finite("y1") & _finite("x2") & _finite("y2")
+    some = finite & (F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1"))
+    held = df.withColumns({f"_{c}": F.col(c) for c in ("x1", "y1", "x2", "y2")}).withColumns({c: F.when(some, F.col(c)) for c in ("x1", "y1", "x2", "y2")})
+    out = _crop(held, (F.col("x2") - F.col("x1")) * margin, (F.col("y2") - F.col("y1")) * margin, width, height)
+    out = out.withColumns({c: F.when(F.col("x1").isNotNull(), F.col(c)) for c in ("left", "top", "right", "bottom")})
+    out = out.withColumns({c: F.col(f"_{c}") for c in ("x1", "y1", "x2", "y2")}).drop("_x1", "_y1", "_x2", "_y2")
+    error = F.when(~finite, "box not finite").when(~some, "empty box").when(F.col("left").isNull(), "box outside the image")
+    return out.withColumn("crop_error", error)
 
 
 def _crop(df: DataFrame, mx: Column, my: Column, width: int, height: int) -> DataFrame:
@@ -102,16 +119,37 @@ def percent(score: Column) -> Column:
 
 
 def caption(label: Column, text: Column, score: Column) -> Column:
-    """Display name, text if there is any, and the score in percent."""
+    """Display name, text if there is any, and the score in percent in brackets."""
     name = F.coalesce(F.create_map(*[F.lit(x) for kv in DISPLAY_NAMES.items() for x in kv])[label], label)
-    return F.concat_ws(" ", name, F.nullif(F.trim(text), F.lit("")), percent(score))
+    return F.concat_ws(" ", name, F.nullif(F.trim(text), F.lit("")), F.concat(F.lit("("), percent(score), F.lit(")")))
+
+
+def style_caption(label: Column, confidence: Column) -> Column:
+    """The same of a status style; unknown labels read as waiting for review."""
+    shown = F.create_map(*[F.lit(x) for kv in STYLE_DISPLAY_VALUES.items() for x in kv])
+    value = F.coalesce(shown[label], F.lit(STYLE_DISPLAY_VALUES["unknown"]))
+    return F.concat(F.lit(STYLE_DISPLAY_NAME + " "), value, F.lit(" ("), percent(confidence), F.lit(")"))
+
+
+def structured_caption_text(label: Column, text: Column) -> Column:
+    """The text that a caption shows: the normalised value of time, amount, recipient and payment where there is one, else the text."""
+    value = (
+        F.when(label == "time", normalize_time(text))
+        .when(label == "amount", normalize_amount(text)["normalized"])
+        .when(label == "recipient_field", extract_field_value(text, "recipient"))
+        .when(label == "payment_method_field", extract_field_value(text, "payment_method"))
+    )
+    return F.coalesce(F.nullif(value, F.lit("")), text)
 
 
-def caption_rows(df: DataFrame) -> DataFrame:
-    """Captions numbered per image in display order; unknown labels last."""
+def caption_rows(df: DataFrame, styles: DataFrame | None = None) -> DataFrame:
+    """Captions numbered per image in display order; unknown labels last, then the image's row of `styles` (image_id), if it has one."""
     rank = F.coalesce(F.array_position(F.array(*map(F.lit, DISPLAY_NAMES)), F.col("label")), F.lit(0))
-    order = Window.partitionBy("image_id").orderBy(F.when(rank == 0, 99).otherwise(rank), "pos")
-    return df.withColumn("number", F.row_number().over(order))
+    rows = df.withColumn("_rank", F.when(rank == 0, 99).otherwise(rank))
+    if styles is not None:
+        style_rows = styles.select("image_id").withColumns({"label": F.lit("status_style"), "_rank": F.lit(100)})
+        rows = rows.unionByName(style_rows, allowMissingColumns=True)
+    return rows.withColumn("number", F.row_number().over(Window.partitionBy("image_id").orderBy("_rank", "pos"))).drop("_rank")
 
 
 def ellipse_points(df: DataFrame, n: int = 40) -> DataFrame:

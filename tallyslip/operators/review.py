@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Labels a reviewer may give.
 REVIEW_LABELS = ["check_offset", "check_aligned", "check_absent", "unclear"]
+#: Stretches of a cohort's order in which windows work.
+RANGES = 64
 
 
 def read_label_manifest(lines: DataFrame) -> DataFrame:
@@ -14,7 +16,7 @@ def read_label_manifest(lines: DataFrame) -> DataFrame:
     row = F.from_json("line", "crop string, source string, result_json string, group_id string, label string")
     keys = F.json_object_keys("line")
     out = lines.withColumns({"_k": keys, "_r": row}).select("line_no", "_k", "_r.*")
-    blank = lambda c: F.col(c).isNotNull() & (F.trim(c) == "")
+    blank = lambda c: F.array_contains("_k", c) & (F.coalesce(F.trim(c), F.lit("")) == "")
     checks = [
         (F.col("_k").isNull(), "not an object"),
         (F.col("_k").isNotNull() & (F.size(F.array_intersect("_k", F.array(*map(F.lit, ["crop", "source", "result_json", "group_id", "label"])))) < 5), "missing key"),
@@ -60,18 +62,43 @@ def duplicate_keys(df: DataFrame) -> DataFrame:
     return again.groupBy(F.lower("result_json").alias("result_json")).agg(F.min("ord").alias("first_repeat"), (F.count(F.lit(1)) + 1).alias("n"))
 
 
+def _in_ranges(df: DataFrame) -> DataFrame:
+    """`df` with `_range`: which of RANGES stretches of `ord`, of about equal numbers of rows, a row lies in. Windows within (cohort,
+    _range) never see a whole cohort; what lies between ranges is carried over by their few totals."""
+    bounds = df.agg(F.percentile_approx("ord", [i / RANGES for i in range(1, RANGES)], 20 * RANGES)).first()[0]
+    edges = F.array(*map(F.lit, sorted(set(bounds or [])))).cast("array<bigint>")
+    return df.withColumn("_range", F.size(F.filter(edges, lambda b: b < F.col("ord"))))
+
+
+def _with_totals(df: DataFrame, totals: DataFrame, *values: str) -> DataFrame:
+    """`df` with the values of its cohort and range; cohorts may be null."""
+    own = totals.select(F.col("cohort").alias("_c"), F.col("_range").alias("_r"), *values)
+    return df.join(own, F.col("cohort").eqNullSafe(F.col("_c")) & (F.col("_range") == F.col("_r"))).drop("_c", "_r")
+
+
 def next_unlabelled(df: DataFrame) -> DataFrame:
     """Per row of a cohort the next row without a label, from the start again after the end; null if all have one."""
-    own = Window.partitionBy("cohort")
-    open_ = F.when(F.col("label").isNull(), F.col("ord"))
-    after = F.first(open_, ignorenulls=True).over(own.orderBy("ord").rowsBetween(1, Window.unboundedFollowing))
-    return df.withColumn("next_ord", F.coalesce(after, F.min(open_).over(own)))
+    rows = _in_ranges(df).withColumn("_open", F.when(F.col("label").isNull(), F.col("ord")))
+    by_range = Window.partitionBy("cohort").orderBy("_range")
+    totals = rows.groupBy("cohort", "_range").agg(F.min("_open").alias("_least"))
+    totals = totals.withColumns({
+        "_later": F.min("_least").over(by_range.rowsBetween(1, Window.unboundedFollowing)), "_first": F.min("_least").over(Window.partitionBy("cohort")),
+    })
+    back = Window.partitionBy("cohort", "_range").orderBy(F.desc("ord")).rowsBetween(Window.unboundedPreceding, -1)
+    rows = _with_totals(rows.withColumn("_near", F.last("_open", ignorenulls=True).over(back)), totals, "_later", "_first")
+    return rows.withColumn("next_ord", F.coalesce("_near", "_later", "_first")).drop("_range", "_open", "_near", "_later", "_first")
 
 
 def review_position(df: DataFrame) -> DataFrame:
-    own = Window.partitionBy("cohort")
-    index = F.row_number().over(own.orderBy("ord"))
-    return df.withColumn("position", F.concat_ws("/", index.cast("string"), F.count(F.lit(1)).over(own).cast("string")))
+    """`position`: a row's number in its cohort by `ord`, and the cohort's size."""
+    rows = _in_ranges(df)
+    before = Window.partitionBy("cohort").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy("cohort", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    totals = totals.withColumns({"_before": F.coalesce(F.sum("_n").over(before), F.lit(0)), "_all": F.sum("_n").over(Window.partitionBy("cohort"))})
+    index = F.row_number().over(Window.partitionBy("cohort", "_range").orderBy("ord"))
+    rows = _with_totals(rows.withColumn("_index", index), totals, "_before", "_all")
+    position = F.concat_ws("/", (F.col("_index") + F.col("_before")).cast("string"), F.col("_all").cast("string"))
+    return rows.withColumn("position", position).drop("_range", "_index", "_before", "_all")
 
 
 def limit_valid(df: DataFrame, n: int) -> DataFrame:

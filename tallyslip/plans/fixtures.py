@@ -18,7 +18,7 @@ SELECT user_id * 10 + event_id % 10 AS image_id, event_id AS pos,
   CAST(event_id * 29 % 1200 AS DOUBLE) + 10 + value / 4 AS y2
 FROM events""",
     "fx_ocr_lines": """
-SELECT conv_id AS image_id, 1 + turn % 5 AS class_id, turn AS line_no, CASE WHEN turn = 6 THEN '   ' ELSE substring(text, 1, 80) END AS text,
+SELECT conv_id AS image_id, 1 + turn % 5 AS class_id, turn AS line_no, CASE WHEN turn = 6 THEN '   ' ELSE text END AS text,
   CAST((conv_id * 7 + turn * 11) % 100 AS DOUBLE) / 100 AS score
 FROM conversations""",
     "fx_amount_text": """
@@ -54,18 +54,21 @@ SELECT page_id, concat(stem, suffix) AS image_id, page_id * 7 % 1000 + 1 AS leng
   SELECT page_id + 1000000000, upper(regexp_replace(regexp_replace(url, '^[a-z]+://', ''), '[?#].*$', '')) AS stem, '.png' FROM pages WHERE page_id % 25 = 3
 ) AS p""",
     "fx_corrections": """
-SELECT CASE WHEN page_id % 7 = 0 THEN image_id ELSE regexp_replace(image_id, '^.*/', '') END AS key, min(page_id) AS c_id, max(page_id % 3 = 0) AS skip,
+SELECT CASE WHEN page_id % 7 = 0 THEN image_id WHEN page_id % 11 = 0 THEN regexp_replace(image_id, '^.*/', '') ELSE concat(image_id, '.moved') END AS key, min(page_id) AS c_id, max(page_id % 3 = 0) AS skip,
   max(page_id % 2 = 0) AS orientation_set, max(CASE WHEN page_id % 4 = 0 THEN NULL ELSE 90 END) AS orientation, max(page_id % 5 = 0) AS max_side_set, max(0) AS max_side
-FROM fx_paths WHERE page_id % 7 = 0 OR page_id % 11 = 0 GROUP BY 1""",
+FROM fx_paths GROUP BY 1""",
     "fx_bundles": """
-SELECT image_id AS source, page_id % 8 <> 0 AS all_outputs, CASE WHEN page_id % 5 = 0 THEN mtime - 1000 ELSE mtime END AS result_mtime,
+SELECT CASE WHEN page_id % 3 = 0 THEN image_id ELSE concat(image_id, '.moved') END AS source, page_id % 8 <> 0 AS all_outputs, CASE WHEN page_id % 5 = 0 THEN mtime - 1000 ELSE mtime END AS result_mtime,
   CASE WHEN page_id % 14 = 0 THEN concat(image_id, '.old') ELSE image_id END AS recorded_source, page_id % 16 <> 1 AS fields_object,
   CASE WHEN page_id % 9 = 0 THEN 0 ELSE 5 END AS n_detections, CASE WHEN page_id % 9 = 0 THEN 0 WHEN page_id % 10 = 0 THEN 4 ELSE 5 END AS n_with_ocr,
-  page_id % 3 + 1 AS crop_size, mtime + (page_id % 4) * 500 - 700 AS crop_mtime
-FROM fx_paths WHERE page_id % 3 = 0""",
+  page_id % 3 + 1 AS crop_size, mtime + (page_id % 4) * 500 - 700 AS crop_mtime,
+  CASE WHEN page_id % 12 = 0 THEN 1 ELSE 2 END AS style_schema, CASE WHEN page_id % 15 = 0 THEN 'style-0' ELSE 'style-1' END AS style_model,
+  CASE WHEN page_id % 21 = 0 THEN 0.2 ELSE 0.3 END AS style_config, CASE page_id % 4 WHEN 1 THEN 'check_offset' WHEN 2 THEN 'check_aligned' WHEN 3 THEN 'check_absent' ELSE 'unknown' END AS style_label,
+  CASE WHEN page_id % 6 = 3 THEN 'review' WHEN page_id % 4 = 1 THEN 'android' WHEN page_id % 4 = 2 THEN 'ios' WHEN page_id % 4 = 3 THEN 'suspected_fake' ELSE 'review' END AS style_tag
+FROM fx_paths""",
     "fx_stage": """
-SELECT CASE WHEN page_id % 22 = 0 THEN concat(image_id, '.gone') ELSE image_id END AS source, CASE WHEN page_id % 6 = 0 THEN length + 1 ELSE length END AS length, mtime
-FROM fx_paths WHERE page_id % 2 = 0""",
+SELECT CASE WHEN page_id % 22 = 0 OR page_id % 2 = 1 THEN concat(image_id, '.gone') ELSE image_id END AS source, CASE WHEN page_id % 6 = 0 THEN length + 1 ELSE length END AS length, mtime
+FROM fx_paths""",
     "fx_orient": """
 SELECT conv_id AS image_id, degrees, CASE WHEN conv_id % 6 = 0 THEN NULL ELSE CAST((conv_id * 3 + degrees) % 10 AS DOUBLE) / 10 END AS confidence,
   (conv_id + CAST(degrees / 90 AS BIGINT)) % 13 AS n_lines, CASE WHEN conv_id % 2 = 0 THEN 1200 ELSE 800 END AS w, CASE WHEN conv_id % 2 = 0 THEN 800 ELSE 1200 END AS h,
@@ -81,6 +84,23 @@ FROM part""",
     "fx_probs": """
 SELECT vec_id AS image_id, 20 * CAST(embedding[{first}] AS DOUBLE) AS l0, CASE WHEN vec_id % 50 = 0 THEN 20 * CAST(embedding[{first}] AS DOUBLE) ELSE 20 * CAST(embedding[{second}] AS DOUBLE) END AS l1, 20 * CAST(embedding[{third}] AS DOUBLE) AS l2
 FROM embeddings""",
+    "fx_geometry": """
+SELECT p_partkey AS pos, CASE WHEN p_partkey % 13 = 0 THEN 0.0 ELSE 1.0 + p_partkey % 7 END AS a, 2.0 + p_partkey % 3 AS b, 1.0 * (p_partkey % 50) AS tx, 1.0 * (p_partkey % 40) AS ty,
+  1.0 / (1.0 + p_partkey % 7) AS ia, 1.0 / (2.0 + p_partkey % 3) AS ib, -1.0 * (p_partkey % 50) / (1.0 + p_partkey % 7) + CASE WHEN p_partkey % 17 = 0 THEN 0.5 ELSE 0.0 END AS itx,
+  -1.0 * (p_partkey % 40) / (2.0 + p_partkey % 3) AS ity, CASE WHEN p_partkey % 5 = 0 THEN 45 ELSE p_partkey % 4 * 90 END AS rotation_degrees,
+  CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE 1.0 * p_size END AS qx, 800 AS w, 1400 AS h, CASE WHEN p_partkey % 23 = 0 THEN 801 ELSE 800 END AS now_w, CASE WHEN p_partkey % 29 = 0 THEN 1399 ELSE 1400 END AS now_h
+FROM part""",
+    "fx_correction_docs": """
+SELECT page_id, concat('{{"', image_id, '": {{"skip": ', CASE page_id % 3 WHEN 0 THEN 'true' WHEN 1 THEN '"true"' ELSE 'false' END,
+  CASE WHEN page_id % 2 = 0 THEN ', "orientation_degrees": null' ELSE '' END, ', "max_side": ', CAST(page_id % 4 * 100 AS VARCHAR(20)), '}}}}') AS value
+FROM fx_paths""",
+    "fx_payloads": """
+SELECT doc_id, CASE doc_id % 5
+  WHEN 0 THEN concat('{{"rec_texts": ["a', CAST(doc_id AS VARCHAR(20)), '", "b", "c"], "rec_scores": [0.5, 0.25]}}')
+  WHEN 1 THEN concat('{{"texts": ["t', CAST(doc_id AS VARCHAR(20)), '"]}}')
+  WHEN 2 THEN concat('[[[[0, 0], [1, 1]], ["x', CAST(doc_id AS VARCHAR(20)), '", 0.75]], [[[2, 2]], ["y", "bad"]]]')
+  WHEN 3 THEN '{{"other": 1}}' ELSE '[]' END AS payload
+FROM documents""",
     "fx_manifest": """
 SELECT doc_id AS ord, concat('out/', source, '/', CAST(doc_id AS VARCHAR(20)), '.JSON') AS result_json, source AS cohort, CASE WHEN doc_id % 5 = 0 THEN 'unclear' ELSE NULL END AS label FROM documents""",
     "fx_reviewed": """
@@ -101,7 +121,7 @@ FROM documents""",
 }
 
 #: Views that others read, before them.
-NEEDS = {"fx_corrections": ["fx_paths"], "fx_bundles": ["fx_paths"], "fx_stage": ["fx_paths"]}
+NEEDS = {"fx_corrections": ["fx_paths"], "fx_bundles": ["fx_paths"], "fx_stage": ["fx_paths"], "fx_correction_docs": ["fx_paths"]}
 TABLES = ("events", "conversations", "orders", "customer", "pages", "part", "embeddings", "documents", "labels")
 
 
@@ -110,11 +130,10 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = FIXTURES[name].format(first=0, second=1, third=2)
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"FROM {t}" in text or f"JOIN {t} " in text}
     frames |= {n: fixture(spark, sf_dir, n) for n in NEEDS.get(name, [])}
+    text = text.replace("{", "{{").replace("}", "}}")  # braces of JSON texts stay as they are
     for n in frames:
         text = text.replace(f"FROM {n}", f"FROM {{{n}}}").replace(f"JOIN {n} ", f"JOIN {{{n}}} ")
-    # braces of JSON texts stay as they are
-    protected = text.replace('{"', '{{"').replace('null}', 'null}}').replace('"}', '"}}')
-    return spark.sql(protected if '{"' in text else text, **frames)
+    return spark.sql(text, **frames)
 
 
 def with_fixtures(query: str, *names: str) -> str:

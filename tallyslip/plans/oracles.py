@@ -72,9 +72,9 @@ ORACLES = {
     "split_committed": _committed("SELECT committed, count(*) AS n FROM c GROUP BY 1"),
     "write_manifest": _committed(f"SELECT image_id AS source, {_STEM} || '.json' AS result, {_STEM} || '_rectified_annotated.jpg' AS annotated_rectified, {_STEM} || '_original_annotated.jpg' AS annotated_original, CASE WHEN committed THEN 'skipped_existing' ELSE 'written' END AS status FROM c"),
     "rehydrate": fx("SELECT s.source, CASE WHEN p.image_id IS NULL THEN 'missing source' WHEN s.length <> p.length OR s.mtime <> p.mtime THEN 'changed source' END AS error FROM fx_stage s LEFT JOIN fx_paths p ON p.image_id = s.source", "fx_stage"),
-    "overlapping_paths": fx("WITH o AS (SELECT image_id AS path FROM fx_paths WHERE page_id % 13 = 0 UNION SELECT regexp_replace(image_id, '/[^/]*$', '') FROM fx_paths WHERE page_id % 17 = 0) SELECT DISTINCT path FROM o WHERE EXISTS (SELECT 1 FROM fx_paths p WHERE o.path = p.image_id OR starts_with(o.path, p.image_id || '/') OR starts_with(p.image_id, o.path || '/'))", "fx_paths"),
+    "overlapping_paths": fx("WITH o AS (SELECT DISTINCT CASE WHEN page_id % 17 = 0 THEN regexp_replace(image_id, '/[^/]*$', '') WHEN page_id % 13 = 0 THEN image_id ELSE 'out/' || image_id END AS path FROM fx_paths) SELECT DISTINCT path FROM o WHERE EXISTS (SELECT 1 FROM fx_paths p WHERE o.path = p.image_id OR starts_with(o.path, p.image_id || '/') OR starts_with(p.image_id, o.path || '/'))", "fx_paths"),
     "unmatched_names": fx("SELECT image_id FROM fx_paths WHERE NOT starts_with(image_id, 'm.example.com/')", "fx_paths"),
-    "stale_crops": fx("SELECT p.image_id, NOT (b.crop_size > 0 AND b.crop_mtime >= greatest(b.result_mtime, p.mtime)) AS stale FROM fx_paths p JOIN fx_bundles b ON b.source = p.image_id", "fx_bundles"),
+    "stale_crops": fx("SELECT p.image_id, NOT coalesce(b.crop_size > 0 AND b.crop_mtime >= greatest(b.result_mtime, p.mtime), false) AS stale FROM fx_paths p LEFT JOIN fx_bundles b ON b.source = p.image_id", "fx_bundles"),
     "group_id": fx(f"SELECT image_id, regexp_replace({_STEM}, '([^/])[_-](19|20)[0-9]{{12}}$', '\\1') AS group_id FROM fx_paths".replace("{{12}}", "{12}"), "fx_paths"),
     "capture_groups": fx(f"SELECT regexp_replace({_STEM}, '([^/])[_-](19|20)[0-9]{{12}}$', '\\1') AS group_id, count(*) AS n FROM fx_paths GROUP BY 1".replace("{{12}}", "{12}"), "fx_paths"),
     "choose_orientation": fx("""WITH s AS (SELECT *, confidence + least(n_lines, 10) * 0.01 + CASE WHEN (degrees % 180 = 0 AND h >= w) OR (degrees % 180 = 90 AND w >= h) THEN 0.02 ELSE 0.0 END AS score FROM fx_orient),
@@ -89,8 +89,8 @@ SELECT image_id, concat_ws(',', CASE WHEN NOT coalesce(a1, false) THEN 'time' EN
     "pivot_fields": fx(f"WITH {_MAPPED} SELECT image_id, max(CASE WHEN class_id = 1 THEN pos END) AS time, max(CASE WHEN class_id = 2 THEN pos END) AS amount, max(CASE WHEN class_id = 3 THEN pos END) AS transfer_status, max(CASE WHEN class_id = 4 THEN pos END) AS recipient_field, max(CASE WHEN class_id = 5 THEN pos END) AS payment_method_field FROM m GROUP BY 1", "fx_detections"),
     "status_box": fx(f"WITH {_MAPPED}, r AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, pos) AS rn, count(*) OVER (PARTITION BY image_id) AS n FROM m WHERE class_id = 3) SELECT image_id, n, pos, score, n = 1 AS strict_ok FROM r WHERE rn = 1", "fx_detections"),
     "ocr_crop_box": fx("WITH c AS (SELECT pos, " + _CROP.format(mx="greatest(2.0, (x2 - x1) * 0.08::DOUBLE)", my="greatest(2.0, (y2 - y1) * 0.08::DOUBLE)") + f" FROM fx_detections) SELECT pos, {_CROP_OUT} FROM c", "fx_detections"),
-    "status_crop_box": fx("WITH c AS (SELECT pos, " + _CROP.format(mx="(x2 - x1) * 0.3::DOUBLE", my="(y2 - y1) * 0.3::DOUBLE") + f" FROM fx_detections WHERE x2 > x1 AND y2 > y1) SELECT pos, {_CROP_OUT} FROM c", "fx_detections"),
-    "caption": fx(f"WITH {_BEST} SELECT image_id, label, CASE label WHEN 'time' THEN '时间' WHEN 'amount' THEN '金额' WHEN 'transfer_status' THEN '转账状态' WHEN 'recipient_field' THEN '收款方' ELSE '付款方式' END || ' ' || CAST(CAST(round_even(score * 100, 0) AS BIGINT) AS VARCHAR) || '%' AS caption FROM best", "fx_detections"),
+    "status_crop_box": fx("WITH c AS (SELECT pos, " + _CROP.format(mx="(x2 - x1) * 0.3::DOUBLE", my="(y2 - y1) * 0.3::DOUBLE") + f", x2 > x1 AND y2 > y1 AS box FROM fx_detections), e AS (SELECT pos, box, CASE WHEN box THEN l END AS l, CASE WHEN box THEN t END AS t, CASE WHEN box THEN r END AS r, CASE WHEN box THEN b END AS b FROM c) SELECT pos, {_CROP_OUT}, CASE WHEN NOT box THEN 'empty box' WHEN NOT (r > l AND b > t) THEN 'box outside the image' END AS crop_error FROM e", "fx_detections"),
+    "caption": fx(f"WITH {_BEST} SELECT image_id, label, CASE label WHEN 'time' THEN '时间' WHEN 'amount' THEN '金额' WHEN 'transfer_status' THEN '转账状态' WHEN 'recipient_field' THEN '收款方' ELSE '付款方式' END || ' ' || '(' || CAST(CAST(round_even(score * 100, 0) AS BIGINT) AS VARCHAR) || '%)' AS caption FROM best", "fx_detections"),
     "caption_rows": fx(f"WITH {_BEST} SELECT image_id, label, CAST(row_number() OVER (PARTITION BY image_id ORDER BY class_id, pos) AS INT) AS number FROM best", "fx_detections"),
     "ellipse_points": fx(f"WITH {_BEST} SELECT pos, CAST(k AS INT) AS k, round((x1 + x2) / 2 + greatest(2.0, (x2 - x1) / 2 + 3) * cos(k * (2 * 3.141592653589793::DOUBLE / 40)), 6) AS px, round((y1 + y2) / 2 + greatest(2.0, (y2 - y1) / 2 + 3) * sin(k * (2 * 3.141592653589793::DOUBLE / 40)), 6) AS py FROM best CROSS JOIN (SELECT unnest(range(0, 40)) AS k) ks", "fx_detections"),
     "route_errors": fx(f"WITH {_VIOLATIONS} SELECT pos, CASE WHEN violations <> '' THEN violations END AS message FROM v", "fx_detections"),
@@ -121,10 +121,18 @@ SELECT image_id, {', '.join(f"coalesce(max(CASE WHEN label = '{c}' THEN state EN
     "softmax": fx(f"WITH {_PROBS} SELECT image_id, round(p0, 9) AS p0, round(p1, 9) AS p1, round(p2, 9) AS p2 FROM p", "fx_probs"),
     "gate_style": fx(f"WITH {_PROBS} SELECT image_id, label, candidate, round(confidence, 9) AS confidence FROM gated", "fx_probs"),
     "style_tags": fx(f"WITH {_PROBS} SELECT image_id, CASE label WHEN 'check_offset' THEN 'android' WHEN 'check_aligned' THEN 'ios' END AS platform, CASE label WHEN 'check_absent' THEN 'suspected_fake' WHEN 'unknown' THEN 'review' END AS review_tag, label IN ('check_absent', 'unknown') AS requires_manual_review, CASE label WHEN 'check_offset' THEN 'status_check_offset' WHEN 'check_aligned' THEN 'status_check_aligned' WHEN 'check_absent' THEN 'status_check_absent' ELSE 'status_style_low_confidence' END AS reason, CASE label WHEN 'check_offset' THEN 'android' WHEN 'check_aligned' THEN 'ios' WHEN 'check_absent' THEN 'suspected_fake' ELSE 'review' END AS business_tag FROM gated", "fx_probs"),
-    "style_record": fx(f"WITH {_PROBS}, s AS (SELECT DISTINCT image_id FROM fx_detections WHERE class_id = 3) SELECT s.image_id, CASE WHEN g.label IS NULL THEN 'unavailable' WHEN g.label = 'unknown' THEN 'review' ELSE 'classified' END AS state, g.label, 2 AS schema_version FROM s LEFT JOIN gated g ON g.image_id = s.image_id", "fx_probs", "fx_detections"),
+    "style_record": fx(
+        f"WITH {_PROBS}, {_MAPPED}, s AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, pos) AS rn FROM m WHERE class_id = 3) "
+        "SELECT s.image_id, x1, y1, x2, y2, coalesce(g.label, 'unknown') AS label, 2 AS schema_version, "
+        "CASE WHEN g.label IS NULL THEN 'unavailable' WHEN g.label = 'unknown' THEN 'review' ELSE 'classified' END AS state, "
+        "CASE g.label WHEN 'check_offset' THEN 'android' WHEN 'check_aligned' THEN 'ios' WHEN 'check_absent' THEN 'suspected_fake' ELSE 'review' END AS business_tag, "
+        "coalesce(g.candidate, 'unknown') AS candidate_label, round(coalesce(g.confidence, 0), 9) AS confidence, 'style-1' AS model, 0.3::DOUBLE AS config "
+        "FROM s LEFT JOIN gated g ON g.image_id = s.image_id WHERE rn = 1",
+        "fx_probs", "fx_detections",
+    ),
     "merge_review_labels": fx(f"WITH {_MERGED} SELECT ord, label FROM mg", "fx_manifest", "fx_reviewed"),
     "orphan_labels": fx("SELECT r.result_json FROM fx_reviewed r WHERE NOT EXISTS (SELECT 1 FROM fx_manifest m WHERE lower(m.result_json) = r.result_json)", "fx_manifest", "fx_reviewed"),
-    "extend_cohort": fx("SELECT result_json, ord % 3 <> 0 AS is_new, sha256(result_json) AS key, CAST(NULL AS VARCHAR) AS label FROM fx_manifest WHERE ord % 3 = 0 OR ord % 2 = 0", "fx_manifest"),
+    "extend_cohort": fx("SELECT CASE WHEN ord % 3 = 0 THEN result_json ELSE 'old/' || result_json END AS result_json, false AS is_new, sha256(CASE WHEN ord % 3 = 0 THEN result_json ELSE 'old/' || result_json END) AS key, CAST(NULL AS VARCHAR) AS label FROM fx_manifest UNION ALL SELECT result_json, true, sha256(result_json), CAST(NULL AS VARCHAR) FROM fx_manifest WHERE ord % 3 <> 0", "fx_manifest"),
     "review_progress": fx(f"WITH {_MERGED}, n AS (SELECT unnest(['check_offset', 'check_aligned', 'check_absent', 'unclear', 'remaining']) AS label) SELECT n.label, count(m.ord) AS n FROM n LEFT JOIN mg m ON coalesce(m.label, 'remaining') = n.label GROUP BY n.label", "fx_manifest", "fx_reviewed"),
     "duplicate_keys": fx("SELECT lower(result_json) AS result_json, ord + 10000000 AS first_repeat, CAST(2 AS BIGINT) AS n FROM fx_manifest WHERE ord % 6 = 0", "fx_manifest"),
     "next_unlabelled": fx(f"WITH {_MERGED}, u AS (SELECT cohort, ord FROM mg WHERE label IS NULL), a AS (SELECT m.ord, min(CASE WHEN u.ord > m.ord THEN u.ord END) AS later, min(u.ord) AS lowest FROM mg m LEFT JOIN u ON u.cohort = m.cohort GROUP BY m.ord) SELECT ord, coalesce(later, lowest) AS next_ord FROM a", "fx_manifest", "fx_reviewed"),
@@ -135,3 +143,68 @@ SELECT image_id, {', '.join(f"coalesce(max(CASE WHEN label = '{c}' THEN state EN
   e AS (SELECT *, CASE WHEN n <> 1 THEN 'not exactly one transfer_status' WHEN NOT (box AND r > l AND b > t) THEN 'empty crop' END AS error FROM c)
 SELECT image_id, pos, error, CASE WHEN error IS NULL THEN l END AS "left", CASE WHEN error IS NULL THEN t END AS top, CASE WHEN error IS NULL THEN r END AS "right", CASE WHEN error IS NULL THEN b END AS bottom FROM e""", "fx_detections"),
 }
+
+_TAG = "CASE b.style_label WHEN 'check_offset' THEN 'android' WHEN 'check_aligned' THEN 'ios' WHEN 'check_absent' THEN 'suspected_fake' ELSE 'review' END"
+_MANIFEST = (
+    f"SELECT image_id AS source, {_STEM} || '.json' AS result, {_STEM} || '_rectified_annotated.jpg' AS annotated_rectified, "
+    f"{_STEM} || '_original_annotated.jpg' AS annotated_original"
+)
+_PAYMENT_VALUE = "CASE WHEN payment LIKE '付款方式 %' THEN substring(payment, 6) ELSE payment END"
+
+ORACLES |= {
+    "is_bundle_committed_style": _committed(
+        "SELECT c.image_id, c.committed AND coalesce(b.style_schema = 2 AND b.style_model = 'style-1' AND b.style_config = 0.3 "
+        f"AND b.style_tag = {_TAG}, false) AS committed FROM c LEFT JOIN fx_bundles b ON b.source = c.image_id"
+    ),
+    "result_paths": fx(_MANIFEST.replace("AS source", "AS image_id") + " FROM fx_paths", "fx_paths"),
+    "union_manifests": _committed(f"{_MANIFEST}, CASE WHEN committed THEN 'skipped_existing' ELSE 'written' END AS status, committed AS carried FROM c"),
+    "require_same_config": fx(
+        "SELECT style_config, style_model, count(*) AS n, style_config = 0.3 AND style_model = 'style-1' AS same FROM fx_bundles GROUP BY 1, 2", "fx_bundles"
+    ),
+    "rectification_manifest": ORACLES["output_size"].replace(
+        "SELECT pos, CAST(greatest(2, round_even(ow",
+        "SELECT '/photos/in/' || CAST(z.pos AS VARCHAR) || '.png' AS source, 'in/' || CAST(z.pos AS VARCHAR) || '.png' AS source_relative, "
+        "'images/in/' || CAST(z.pos AS VARCHAR) || '.jpg' AS rectified_image, oq.w, oq.h, oq.ax, oq.ay, oq.cx, oq.cy, CAST(greatest(2, round_even(ow",
+    ).replace(" FROM z", " FROM z JOIN oq ON oq.pos = z.pos"),
+    "validate_geometry": fx(
+        """SELECT pos, concat_ws(',', CASE WHEN now_w <> w THEN 'source size' END, CASE WHEN now_h <> h THEN 'rectified size' END, CASE WHEN qx IS NULL THEN 'screen quad' END,
+  CASE WHEN a = 0 THEN 'to_rectified' END, CASE WHEN a <> 0 AND (abs(a * itx + tx) > 1e-5 OR abs(b * ity + ty) > 1e-5 OR abs(a * ia - 1) > 2e-5 OR abs(b * ib - 1) > 2e-5) THEN 'not inverse' END,
+  CASE WHEN rotation_degrees NOT IN (0, 90, 180, 270) THEN 'rotation' END) AS violations FROM fx_geometry""",
+        "fx_geometry",
+    ),
+    "bbox_to_polygon": fx(
+        "SELECT pos, x1 AS p0x, y1 AS p0y, x2 AS p1x, y1 AS p1y, x2 AS p2x, y2 AS p2y, x1 AS p3x, y2 AS p3y, "
+        "0 AS f0x, 0 AS f0y, 719 AS f1x, 0 AS f1y, 719 AS f2x, 1279 AS f2y, 0 AS f3x, 1279 AS f3y FROM fx_detections",
+        "fx_detections",
+    ),
+    "validate_images": fx(
+        f"WITH {_VIOLATIONS}, u AS (SELECT image_id, unnest(string_split(violations, ',')) AS x FROM v) "
+        "SELECT image_id, coalesce(string_agg(DISTINCT nullif(x, ''), ',' ORDER BY nullif(x, '')), '') AS violations FROM u GROUP BY 1",
+        "fx_detections",
+    ),
+    "structured_caption_text": fx(
+        f"""WITH {_BEST}, t AS (SELECT image_id, 'amount' AS label, min_by(text, row_id) AS text, min(row_id) AS row_id FROM fx_amount_text GROUP BY image_id),
+  o AS (SELECT image_id, label, text, (SELECT '¥' || CAST(f // 100 AS VARCHAR) || '.' || lpad(CAST(f % 100 AS VARCHAR), 2, '0') FROM (SELECT CAST({_AMOUNT} AS BIGINT) AS f)) AS value FROM t
+    UNION ALL SELECT row_id, 'recipient_field', recipient, {_RECIPIENT} FROM fx_field_rows UNION ALL SELECT row_id, 'transfer_status', status, NULL FROM fx_field_rows
+    UNION ALL SELECT row_id, 'payment_method_field', payment, {_PAYMENT_VALUE} FROM fx_field_rows UNION ALL SELECT row_id, 'time', text, {_TIME} FROM fx_time_text)
+SELECT b.image_id, b.label, coalesce(o.value, o.text) AS text FROM best b LEFT JOIN o ON o.image_id = b.image_id AND o.label = b.label""",
+        *_OCR_FX,
+    ),
+    "style_caption": fx(
+        f"""WITH {_PROBS}, {_BEST}, k AS (SELECT image_id, count(*) AS n FROM best GROUP BY 1)
+SELECT g.image_id, CAST(coalesce(k.n, 0) + 1 AS INT) AS number, '设备/风险标签 ' || CASE g.label WHEN 'check_offset' THEN 'Android' WHEN 'check_aligned' THEN 'iOS' WHEN 'check_absent' THEN '疑似假图' ELSE '待复核' END
+  || ' (' || CAST(CAST(round_even(confidence * 100, 0) AS BIGINT) AS VARCHAR) || '%)' AS caption FROM gated g LEFT JOIN k ON k.image_id = g.image_id""",
+        "fx_probs", "fx_detections",
+    ),
+    "load_corrections": fx(
+        "SELECT image_id AS key, page_id % 3 = 0 AS skip, page_id % 2 = 0 AS orientation_set, CAST(NULL AS INT) AS orientation, true AS max_side_set, "
+        "CAST(page_id % 4 * 100 AS INT) AS max_side FROM fx_paths",
+        "fx_paths",
+    ),
+    "flatten_ocr_payload": fx(
+        """SELECT doc_id, 0 AS line_no, 'a' || CAST(doc_id AS VARCHAR) AS text, 0.5::DOUBLE AS score FROM documents WHERE doc_id % 5 = 0 UNION ALL SELECT doc_id, 1, 'b', 0.25 FROM documents WHERE doc_id % 5 = 0
+UNION ALL SELECT doc_id, 0, 't' || CAST(doc_id AS VARCHAR), 0 FROM documents WHERE doc_id % 5 = 1
+UNION ALL SELECT doc_id, 0, 'x' || CAST(doc_id AS VARCHAR), 0.75 FROM documents WHERE doc_id % 5 = 2 UNION ALL SELECT doc_id, 1, 'y', 0 FROM documents WHERE doc_id % 5 = 2""",
+        "fx_payloads",
+    ),
+}

@@ -9,9 +9,11 @@ from tallyslip.functions import geometry as geo
 from tallyslip.functions import style, text
 from tallyslip.operators import batch, detections, review
 from tallyslip.plans.fixtures import fixture
+from tallyslip.sources import files
 
 QUERIES = {}
 THRESHOLD, WIDTH, HEIGHT, SHARDS = 0.5, 720, 1280, 8
+STYLE = {"schema_version": 2, "model": "style-1", "config": 0.3}
 
 
 def query(f):
@@ -112,7 +114,8 @@ def rehydrate(spark, d):
 @query
 def overlapping_paths(spark, d):
     paths = fixture(spark, d, "fx_paths")
-    outputs = paths.filter("page_id % 13 = 0").select("image_id").union(paths.filter("page_id % 17 = 0").select(F.regexp_replace("image_id", "/[^/]*$", "")))
+    folder = F.regexp_replace("image_id", "/[^/]*$", "")
+    outputs = paths.select(F.when(F.col("page_id") % 17 == 0, folder).when(F.col("page_id") % 13 == 0, F.col("image_id")).otherwise(F.concat(F.lit("out/"), "image_id")).alias("image_id"))
     return batch.overlapping_paths(outputs, paths)
 
 
@@ -188,7 +191,7 @@ def ocr_crop_box(spark, d):
 
 @query
 def status_crop_box(spark, d):
-    return detections.status_crop_box(fixture(spark, d, "fx_detections"), WIDTH, HEIGHT).select("pos", "left", "top", "right", "bottom")
+    return detections.status_crop_box(fixture(spark, d, "fx_detections"), WIDTH, HEIGHT).select("pos", "left", "top", "right", "bottom", "crop_error")
 
 
 @query
@@ -376,10 +379,9 @@ def style_tags(spark, d):
 
 @query
 def style_record(spark, d):
-    boxes = detections.status_box(detections.map_labels(fixture(spark, d, "fx_detections"))).select("image_id", F.col("n").alias("boxes"))
-    rows = boxes.join(_gated(spark, d), "image_id", "left")
-    state = F.when(F.col("label").isNull(), "unavailable").when(F.col("label") == "unknown", "review").otherwise("classified")
-    return rows.select("image_id", state.alias("state"), "label", F.lit(2).alias("schema_version"))
+    boxes = detections.map_labels(fixture(spark, d, "fx_detections"))
+    best = detections.status_box(boxes).select("image_id", "pos").join(boxes.select("pos", "x1", "y1", "x2", "y2"), "pos")
+    return style.style_record(best, _gated(spark, d), STYLE["model"], STYLE["config"]).drop("pos")
 
 
 # --- review
@@ -407,7 +409,8 @@ def orphan_labels(spark, d):
 @query
 def extend_cohort(spark, d):
     manifest = fixture(spark, d, "fx_manifest")
-    return review.extend_cohort(manifest.filter("ord % 3 = 0"), manifest.filter("ord % 2 = 0")).select("result_json", "is_new", "key", "label")
+    renamed = F.when(F.col("ord") % 3 == 0, F.col("result_json")).otherwise(F.concat(F.lit("old/"), "result_json"))
+    return review.extend_cohort(manifest.withColumn("result_json", renamed), manifest).select("result_json", "is_new", "key", "label")
 
 
 @query
@@ -418,7 +421,7 @@ def review_progress(spark, d):
 @query
 def duplicate_keys(spark, d):
     rows = fixture(spark, d, "fx_manifest")
-    twice = rows.select("ord", "result_json").unionByName(rows.filter("ord % 6 = 0").select((F.col("ord") + 10_000_000).alias("ord"), F.lower("result_json").alias("result_json")))
+    twice = rows.select("ord", "result_json").unionByName(rows.select((F.col("ord") + 10_000_000).alias("ord"), F.when(F.col("ord") % 6 == 0, F.lower("result_json")).otherwise(F.concat("result_json", F.lit(".copy"))).alias("result_json")))
     return review.duplicate_keys(twice)
 
 
@@ -446,3 +449,88 @@ def export_crop_plan(spark, d):
     out = only.join(crops, ["image_id", "pos"], "left")
     error = F.when(~F.col("strict_ok"), "not exactly one transfer_status").when(F.col("left").isNull(), "empty crop")
     return out.select("image_id", "pos", error.alias("error"), *[F.when(error.isNull(), F.col(c)).alias(c) for c in ("left", "top", "right", "bottom")])
+
+
+# --- resume, manifests, captions and geometry records
+
+
+@query
+def is_bundle_committed_style(spark, d):
+    rows = batch.split_committed(fixture(spark, d, "fx_paths"), fixture(spark, d, "fx_bundles"), style=STYLE)
+    return rows.select("image_id", "committed")
+
+
+@query
+def result_paths(spark, d):
+    return fixture(spark, d, "fx_paths").select("image_id", *batch.result_paths(F.col("image_id")))
+
+
+@query
+def union_manifests(spark, d):
+    """Manifests of all shards as one; skipped rows are carried past the text reading."""
+    rows = batch.assign_shard(batch.split_committed(fixture(spark, d, "fx_paths"), fixture(spark, d, "fx_bundles")), 2)
+    work, carried = batch.union_manifests(*[batch.manifest_rows(rows.filter(F.col("shard") == i)) for i in range(2)])
+    return work.withColumn("carried", F.lit(False)).unionByName(carried.withColumn("carried", F.lit(True)))
+
+
+@query
+def require_same_config(spark, d):
+    """Configs under which crops were made, and whether they are the wanted one."""
+    return batch.config_mismatches(fixture(spark, d, "fx_bundles"), {"style_config": 0.3, "style_model": "style-1"})
+
+
+@query
+def rectification_manifest(spark, d):
+    q = geo.output_size(_quads(spark, d), 1000).withColumn("image_id", F.concat(F.lit("in/"), F.col("pos").cast("string"), F.lit(".png")))
+    return batch.rectification_manifest(q, "/photos", ["w", "h", "out_w", "out_h", "ax", "ay", "cx", "cy"])
+
+
+@query
+def validate_geometry(spark, d):
+    z, one = F.lit(0.0), F.lit(1.0)
+    m = lambda *names: F.array(*[F.col(n).cast("double") if isinstance(n, str) else n for n in names])
+    rows = fixture(spark, d, "fx_geometry").withColumns({
+        "to_rectified": m("a", z, "tx", z, "b", "ty", z, z, one), "to_original": m("ia", z, "itx", z, "ib", "ity", z, z, one),
+        "screen_quad": F.array(m("qx", z), m(one, z), m(one, one), m(z, one)), "source_w": F.col("w"), "source_h": F.col("h"), "now_source_w": F.col("now_w"),
+        "now_source_h": F.col("h"), "rectified_w": F.col("w"), "rectified_h": F.col("h"), "now_rectified_w": F.col("w"), "now_rectified_h": F.col("now_h"),
+    })
+    return geo.validate_geometry(rows).select("pos", F.array_join("violations", ",").alias("violations"))
+
+
+@query
+def bbox_to_polygon(spark, d):
+    """Boxes as quads, and the quad of the whole image behind them."""
+    rows = fixture(spark, d, "fx_detections")
+    p, f = geo.bbox_to_polygon(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]), geo.full_image_quad(F.lit(WIDTH), F.lit(HEIGHT))
+    at = lambda a, n: [F.get(F.get(a, F.lit(i)), F.lit(k)).alias(f"{n}{i}{'xy'[k]}") for i in range(4) for k in range(2)]
+    return rows.select("pos", *at(p, "p"), *at(f, "f"))
+
+
+@query
+def validate_images(spark, d):
+    return detections.validate_images(fixture(spark, d, "fx_detections")).select("image_id", F.array_join("violations", ",").alias("violations"))
+
+
+@query
+def structured_caption_text(spark, d):
+    rows = detections.attach_ocr(_best(spark, d), _receipt_ocr(spark, d))
+    return rows.select("image_id", "label", detections.structured_caption_text(F.col("label"), F.col("text")).alias("text"))
+
+
+@query
+def style_caption(spark, d):
+    """Captions of status styles, and their number behind those of the image's boxes."""
+    styles = _gated(spark, d)
+    rows = detections.caption_rows(_best(spark, d), styles).filter("label = 'status_style'").select("image_id", "number")
+    return rows.join(styles, "image_id").select("image_id", "number", detections.style_caption(F.col("label"), F.col("confidence")).alias("caption"))
+
+
+@query
+def load_corrections(spark, d):
+    rows = files.load_corrections(fixture(spark, d, "fx_correction_docs"))
+    return rows.select("key", "skip", "orientation_set", "orientation", "max_side_set", "max_side")
+
+
+@query
+def flatten_ocr_payload(spark, d):
+    return files.flatten_ocr_payload(fixture(spark, d, "fx_payloads")).select("doc_id", "line_no", "text", "score")

@@ -30,8 +30,8 @@ def load_corrections(documents: DataFrame, value: str = "value") -> DataFrame:
     rows = documents.select(F.explode(entry).alias("key", "raw"))
     keys = F.json_object_keys("raw")
     rows = rows.withColumn("raw", F.when(keys.isNull(), F.raise_error(F.concat(F.lit("correction is no object: "), "key"))).otherwise(F.col("raw")))
-    one = F.from_json("raw", "skip string, orientation_degrees int, prefer_portrait boolean, auto_screen boolean, screen_quad array<array<double>>, max_side int")
-    out = rows.select("key", "raw", one.alias("c")).select("key", (F.get_json_object("raw", "$.skip") == "true").alias("skip"), F.col("c.orientation_degrees").alias("orientation"), "c.prefer_portrait", "c.auto_screen", "c.screen_quad", "c.max_side", "raw")
+    one = F.from_json("raw", "skip boolean, orientation_degrees int, prefer_portrait boolean, auto_screen boolean, screen_quad array<array<double>>, max_side int")
+    out = rows.select("key", "raw", one.alias("c")).select("key", F.coalesce("c.skip", F.lit(False)).alias("skip"), F.col("c.orientation_degrees").alias("orientation"), "c.prefer_portrait", "c.auto_screen", "c.screen_quad", "c.max_side", "raw")
     has = lambda k: F.array_contains(F.json_object_keys("raw"), k)
     return out.withColumns({"orientation_set": has("orientation_degrees"), "max_side_set": has("max_side")}).drop("raw")
 

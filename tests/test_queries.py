@@ -7,7 +7,7 @@ import pytest
 from tallyslip.plans.oracles import ORACLES
 from tallyslip.plans.queries import QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="module")
@@ -49,3 +49,51 @@ def test_label_lines(spark):
     rows = {r["line_no"]: r["violations"] for r in QUERIES["read_label_manifest"](spark, SF).collect()}
     assert rows[0] == "not an object" and rows[1] == "missing key" and rows[2] == "label" and rows[3] == "blank"
     assert rows[4] == "" and rows[5] == "repeated" and rows[6] == ""
+
+
+def test_bad_values_are_reported(spark):
+    from pyspark.errors import PySparkException
+
+    from tallyslip.operators import batch, detections, review
+    from tallyslip.sources import files
+
+    turned = spark.createDataFrame([("a", 0, 0.5, 1, 10, 20, 45)], "image_id string, degrees int, confidence double, n_lines int, w int, h int, explicit_degrees int")
+    with pytest.raises(PySparkException):
+        batch.choose_orientation(turned).collect()
+    rows = spark.createDataFrame([("m", 0.2), ("m", None)], "model string, margin double")
+    with pytest.raises(PySparkException):
+        batch.require_same_config(rows, {"model": "m", "margin": 0.2}).collect()
+    assert {tuple(r) for r in batch.require_same_config(rows, {"model": "n", "margin": 0.3}, overwrite=True).collect()} == {("n", 0.3)}
+    carried = spark.createDataFrame([("s", None, "b", "c", "skipped_existing")], "source string, result string, annotated_rectified string, annotated_original string, status string")
+    with pytest.raises(PySparkException):
+        batch.union_manifests(carried)[1].collect()
+    assert batch.shard_suffix(3, 8) == ".shard-003-of-008" and batch.shard_suffix(0, 1) == ""
+    boxes = spark.createDataFrame([(1, 1.0, 1.0, 5.0, 5.0), (2, 5.0, 1.0, 5.0, 5.0), (3, float("nan"), 1.0, 5.0, 5.0), (4, 900.0, 900.0, 950.0, 950.0)], "pos int, x1 double, y1 double, x2 double, y2 double")
+    got = {r["pos"]: (r["crop_error"], r["left"]) for r in detections.status_crop_box(boxes, 100, 100).collect()}
+    assert got == {1: (None, 0), 2: ("empty box", None), 3: ("box not finite", None), 4: ("box outside the image", None)}
+    lines = spark.createDataFrame([(0, '{"crop": null, "source": "s", "result_json": "r", "group_id": "g", "label": null}')], "line_no long, line string")
+    assert review.read_label_manifest(lines).first()["violations"] == "blank"
+    docs = spark.createDataFrame([('{"a": {"skip": "true"}, "b": {"skip": true}}',)], "value string")
+    assert {r["key"]: r["skip"] for r in files.load_corrections(docs).collect()} == {"a": False, "b": True}
+
+
+def test_review_order_in_any_number_of_ranges(spark, monkeypatch):
+    import random
+
+    from tallyslip.operators import review
+
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["x", "y", None]), rng.choice([None, "unclear"])) for i in rng.sample(range(10_000), 300)]
+    df = spark.createDataFrame(rows, "ord long, cohort string, label string")
+    want, place = {}, {}
+    for c in ("x", "y", None):
+        own = sorted(r for r in rows if r[1] == c)
+        open_ = [o for o, _, label in own if label is None]
+        for k, (o, _, _) in enumerate(own):
+            want[o] = next((x for x in open_ if x > o), open_[0] if open_ else None)
+            place[o] = f"{k + 1}/{len(own)}"
+    for ranges in (2, 64):
+        monkeypatch.setattr(review, "RANGES", ranges)
+        assert {r["ord"]: r["next_ord"] for r in review.next_unlabelled(df).collect()} == want
+        assert {r["ord"]: r["position"] for r in review.review_position(df).collect()} == place
+    assert review.next_unlabelled(df.limit(0)).count() == review.review_position(df.limit(0)).count() == 0
