@@ -1,10 +1,11 @@
-"""URL filters: a blocked Bloom filter of listed canonical URLs in front of an exact hash join.
+"""URL filters: blocked Bloom filters of listed hosts and canonical URLs in front of exact hash joins.
 
 Only DataFrame functions. A rule is a (host, path) pair with a verdict; it fits its host and every
-subdomain if the url's path starts with the rule's path. Canonical keys of a url are its host suffixes
-joined to its path prefixes, of the shapes (labels in the host, characters in the path) that the list
-holds. A key that may be listed (blocked Bloom filter: one 64-bit block per key, `PROBES` bits in it) goes
-on to the hash join with the list, which removes false positives; the longest fitting rule wins.
+subdomain if the url's path starts with the rule's path. A url's host suffixes that may be listed (blocked Bloom
+filter: one 64-bit block per key, `PROBES` bits in it) meet the listed hosts in a hash join, which brings the path lengths
+that the list has for the host. Its canonical keys, the host with the path cut to each of these lengths, pass a second filter of
+all listed keys, and what may be listed goes on to the exact hash join, which removes false positives; the longest fitting rule wins.
+Any number of rules, hosts and path lengths works: a url has as many keys as the list has lengths for its hosts.
 
 Defined results: null url or no `://`: host and path empty, no rule, verdict `allow`. Empty table: empty
 result. Repeated rows: one result each. Extra columns are ignored. A rule given twice: `block` wins over
@@ -27,10 +28,9 @@ RULES = [
 ]
 #: Bits of a key in its block, and Bloom bits per listed key.
 PROBES, BITS_PER_KEY = 6, 16
-#: Largest filter, 64-bit blocks (1 MB): beyond it the filter only lets more keys through to the join.
-MAX_BLOCKS = 131_072
-#: Largest number of (labels, path length) shapes a list may have.
-MAX_SHAPES = 4096
+#: Largest filter that goes to all tasks, 64-bit blocks (8 MB, for 4 million keys); beyond it the filter only lets more keys through to
+#: the join, which decides alone.
+MAX_BLOCKS = 1 << 20
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -65,43 +65,39 @@ def blocked_bloom(keys: DataFrame, key: str, blocks: int) -> DataFrame:
     return packed.select(F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda i: F.coalesce(F.try_element_at("m", i), none)).alias("bloom"))
 
 
-def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """(id, host, path, rule, verdict) for every row of `pages` under `rules(host, path, verdict)`."""
-    listed = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
-    listed = listed.select(
-        F.concat("host", "path").alias("key"), F.length("host").alias("host_len"), F.length("path").alias("path_len"),
-        F.size(F.split("host", "[.]")).alias("labels"), F.col("verdict").alias("listed"),
-    )
-    shapes = [(r[0], r[1]) for r in listed.select("labels", "path_len").distinct().limit(MAX_SHAPES + 1).collect()]
-    if len(shapes) > MAX_SHAPES:
-        raise ValueError(f"the list has more than {MAX_SHAPES} shapes of host labels and path lengths")
-    n = listed.count()
+def _may_be_listed(keys: DataFrame, key: str, n: int) -> Column:
+    """Whether column `key` may be one of the n keys."""
     blocks = 1
     while blocks < MAX_BLOCKS and blocks * 64 < n * BITS_PER_KEY:
         blocks *= 2
+    mask = _mask(F.col(key))
+    return F.element_at(blocked_bloom(keys, key, blocks).scalar(), _block(F.col(key), blocks) + 1).bitwiseAND(mask) == mask
+
+
+def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """(id, host, path, rule, verdict) for every row of `pages` under `rules(host, path, verdict)`."""
+    listed = rules.groupBy(F.col("host").alias("suffix"), F.col("path").alias("prefix")).agg(F.max("verdict").alias("listed")).withColumn("key", F.concat("suffix", "prefix"))
+    hosts = listed.groupBy("suffix").agg(F.collect_set(F.length("prefix")).alias("lengths"))
+    n, n_hosts, labels_most = listed.agg(F.count(F.lit(1)), F.count_distinct("suffix"), F.max(F.size(F.split("suffix", "[.]")))).first()
 
     urls = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
     urls = urls.groupBy("id", "url").agg(F.count(F.lit(1)).alias("copies"))
     urls = urls.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    none = F.lit(None).cast("string")
     labels = F.split("host", "[.]")
-    keys = [
-        F.when(
-            (F.size(labels) >= k) & (F.length("path") >= m),
-            F.struct(F.concat(F.array_join(F.slice(labels, -k, k), "."), F.substring("path", 1, m)).alias("key"), F.lit(k).alias("labels"), F.lit(m).alias("path_len")),
-        )
-        for k, m in shapes
-    ]
-    last = F.struct(F.lit(None).cast("string").alias("key"), F.lit(0).alias("labels"), F.lit(0).alias("path_len"))
-    urls = urls.select("*", F.explode(F.concat(F.array_compact(F.array(*keys)), F.array(last))).alias("k")).select("id", "url", "host", "path", "copies", "k.*")
+    suffixes = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(labels_most or 1))), lambda k: F.array_join(F.slice(labels, -k, k), "."))
+    rows = urls.withColumn("suffix", F.explode(F.concat(suffixes, F.array(none))))  # the last one stands for the url without a rule
     if n:
-        bloom = blocked_bloom(listed, "key", blocks).scalar()
-        mask = _mask(F.col("key"))
-        may = F.element_at(bloom, _block(F.col("key"), blocks) + 1).bitwiseAND(mask) == mask
-        urls = urls.filter(F.col("key").isNull() | may)
-    hits = urls.join(listed, ["key", "labels", "path_len"], "left")
-    best = hits.groupBy("id", "url", "host", "path", "copies").agg(
-        F.max(F.when(F.col("listed").isNotNull(), F.struct((F.col("host_len") + F.col("path_len")).alias("len"), "host_len", "key", "listed"))).alias("best")
-    )
+        rows = rows.filter(F.col("suffix").isNull() | _may_be_listed(hosts, "suffix", n_hosts)).join(hosts, "suffix", "left")
+        fitting = F.filter("lengths", lambda m: m <= F.length("path"))
+        prefixes = F.transform(fitting, lambda m: F.substring(F.col("path"), F.lit(1), m))
+        rows = rows.withColumn("prefix", F.explode_outer(prefixes)).withColumn("key", F.concat("suffix", "prefix"))
+        rows = rows.filter(F.col("suffix").isNull() | _may_be_listed(listed, "key", n))
+        rows = rows.join(listed.drop("key"), ["suffix", "prefix"], "left")
+    else:
+        rows = rows.filter("suffix is null").withColumns({"prefix": none, "key": none, "listed": none})
+    fits = F.when(F.col("listed").isNotNull(), F.struct(F.length("key").alias("len"), F.length("suffix").alias("host_len"), "key", "listed"))
+    best = rows.groupBy("id", "url", "host", "path", "copies").agg(F.max(fits).alias("best"))
     return best.select(
         F.col("id").alias(id_col), "host", "path", F.col("best.key").alias("rule"), F.coalesce("best.listed", F.lit("allow")).alias("verdict"),
         F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("_copy"),

@@ -448,6 +448,21 @@ def test_url_filter_many_rules(spark):
         assert (r["verdict"] == "block") == (key in listed)
 
 
+def test_url_filter_with_very_many_path_lengths(spark):
+    """More shapes of hosts and path lengths than any fixed limit: every rule is found, on subdomains too."""
+    rng = random.Random(14)
+    listed = [(".".join(["x" * (1 + i % 7)] * (1 + i % 9)) + f"{i % 300}.org", "/" + "p" * (i % 900) + "/") for i in range(6000)]
+    rules = spark.createDataFrame([(h, p, "block") for h, p in listed], "host string, path string, verdict string")
+    picked = rng.sample(listed, 200)
+    pages = spark.createDataFrame([(i, f"http://sub.{h}{p}q?z" if i % 2 else f"http://{h}{p[:-1]}") for i, (h, p) in enumerate(picked)], "page_id long, url string")
+    got = by_id([{"doc_id": r["page_id"], **r.asDict()} for r in url_filter.filter_urls(pages, rules).collect()])
+    for i, (h, p) in enumerate(picked):
+        path, host = (p + "q", "sub." + h) if i % 2 else (p[:-1], h)
+        want = max((len(a + b), len(a), a + b) for a, b in [*listed, ("", "")] if path.startswith(b) and (host == a or host.endswith("." + a) or not a))[2] or None
+        assert got[i]["rule"] == want
+    assert url_filter.filter_urls(pages.limit(0), rules).count() == 0
+
+
 def test_empty_tables(spark, odd):
     none = odd.limit(0)
     assert byte_bpe.digests(none, tok.path("byte_bpe_50k.tiktoken"), tok.PATTERN).count() == 0
