@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 #: Entries that a Python worker keeps in one cache before it starts it anew.
 CACHE_ENTRIES = 500_000
 #: Documents, and bytes of their texts, whose words are in memory at once (a longer text is a block by itself).
-BLOCK_DOCS, BLOCK_BYTES = 2000, 16 << 20
+BLOCK_DOCS, BLOCK_BYTES = 1000, 8 << 20
 #: Longer words aren't kept in a cache.
 CACHE_WORD_CHARS = 64
 

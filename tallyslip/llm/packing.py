@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tallyslip.llm.common import CACHE_ENTRIES, materialize, text_blocks, without_gc, worker_state
+from tallyslip.llm.common import materialize, text_blocks, without_gc, worker_state
 
 CAPACITY = 2048
 END_ID = 0
@@ -66,8 +66,8 @@ class WordIds:
     #: What keeps a word from being joined: anything but old white space, marks, digits other than STOP and
     #: letters up to U+00FF; and the bar, which the special tokens hold.
     ODD = re.compile(r"[^\t\n\r!-/1-{}~À-ÖØ-öø-ÿ]")
-    #: Characters of all keys beyond which the cache starts anew.
-    CACHE_CHARS = 16 << 20
+    #: Keys, and characters of all keys, beyond which the cache starts anew.
+    CACHE_PARTS, CACHE_CHARS = 300_000, 8 << 20
 
     def __init__(self, tokenizer_file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core
@@ -141,7 +141,7 @@ class WordIds:
 
     def documents(self, texts: pa.Array) -> list[bytes]:
         """Ids of every text (null: none) as little-endian 32-bit bytes: each distinct word is looked up once."""
-        if len(self.row) > CACHE_ENTRIES or self.chars > self.CACHE_CHARS:
+        if len(self.row) > self.CACHE_PARTS or self.chars > self.CACHE_CHARS:
             self.forget()
         lists = pc.split_pattern(texts.fill_null(""), " ")
         coded = lists.flatten().dictionary_encode()
