@@ -8,7 +8,8 @@ is rightmost on ties. Chosen (hash, position) pairs are kept in order of positio
 
 The edited text of a document needs the text of the next one in descending id order. Ids are cut into
 buckets at their quantiles; a window leads within each bucket, and each bucket also gets the first document
-of the one after it as a guest row, so no task sees all rows and texts move through one shuffle.
+of the one after it as a guest row, so no task sees all rows and texts move through one shuffle. An id that repeats over
+several quantiles (null ids too) is cut further by ranges of its texts' hashes, which order its rows.
 
 A text whose first half (what an edited text keeps) has too few whole words to be sure of a shared choice is taken by
 characters instead, lower-cased and with single spaces: grams and windows of 16 characters, or the largest of 8, 4, 2 and 1 that
@@ -22,6 +23,8 @@ Null ids come last. A single document is its own next. Extra columns are ignored
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -155,19 +158,36 @@ def _bucket_of(key: Column, bounds: list[int]) -> Column:
     return F.aggregate(F.lit(steps), F.lit(0), step)
 
 
+def _buckets(docs: DataFrame, n: int) -> Column:
+    """A number per row such that descending numbers follow the order of the rows (key descending, then hash of the text): key
+    ranges between n-quantiles; a key that is several of the quantiles itself has as many buckets, by ranges of the hash."""
+    row = docs.agg(F.percentile_approx("key", [i / n for i in range(1, n)], 20 * n)).first()
+    times = Counter(row[0] or [])
+    bounds = sorted(times)
+    at = _bucket_of(F.col("key"), bounds)
+    parts = [times[k] if times[k] > 1 else 0 for k in bounds] + [0]
+    most = max(parts)
+    if not most:
+        return at.cast("long")
+    share = F.element_at(F.lit(parts), at + 1)
+    hot = (share > 0) & (F.element_at(F.lit([*bounds, 0]), at + 1) == F.col("key"))
+    part = F.floor((F.xxhash64("text") / F.lit(2.0**64) + 0.5) * share).cast("int")
+    return at.cast("long") * (most + 1) + most - F.when(hot, F.least(part, share - 1)).otherwise(share)
+
+
 def with_next(docs: DataFrame, prepare) -> DataFrame:
     """docs (key long, text string), prepared within their buckets by `prepare`, with `next` = struct of the next row's columns."""
     spark = docs.sparkSession
-    order = [F.col("key").desc(), F.xxhash64("text"), F.col("text")]
+    text_hash = F.xxhash64("text")
+    order = [F.col("key").desc(), text_hash, F.col("text")]
     n = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    row = docs.agg(F.percentile_approx("key", [i / n for i in range(1, n)], 20 * n)).first()
-    bounds = sorted(set(row[0] or []))
-    docs = docs.withColumn("bucket", _bucket_of(F.col("key"), bounds)).withColumn("guest", F.lit(0))
-    heads = sorted(docs.groupBy("bucket").agg(F.max("key")).collect(), reverse=True)  # one row per bucket
-    hosts = [(heads[i][1], heads[i - 1][0]) for i in range(len(heads))]  # the head of a bucket is a guest of the one above it
+    docs = docs.withColumns({"bucket": _buckets(docs, n), "guest": F.lit(0)})
+    first = F.min(F.struct(F.bitwise_not("key").alias("k"), text_hash.alias("h"))).alias("f")
+    heads = sorted(docs.groupBy("bucket").agg(first).select("bucket", "f.k", "f.h").collect(), reverse=True)  # one row per bucket
+    hosts = [(~heads[i][1], heads[i][2], heads[i - 1][0]) for i in range(len(heads))]  # the head of a bucket is a guest of the one above it
     if hosts:
-        guests = spark.createDataFrame(hosts, "key long, host int")
-        guests = docs.join(F.broadcast(guests), "key").groupBy("host").agg(F.min_by(F.struct("key", "text"), F.struct(F.xxhash64("text"), "text")).alias("g"))
+        guests = F.broadcast(spark.createDataFrame(hosts, "key long, hash long, host long"))
+        guests = docs.withColumn("hash", text_hash).join(guests, ["key", "hash"]).groupBy("host").agg(F.min_by(F.struct("key", "text"), "text").alias("g"))
         docs = docs.unionByName(guests.select("g.key", "g.text", F.col("host").alias("bucket"), F.lit(1).alias("guest")))
     rows = prepare(docs.repartition("bucket"))
     columns = [c for c in rows.columns if c not in ("bucket", "guest")]

@@ -172,6 +172,26 @@ def test_simhash(spark, block_rows):
     assert [got[i]["component_id"] for i in range(len(texts))] == want
 
 
+@pytest.mark.parametrize("block_rows, most_blocks", [(8, 1), (32, 4)])
+def test_simhash_hot_key_is_cut_by_the_third_segment(spark, block_rows, most_blocks):
+    """Fingerprints of one value in two segments, where keys are large: the classes are those of brute force."""
+    rng = random.Random(9)
+    prints = set()
+    for _ in range(25):
+        base = rng.getrandbits(64) & ~((1 << 26) - 1) | 0x155_0AAA
+        for _ in range(12):
+            near = base
+            for bit in rng.sample(range(64), rng.randint(0, 4)):
+                near ^= 1 << bit
+            prints.add(near)
+    prints = sorted(prints)
+    df = spark.createDataFrame([(np.uint64(p).astype(np.int64).item(),) for p in prints], "fp long").repartition(4)
+    at = {np.uint64(p).astype(np.int64).item(): i for i, p in enumerate(prints)}
+    links = [(at[a], at[b]) for a, b in simhash.near_links(df, block_rows, most_blocks).collect()]
+    want = [(i, j) for i in range(len(prints)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
+    assert classes(len(prints), links) == classes(len(prints), want)
+
+
 def test_simhash_keys_meet_every_near_pair(spark):
     """Random pairs at up to 4 bits: every pair shares a chain key."""
     rng = random.Random(5)
@@ -341,6 +361,24 @@ def test_winnowing(spark, odd):
     assert winnowing.edited_fingerprints(odd.limit(0)).count() == 0
 
 
+def test_winnowing_next_of_ids_that_repeat(spark):
+    """Null and repeated ids, many of the rows: the next one by descending id and the hash of the text, over all buckets."""
+    rng = random.Random(8)
+    rows = [(rng.choice([None, None, 7, 7, rng.randrange(50), -(1 << 62)]), f"{i} " + "abc " * rng.randint(0, 9)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("h", F.xxhash64("text")).repartition(5)
+    order = sorted(df.collect(), key=lambda r: (-r["doc_id"] if r["doc_id"] is not None else 1 << 63, r["h"], r["text"]))
+    want = []
+    for i, r in enumerate(order):
+        t, after = r["text"], order[(i + 1) % len(order)]["text"]
+        want.append((r["doc_id"], hashlib.sha256((t[: len(t) - len(t) // 2] + after[: len(t) // 2]).encode()).hexdigest()))
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    got = [(r["doc_id"], r["edited_sha256"]) for r in winnowing.edited_fingerprints(df.drop("h")).collect()]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    keyed = df.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), "text")
+    sizes = keyed.groupBy(winnowing._buckets(keyed, 40).alias("b")).count().agg(F.max("count")).first()[0]
+    assert sizes <= 40
+
+
 def test_winnowing_half_edited_texts_are_alike(spark):
     """Whatever keeps its first half shares a choice, from one word up and without white space; the next text shares none."""
     rng = random.Random(6)
