@@ -8,7 +8,8 @@ itself and the next one with one bit left out (one key per bit left out). Rows o
 chains and then the full Hamming distance are checked. Equal fingerprints are one row from the start.
 
 A run gives a spanning tree of its linked fingerprints with a bounded fan-out, never all pairs. Keys with
-more than `block_rows` fingerprints are dealt in blocks, and every pair of blocks meets in a run of its own.
+more than `block_rows` fingerprints are dealt in blocks, and every pair of blocks meets in a run of its own; where that
+were more copies than the 78 keys of the chain's third segment (two bits left out), those part the key first.
 
 Defined results: null text is an empty document; no words: fingerprint zero, which links like any other.
 Very long texts are hashed whole, in slices. Repeated rows give repeated results with one component; null ids have
@@ -172,9 +173,27 @@ def _link_runs(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"a": np.concatenate(a), "b": np.concatenate(b)})
 
 
-def near_links(prints: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+#: Bits of a third segment that its key leaves out: the first three segments differ in at most two bits together.
+DEEPER = [((1 << 13) - 1) & ~(1 << i) & ~(1 << j) for i, j in itertools.combinations(range(13), 2)]
+
+
+def _deeper(fp: str, key: str):
+    """The third segment of a chain, numbered by the two bits that are left out."""
+    start, values = F.shiftrightunsigned(key, 30), [_bits(F.col(fp), *LAYOUT[(s + 2) % SEGMENTS]) for s in range(SEGMENTS)]
+    third = reduce(lambda out, s: F.when(start == s, values[s]).otherwise(out), range(1, SEGMENTS), values[0])
+    return F.transform(F.lit(DEEPER), lambda mask, i: F.shiftleft(i.cast("long") + 1, 13).bitwiseOR(third.bitwiseAND(mask)))
+
+
+def _block_pairs(blocks, fp: str):
+    """The runs of a fingerprint whose key is dealt in `blocks`: block x meets block y in the run x * blocks + y, x <= y."""
+    own = F.pmod(F.xxhash64(fp), blocks).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.least(i, own).cast("long") * blocks + F.greatest(i, own))
+    return F.when(blocks > 1, meets).otherwise(F.array(F.lit(0).cast("long")))
+
+
+def near_links(prints: DataFrame, block_rows: int = BLOCK_ROWS, most_blocks: int = len(DEEPER)) -> DataFrame:
     """Links (a, b) between distinct fingerprints `fp`: what they connect is what all pairs within
-    MAX_BITS bits connect."""
+    MAX_BITS bits connect. A key of more than `most_blocks` blocks is cut by the chain's third segment first."""
     keys = prints.select("fp", F.explode(_keys("fp")).alias("key"))
     # a key's rows are those of two values of (segment, next segment); the counts of these few cells tell
     # which keys are large, without counting every key
@@ -189,10 +208,14 @@ def near_links(prints: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     hot = large.select(F.explode(of_cell).alias("key"), "count").groupBy("key").agg(F.sum("count").alias("n"))
     hot = materialize(hot.select("key", F.ceil(F.col("n") / (block_rows // 2)).cast("int").alias("blocks")))
     keys = keys.join(hot, "key", "left") if hot.limit(1).count() else keys.withColumn("blocks", F.lit(None).cast("int"))
-    block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    # block x meets block y in the run x * blocks + y, x <= y
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.least(i, block).cast("long") * F.col("blocks") + F.greatest(i, block))
-    rows = keys.select("key", F.explode(F.when(F.col("blocks") > 1, pairs).otherwise(F.array(F.lit(0).cast("long")))).alias("pair"), "fp")
+    usual = F.coalesce(F.col("blocks") <= most_blocks, F.lit(True))
+    rows = keys.filter(usual).select("key", F.explode(_block_pairs(F.col("blocks"), "fp")).alias("pair"), "fp")
+    if hot.filter(F.col("blocks") > most_blocks).limit(1).count():
+        deep = materialize(keys.filter(~usual).select("key", F.explode(_deeper("fp", "key")).alias("sub"), "fp"))
+        sizes = deep.groupBy("key", "sub").agg(F.ceil(F.count(F.lit(1)) / (block_rows // 2)).cast("int").alias("blocks"))
+        deep = deep.join(sizes.filter("blocks > 1"), ["key", "sub"], "left")
+        deep = deep.select("key", "sub", F.explode(_block_pairs(F.col("blocks"), "fp")).alias("pair"), "fp")
+        rows = rows.unionByName(deep.select("key", F.shiftleft("sub", 40).bitwiseOR(F.col("pair")).alias("pair"), "fp"))
     runs = rows.repartition("key", "pair").sortWithinPartitions("key", "pair")
     return runs.mapInArrow(_link_runs, "a long, b long")
 
