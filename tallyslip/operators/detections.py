@@ -176,14 +176,16 @@ def attach_ocr(df: DataFrame, ocr: DataFrame) -> DataFrame:
     return df.join(ocr, ["image_id", "label"], "left")
 
 
-def aggregate_ocr_lines(lines: DataFrame, *keys: str) -> DataFrame:
-    """Text of the cleaned non-empty lines in order, and the mean score over all lines."""
+def aggregate_ocr_lines(lines: DataFrame, *keys: str, images: DataFrame | None = None) -> DataFrame:
+    """Text of the cleaned non-empty lines in order, and the mean score over all lines. Rows of `images` (the keys) without any line have
+    an empty text and no score."""
     from tallyslip.functions.text import clean_text
 
     own = lines.withColumn("_t", clean_text(F.col("text")))
     ordered = F.array_sort(F.collect_list(F.struct("line_no", "_t")))
     texts = F.filter(F.transform(ordered, lambda x: x["_t"]), lambda t: t != "")
-    return own.groupBy(*keys).agg(F.array_join(texts, " ").alias("text"), F.avg("score").alias("confidence"), F.count(F.lit(1)).alias("n_lines"))
+    out = own.groupBy(*keys).agg(F.array_join(texts, " ").alias("text"), F.avg("score").alias("confidence"), F.count(F.lit(1)).alias("n_lines"))
+    return out if images is None else images.select(*keys).join(out, list(keys), "left").fillna({"text": "", "n_lines": 0})
 
 
 def field_state(score: Column, text: Column) -> Column:

@@ -2,29 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Labels a reviewer may give.
 REVIEW_LABELS = ["check_offset", "check_aligned", "check_absent", "unclear"]
+# Keys of a label line.
+NAMES = ["crop", "source", "result_json", "group_id", "label"]
 #: Stretches of a cohort's order in which windows work.
 RANGES = 64
 
 
 def read_label_manifest(lines: DataFrame) -> DataFrame:
-    """(line_no, line) JSON lines as columns with `violations`."""
+    """(line_no, line) JSON lines as columns with `violations`; values are strings, the label may be null."""
+    kind = lambda c: F.schema_of_variant(F.try_variant_get(F.try_parse_json("line"), f"$.{c}", "variant"))
     row = F.from_json("line", "crop string, source string, result_json string, group_id string, label string")
     keys = F.json_object_keys("line")
-    out = lines.withColumns({"_k": keys, "_r": row}).select("line_no", "_k", "_r.*")
+    other = reduce(Column.__or__, [~F.coalesce(kind(c), F.lit("VOID")).isin("STRING", "VOID") for c in NAMES])
+    out = lines.withColumns({"_k": keys, "_r": row, "_other": other}).select("line_no", "_k", "_other", "_r.*")
     blank = lambda c: F.array_contains("_k", c) & (F.coalesce(F.trim(c), F.lit("")) == "")
     checks = [
         (F.col("_k").isNull(), "not an object"),
-        (F.col("_k").isNotNull() & (F.size(F.array_intersect("_k", F.array(*map(F.lit, ["crop", "source", "result_json", "group_id", "label"])))) < 5), "missing key"),
+        (F.col("_k").isNotNull() & (F.size(F.array_intersect("_k", F.array(*map(F.lit, NAMES)))) < 5), "missing key"),
+        (F.col("_other"), "not a string"),
         (F.col("label").isNotNull() & ~F.col("label").isin(REVIEW_LABELS), "label"),
         (blank("crop") | blank("source") | blank("result_json") | blank("group_id"), "blank"),
         ((F.row_number().over(Window.partitionBy(F.lower("result_json")).orderBy("line_no")) > 1) & F.col("result_json").isNotNull(), "repeated"),
     ]
-    return out.withColumn("violations", F.array_join(F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, n in checks])), ",")).drop("_k")
+    return out.withColumn("violations", F.array_join(F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, n in checks])), ",")).drop("_k", "_other")
 
 
 def merge_review_labels(manifest: DataFrame, reviewed: DataFrame) -> DataFrame:
@@ -40,6 +47,14 @@ def orphan_labels(reviewed: DataFrame, manifest: DataFrame) -> DataFrame:
     return reviewed.select(F.lower("result_json").alias("result_json")).join(keys, F.col("result_json") == F.col("_key"), "left_anti")
 
 
+def require_no_orphans(reviewed: DataFrame, manifest: DataFrame) -> DataFrame:
+    """`reviewed`, unless it has keys that the manifest lacks: then the job ends and names the smallest."""
+    lost = orphan_labels(reviewed, manifest).agg(F.min("result_json").alias("_lost"))
+    rows = reviewed.crossJoin(F.broadcast(lost))  # one row
+    good = F.when(F.col("_lost").isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("label of an unknown result: "), "_lost")).cast("boolean"))
+    return rows.filter(good).drop("_lost")
+
+
 def extend_cohort(existing: DataFrame, new: DataFrame) -> DataFrame:
     """The frozen cohort, labels nulled, then results it lacks; is_new and key order them."""
     have = existing.select(F.lower("result_json").alias("_key"))
@@ -101,8 +116,11 @@ def review_position(df: DataFrame) -> DataFrame:
     return rows.withColumn("position", position).drop("_range", "_index", "_before", "_all")
 
 
-def limit_valid(df: DataFrame, n: int) -> DataFrame:
-    """The first n rows that have a label, by key: unlike a cohort's limit it counts valid rows."""
+def limit_valid(df: DataFrame, n: int, frozen: int = 0) -> DataFrame:
+    """The first n rows that have a label, by key: unlike a cohort's limit it counts valid rows. `frozen`: rows that the cohort has
+    already, which the limit must hold."""
     if n < 1:
         raise ValueError("the limit must be positive")
+    if n < frozen:
+        raise ValueError(f"the limit is below the {frozen} rows of the cohort")
     return df.filter(F.col("label").isNotNull()).withColumn("key", F.sha2("result_json", 256)).orderBy("key", "result_json").limit(n)

@@ -208,3 +208,55 @@ UNION ALL SELECT doc_id, 0, 'x' || CAST(doc_id AS VARCHAR), 0.75 FROM documents
         "fx_payloads",
     ),
 }
+
+_SCORES = "'ocr_confidence', confidence, 'detector_score', round(score, 6)"
+_FEN = f"(SELECT CAST({_AMOUNT} AS BIGINT))"
+_YUAN = "(SELECT '¥' || CAST(f // 100 AS VARCHAR) || '.' || lpad(CAST(f % 100 AS VARCHAR), 2, '0') FROM (SELECT fen AS f))"
+_ROUNDED = "CAST(round(CAST(CAST({0} AS VARCHAR) AS DECIMAL(38, 20)), 3) AS DOUBLE)"
+_R = {c: _ROUNDED.format(c) for c in ("x1", "y1", "x2", "y2")}
+_QUAD = f"[[{_R['x1']}, {_R['y1']}], [{_R['x2']}, {_R['y1']}], [{_R['x2']}, {_R['y2']}], [{_R['x1']}, {_R['y2']}]]"
+_BOX = f"'label', label, 'score', round(score, 6), 'bbox_rectified', [{_R['x1']}, {_R['y1']}, {_R['x2']}, {_R['y2']}], 'quad_original', {_QUAD}"
+_READ = f"""CASE WHEN text IS NULL OR text = '' THEN json_object('state', 'unreadable', 'raw', NULL, 'score', round(score, 6))
+    WHEN label = 'time' THEN json_object('state', 'read', 'raw', text, {_SCORES}, 'value', {_TIME})
+    WHEN label = 'amount' AND fen IS NOT NULL THEN json_object('state', 'read', 'raw', replace(text, '　', ' '), {_SCORES}, 'normalized', {_YUAN}, 'amount_fen', fen, 'currency', 'CNY')
+    WHEN label = 'amount' THEN json_object('state', 'read', 'raw', text, {_SCORES})
+    WHEN label = 'transfer_status' THEN json_object('state', 'read', 'raw', text, {_SCORES}, 'normalized', {_STATUS.replace('s LIKE', "replace(text, ' ', '') LIKE")})
+    WHEN label = 'recipient_field' THEN json_object('state', 'read', 'raw', text, {_SCORES}, 'value', {_RECIPIENT})
+    ELSE json_object('state', 'read', 'raw', text, {_SCORES}, 'value', {_PAYMENT_VALUE.replace('payment', 'text')}, 'normalized', {_PAYMENT.replace('s LIKE', f"({_PAYMENT_VALUE.replace('payment', 'text')}) LIKE")}) END"""
+_STYLE_OBJECT = """json_object('schema_version', 2, 'state', CASE WHEN g.label = 'unknown' THEN 'review' ELSE 'classified' END, 'label', g.label, 'confidence', round(round(g.confidence, 9), 6),
+    'business_tag', CASE g.label WHEN 'check_offset' THEN 'android' WHEN 'check_aligned' THEN 'ios' WHEN 'check_absent' THEN 'suspected_fake' ELSE 'review' END, 'model', 'style-1')"""
+_TAGS_OBJECT = """json_object('platform', CASE g.label WHEN 'check_offset' THEN 'android' WHEN 'check_aligned' THEN 'ios' END, 'authenticity', 'not_assessed',
+    'review_tag', CASE g.label WHEN 'check_absent' THEN 'suspected_fake' WHEN 'unknown' THEN 'review' END, 'requires_manual_review', g.label IN ('check_absent', 'unknown'),
+    'reason', CASE g.label WHEN 'check_offset' THEN 'status_check_offset' WHEN 'check_aligned' THEN 'status_check_aligned' WHEN 'check_absent' THEN 'status_check_absent' ELSE 'status_style_low_confidence' END,
+    'rule_version', 'status-style-v2')"""
+_FIELD_OF = {"time": "time", "amount": "amount", "transfer_status": "transfer_status", "recipient": "recipient_field", "payment_method": "payment_method_field"}
+_FIELD_LIST = ", ".join(
+    f"'{k}', coalesce(max(CASE WHEN label = '{label}' THEN field END)::JSON, json_object('state', 'absent', 'raw', NULL))" for k, label in _FIELD_OF.items()
+)
+
+ORACLES["write_bundles"] = fx(
+    f"""WITH {_PROBS}, {_BEST}, ocr AS (SELECT image_id AS oid, 'amount' AS olabel, min_by(text, row_id) AS text, min(row_id) AS row_id FROM fx_amount_text GROUP BY image_id
+    UNION ALL SELECT row_id, 'recipient_field', recipient, row_id FROM fx_field_rows UNION ALL SELECT row_id, 'transfer_status', status, row_id FROM fx_field_rows
+    UNION ALL SELECT row_id, 'payment_method_field', payment, row_id FROM fx_field_rows UNION ALL SELECT row_id, 'time', text, row_id FROM fx_time_text),
+  j AS (SELECT b.*, o.text, o.row_id, CASE WHEN o.text IS NOT NULL AND image_id % 9 <> 0 THEN CAST(image_id * 7 % 100 AS DOUBLE) / 100 END AS confidence FROM best b LEFT JOIN ocr o ON o.oid = b.image_id AND o.olabel = b.label),
+  k AS (SELECT *, CASE WHEN label = 'amount' THEN {_FEN} END AS fen FROM j),
+  f AS (SELECT *, CAST({_READ} AS VARCHAR) AS field,
+    CASE WHEN text IS NOT NULL THEN json_object({_BOX}, 'ocr', json_object('text', text, 'confidence', confidence)) ELSE json_object({_BOX}) END AS box FROM k),
+  i AS (SELECT image_id, json_object({_FIELD_LIST}) AS fields, string_agg(CAST(box AS VARCHAR), ',' ORDER BY pos) AS boxes FROM f GROUP BY image_id),
+  st AS (SELECT DISTINCT image_id FROM m WHERE class_id = 3)
+SELECT i.image_id, '{{"source":"in/' || CAST(i.image_id AS VARCHAR) || '.png","geometry":{{"width":720,"height":1280,"rotation_degrees":' || CAST(i.image_id % 4 * 90 AS VARCHAR) || '}},"fields":' || CAST(fields AS VARCHAR)
+  || ',"detections":[' || boxes || ']' || CASE WHEN g.label IS NOT NULL AND st.image_id IS NOT NULL THEN ',"status_style":' || CAST({_STYLE_OBJECT} AS VARCHAR) || ',"tags":' || CAST({_TAGS_OBJECT} AS VARCHAR) ELSE '' END || '}}' AS document
+FROM i LEFT JOIN st ON st.image_id = i.image_id LEFT JOIN gated g ON g.image_id = i.image_id""",
+    "fx_probs", *_OCR_FX,
+)
+
+_LINE = "CASE WHEN json_valid(line) THEN json_extract_string(line, '$.{0}') END AS {0}"
+ORACLES["read_label_manifest"] = fx(
+    f"""WITH p AS (SELECT line_no, json_valid(line) AS good, CASE WHEN json_valid(line) THEN len(json_keys(line)) END AS n, {", ".join(_LINE.format(c) for c in ("crop", "source", "result_json", "group_id", "label"))} FROM fx_label_lines),
+  q AS (SELECT *, row_number() OVER (PARTITION BY lower(result_json) ORDER BY line_no) AS k FROM p)
+SELECT line_no, concat_ws(',', CASE WHEN NOT good THEN 'not an object' END, CASE WHEN n < 5 THEN 'missing key' END,
+  CASE WHEN label NOT IN ('check_offset', 'check_aligned', 'check_absent', 'unclear') THEN 'label' END,
+  CASE WHEN trim(crop) = '' OR trim(source) = '' OR trim(result_json) = '' OR trim(group_id) = '' THEN 'blank' END,
+  CASE WHEN result_json IS NOT NULL AND k > 1 THEN 'repeated' END) AS violations FROM q""",
+    "fx_label_lines",
+)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyslip.functions import geometry as geo
 from tallyslip.functions import style, text
-from tallyslip.operators import batch, detections, review
+from tallyslip.operators import batch, bundles, detections, review
 from tallyslip.plans.fixtures import fixture
 from tallyslip.sources import files
 
@@ -266,9 +266,17 @@ def field_state(spark, d):
 
 @query
 def write_bundles(spark, d):
-    """One JSON document per image; absent values print as null."""
-    fields = build_fields(spark, d)
-    return fields.select("image_id", F.to_json(F.struct(*[c for c in fields.columns if c != "image_id"]), {"ignoreNullFields": "false"}).alias("document"))
+    """One JSON document per image that has boxes, with the style of its status box where it has class probabilities."""
+    best = _best(spark, d)
+    spoken = F.when(F.col("text").isNotNull() & (F.col("image_id") % 9 != 0), (F.col("image_id") * 7 % 100).cast("double") / 100)
+    boxes = detections.attach_ocr(best, _receipt_ocr(spark, d)).withColumn("confidence", spoken)
+    size = F.struct(F.lit(WIDTH).alias("width"), F.lit(HEIGHT).alias("height"), (F.col("image_id") % 4 * 90).cast("int").alias("rotation_degrees"))
+    images = best.select("image_id").distinct().select("image_id", F.concat(F.lit("in/"), F.col("image_id").cast("string"), F.lit(".png")).alias("source"), size.alias("geometry"))
+    named = lambda *cols: F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    tags = ("platform", "authenticity", "review_tag", "requires_manual_review", "reason", "rule_version")
+    styles = style.style_tags(style_record(spark, d).filter("state != 'unavailable'"))
+    styles = styles.select("image_id", named("schema_version", "state", "label", F.round("confidence", 6).alias("confidence"), "business_tag", "model").alias("status_style"), named(*tags).alias("tags"))
+    return bundles.write_bundles(images, boxes, geo.bbox_to_polygon(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]), styles)
 
 
 # --- text

@@ -11,11 +11,19 @@ SCHEMA_VERSION = 1
 
 
 def scan_images(spark: SparkSession, path: str) -> DataFrame:
-    """(image_id, length, modificationTime) of the images under a path; contents aren't read."""
+    """(image_id, length, modificationTime) of the images under a path; contents aren't read. `require_images` and an order by path are
+    up to the reader, as both need the whole listing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.filter(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(IMAGE_SUFFIXES)).select(F.col("path").alias("image_id"), "length", "modificationTime")
 
 
+def require_images(images: DataFrame, path: str) -> DataFrame:
+    """`images`, by path; none at all (an empty folder, or a single file of another kind) is an error."""
+    if images.isEmpty():
+        raise ValueError(f"no images under {path}")
+    return images.orderBy("image_id")
+
+
 def scan_pixels(spark: SparkSession, path: str) -> DataFrame:
     """(image_id, width, height, n_channels, pixels, error): files that can't be decoded have an error."""
     image = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", "false").load(path)
@@ -37,10 +45,18 @@ def load_corrections(documents: DataFrame, value: str = "value") -> DataFrame:
 
 
 def scan_result_bundles(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """(path, result): JSON documents with source, geometry and detections; others are left out."""
-    text = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path).select(F.input_file_name().alias("path"), F.regexp_replace("value", "^﻿", "").alias("value"))
-    whole = F.size(F.array_intersect(F.json_object_keys("value"), F.array(*map(F.lit, ["source", "geometry", "detections"])))) == 3
-    return text.filter(whole).select("path", F.from_json("value", schema).alias("result"))
+    """(path, source, result, error): JSON documents with source, geometry and detections; objects without these are left out. A source
+    that isn't absolute lies beside its document. What is no JSON object, or has a blank source, has an error."""
+    text = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
+    text = text.select(F.input_file_name().alias("path"), F.regexp_replace("value", "^\ufeff", "").alias("value"))
+    keys = F.json_object_keys("value")
+    whole = F.size(F.array_intersect(keys, F.array(*map(F.lit, ["source", "geometry", "detections"])))) == 3
+    source = F.get_json_object("value", "$.source")
+    folder = F.regexp_replace("path", "/[^/]*$", "/")
+    error = F.when(keys.isNull(), "no JSON object").when(F.coalesce(F.trim(source), F.lit("")) == "", "blank source")
+    full = F.when(source.rlike("^(/|[A-Za-z][A-Za-z0-9+.-]*:/)"), source).otherwise(F.concat(folder, source))
+    rows = text.filter(keys.isNull() | whole)
+    return rows.select("path", F.when(error.isNull(), full).alias("source"), F.when(keys.isNotNull(), F.from_json("value", schema)).alias("result"), error.alias("error"))
 
 
 def flatten_ocr_payload(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -60,6 +76,12 @@ def fingerprint(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
+def fingerprints(spark: SparkSession, path: str) -> DataFrame:
+    """(path, sha256, size, mtime) of the files under a path: where something came from, and whether it has changed."""
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return read.select("path", fingerprint(F.col("content")).alias("sha256"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
+
+
 def write_stage(df: DataFrame, path: str) -> None:
     """The full-precision hand-off between detector and OCR."""
     df.withColumn("schema_version", F.lit(SCHEMA_VERSION)).write.mode("overwrite").parquet(path)

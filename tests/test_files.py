@@ -1,6 +1,8 @@
+import hashlib
 import struct
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyslip.operators.scoring import score_rows
@@ -56,7 +58,25 @@ def test_stage_and_bundles(spark, tmp_path):
     (tmp_path / "b").mkdir()
     (tmp_path / "b/one.json").write_text('﻿{"source": "s", "geometry": {}, "detections": []}')
     (tmp_path / "b/two.json").write_text('{"source": "s"}')
-    assert files.scan_result_bundles(spark, str(tmp_path / "b"), "source string").select("result.source").collect() == [("s",)]
+    (tmp_path / "b/three.json").write_text("{")
+    (tmp_path / "b/four.json").write_text('{"source": " ", "geometry": {}, "detections": []}')
+    (tmp_path / "b/five.json").write_text('{"source": "/in/x.png", "geometry": {}, "detections": []}')
+    rows = {r["path"].rsplit("/", 1)[1]: r for r in files.scan_result_bundles(spark, str(tmp_path / "b"), "source string").collect()}
+    assert set(rows) == {"one.json", "three.json", "four.json", "five.json"} and rows["one.json"]["result"]["source"] == "s"
+    assert rows["one.json"]["source"] == rows["one.json"]["path"].replace("one.json", "s") and rows["five.json"]["source"] == "/in/x.png"
+    assert rows["three.json"]["error"] == "no JSON object" and rows["four.json"]["error"] == "blank source" and rows["one.json"]["error"] is None
+
+
+def test_fingerprints_and_listings(spark, tmp_path):
+    png(tmp_path / "b.png")
+    png(tmp_path / "a.png")
+    rows = files.fingerprints(spark, str(tmp_path)).collect()
+    content = (tmp_path / "a.png").read_bytes()
+    assert {(r["sha256"], r["size"]) for r in rows} == {(hashlib.sha256(content).hexdigest(), len(content))} and all(r["mtime"] for r in rows)
+    listed = files.require_images(files.scan_images(spark, str(tmp_path)), str(tmp_path)).collect()
+    assert [r["image_id"][-5:] for r in listed] == ["a.png", "b.png"]
+    with pytest.raises(ValueError):
+        files.require_images(files.scan_images(spark, str(tmp_path)).limit(0), str(tmp_path))
 
 
 def test_scoring_hook(spark):

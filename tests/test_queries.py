@@ -3,6 +3,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tallyslip.plans.oracles import ORACLES
 from tallyslip.plans.queries import QUERIES
@@ -73,10 +74,43 @@ def test_bad_values_are_reported(spark):
     assert got == {1: (None, 0), 2: ("empty box", None), 3: ("box not finite", None), 4: ("box outside the image", None)}
     lines = spark.createDataFrame([(0, '{"crop": null, "source": "s", "result_json": "r", "group_id": "g", "label": null}')], "line_no long, line string")
     assert review.read_label_manifest(lines).first()["violations"] == "blank"
+    lines = spark.createDataFrame([(0, '{"crop": 5, "source": "s", "result_json": "r", "group_id": "g", "label": null}')], "line_no long, line string")
+    assert review.read_label_manifest(lines).first()["violations"] == "not a string"
+    known, labels = spark.createDataFrame([("A",)], "result_json string"), spark.createDataFrame([("a",)], "result_json string")
+    assert review.require_no_orphans(labels, known).count() == 1
+    with pytest.raises(PySparkException, match="unknown result: b"):
+        review.require_no_orphans(labels.union(spark.createDataFrame([("c",), ("b",)], "result_json string")), known).collect()
+    with pytest.raises(ValueError):
+        review.limit_valid(known, 2, frozen=3)
+    read = spark.createDataFrame([(1, 0, " a  b ", 0.5), (1, 1, " ", 0.1)], "image_id int, line_no int, text string, score double")
+    got = detections.aggregate_ocr_lines(read, "image_id", images=spark.createDataFrame([(1,), (2,)], "image_id int")).orderBy("image_id").collect()
+    assert [tuple(r) for r in got] == [(1, "a b", 0.3, 2), (2, "", None, 0)]
     docs = spark.createDataFrame([('{"a": {"skip": "true"}, "b": {"skip": true}}',)], "value string")
     assert {r["key"]: r["skip"] for r in files.load_corrections(docs).collect()} == {"a": False, "b": True}
 
 
+def test_bundle_documents(spark):
+    """Keys follow the state of a field; images without boxes have a document too; optional keys are left out."""
+    import json
+
+    from tallyslip.operators.bundles import write_bundles
+
+    images = spark.createDataFrame([(1, 'a "b".png'), (2, None)], "image_id int, source string").selectExpr("*", "struct(10 AS width) AS geometry")
+    rows = [(1, 0, "amount", 0.5, None, None), (1, 1, "amount", 0.25, " \u00a5 1,000.5 ", 0.75), (1, 2, "time", 0.5, "", 0.5), (1, 3, "payment_method_field", 1.0, None, None)]
+    boxes = spark.createDataFrame(rows, "image_id int, pos int, label string, score double, text string, confidence double")
+    boxes = boxes.selectExpr("*", "1.0D AS x1", "2.0D AS y1", "3.00049D AS x2", "4.0D AS y2")
+    got = {r["image_id"]: json.loads(r["document"]) for r in write_bundles(images, boxes, F.array(F.array("x1", "y1"))).collect()}
+    one = got[1]
+    assert list(one) == ["source", "geometry", "fields", "detections"] and one["source"] == 'a "b".png' and one["geometry"] == {"width": 10}
+    assert one["fields"]["amount"] == {
+        "state": "read", "raw": "\u00a5 1,000.5", "ocr_confidence": 0.75, "detector_score": 0.25, "normalized": "\u00a51000.50", "amount_fen": 100050, "currency": "CNY",
+    }
+    assert one["fields"]["time"] == {"state": "unreadable", "raw": None, "score": 0.5} and one["fields"]["recipient"] == {"state": "absent", "raw": None}
+    assert [d["score"] for d in one["detections"]] == [0.5, 0.25, 0.5, 1.0] and one["detections"][2]["ocr"] == {"text": "", "confidence": 0.5}
+    assert "ocr" not in one["detections"][0] and one["detections"][0]["bbox_rectified"] == [1.0, 2.0, 3.0, 4.0]
+    assert got[2]["source"] is None and got[2]["detections"] == [] and {f["state"] for f in got[2]["fields"].values()} == {"absent"}
+
+
 def test_review_order_in_any_number_of_ranges(spark, monkeypatch):
     import random
 
