@@ -88,7 +88,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     shorten by a power each round. Joins are by id (links of one id are split by AQE where they are many),
     aggregates are minima with map-side partial results. Nulls and self links are left out."""
     links = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null and a != b")
-    both = materialize(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    # both directions of a link in one pass: what makes the links runs once
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = materialize(links.select(F.explode(ways).alias("way")).select("way.a", "way.b").distinct())
     labels = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")))
     while True:
         near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("component").alias("m"))
