@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyslip.llm import byte_bpe, embedding, language_id, packing, quality, simhash, token_count, toxicity, url_filter, winnowing
+from tallyslip.llm import byte_bpe, conversation_repair, embedding, language_id, line_dedup, packing, quality, simhash, token_count, toxicity, url_filter, whitening, winnowing
 from tallyslip.llm.common import table
 
 
@@ -70,3 +71,19 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (op1_quality, op5_language_id, op8_toxicity)}
+
+
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+QUERIES |= {f.__name__: f for f in (op11_whitening, op12_conversation_repair, op13_line_dedup)}
