@@ -64,11 +64,16 @@ def drop_skipped(df: DataFrame) -> DataFrame:
     return df.filter(~F.coalesce("correction.skip", F.lit(False)))
 
 
-def apply_defaults(df: DataFrame, max_side: int = 1600) -> DataFrame:
-    """An override counts where its key is present, even with null; else the run's default."""
+def apply_defaults(df: DataFrame, max_side: int = 1600, orientation: int | None = None, prefer_portrait: bool = True, auto_screen: bool = True) -> DataFrame:
+    """The five options of a row: an override counts where its key is present, even with null (orientation: found automatically; a
+    screen quad: none; the switches: off); else the run's default."""
+    own = lambda key, value, default: F.when(F.col(f"correction.{key}_set"), F.col(f"correction.{value}")).otherwise(default)
     return df.withColumns({
-        "orientation_degrees": F.when(F.col("correction.orientation_set"), F.col("correction.orientation")),
-        "max_side": F.when(F.col("correction.max_side_set"), F.col("correction.max_side")).otherwise(F.lit(max_side)),
+        "orientation_degrees": own("orientation", "orientation", F.lit(orientation).cast("int")),
+        "prefer_portrait": F.coalesce(own("prefer_portrait", "prefer_portrait", F.lit(prefer_portrait)), F.lit(False)),
+        "auto_screen": F.coalesce(own("auto_screen", "auto_screen", F.lit(auto_screen)), F.lit(False)),
+        "screen_quad": F.col("correction.screen_quad"),
+        "max_side": own("max_side", "max_side", F.lit(max_side)),
     })
 
 
@@ -169,11 +174,11 @@ def union_manifests(*shards: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.filter(~F.coalesce(F.col("status") == "skipped_existing", F.lit(False))), skipped
 
 
-def rectification_manifest(df: DataFrame, root: str, geometry: list[str]) -> DataFrame:
-    """One row per prepared image: where it came from, where its rectified image lies, and its flat geometry."""
+def rectification_manifest(df: DataFrame, root: str, geometry: Column) -> DataFrame:
+    """One row per prepared image: where it came from, where its rectified image lies, and the entries of its geometry (a struct)."""
     source = F.concat(F.lit(root.rstrip("/") + "/"), F.col("image_id"))
     rectified = F.concat(F.lit("images/"), stem_of(F.col("image_id")), F.lit(".jpg"))
-    return df.select(source.alias("source"), F.col("image_id").alias("source_relative"), rectified.alias("rectified_image"), *geometry)
+    return df.select(source.alias("source"), F.col("image_id").alias("source_relative"), rectified.alias("rectified_image"), geometry.alias("_g")).select("source", "source_relative", "rectified_image", "_g.*")
 
 
 def config_mismatches(rows: DataFrame, config: dict) -> DataFrame:
@@ -204,7 +209,7 @@ def union_in_stages(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def choose_orientation(df: DataFrame, prefer_portrait: bool = True) -> DataFrame:
+def choose_orientation(df: DataFrame, prefer_portrait: bool | Column = True) -> DataFrame:
     """Degrees per image: the explicit value modulo 360 (no multiple of 90 ends the job), else the best text score (a bonus of 0.02 if the turned image stands
     upright), the smallest on ties; without any score 90 for wide images, else 0."""
     wide = F.col("w") > F.col("h")

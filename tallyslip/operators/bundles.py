@@ -1,7 +1,7 @@
 """Result bundles: one JSON document per image, with its geometry, fields and boxes.
 
-Documents are strings made of `to_json` parts, since which keys a part has depends on its state. Figures are rounded half up on
-their shortest decimal form.
+Documents are strings made of `to_json` parts, since which keys a part has depends on its state. Figures are rounded as their exact
+binary values demand, points in the photo as arrays are (functions/numbers.py).
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyslip.functions.geometry import transform_points
+from tallyslip.functions.numbers import round_exact, round_scaled
 from tallyslip.functions.text import extract_field_value, normalize_amount, normalize_payment_method, normalize_status, normalize_time
 from tallyslip.operators.detections import field_state
 
@@ -25,12 +27,13 @@ def _object(**parts: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{k}":'), v) for k, v in parts.items()]), F.lit("}"))
 
 
-def field_document(field: str, score: Column, text: Column, confidence: Column) -> Column:
-    """A field as JSON: absent, unreadable (with the box's score) or read (text, both scores, and the normalised values its kind
+def field_document(field: str, of: str) -> Column:
+    """A field (the struct column `of` with score, text and confidence) as JSON: absent, unreadable (with the box's score) or read (text, both scores, and the normalised values its kind
     has). An amount with a figure shows the cleaned text."""
-    state, box = field_state(score, text).alias("state"), F.round(score, 6)
+    score, text = F.col(f"{of}.score"), F.col(f"{of}.text")
+    state, box = field_state(score, text).alias("state"), F.expr(round_exact(f"{of}.score", 6))
     nothing = F.lit(None).cast("string").alias("raw")
-    scores = [F.round(confidence, 6).alias("ocr_confidence"), box.alias("detector_score")]
+    scores = [F.expr(round_exact(f"{of}.confidence", 6)).alias("ocr_confidence"), box.alias("detector_score")]
     plain = [state, text.alias("raw"), *scores]
     read = _json(*plain)
     if field == "time":
@@ -49,30 +52,32 @@ def field_document(field: str, score: Column, text: Column, confidence: Column)
     return F.when(state == "absent", _json(state, nothing)).when(state == "unreadable", _json(state, nothing, box.alias("score"))).otherwise(read)
 
 
-def detection_document(quad: Column) -> Column:
-    """A box (label, score, x1..y2, text, confidence) as JSON, with its `quad` in the photo; `ocr` only where there is a text."""
-    flat = [
-        "label", F.round("score", 6).alias("score"),
-        F.array(*[F.round(c, 3) for c in ("x1", "y1", "x2", "y2")]).alias("bbox_rectified"),
-        F.transform(quad, lambda p: F.transform(p, lambda v: F.round(v, 3))).alias("quad_original"),
-    ]
-    flat = [F.col(c) if isinstance(c, str) else c for c in flat]
-    ocr = F.struct("text", F.round("confidence", 6).alias("confidence")).alias("ocr")
-    return F.when(F.col("text").isNotNull(), _json(*flat, ocr)).otherwise(_json(*flat))
+def detection_document(x: str, to_original: str) -> str:
+    """SQL text: a box (struct of label, score, x1..y2, text, confidence) as JSON, with its corners in the photo under the matrix of its
+    image; `ocr` only where there is a text."""
+    polygon = transform_points(f"array(array({x}.x1, {x}.y1), array({x}.x2, {x}.y1), array({x}.x2, {x}.y2), array({x}.x1, {x}.y2))", to_original)
+    flat = (
+        f"{x}.label AS label, {round_exact(f'{x}.score', 6)} AS score, array({', '.join(round_exact(f'{x}.{c}', 3) for c in ('x1', 'y1', 'x2', 'y2'))}) AS bbox_rectified, "
+        f"transform({polygon}, p -> transform(p, v -> {round_scaled('v', 3)})) AS quad_original"
+    )
+    keep = "map('ignoreNullFields', 'false')"
+    ocr = f"struct({x}.text AS text, {round_exact(f'{x}.confidence', 6)} AS confidence) AS ocr"
+    return f"CASE WHEN {x}.text IS NOT NULL THEN to_json(struct({flat}, {ocr}), {keep}) ELSE to_json(struct({flat}), {keep}) END"
 
 
-def write_bundles(images: DataFrame, boxes: DataFrame, quad: Column, styles: DataFrame | None = None) -> DataFrame:
-    """(image_id, document) per row of `images` (image_id, source, geometry struct); `boxes` (image_id, pos, label, score, x1..y2,
-    text, confidence) are in order of pos, and of repeated labels the last gives the field. `styles` (image_id, status_style and
-    tags as JSON) add their keys where an image has them. One shuffle on the image."""
+def write_bundles(images: DataFrame, boxes: DataFrame, styles: DataFrame | None = None) -> DataFrame:
+    """(image_id, document) per row of `images` (image_id, source, geometry struct, to_original: nine numbers by rows); `boxes`
+    (image_id, pos, label, score, x1..y2, text, confidence) are in order of pos, and of repeated labels the last gives the field.
+    `styles` (image_id, status_style and tags as JSON) add their keys where an image has them. Boxes meet the matrix of their image
+    once, as a list: one shuffle on the image."""
     picked = {f: F.max_by(F.struct("score", "text", "confidence"), F.when(F.col("label") == label, F.col("pos"))).alias(f"_{f}") for f, label in FIELDS.items()}
-    in_order = F.array_sort(F.collect_list(F.struct("pos", detection_document(quad).alias("d"))))
-    of_image = boxes.groupBy("image_id").agg(F.array_join(F.transform(in_order, lambda x: x["d"]), ",").alias("_boxes"), *picked.values())
-    rows = images.join(of_image, "image_id", "left")
+    in_order = F.array_sort(F.collect_list(F.struct("pos", F.struct("label", "score", "x1", "y1", "x2", "y2", "text", "confidence").alias("box"))))
+    rows = images.join(boxes.groupBy("image_id").agg(in_order.alias("_list"), *picked.values()), "image_id", "left")
+    rows = rows.withColumn("_boxes", F.expr(f"array_join(transform(_list, x -> {detection_document('x.box', 'to_original')}), ',')"))
     if styles is not None:
         rows = rows.join(styles.select("image_id", "status_style", "tags"), "image_id", "left")
     optional = {c: F.col(c) for c in ("status_style", "tags")} if styles is not None else {}
-    fields = _object(**{f: field_document(f, *[F.col(f"_{f}.{c}") for c in ("score", "text", "confidence")]) for f in FIELDS})
+    fields = _object(**{f: field_document(f, f"_{f}") for f in FIELDS})
     source = F.substring(_json(F.col("source").alias("s")), 6, 1 << 30)
     document = _object(
         source=F.expr("left(_source, length(_source) - 1)"), geometry=F.to_json("geometry", {"ignoreNullFields": "false"}), fields=fields,

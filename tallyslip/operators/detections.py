@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyslip.functions.geometry import transform_points
 from tallyslip.functions.text import LABELS, extract_field_value, normalize_amount, normalize_time
 
 # Names shown for labels, in display order.
@@ -152,13 +153,18 @@ def caption_rows(df: DataFrame, styles: DataFrame | None = None) -> DataFrame:
     return rows.withColumn("number", F.row_number().over(Window.partitionBy("image_id").orderBy("_rank", "pos"))).drop("_rank")
 
 
-def ellipse_points(df: DataFrame, n: int = 40) -> DataFrame:
-    """One row per point of the closed ellipse around a box, its radii 3 px larger than half its sides and at least 2."""
+def ellipse_points(df: DataFrame, n: int = 40, to_photo: str | None = None) -> DataFrame:
+    """One row per point of the ellipse around a box, its radii 3 px larger than half its sides and at least 2; the last point is the
+    first one again. With `to_photo`, the column with the matrix of the row's image, photo_x and photo_y are the point in the photo."""
     rx, ry = (F.greatest(F.lit(2.0), (F.col(f"{a}2") - F.col(f"{a}1")) / 2 + 3) for a in "xy")
     cx, cy = ((F.col(f"{a}1") + F.col(f"{a}2")) / 2 for a in "xy")
     out = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k"))
-    angle = F.col("k") * (2 * 3.141592653589793 / n)
-    return out.withColumns({"px": cx + rx * F.cos(angle), "py": cy + ry * F.sin(angle)})
+    angle = F.col("k") * (2 * 3.141592653589793 / (n - 1))
+    out = out.withColumns({"px": cx + rx * F.cos(angle), "py": cy + ry * F.sin(angle)})
+    if to_photo is None:
+        return out
+    out = out.withColumn("_photo", F.expr(transform_points("array(array(px, py))", to_photo)))
+    return out.withColumns({"photo_x": F.expr("_photo[0][0]"), "photo_y": F.expr("_photo[0][1]")}).drop("_photo")
 
 
 def route_errors(df: DataFrame, fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:

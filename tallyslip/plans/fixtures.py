@@ -55,7 +55,13 @@ SELECT page_id, concat(stem, suffix) AS image_id, page_id * 7 % 1000 + 1 AS leng
 ) AS p""",
     "fx_corrections": """
 SELECT CASE WHEN page_id % 7 = 0 THEN image_id WHEN page_id % 11 = 0 THEN regexp_replace(image_id, '^.*/', '') ELSE concat(image_id, '.moved') END AS key, min(page_id) AS c_id, max(page_id % 3 = 0) AS skip,
-  max(page_id % 2 = 0) AS orientation_set, max(CASE WHEN page_id % 4 = 0 THEN NULL ELSE 90 END) AS orientation, max(page_id % 5 = 0) AS max_side_set, max(0) AS max_side
+  max(page_id % 2 = 0) AS orientation_set, max(CASE WHEN page_id % 4 = 0 THEN NULL WHEN page_id % 26 = 14 THEN 45 ELSE 90 * (page_id % 5 - 1) END) AS orientation, max(page_id % 5 = 0) AS max_side_set, max(CASE WHEN page_id % 3 = 0 THEN 0 WHEN page_id % 25 = 10 THEN 1 ELSE 640 END) AS max_side,
+  max(page_id % 3 = 1) AS prefer_portrait_set, max(page_id % 2 = 1) AS prefer_portrait, max(page_id % 4 = 2) AS auto_screen_set, max(page_id % 8 = 2) AS auto_screen, max(page_id % 3 = 2) AS screen_quad_set,
+  max(CASE WHEN page_id % 3 = 2 THEN CAST(70 + page_id % 83 AS DOUBLE) END) AS qax, max(CASE WHEN page_id % 3 = 2 THEN CAST(95 + page_id % 61 AS DOUBLE) END) AS qay,
+  max(CASE WHEN page_id % 3 = 2 THEN CAST(700 - page_id % 47 AS DOUBLE) END) AS qbx, max(CASE WHEN page_id % 3 = 2 THEN CAST(80 + page_id % 53 AS DOUBLE) END) AS qby,
+  max(CASE WHEN page_id % 3 = 2 THEN CAST(CASE WHEN page_id % 23 = 0 THEN 700 - page_id % 47 ELSE 660 + page_id % 37 END AS DOUBLE) END) AS qcx,
+  max(CASE WHEN page_id % 3 = 2 THEN CAST(CASE WHEN page_id % 23 = 0 THEN 80 + page_id % 53 ELSE 710 + page_id % 29 END AS DOUBLE) END) AS qcy,
+  max(CASE WHEN page_id % 3 = 2 THEN CAST(60 + page_id % 71 AS DOUBLE) END) AS qdx, max(CASE WHEN page_id % 3 = 2 THEN CAST(690 + page_id % 43 AS DOUBLE) END) AS qdy
 FROM fx_paths GROUP BY 1""",
     "fx_bundles": """
 SELECT CASE WHEN page_id % 3 = 0 THEN image_id ELSE concat(image_id, '.moved') END AS source, page_id % 8 <> 0 AS all_outputs, CASE WHEN page_id % 5 = 0 THEN mtime - 1000 ELSE mtime END AS result_mtime,
@@ -74,8 +80,13 @@ SELECT conv_id AS image_id, degrees, CASE WHEN conv_id % 6 = 0 THEN NULL ELSE CA
   (conv_id + CAST(degrees / 90 AS BIGINT)) % 13 AS n_lines, CASE WHEN conv_id % 2 = 0 THEN 1200 ELSE 800 END AS w, CASE WHEN conv_id % 2 = 0 THEN 800 ELSE 1200 END AS h,
   CASE WHEN conv_id % 10 = 0 THEN -90 ELSE NULL END AS explicit_degrees
 FROM (SELECT DISTINCT conv_id FROM conversations) AS c CROSS JOIN (SELECT 0 AS degrees UNION ALL SELECT 90 UNION ALL SELECT 180 UNION ALL SELECT 270) AS d""",
+    "fx_photos": """
+SELECT image_id, page_id, CASE WHEN page_id % 3 = 0 THEN 1400 ELSE 800 END AS w, CASE WHEN page_id % 3 = 0 THEN 800 ELSE 1400 END AS h FROM fx_paths""",
+    "fx_turns": """
+SELECT image_id, page_id, degrees, CASE WHEN page_id % 6 < 3 THEN NULL ELSE CAST((page_id * 3 + degrees) % 10 AS DOUBLE) / 10 END AS confidence, (page_id + CAST(degrees / 90 AS BIGINT)) % 13 AS n_lines
+FROM fx_paths CROSS JOIN (SELECT 0 AS degrees UNION ALL SELECT 90 UNION ALL SELECT 180 UNION ALL SELECT 270) AS d""",
     "fx_quads": """
-SELECT p_partkey % 500 AS image_id, p_partkey AS pos, 800 AS w, 1400 AS h,
+SELECT CAST(floor(p_partkey / 4) AS BIGINT) AS image_id, p_partkey AS pos, 800 AS w, 1400 AS h,
   CAST(CASE WHEN p_partkey % 11 = 0 THEN 1.0 WHEN p_partkey % 9 = 0 THEN 50.0 ELSE 60.0 + p_partkey % 120 END AS DOUBLE) AS ax, CAST(CASE WHEN p_partkey % 11 = 0 THEN 2.0 WHEN p_partkey % 9 = 0 THEN 400.0 ELSE 90.0 + p_partkey * 3 % 120 END AS DOUBLE) AS ay,
   CAST(CASE WHEN p_partkey % 11 = 0 THEN 798.0 ELSE 740.0 - p_partkey * 7 % 120 END AS DOUBLE) AS bx, CAST(CASE WHEN p_partkey % 11 = 0 THEN 3.0 WHEN p_partkey % 9 = 0 THEN 410.0 ELSE 80.0 + p_partkey * 5 % 120 END AS DOUBLE) AS by_,
   CAST(CASE WHEN p_partkey % 11 = 0 THEN 797.0 ELSE 750.0 - p_partkey * 11 % 120 END AS DOUBLE) AS cx, CAST(CASE WHEN p_partkey % 11 = 0 THEN 1396.0 WHEN p_partkey % 9 = 0 THEN 800.0 ELSE 1310.0 - p_partkey * 2 % 120 END AS DOUBLE) AS cy,
@@ -92,7 +103,11 @@ SELECT p_partkey AS pos, CASE WHEN p_partkey % 13 = 0 THEN 0.0 ELSE 1.0 + p_part
 FROM part""",
     "fx_correction_docs": """
 SELECT page_id, concat('{{"', image_id, '": {{"skip": ', CASE page_id % 3 WHEN 0 THEN 'true' WHEN 1 THEN '"true"' ELSE 'false' END,
-  CASE WHEN page_id % 2 = 0 THEN ', "orientation_degrees": null' ELSE '' END, ', "max_side": ', CAST(page_id % 4 * 100 AS VARCHAR(20)), '}}}}') AS value
+  CASE WHEN page_id % 2 = 0 THEN ', "orientation_degrees": null' WHEN page_id % 5 = 1 THEN ', "orientation_degrees": -90' ELSE '' END,
+  CASE page_id % 8 WHEN 0 THEN '' WHEN 1 THEN ', "prefer_portrait": null' WHEN 2 THEN ', "prefer_portrait": 0' WHEN 3 THEN ', "prefer_portrait": "false"' WHEN 4 THEN ', "prefer_portrait": []' WHEN 5 THEN ', "prefer_portrait": ""' WHEN 6 THEN ', "prefer_portrait": true' ELSE ', "prefer_portrait": 0.5' END,
+  CASE page_id % 7 WHEN 0 THEN ', "auto_screen": false' WHEN 1 THEN ', "auto_screen": {{}}' WHEN 2 THEN ', "auto_screen": [0]' ELSE '' END,
+  CASE page_id % 4 WHEN 1 THEN concat(', "screen_quad": [[0, ', CAST(page_id % 50 AS VARCHAR(20)), '], [9.5, 0], [9, 9], [1, 8]]') WHEN 2 THEN ', "screen_quad": null' ELSE '' END,
+  ', "max_side": ', CAST(page_id % 4 * 100 AS VARCHAR(20)), '}}}}') AS value
 FROM fx_paths""",
     "fx_payloads": """
 SELECT doc_id, CASE doc_id % 5
@@ -121,7 +136,7 @@ FROM documents""",
 }
 
 #: Views that others read, before them.
-NEEDS = {"fx_corrections": ["fx_paths"], "fx_bundles": ["fx_paths"], "fx_stage": ["fx_paths"], "fx_correction_docs": ["fx_paths"]}
+NEEDS = {"fx_photos": ["fx_paths"], "fx_turns": ["fx_paths"], "fx_corrections": ["fx_paths"], "fx_bundles": ["fx_paths"], "fx_stage": ["fx_paths"], "fx_correction_docs": ["fx_paths"]}
 TABLES = ("events", "conversations", "orders", "customer", "pages", "part", "embeddings", "documents", "labels")
 
 

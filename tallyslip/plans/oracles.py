@@ -1,5 +1,6 @@
 """DuckDB SQL of the receipt queries: written on its own, over the same views."""
 
+from tallyslip.plans import oracles_geometry as og
 from tallyslip.plans.fixtures import with_fixtures as fx
 
 _LABEL = "CASE class_id WHEN 1 THEN 'time' WHEN 2 THEN 'amount' WHEN 3 THEN 'transfer_status' WHEN 4 THEN 'recipient_field' WHEN 5 THEN 'payment_method_field' END"
@@ -66,7 +67,11 @@ ORACLES = {
     "scan_images": fx("SELECT image_id, length FROM fx_paths WHERE lower(regexp_extract(image_id, '[.]([^./]+)$', 1)) IN ('jpg','jpeg','png','webp','bmp','tif','tiff')", "fx_paths"),
     "join_corrections": fx(f"WITH {_CORRECTED} SELECT image_id, c_id FROM j", "fx_corrections"),
     "drop_skipped": fx(f"WITH {_CORRECTED} SELECT image_id FROM j WHERE NOT coalesce(skip, false)", "fx_corrections"),
-    "apply_defaults": fx(f"WITH {_CORRECTED} SELECT image_id, CASE WHEN os THEN o END AS orientation_degrees, CASE WHEN ms THEN m ELSE 1600 END AS max_side FROM j", "fx_corrections"),
+    "apply_defaults": fx(
+        f"WITH {og.CORRECTED_PHOTOS}, o AS (SELECT image_id, CASE WHEN orientation_set THEN orientation END AS orientation_degrees, coalesce(CASE WHEN prefer_portrait_set THEN prefer_portrait ELSE true END, false) AS prefer_portrait, "
+        "coalesce(CASE WHEN auto_screen_set THEN auto_screen ELSE true END, false) AS auto_screen, CASE WHEN max_side_set THEN max_side ELSE 1600 END AS max_side, "
+        "qax AS q_ax, qay AS q_ay, qbx AS q_bx, qby AS q_by, qcx AS q_cx, qcy AS q_cy, qdx AS q_dx, qdy AS q_dy FROM fj) SELECT * FROM o", "fx_photos", "fx_corrections", "fx_turns",
+    ),
     "output_name_collisions": fx(f"SELECT lower({_STEM}) AS stem, count(*) AS n, min(image_id) AS first FROM fx_paths GROUP BY 1 HAVING count(*) > 1", "fx_paths"),
     "is_bundle_committed": _committed("SELECT image_id, committed FROM c"),
     "split_committed": _committed("SELECT committed, count(*) AS n FROM c GROUP BY 1"),
@@ -92,7 +97,11 @@ SELECT image_id, concat_ws(',', CASE WHEN NOT coalesce(a1, false) THEN 'time' EN
     "status_crop_box": fx("WITH c AS (SELECT pos, " + _CROP.format(mx="(x2 - x1) * 0.3::DOUBLE", my="(y2 - y1) * 0.3::DOUBLE") + f", x2 > x1 AND y2 > y1 AS box FROM fx_detections), e AS (SELECT pos, box, CASE WHEN box THEN l END AS l, CASE WHEN box THEN t END AS t, CASE WHEN box THEN r END AS r, CASE WHEN box THEN b END AS b FROM c) SELECT pos, {_CROP_OUT}, CASE WHEN NOT box THEN 'empty box' WHEN NOT (r > l AND b > t) THEN 'box outside the image' END AS crop_error FROM e", "fx_detections"),
     "caption": fx(f"WITH {_BEST} SELECT image_id, label, CASE label WHEN 'time' THEN '时间' WHEN 'amount' THEN '金额' WHEN 'transfer_status' THEN '转账状态' WHEN 'recipient_field' THEN '收款方' ELSE '付款方式' END || ' ' || '(' || CAST(CAST(round_even(score * 100, 0) AS BIGINT) AS VARCHAR) || '%)' AS caption FROM best", "fx_detections"),
     "caption_rows": fx(f"WITH {_BEST} SELECT image_id, label, CAST(row_number() OVER (PARTITION BY image_id ORDER BY class_id, pos) AS INT) AS number FROM best", "fx_detections"),
-    "ellipse_points": fx(f"WITH {_BEST} SELECT pos, CAST(k AS INT) AS k, round((x1 + x2) / 2 + greatest(2.0, (x2 - x1) / 2 + 3) * cos(k * (2 * 3.141592653589793::DOUBLE / 40)), 6) AS px, round((y1 + y2) / 2 + greatest(2.0, (y2 - y1) / 2 + 3) * sin(k * (2 * 3.141592653589793::DOUBLE / 40)), 6) AS py FROM best CROSS JOIN (SELECT unnest(range(0, 40)) AS k) ks", "fx_detections"),
+    "ellipse_points": fx(
+        f"WITH {_BEST}, {og.PHOTOS_OF_BOXES}, {og.plan(_SIDES + ', ' + _SCORED)}, e AS (SELECT b.image_id, b.pos, k, (x1 + x2) / 2 + greatest(2.0, (x2 - x1) / 2 + 3) * cos(k * (2 * 3.141592653589793::DOUBLE / 39)) AS px, "
+        "(y1 + y2) / 2 + greatest(2.0, (y2 - y1) / 2 + 3) * sin(k * (2 * 3.141592653589793::DOUBLE / 39)) AS py FROM best b CROSS JOIN (SELECT unnest(range(0, 40)) AS k) ks) "
+        f"SELECT pos, CAST(k AS INT) AS k, round(px, 6) AS px, round(py, 6) AS py, round({og.projected('px', 'py')[0]}, 6) AS photo_x, round({og.projected('px', 'py')[1]}, 6) AS photo_y FROM e JOIN plan ON plan.key = e.image_id", "fx_detections", "fx_quads",
+    ),
     "route_errors": fx(f"WITH {_VIOLATIONS} SELECT pos, CASE WHEN violations <> '' THEN violations END AS message FROM v", "fx_detections"),
     "batch_summary": fx(f"WITH {_VIOLATIONS}, {_COMMITTED}, s AS (SELECT CASE WHEN committed THEN 'skipped_existing' ELSE 'written' END AS status FROM c UNION ALL SELECT 'failed' FROM v WHERE violations <> '') SELECT status, count(*) AS n FROM s GROUP BY 1", "fx_detections", "fx_bundles"),
     "union_errors": fx(f"WITH {_VIOLATIONS} SELECT CAST(image_id AS VARCHAR) AS source, violations AS message, 0 AS stage_no FROM v WHERE violations <> '' UNION ALL SELECT s.source, CASE WHEN p.image_id IS NULL THEN 'missing source' ELSE 'changed source' END, 1 FROM fx_stage s LEFT JOIN fx_paths p ON p.image_id = s.source WHERE p.image_id IS NULL OR s.length <> p.length OR s.mtime <> p.mtime", "fx_detections", "fx_stage"),
@@ -112,11 +121,15 @@ SELECT image_id, {', '.join(f"coalesce(max(CASE WHEN label = '{c}' THEN state EN
     "normalize_payment_method": fx(f"WITH a AS (SELECT row_id, replace(payment, ' ', '') AS s FROM fx_field_rows) SELECT row_id, {_PAYMENT} AS payment FROM a", "fx_field_rows"),
     "order_quad": fx(f"WITH {_ORDERED} SELECT pos, ax, ay, bx, by_, cx, cy, dx, dy FROM oq", "fx_quads"),
     "quad_score": fx(f"WITH {_ORDERED}, {_SIDES}, {_SCORED} SELECT pos, round(score, 6) AS score FROM sc", "fx_quads"),
-    "best_quad": fx(f"WITH {_ORDERED}, {_SIDES}, {_SCORED}, t AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, pos) AS n FROM sc) SELECT image_id, CASE WHEN score >= 0.10 THEN pos END AS pos, score >= 0.10 AS screen_detected FROM t WHERE n = 1", "fx_quads"),
+    "best_quad": fx(f"WITH {_ORDERED}, {_SIDES}, {_SCORED}, t AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, pos) AS n FROM sc) SELECT image_id, CASE WHEN score >= 0.10 THEN pos END AS pos, score >= 0.10 AS screen_detected, "
+        + ", ".join(f"CASE WHEN score >= 0.10 THEN {c} ELSE {full} END AS q_{c.strip('_')}" for c, full in zip(og.CORNERS, (0, 0, "w - 1", 0, "w - 1", "h - 1", 0, "h - 1"))) + " FROM t WHERE n = 1", "fx_quads"),
     "output_size": fx(f"WITH {_ORDERED}, {_SIDES}, s AS (SELECT pos, greatest(2.0, round_even(greatest(ab, dc), 0) + 1) AS ow, greatest(2.0, round_even(greatest(ad, bc), 0) + 1) AS oh FROM sides), z AS (SELECT *, CASE WHEN greatest(ow, oh) > 1000 THEN 1000.0::DOUBLE / greatest(ow, oh) ELSE 1.0 END AS k FROM s) SELECT pos, CAST(greatest(2, round_even(ow * k, 0)) AS INT) AS out_w, CAST(greatest(2, round_even(oh * k, 0)) AS INT) AS out_h FROM z", "fx_quads"),
     "rotation_homography": fx("SELECT pos, " + ", ".join(f"CASE pos % 4 WHEN 0 THEN {a} WHEN 1 THEN {b} WHEN 2 THEN {c} ELSE {d} END::DOUBLE AS h{i}" for i, (a, b, c, d) in enumerate(zip(
         ("1", "0", "0", "0", "1", "0", "0", "0", "1"), ("0", "-1", "h - 1", "1", "0", "0", "0", "0", "1"), ("-1", "0", "w - 1", "0", "-1", "h - 1", "0", "0", "1"), ("0", "1", "0", "-1", "0", "w - 1", "0", "0", "1")))) + " FROM fx_quads", "fx_quads"),
-    "homography": fx(f"WITH {_ORDERED}, {_HOMOGRAPHY} SELECT pos, " + ", ".join(f"round(h{i}, 6) AS h{i}" for i in range(9)) + " FROM hm", "fx_quads"),
+    "homography": fx(
+        f"WITH {_ORDERED}, {og.sized('oq', 'z', '1000')}, {og.map_to_rectangle('z', 'pos, ow, oh')}, {og.inverse_of('m', 'rect', 'io', 'pos, ' + ', '.join(og.names('h') + og.names('m')), 'n')} SELECT pos, "
+        + ", ".join(f"round({c}, 6) AS {c}" for c in og.names("h") + og.names("m") + og.names("n")) + ", true AS is_inverse FROM io", "fx_quads",
+    ),
     "project_points": fx(f"WITH {_ORDERED}, {_HOMOGRAPHY} SELECT pos, round((h0 * 0.25 + h1 * 0.75 + h2) / (h6 * 0.25 + h7 * 0.75 + h8), 6) AS x, round((h3 * 0.25 + h4 * 0.75 + h5) / (h6 * 0.25 + h7 * 0.75 + h8), 6) AS y FROM hm", "fx_quads"),
     "softmax": fx(f"WITH {_PROBS} SELECT image_id, round(p0, 9) AS p0, round(p1, 9) AS p1, round(p2, 9) AS p2 FROM p", "fx_probs"),
     "gate_style": fx(f"WITH {_PROBS} SELECT image_id, label, candidate, round(confidence, 9) AS confidence FROM gated", "fx_probs"),
@@ -161,11 +174,15 @@ ORACLES |= {
     "require_same_config": fx(
         "SELECT style_config, style_model, count(*) AS n, style_config = 0.3 AND style_model = 'style-1' AS same FROM fx_bundles GROUP BY 1, 2", "fx_bundles"
     ),
-    "rectification_manifest": ORACLES["output_size"].replace(
-        "SELECT pos, CAST(greatest(2, round_even(ow",
-        "SELECT '/photos/in/' || CAST(z.pos AS VARCHAR) || '.png' AS source, 'in/' || CAST(z.pos AS VARCHAR) || '.png' AS source_relative, "
-        "'images/in/' || CAST(z.pos AS VARCHAR) || '.jpg' AS rectified_image, oq.w, oq.h, oq.ax, oq.ay, oq.cx, oq.cy, CAST(greatest(2, round_even(ow",
-    ).replace(" FROM z", " FROM z JOIN oq ON oq.pos = z.pos"),
+    "rectification_manifest": fx(
+        f"WITH {og.CORRECTED_PHOTOS}, {og.plan(_SIDES + ', ' + _SCORED)} SELECT '/photos/' || path AS source, path AS source_relative, 'images/' || regexp_replace(path, '[.][^./]+$', '') || '.jpg' AS rectified_image, "
+        f"{og.size_json('plan.w', 'plan.h')} AS source_size, {og.size_json('ow', 'oh')} AS rectified_size, deg AS rotation_degrees, detected AS screen_detected, {og.QUAD} AS screen_quad_original, "
+        f'{og.TO_RECTIFIED} AS "H_original_to_rectified", {og.TO_ORIGINAL} AS "H_rectified_to_original" FROM plan JOIN fo ON fo.key = plan.key', "fx_photos", "fx_corrections", "fx_turns", "fx_quads",
+    ),
+    "plan_rectification": fx(
+        f"WITH {og.CORRECTED_PHOTOS}, {og.plan(_SIDES + ', ' + _SCORED)} SELECT p2.key AS image_id, plan.deg AS rotation_degrees, plan.detected AS screen_detected, ow AS rectified_w, oh AS rectified_h, p2.error FROM p2 LEFT JOIN plan ON plan.key = p2.key",
+        "fx_photos", "fx_corrections", "fx_turns", "fx_quads",
+    ),
     "validate_geometry": fx(
         """SELECT pos, concat_ws(',', CASE WHEN now_w <> w THEN 'source size' END, CASE WHEN now_h <> h THEN 'rectified size' END, CASE WHEN qx IS NULL THEN 'screen quad' END,
   CASE WHEN a = 0 THEN 'to_rectified' END, CASE WHEN a <> 0 AND (abs(a * itx + tx) > 1e-5 OR abs(b * ity + ty) > 1e-5 OR abs(a * ia - 1) > 2e-5 OR abs(b * ib - 1) > 2e-5) THEN 'not inverse' END,
@@ -197,8 +214,10 @@ SELECT g.image_id, CAST(coalesce(k.n, 0) + 1 AS INT) AS number, '设备/风险
         "fx_probs", "fx_detections",
     ),
     "load_corrections": fx(
-        "SELECT image_id AS key, page_id % 3 = 0 AS skip, page_id % 2 = 0 AS orientation_set, CAST(NULL AS INT) AS orientation, true AS max_side_set, "
-        "CAST(page_id % 4 * 100 AS INT) AS max_side FROM fx_paths",
+        "SELECT image_id AS key, page_id % 3 = 0 AS skip, page_id % 2 = 0 OR page_id % 5 = 1 AS orientation_set, CASE WHEN page_id % 2 = 1 AND page_id % 5 = 1 THEN -90 END AS orientation, "
+        "page_id % 8 <> 0 AS prefer_portrait_set, CASE WHEN page_id % 8 <> 0 THEN page_id % 8 IN (3, 6, 7) END AS prefer_portrait, page_id % 7 < 3 AS auto_screen_set, CASE WHEN page_id % 7 < 3 THEN page_id % 7 = 2 END AS auto_screen, "
+        "page_id % 4 IN (1, 2) AS screen_quad_set, CASE WHEN page_id % 4 = 1 THEN '[[0.0,' || CAST(CAST(page_id % 50 AS DOUBLE) AS VARCHAR) || '],[9.5,0.0],[9.0,9.0],[1.0,8.0]]' END AS screen_quad, "
+        "true AS max_side_set, CAST(page_id % 4 * 100 AS INT) AS max_side FROM fx_paths",
         "fx_paths",
     ),
     "flatten_ocr_payload": fx(
@@ -212,9 +231,9 @@ UNION ALL SELECT doc_id, 0, 'x' || CAST(doc_id AS VARCHAR), 0.75 FROM documents
 _SCORES = "'ocr_confidence', confidence, 'detector_score', round(score, 6)"
 _FEN = f"(SELECT CAST({_AMOUNT} AS BIGINT))"
 _YUAN = "(SELECT '¥' || CAST(f // 100 AS VARCHAR) || '.' || lpad(CAST(f % 100 AS VARCHAR), 2, '0') FROM (SELECT fen AS f))"
-_ROUNDED = "CAST(round(CAST(CAST({0} AS VARCHAR) AS DECIMAL(38, 20)), 3) AS DOUBLE)"
-_R = {c: _ROUNDED.format(c) for c in ("x1", "y1", "x2", "y2")}
-_QUAD = f"[[{_R['x1']}, {_R['y1']}], [{_R['x2']}, {_R['y1']}], [{_R['x2']}, {_R['y2']}], [{_R['x1']}, {_R['y2']}]]"
+_R = {c: og.exact(c, 3) for c in ("x1", "y1", "x2", "y2")}
+_PHOTO = [f"[round_even({x} * 1000.0::DOUBLE, 0) / 1000.0::DOUBLE + 0.0, round_even({y} * 1000.0::DOUBLE, 0) / 1000.0::DOUBLE + 0.0]" for x, y in (og.projected(a, b) for a, b in (("x1", "y1"), ("x2", "y1"), ("x2", "y2"), ("x1", "y2")))]
+_QUAD = f"[{', '.join(_PHOTO)}]"
 _BOX = f"'label', label, 'score', round(score, 6), 'bbox_rectified', [{_R['x1']}, {_R['y1']}, {_R['x2']}, {_R['y2']}], 'quad_original', {_QUAD}"
 _READ = f"""CASE WHEN text IS NULL OR text = '' THEN json_object('state', 'unreadable', 'raw', NULL, 'score', round(score, 6))
     WHEN label = 'time' THEN json_object('state', 'read', 'raw', text, {_SCORES}, 'value', {_TIME})
@@ -234,20 +253,22 @@ _FIELD_LIST = ", ".join(
     f"'{k}', coalesce(max(CASE WHEN label = '{label}' THEN field END)::JSON, json_object('state', 'absent', 'raw', NULL))" for k, label in _FIELD_OF.items()
 )
 
+_GEOMETRY = og.GEOMETRY
+
 ORACLES["write_bundles"] = fx(
-    f"""WITH {_PROBS}, {_BEST}, ocr AS (SELECT image_id AS oid, 'amount' AS olabel, min_by(text, row_id) AS text, min(row_id) AS row_id FROM fx_amount_text GROUP BY image_id
+    f"""WITH {_PROBS.replace("p AS (", "pr AS (").replace("FROM p)", "FROM pr)")}, {_BEST}, {og.PHOTOS_OF_BOXES}, {og.plan(_SIDES + ", " + _SCORED).replace("f AS (SELECT", "ff AS (SELECT").replace("FROM f)", "FROM ff)")}, ocr AS (SELECT image_id AS oid, 'amount' AS olabel, min_by(text, row_id) AS text, min(row_id) AS row_id FROM fx_amount_text GROUP BY image_id
     UNION ALL SELECT row_id, 'recipient_field', recipient, row_id FROM fx_field_rows UNION ALL SELECT row_id, 'transfer_status', status, row_id FROM fx_field_rows
     UNION ALL SELECT row_id, 'payment_method_field', payment, row_id FROM fx_field_rows UNION ALL SELECT row_id, 'time', text, row_id FROM fx_time_text),
   j AS (SELECT b.*, o.text, o.row_id, CASE WHEN o.text IS NOT NULL AND image_id % 9 <> 0 THEN CAST(image_id * 7 % 100 AS DOUBLE) / 100 END AS confidence FROM best b LEFT JOIN ocr o ON o.oid = b.image_id AND o.olabel = b.label),
-  k AS (SELECT *, CASE WHEN label = 'amount' THEN {_FEN} END AS fen FROM j),
+  k AS (SELECT j.*, plan.* EXCLUDE (error, w, h), CASE WHEN label = 'amount' THEN {_FEN} END AS fen FROM j JOIN plan ON plan.key = j.image_id),
   f AS (SELECT *, CAST({_READ} AS VARCHAR) AS field,
     CASE WHEN text IS NOT NULL THEN json_object({_BOX}, 'ocr', json_object('text', text, 'confidence', confidence)) ELSE json_object({_BOX}) END AS box FROM k),
   i AS (SELECT image_id, json_object({_FIELD_LIST}) AS fields, string_agg(CAST(box AS VARCHAR), ',' ORDER BY pos) AS boxes FROM f GROUP BY image_id),
   st AS (SELECT DISTINCT image_id FROM m WHERE class_id = 3)
-SELECT i.image_id, '{{"source":"in/' || CAST(i.image_id AS VARCHAR) || '.png","geometry":{{"width":720,"height":1280,"rotation_degrees":' || CAST(i.image_id % 4 * 90 AS VARCHAR) || '}},"fields":' || CAST(fields AS VARCHAR)
+SELECT i.image_id, '{{"source":"in/' || CAST(i.image_id AS VARCHAR) || '.png","geometry":' || {_GEOMETRY} || ',"fields":' || CAST(fields AS VARCHAR)
   || ',"detections":[' || boxes || ']' || CASE WHEN g.label IS NOT NULL AND st.image_id IS NOT NULL THEN ',"status_style":' || CAST({_STYLE_OBJECT} AS VARCHAR) || ',"tags":' || CAST({_TAGS_OBJECT} AS VARCHAR) ELSE '' END || '}}' AS document
-FROM i LEFT JOIN st ON st.image_id = i.image_id LEFT JOIN gated g ON g.image_id = i.image_id""",
-    "fx_probs", *_OCR_FX,
+FROM i LEFT JOIN st ON st.image_id = i.image_id LEFT JOIN gated g ON g.image_id = i.image_id JOIN plan ON plan.key = i.image_id""",
+    "fx_probs", "fx_quads", *_OCR_FX,
 )
 
 _LINE = "CASE WHEN json_valid(line) THEN json_extract_string(line, '$.{0}') END AS {0}"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyslip.functions import geometry as geo
 from tallyslip.functions import style, text
-from tallyslip.operators import batch, bundles, detections, review
+from tallyslip.operators import batch, bundles, detections, rectify, review
 from tallyslip.plans.fixtures import fixture
 from tallyslip.sources import files
 
@@ -66,8 +66,15 @@ def scan_images(spark, d):
     return batch.images_only(fixture(spark, d, "fx_paths")).select("image_id", "length")
 
 
+def _corrections(spark, d):
+    """The view's flat corners as a list of points, null where a correction has none."""
+    quad = F.array(*[F.array(f"q{c}x", f"q{c}y") for c in geo.CORNERS])
+    rows = fixture(spark, d, "fx_corrections").withColumn("screen_quad", F.when(F.col("qax").isNotNull(), quad))
+    return rows.drop(*[f"q{c}{k}" for c in geo.CORNERS for k in "xy"])
+
+
 def _corrected(spark, d):
-    return batch.join_corrections(fixture(spark, d, "fx_paths"), fixture(spark, d, "fx_corrections"))
+    return batch.join_corrections(fixture(spark, d, "fx_paths"), _corrections(spark, d))
 
 
 @query
@@ -82,7 +89,9 @@ def drop_skipped(spark, d):
 
 @query
 def apply_defaults(spark, d):
-    return batch.apply_defaults(_corrected(spark, d)).select("image_id", "orientation_degrees", "max_side")
+    rows = batch.apply_defaults(_corrected(spark, d))
+    corners = [v.alias(f"q_{k}") for k, v in geo.corners("screen_quad").items()]
+    return rows.select("image_id", "orientation_degrees", "prefer_portrait", "auto_screen", "max_side", *corners)
 
 
 @query
@@ -204,9 +213,23 @@ def caption_rows(spark, d):
     return detections.caption_rows(_best(spark, d)).select("image_id", "label", "number")
 
 
+def _photos_of_boxes(spark, d):
+    """Photos of the images that have boxes, with options by arithmetic on their number, and their plans."""
+    ids, n = fixture(spark, d, "fx_detections").select("image_id").distinct(), F.col("image_id")
+    photos = ids.select(
+        "image_id", F.when(n % 3 == 0, 1400).otherwise(800).alias("w"), F.when(n % 3 == 0, 800).otherwise(1400).alias("h"),
+        F.when(n % 5 == 0, (n % 4 * 90).cast("int")).alias("orientation_degrees"), (n % 7 != 0).alias("prefer_portrait"), (n % 6 != 0).alias("auto_screen"),
+        F.lit(None).cast("array<array<double>>").alias("screen_quad"), F.when(n % 4 == 0, 0).otherwise(1280).alias("max_side"),
+    )
+    return rectify.plan_rectification(photos, fixture(spark, d, "fx_quads").withColumnRenamed("by_", "by"))
+
+
 @query
 def ellipse_points(spark, d):
-    return detections.ellipse_points(_best(spark, d)).select("pos", "k", F.round("px", 6).alias("px"), F.round("py", 6).alias("py"))
+    """Points of the closed ellipses round the best boxes, in the rectified image and in the photo."""
+    matrices = _photos_of_boxes(spark, d).select("image_id", "to_original")
+    out = detections.ellipse_points(_best(spark, d).join(matrices, "image_id", "left"), to_photo="to_original")
+    return out.select("pos", "k", *[F.round(c, 6).alias(c) for c in ("px", "py", "photo_x", "photo_y")])
 
 
 @query
@@ -266,17 +289,19 @@ def field_state(spark, d):
 
 @query
 def write_bundles(spark, d):
-    """One JSON document per image that has boxes, with the style of its status box where it has class probabilities."""
+    """One JSON document per image that has boxes, with its geometry, the boxes in the photo, and the style of its status box where it
+    has class probabilities."""
     best = _best(spark, d)
     spoken = F.when(F.col("text").isNotNull() & (F.col("image_id") % 9 != 0), (F.col("image_id") * 7 % 100).cast("double") / 100)
     boxes = detections.attach_ocr(best, _receipt_ocr(spark, d)).withColumn("confidence", spoken)
-    size = F.struct(F.lit(WIDTH).alias("width"), F.lit(HEIGHT).alias("height"), (F.col("image_id") % 4 * 90).cast("int").alias("rotation_degrees"))
-    images = best.select("image_id").distinct().select("image_id", F.concat(F.lit("in/"), F.col("image_id").cast("string"), F.lit(".png")).alias("source"), size.alias("geometry"))
+    images = _photos_of_boxes(spark, d).select(
+        "image_id", F.concat(F.lit("in/"), F.col("image_id").cast("string"), F.lit(".png")).alias("source"), rectify.geometry_record().alias("geometry"), "to_original",
+    ).join(best.select("image_id").distinct(), "image_id", "left_semi")
     named = lambda *cols: F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
     tags = ("platform", "authenticity", "review_tag", "requires_manual_review", "reason", "rule_version")
     styles = style.style_tags(style_record(spark, d).filter("state != 'unavailable'"))
     styles = styles.select("image_id", named("schema_version", "state", "label", F.round("confidence", 6).alias("confidence"), "business_tag", "model").alias("status_style"), named(*tags).alias("tags"))
-    return bundles.write_bundles(images, boxes, geo.bbox_to_polygon(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]), styles)
+    return bundles.write_bundles(images, boxes, styles)
 
 
 # --- text
@@ -333,7 +358,9 @@ def quad_score(spark, d):
 
 @query
 def best_quad(spark, d):
-    return geo.best_quad(_quads(spark, d))
+    """The chosen screen of every image, the full image where no candidate is one."""
+    q = geo.best_quad(_quads(spark, d))
+    return q.select("image_id", "pos", "screen_detected", *[F.col(f"{c}{k}").alias(f"q_{c}{k}") for c in geo.CORNERS for k in "xy"])
 
 
 @query
@@ -349,7 +376,13 @@ def rotation_homography(spark, d):
 
 @query
 def homography(spark, d):
-    return geo.square_to_quad(_quads(spark, d)).select("pos", *[F.round(f"h{i}", 6).alias(f"h{i}") for i in range(9)])
+    """h: unit square to quad; m: quad to rectangle; n: its inverse; and whether their product is the identity."""
+    q = geo.output_size(geo.square_to_quad(_quads(spark, d)), 1000)
+    q = geo.quad_to_rectangle(q.withColumns({f"_h{i}": F.col(f"h{i}") for i in range(9)})).withColumn("back", F.expr(geo.inverse("to_rectangle")))
+    q = q.withColumn("product", F.expr(geo.multiply("to_rectangle", "back")))
+    same = F.expr("forall(transform(product, (v, i) -> abs(v - CASE WHEN i % 4 = 0 THEN 1 ELSE 0 END)), e -> e < 1e-6)")
+    at = lambda m, n: [F.expr(f"round({m}[{i}], 6)").alias(f"{n}{i}") for i in range(9)]
+    return q.select("pos", *[F.round(f"_h{i}", 6).alias(f"h{i}") for i in range(9)], *at("to_rectangle", "m"), *at("back", "n"), same.alias("is_inverse"))
 
 
 @query
@@ -487,10 +520,27 @@ def require_same_config(spark, d):
     return batch.config_mismatches(fixture(spark, d, "fx_bundles"), {"style_config": 0.3, "style_model": "style-1"})
 
 
+def _planned(spark, d):
+    """Plans of all photos under their corrections, run defaults and orientation scores. Paths may repeat, so photos are keyed by number."""
+    photos = batch.join_corrections(fixture(spark, d, "fx_photos"), _corrections(spark, d))
+    photos = batch.drop_skipped(photos)
+    photos = batch.apply_defaults(photos).select(F.col("image_id").alias("path"), F.col("page_id").alias("image_id"), "w", "h", "orientation_degrees", "prefer_portrait", "auto_screen", "screen_quad", "max_side")
+    turns = fixture(spark, d, "fx_turns").drop("image_id").withColumnRenamed("page_id", "image_id")
+    return rectify.plan_rectification(photos, fixture(spark, d, "fx_quads").withColumnRenamed("by_", "by"), turns)
+
+
 @query
 def rectification_manifest(spark, d):
-    q = geo.output_size(_quads(spark, d), 1000).withColumn("image_id", F.concat(F.lit("in/"), F.col("pos").cast("string"), F.lit(".png")))
-    return batch.rectification_manifest(q, "/photos", ["w", "h", "out_w", "out_h", "ax", "ay", "cx", "cy"])
+    """The geometry of every prepared photo, nested values as JSON."""
+    rows = _planned(spark, d).filter("error is null").select(F.col("path").alias("image_id"), rectify.geometry_record().alias("g"))
+    rows = batch.rectification_manifest(rows, "/photos", F.col("g"))
+    return rows.select(*[F.to_json(c).alias(c) if "array" in t or "struct" in t else F.col(c) for c, t in rows.dtypes])
+
+
+@query
+def plan_rectification(spark, d):
+    """What each photo's plan comes to, and the option that can't be followed."""
+    return _planned(spark, d).select("image_id", "rotation_degrees", "screen_detected", "rectified_w", "rectified_h", "error")
 
 
 @query
@@ -536,7 +586,8 @@ def style_caption(spark, d):
 @query
 def load_corrections(spark, d):
     rows = files.load_corrections(fixture(spark, d, "fx_correction_docs"))
-    return rows.select("key", "skip", "orientation_set", "orientation", "max_side_set", "max_side")
+    quad = F.to_json("screen_quad").alias("screen_quad")
+    return rows.select(*[quad if c == "screen_quad" else F.col(c) for c in rows.columns])
 
 
 @query

@@ -31,17 +31,37 @@ def scan_pixels(spark: SparkSession, path: str) -> DataFrame:
     return image.select(F.col("image.origin").alias("image_id"), F.col("image.width").alias("width"), F.col("image.height").alias("height"), F.col("image.nChannels").alias("n_channels"), F.col("image.data").alias("pixels"), F.when(bad, "undecodable image").alias("error"))
 
 
+#: Keys of a correction that are switches.
+SWITCHES = ["prefer_portrait", "auto_screen"]
+
+
+def _truth(key: str) -> Column:
+    """Whether a JSON value counts as on: null, false, 0, and empty texts, lists and objects are off."""
+    value = F.try_variant_get(F.try_parse_json("raw"), f"$.{key}", "variant")
+    kind, text = F.schema_of_variant(value), F.get_json_object("raw", f"$.{key}")
+    off = (kind == "VOID") | ((kind == "BOOLEAN") & (text == "false")) | ((kind == "STRING") & (text == ""))
+    off = off | (kind.startswith("ARRAY") & (text == "[]")) | (kind.startswith("OBJECT") & (text == "{}"))
+    number = (kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL")) & (text.try_cast("double") == 0)
+    return ~F.coalesce(off | number, F.lit(False))
+
+
 def load_corrections(documents: DataFrame, value: str = "value") -> DataFrame:
-    """JSON objects keyed by path as rows (key, skip, ..., with *_set telling a null from an absent key). A root or value
-    that is no object ends the job."""
+    """JSON objects keyed by path as rows (key, skip, orientation, prefer_portrait, auto_screen, screen_quad, max_side, each but skip with
+    *_set telling a null from an absent key). `skip` is on only if it is true itself; the other switches are on for every value but null,
+    false, 0 and empty ones. A root or value that is no object ends the job."""
     entry = F.from_json(value, "map<string,string>", {"mode": "FAILFAST"})
     rows = documents.select(F.explode(entry).alias("key", "raw"))
     keys = F.json_object_keys("raw")
     rows = rows.withColumn("raw", F.when(keys.isNull(), F.raise_error(F.concat(F.lit("correction is no object: "), "key"))).otherwise(F.col("raw")))
-    one = F.from_json("raw", "skip boolean, orientation_degrees int, prefer_portrait boolean, auto_screen boolean, screen_quad array<array<double>>, max_side int")
-    out = rows.select("key", "raw", one.alias("c")).select("key", F.coalesce("c.skip", F.lit(False)).alias("skip"), F.col("c.orientation_degrees").alias("orientation"), "c.prefer_portrait", "c.auto_screen", "c.screen_quad", "c.max_side", "raw")
-    has = lambda k: F.array_contains(F.json_object_keys("raw"), k)
-    return out.withColumns({"orientation_set": has("orientation_degrees"), "max_side_set": has("max_side")}).drop("raw")
+    one = F.from_json("raw", "skip boolean, orientation_degrees int, screen_quad array<array<double>>, max_side int")
+    out = rows.select("key", "raw", one.alias("c"), F.json_object_keys("raw").alias("_keys"))
+    has = lambda k: F.array_contains("_keys", k)
+    out = out.select(
+        "key", F.coalesce("c.skip", F.lit(False)).alias("skip"), has("orientation_degrees").alias("orientation_set"), F.col("c.orientation_degrees").alias("orientation"),
+        *[x for k in SWITCHES for x in (has(k).alias(f"{k}_set"), F.when(has(k), _truth(k)).alias(k))],
+        has("screen_quad").alias("screen_quad_set"), "c.screen_quad", has("max_side").alias("max_side_set"), "c.max_side",
+    )
+    return out
 
 
 def scan_result_bundles(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -95,11 +95,11 @@ def test_bundle_documents(spark):
 
     from tallyslip.operators.bundles import write_bundles
 
-    images = spark.createDataFrame([(1, 'a "b".png'), (2, None)], "image_id int, source string").selectExpr("*", "struct(10 AS width) AS geometry")
+    images = spark.createDataFrame([(1, 'a "b".png'), (2, None)], "image_id int, source string").selectExpr("*", "struct(10 AS width) AS geometry", "array(1D, 0D, 0D, 0D, 1D, 0D, 0D, 0D, 1D) AS to_original")
     rows = [(1, 0, "amount", 0.5, None, None), (1, 1, "amount", 0.25, " \u00a5 1,000.5 ", 0.75), (1, 2, "time", 0.5, "", 0.5), (1, 3, "payment_method_field", 1.0, None, None)]
     boxes = spark.createDataFrame(rows, "image_id int, pos int, label string, score double, text string, confidence double")
     boxes = boxes.selectExpr("*", "1.0D AS x1", "2.0D AS y1", "3.00049D AS x2", "4.0D AS y2")
-    got = {r["image_id"]: json.loads(r["document"]) for r in write_bundles(images, boxes, F.array(F.array("x1", "y1"))).collect()}
+    got = {r["image_id"]: json.loads(r["document"]) for r in write_bundles(images, boxes).collect()}
     one = got[1]
     assert list(one) == ["source", "geometry", "fields", "detections"] and one["source"] == 'a "b".png' and one["geometry"] == {"width": 10}
     assert one["fields"]["amount"] == {
