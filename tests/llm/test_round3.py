@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyslip.llm import conversation_repair, line_dedup, whitening
+from tallyslip.llm import conversation_repair, line_dedup, simhash, whitening
 from tallyslip.llm.oracles import ORACLES
 from tallyslip.llm.queries import QUERIES
 
@@ -265,3 +265,36 @@ def test_line_dedup_stays_in_the_jvm(spark, capsys):
     QUERIES["op13_line_dedup"](spark, SF).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+# --- near-dedup of the pipeline under a passage that many texts share
+
+
+@pytest.mark.parametrize("passage_words", [60, 110])
+def test_links_under_a_passage_that_many_texts_share(spark, passage_words):
+    """Pairs that agree in 80 to 84 % of the bits, all within a passage shared by over 25 times the rows of a run, are found as if
+    buckets had no limit."""
+    rng = random.Random(passage_words)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    passage = [word() for _ in range(passage_words)]
+    texts = []
+    for _ in range(420):
+        own = [word() for _ in range(90)]
+        edited = list(own)
+        for at in rng.sample(range(90), rng.choice([4, 5, 6, 7])):
+            edited[at] = word()
+        texts += [" ".join(own[:45] + passage + own[45:]), " ".join(edited[:45] + passage + edited[45:])]
+    assert len(texts) > 25 * 32
+    prints = []
+    for t in texts:
+        hashes = np.unique(simhash.shingle_hashes(t, simhash.SIMILAR_SHINGLE))
+        prints.append(np.frombuffer(simhash.sketch(hashes)[0], dtype="<u8"))
+    near = []
+    for i in range(0, len(texts), 2):
+        agree = 1 - np.bitwise_count(prints[i] ^ prints[i + 1]).sum() / (64 * simhash.LANES)
+        if 0.80 <= agree <= 0.84:
+            near.append(i)
+    assert len(near) > 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(docs, run_rows=32).collect()}
+    assert np.mean([got[i] == got[i + 1] for i in near]) >= 0.98
