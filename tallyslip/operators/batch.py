@@ -211,7 +211,7 @@ def union_in_stages(*frames: DataFrame) -> DataFrame:
 
 def choose_orientation(df: DataFrame, prefer_portrait: bool | Column = True) -> DataFrame:
     """Degrees per image: the explicit value modulo 360 (no multiple of 90 ends the job), else the best text score (a bonus of 0.02 if the turned image stands
-    upright), the smallest on ties; without any score 90 for wide images, else 0."""
+    upright), the smallest on ties; without any score, or with an infinite best one, 90 for wide images, else 0."""
     wide = F.col("w") > F.col("h")
     upright = F.when(F.col("degrees") % 180 == 0, F.col("h") >= F.col("w")).otherwise(F.col("w") >= F.col("h"))
     score = F.col("confidence") + F.least(F.col("n_lines"), F.lit(10)) * 0.01 + F.when(upright & F.lit(prefer_portrait), 0.02).otherwise(0.0)
@@ -219,5 +219,5 @@ def choose_orientation(df: DataFrame, prefer_portrait: bool | Column = True) ->
     top = df.withColumn("_s", score).withColumn("_n", best).filter("_n = 1")
     turn = F.pmod("explicit_degrees", F.lit(360))
     turn = F.when(turn % 90 == 0, turn).otherwise(F.raise_error(F.concat(F.lit("orientation must be a multiple of 90: "), F.col("explicit_degrees"))).cast("int"))
-    chosen = F.when(F.col("explicit_degrees").isNotNull(), turn).when(F.col("_s").isNotNull(), F.col("degrees")).when(wide & F.lit(prefer_portrait), 90).otherwise(0)
+    chosen = F.when(F.col("explicit_degrees").isNotNull(), turn).when(F.col("_s") < float("inf"), F.col("degrees")).when(wide & F.lit(prefer_portrait), 90).otherwise(0)
     return top.select("image_id", chosen.cast("int").alias("orientation"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyslip.functions.geometry import transform_points
 from tallyslip.functions.text import LABELS, extract_field_value, normalize_amount, normalize_time
+from tallyslip.operators.errors import require_none
 
 # Names shown for labels, in display order.
 DISPLAY_NAMES = {"time": "时间", "amount": "金额", "transfer_status": "转账状态", "recipient_field": "收款方", "payment_method_field": "付款方式"}
@@ -35,8 +36,9 @@ def _finite(c: str) -> Column:
     return F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf"))
 
 
-def validate_detections(df: DataFrame) -> DataFrame:
-    """`violations`: what is wrong with each box; empty if nothing is."""
+def validate_detections(df: DataFrame, polygon: str | None = None) -> DataFrame:
+    """`violations`: what is wrong with each box, and with its corners in the photo (column `polygon`: four points) if there are any to
+    check; empty if nothing is."""
     repeated = F.count(F.lit(1)).over(Window.partitionBy("image_id", "class_id")) > 1
     box = _finite("x1") & _finite("y1") & _finite("x2") & _finite("y2")
     checks = [
@@ -47,6 +49,9 @@ def validate_detections(df: DataFrame) -> DataFrame:
         (F.col("x2") <= F.col("x1"), "width"),
         (F.col("y2") <= F.col("y1"), "height"),
     ]
+    if polygon:
+        good = F.expr(f"size({polygon}) = 4 AND forall({polygon}, p -> size(p) = 2 AND forall(p, v -> v IS NOT NULL AND NOT isnan(v) AND abs(v) < double('inf')))")
+        checks.append((~F.coalesce(good, F.lit(False)), "polygon"))
     return df.withColumn("violations", F.array_compact(F.array(*[F.when(c, F.lit(name)) for c, name in checks])))
 
 
@@ -168,13 +173,12 @@ def ellipse_points(df: DataFrame, n: int = 40, to_photo: str | None = None) -> D
 
 
 def route_errors(df: DataFrame, fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(good rows, error rows) by `violations`; with fail_fast the first bad row ends the job."""
+    """(good rows, error rows) by `violations`; with fail_fast the first bad row by image and position ends the job, the same one however
+    the rows are dealt."""
     bad = F.size("violations") > 0
-    if fail_fast:
-        df = df.filter(F.when(bad, F.raise_error(F.concat(F.lit("invalid row: "), F.array_join("violations", ", ")))).otherwise(F.lit(True)))
     good = df.filter(~bad).drop("violations")
     errors = df.filter(bad).select("image_id", "pos", F.lit("ValueError").alias("error_type"), F.array_join("violations", ",").alias("message"))
-    return good, errors
+    return (require_none(good, errors, "image_id", "pos") if fail_fast else good), errors
 
 
 def attach_ocr(df: DataFrame, ocr: DataFrame) -> DataFrame:

@@ -22,27 +22,36 @@ SELECT conv_id AS image_id, 1 + turn % 5 AS class_id, turn AS line_no, CASE WHEN
   CAST((conv_id * 7 + turn * 11) % 100 AS DOUBLE) / 100 AS score
 FROM conversations""",
     "fx_amount_text": """
-SELECT o_orderkey AS row_id, o_custkey AS image_id, CASE o_orderkey % 6
+SELECT o_orderkey AS row_id, o_custkey AS image_id, CASE o_orderkey % 11
   WHEN 0 THEN concat('¥', CAST(o_orderkey % 900 + 1 AS VARCHAR(20)), ',', CAST(100 + o_orderkey % 899 AS VARCHAR(20)), '.', CAST(10 + o_orderkey % 89 AS VARCHAR(20)))
   WHEN 1 THEN concat('￥　', CAST(o_orderkey % 90 + 1 AS VARCHAR(20)), ',', CAST(100 + o_orderkey % 899 AS VARCHAR(20)), '.5')
   WHEN 2 THEN concat('¥', CAST(1000 + o_orderkey % 8999 AS VARCHAR(20)), '.', CAST(10 + o_orderkey % 89 AS VARCHAR(20)))
   WHEN 3 THEN concat('12:30 ', CAST(o_orderkey % 90 + 1 AS VARCHAR(20)), ',', CAST(100 + o_orderkey % 899 AS VARCHAR(20)), '.25')
   WHEN 4 THEN concat('¥1O', CAST(o_orderkey % 9 AS VARCHAR(20)), '.l0')
+  WHEN 6 THEN concat('共', CAST(o_custkey % 7 AS VARCHAR(20)), '笔 ', CAST(o_orderkey % 997 AS VARCHAR(20)), '.5', CAST(o_custkey % 10 AS VARCHAR(20)), ' 元')
+  WHEN 7 THEN concat(CAST(o_custkey % 900 AS VARCHAR(20)), '.25 ￥', CAST(o_orderkey % 800 AS VARCHAR(20)), ' ￥ ', CAST(o_orderkey % 90 AS VARCHAR(20)), '.7')
+  WHEN 8 THEN concat('-', CAST(o_orderkey AS VARCHAR(20)), ',', CAST(o_custkey AS VARCHAR(20)), '.', CAST(o_custkey % 1000 AS VARCHAR(20)))
+  WHEN 9 THEN concat('  ¥ ', CAST(o_orderkey % 9 + 1 AS VARCHAR(20)), ',', CAST(o_custkey % 900 + 100 AS VARCHAR(20)), ',O', CAST(o_orderkey % 90 + 10 AS VARCHAR(20)), ' 转 ', CAST(o_orderkey AS VARCHAR(20)), '.00')
+  WHEN 10 THEN concat(CAST(o_orderkey % 24 AS VARCHAR(20)), ':', CAST(o_custkey % 60 AS VARCHAR(20)), ' l', CAST(o_custkey % 10 AS VARCHAR(20)), ' Il,OOo.5 ')
   ELSE 'n/a' END AS text
 FROM orders""",
     "fx_time_text": """
-SELECT event_id AS row_id, CASE event_id % 6
+SELECT event_id AS row_id, CASE event_id % 11
   WHEN 0 THEN concat('at ', lpad(CAST(event_id % 24 AS VARCHAR(20)), 2, '0'), ':', lpad(CAST(event_id % 60 AS VARCHAR(20)), 2, '0'))
   WHEN 1 THEN concat(CAST(event_id % 24 AS VARCHAR(20)), ':', lpad(CAST(event_id % 60 AS VARCHAR(20)), 2, '0'), ':', lpad(CAST(event_id * 7 % 60 AS VARCHAR(20)), 2, '0'), ' ok')
   WHEN 2 THEN concat(lpad(CAST(event_id % 24 AS VARCHAR(20)), 2, '0'), '：', lpad(CAST(event_id % 60 AS VARCHAR(20)), 2, '0'))
   WHEN 3 THEN reverse(concat(lpad(CAST(event_id % 24 AS VARCHAR(20)), 2, '0'), ':', lpad(CAST(event_id % 60 AS VARCHAR(20)), 2, '0')))
   WHEN 4 THEN concat('25:61 ', lpad(CAST(event_id % 24 AS VARCHAR(20)), 2, '0'), ':', lpad(CAST(event_id % 60 AS VARCHAR(20)), 2, '0'))
+  WHEN 6 THEN concat(CAST(user_id % 40 AS VARCHAR(20)), ':', lpad(CAST(event_id % 99 AS VARCHAR(20)), 2, '0'), '时', CAST(event_id % 30 AS VARCHAR(20)), ':', lpad(CAST(user_id % 70 AS VARCHAR(20)), 2, '0'))
+  WHEN 7 THEN concat('7', CAST(event_id % 9 AS VARCHAR(20)), ':', lpad(CAST(user_id % 60 AS VARCHAR(20)), 2, '0'), ':', CAST(event_id AS VARCHAR(20)))
+  WHEN 8 THEN concat(lpad(CAST(event_id % 99 AS VARCHAR(20)), 2, '0'), ':', lpad(CAST(user_id % 99 AS VARCHAR(20)), 2, '0'), ':', lpad(CAST(event_id % 77 AS VARCHAR(20)), 2, '0'), ' / ', lpad(CAST(user_id % 99 AS VARCHAR(20)), 2, '0'), '：', lpad(CAST(event_id % 99 AS VARCHAR(20)), 2, '0'))
+  WHEN 9 THEN concat(CAST(event_id AS VARCHAR(20)), ':', CAST(user_id AS VARCHAR(20)), ' ', CAST(event_id % 10 AS VARCHAR(20)), ':', CAST(user_id % 10 AS VARCHAR(20)), '0x')
   ELSE concat('112:34', CAST(event_id % 10 AS VARCHAR(20))) END AS text
 FROM events""",
     "fx_field_rows": """
-SELECT c_custkey AS row_id, 4 AS class_id, CASE c_custkey % 6
+SELECT c_custkey AS row_id, 4 AS class_id, CASE c_custkey % 11
   WHEN 0 THEN concat('收款方 ', c_name) WHEN 1 THEN concat(c_name, ' 收款方') WHEN 2 THEN '收款方'
-  WHEN 3 THEN concat('收款方：', c_name) WHEN 4 THEN concat('收款人— ', c_name) ELSE c_name END AS recipient,
+  WHEN 3 THEN concat('收款方：', c_name) WHEN 4 THEN concat('收款人— ', c_name) WHEN 5 THEN concat('-- 收款账户 收款方: ', c_name, ' ') WHEN 6 THEN concat(c_name, '  —收款人：') WHEN 7 THEN concat('收款账号-', c_name, ' 收款人 x') WHEN 8 THEN '：收款方 —' ELSE c_name END AS recipient,
   CASE c_custkey % 7 WHEN 0 THEN '转账成功' WHEN 1 THEN '处 理 中' WHEN 2 THEN '未成功' WHEN 3 THEN '支付成功 已撤销' WHEN 4 THEN '待 处理' WHEN 5 THEN '交易 成功' ELSE 'x' END AS status,
   CASE c_mktsegment WHEN 'BUILDING' THEN '付款方式 余额宝' WHEN 'AUTOMOBILE' THEN '余额' WHEN 'MACHINERY' THEN '花呗' WHEN 'HOUSEHOLD' THEN '工商银行储蓄卡(1234)' ELSE 'cash' END AS payment
 FROM customer""",
@@ -85,6 +94,23 @@ SELECT image_id, page_id, CASE WHEN page_id % 3 = 0 THEN 1400 ELSE 800 END AS w,
     "fx_turns": """
 SELECT image_id, page_id, degrees, CASE WHEN page_id % 6 < 3 THEN NULL ELSE CAST((page_id * 3 + degrees) % 10 AS DOUBLE) / 10 END AS confidence, (page_id + CAST(degrees / 90 AS BIGINT)) % 13 AS n_lines
 FROM fx_paths CROSS JOIN (SELECT 0 AS degrees UNION ALL SELECT 90 UNION ALL SELECT 180 UNION ALL SELECT 270) AS d""",
+    "fx_results": """
+SELECT page_id, concat(regexp_replace(image_id, '[.][^./]+$', ''), '.json') AS result_json, mtime AS mtime, CASE WHEN page_id % 13 = 3 THEN '{{"source": ' WHEN page_id % 13 = 5 THEN '{{"model": "m"}}' WHEN page_id % 13 = 6 THEN '[1, 2]' ELSE concat(
+  '{{"source": "', CASE WHEN page_id % 17 = 4 THEN ' ' WHEN page_id % 19 = 7 THEN '/photos/gone.png' ELSE concat('/photos/', image_id) END,
+  '", "geometry": {{"rectified_size": {{"width": ', CAST(CASE WHEN page_id % 37 = 2 THEN 1 ELSE 600 + page_id % 100 END AS VARCHAR(20)), ', "height": ', CAST(1000 + page_id % 77 AS VARCHAR(20)), '}}, "source_size": {{"width": ',
+  CAST(CASE WHEN page_id % 31 = 11 THEN 801 WHEN page_id % 3 = 0 THEN 1400 ELSE 800 END AS VARCHAR(20)), ', "height": ', CAST(CASE WHEN page_id % 3 = 0 THEN 800 ELSE 1400 END AS VARCHAR(20)),
+  '}}, "H_original_to_rectified": [[', CASE WHEN page_id % 23 = 9 THEN '0' ELSE '1.5' END, ', 0, 2], [0, 1, 1]', CASE WHEN page_id % 41 = 12 THEN '' ELSE ', [0, 0, 1]' END, ']}}, "detections": [{{"label": "amount", "bbox_rectified": [1, 2, 3, 4]}}',
+  CASE WHEN page_id % 7 = 0 THEN '' ELSE concat(', {{"label": "transfer_status", "bbox_rectified": [', CAST(CASE WHEN page_id % 29 = 8 THEN 5000 ELSE page_id % 400 END AS VARCHAR(20)), '.25, ', CAST(page_id % 300 AS VARCHAR(20)), ', ',
+    CAST(CASE WHEN page_id % 29 = 8 THEN 5100 WHEN page_id % 11 = 6 THEN page_id % 400 ELSE page_id % 400 + 90 END AS VARCHAR(20)), '.25, ', CAST(page_id % 300 + 40 AS VARCHAR(20)), ']}}') END,
+  CASE WHEN page_id % 7 = 1 THEN ', {{"label": "transfer_status", "bbox_rectified": [1, 1, 9, 9]}}' ELSE '' END, ']}}') END AS value
+FROM (SELECT min(page_id) AS page_id, min_by(image_id, page_id) AS image_id, min_by(mtime, page_id) AS mtime FROM fx_paths GROUP BY regexp_replace(image_id, '[.][^./]+$', '')) AS p""",
+    "fx_cohort": """
+SELECT page_id % 2 AS generation, lpad(CAST(page_id AS VARCHAR(20)), 12, '0') AS place, concat('old/', CAST(page_id AS VARCHAR(20)), '.jpg') AS crop, concat('/photos/', image_id) AS source,
+  CASE WHEN page_id % 9 = 2 THEN concat('old/', CAST(page_id AS VARCHAR(20)), '.json') WHEN page_id % 10 = 3 THEN upper(concat(regexp_replace(image_id, '[.][^./]+$', ''), '.json')) ELSE concat(regexp_replace(image_id, '[.][^./]+$', ''), '.json') END AS result_json,
+  'g' AS group_id
+FROM (SELECT min(page_id) AS page_id, min_by(image_id, page_id) AS image_id, min_by(mtime, page_id) AS mtime FROM fx_paths GROUP BY regexp_replace(image_id, '[.][^./]+$', '')) AS p WHERE page_id % 3 = 1 AND page_id < 1000000000""",
+    "fx_crops": """
+SELECT concat(regexp_replace(image_id, '[.][^./]+$', ''), '.jpg') AS crop, page_id % 6 AS length, mtime + page_id % 5 - 2 AS mtime FROM (SELECT min(page_id) AS page_id, min_by(image_id, page_id) AS image_id, min_by(mtime, page_id) AS mtime FROM fx_paths GROUP BY regexp_replace(image_id, '[.][^./]+$', '')) AS p WHERE page_id % 4 < 3""",
     "fx_quads": """
 SELECT CAST(floor(p_partkey / 4) AS BIGINT) AS image_id, p_partkey AS pos, 800 AS w, 1400 AS h,
   CAST(CASE WHEN p_partkey % 11 = 0 THEN 1.0 WHEN p_partkey % 9 = 0 THEN 50.0 ELSE 60.0 + p_partkey % 120 END AS DOUBLE) AS ax, CAST(CASE WHEN p_partkey % 11 = 0 THEN 2.0 WHEN p_partkey % 9 = 0 THEN 400.0 ELSE 90.0 + p_partkey * 3 % 120 END AS DOUBLE) AS ay,
@@ -136,7 +162,7 @@ FROM documents""",
 }
 
 #: Views that others read, before them.
-NEEDS = {"fx_photos": ["fx_paths"], "fx_turns": ["fx_paths"], "fx_corrections": ["fx_paths"], "fx_bundles": ["fx_paths"], "fx_stage": ["fx_paths"], "fx_correction_docs": ["fx_paths"]}
+NEEDS = {"fx_results": ["fx_paths"], "fx_cohort": ["fx_paths"], "fx_crops": ["fx_paths"], "fx_photos": ["fx_paths"], "fx_turns": ["fx_paths"], "fx_corrections": ["fx_paths"], "fx_bundles": ["fx_paths"], "fx_stage": ["fx_paths"], "fx_correction_docs": ["fx_paths"]}
 TABLES = ("events", "conversations", "orders", "customer", "pages", "part", "embeddings", "documents", "labels")
 
 

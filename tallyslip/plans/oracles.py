@@ -47,12 +47,43 @@ gated AS (SELECT *, CASE WHEN confidence >= CASE WHEN candidate = 'check_absent'
 _MERGED = "mg AS (SELECT m.ord, m.cohort, m.result_json, CASE WHEN r.result_json IS NOT NULL THEN r.label ELSE m.label END AS label FROM fx_manifest m LEFT JOIN fx_reviewed r ON lower(r.result_json) = lower(m.result_json))"
 _CROP = "CAST(greatest(0, floor(x1 - {mx})) AS BIGINT) AS l, CAST(greatest(0, floor(y1 - {my})) AS BIGINT) AS t, CAST(least(720, ceil(x2 + {mx})) AS BIGINT) AS r, CAST(least(1280, ceil(y2 + {my})) AS BIGINT) AS b"
 _CROP_OUT = 'CASE WHEN r > l AND b > t THEN l END AS "left", CASE WHEN r > l AND b > t THEN t END AS top, CASE WHEN r > l AND b > t THEN r END AS "right", CASE WHEN r > l AND b > t THEN b END AS bottom'
-_AMOUNT = """CASE row_id % 6 WHEN 0 THEN (row_id % 900 + 1) * 100000 + (100 + row_id % 899) * 100 + 10 + row_id % 89
-  WHEN 1 THEN (row_id % 90 + 1) * 100000 + (100 + row_id % 899) * 100 + 50 WHEN 2 THEN CAST(substring(CAST(1000 + row_id % 8999 AS VARCHAR), 1, 3) AS BIGINT) * 100
-  WHEN 3 THEN (row_id % 90 + 1) * 100000 + (100 + row_id % 899) * 100 + 25 WHEN 4 THEN (100 + row_id % 9) * 100 END"""
-_TIME = """CASE row_id % 6 WHEN 0 THEN substring(text, 4) WHEN 1 THEN replace(text, ' ok', '') WHEN 2 THEN replace(text, '：', ':') WHEN 4 THEN substring(text, 7)
-  WHEN 3 THEN CASE WHEN CAST(substring(text, 1, 2) AS INT) < 24 AND CAST(substring(text, 4, 2) AS INT) < 60 THEN text ELSE reverse(text) END END"""
-_RECIPIENT = "CASE row_id % 6 WHEN 2 THEN '收款方' ELSE concat('Customer#', lpad(CAST(row_id AS VARCHAR), 9, '0')) END"
+_WHITE = r"[\s　]+"
+
+
+def _cleaned(t: str) -> str:
+    return f"trim(regexp_replace({t}, '{_WHITE}', ' ', 'g'))"
+
+
+def _amount_of(t: str) -> str:
+    """Fen of the best of all matches: with a currency sign, with a point, the longest, the first."""
+    pattern = r"(?:[¥￥]\s*)?([0-9OoIl]{1,3}(?:,[0-9OoIl]{3})*(?:\.[0-9]{1,2})?)"
+    found = [f"regexp_extract_all({_cleaned(t)}, '{pattern}', {g})" for g in range(2)]
+    ranked = f"list_transform(list_zip({found[0]}, {found[1]}, range(len({found[0]}))), lambda x: {{s: left(x[1], 1) IN ('¥', '￥'), p: contains(x[2], '.'), l: length(x[2]), i: -x[3], n: x[2]}})"
+    return f"CAST(CAST(replace(translate(list_sort({ranked}, 'DESC')[1].n, 'OoIl', '0011'), ',', '') AS DECIMAL(28, 2)) * 100 AS BIGINT)"
+
+
+def _time_of(t: str) -> str:
+    """The first candidate that is a clock time, else the first that is one reversed. Without look-behind: characters that aren't part of
+    a time are doubled, so that neighbours don't share the one between them."""
+    apart = rf"regexp_replace(replace({t}, '：', ':'), '([^0-9:])', '\1\1', 'g')"
+    found = f"regexp_extract_all({apart}, '(?:^|[^0-9])([0-9]{{1,2}}:[0-9]{{2}}(?::[0-9]{{2}})?)(?:[^0-9]|$)', 1)"
+    valid = "lambda x: CAST(split_part(x, ':', 1) AS INT) < 24 AND CAST(split_part(x, ':', 2) AS INT) < 60 AND coalesce(TRY_CAST(split_part(x, ':', 3) AS INT), 0) < 60"
+    return f"coalesce(list_filter({found}, {valid})[1], list_filter(list_transform({found}, lambda x: reverse(x)), {valid})[1])"
+
+
+def _value_of(t: str, words: tuple[str, ...]) -> str:
+    """What stands behind the first word that leaves something, else before it; without a word all of it."""
+    c, edges = _cleaned(t), " :：-—"
+    sides = [f"CASE WHEN strpos({c}, '{w}') > 0 THEN coalesce(nullif(ltrim(substring({c}, strpos({c}, '{w}') + {len(w)}), '{edges}'), ''), nullif(rtrim(left({c}, strpos({c}, '{w}') - 1), '{edges}'), '')) END" for w in words]
+    return f"coalesce({', '.join(sides)}, {c})"
+
+
+def _recipient_of(t: str) -> str:
+    return _value_of(t, ("收款方", "收款人", "收款账户", "收款账号"))
+
+
+def _payment_of(t: str) -> str:
+    return _value_of(t, ("付款方式", "交易方式", "付款渠道", "支付方式"))
 
 
 def _committed(select: str) -> str:
@@ -108,15 +139,15 @@ SELECT image_id, concat_ws(',', CASE WHEN NOT coalesce(a1, false) THEN 'time' EN
     "attach_ocr": fx(f"WITH {_BEST}, {_OCR} SELECT b.image_id, b.label, o.text FROM best b LEFT JOIN ocr o ON o.image_id = b.image_id AND o.label = b.label", *_OCR_FX),
     "field_state": fx(f"WITH {_BEST}, {_OCR} SELECT b.image_id, b.label, CASE WHEN coalesce(o.text, '') = '' THEN 'unreadable' ELSE 'read' END AS state FROM best b LEFT JOIN ocr o ON o.image_id = b.image_id AND o.label = b.label", *_OCR_FX),
     "aggregate_ocr_lines": fx("WITH c AS (SELECT *, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM fx_ocr_lines) SELECT image_id, CAST(class_id AS BIGINT) AS class_id, coalesce(string_agg(CASE WHEN t <> '' THEN t END, ' ' ORDER BY line_no), '') AS text, round(avg(score), 9) AS confidence, count(*) AS n_lines FROM c GROUP BY image_id, class_id", "fx_ocr_lines"),
-    "build_fields": fx(f"""WITH {_BEST}, j AS (SELECT b.image_id, b.label, a.row_id AS arow, t.row_id AS trow, t.text AS ttext, f.row_id AS frow, f.status, f.payment
-    FROM best b LEFT JOIN (SELECT image_id, min(row_id) AS row_id FROM fx_amount_text GROUP BY image_id) a ON a.image_id = b.image_id AND b.label = 'amount' LEFT JOIN fx_time_text t ON t.row_id = b.image_id AND b.label = 'time' LEFT JOIN fx_field_rows f ON f.row_id = b.image_id AND b.label NOT IN ('amount', 'time')),
-  v AS (SELECT image_id, label, CASE WHEN coalesce(arow, trow, frow) IS NULL THEN 'unreadable' ELSE 'read' END AS state, CASE WHEN label = 'time' THEN {_TIME.replace('row_id', 'trow').replace('text', 'ttext')} END AS time_value, CASE WHEN label = 'amount' THEN {_AMOUNT.replace('row_id', 'arow')} END AS amount_fen,
-    CASE WHEN label = 'transfer_status' AND frow IS NOT NULL THEN {_STATUS.replace('s LIKE', "replace(status, ' ', '') LIKE")} END AS status, CASE WHEN label = 'recipient_field' AND frow IS NOT NULL THEN {_RECIPIENT.replace('row_id', 'frow')} END AS recipient, CASE WHEN label = 'payment_method_field' AND frow IS NOT NULL THEN {_PAYMENT.replace('s LIKE', 'payment LIKE')} END AS payment FROM j)
+    "build_fields": fx(f"""WITH {_BEST}, j AS (SELECT b.image_id, b.label, a.row_id AS arow, t.row_id AS trow, t.text AS ttext, f.row_id AS frow, f.status, f.payment, f.recipient AS rtext, a.text AS atext
+    FROM best b LEFT JOIN (SELECT image_id, min(row_id) AS row_id, min_by(text, row_id) AS text FROM fx_amount_text GROUP BY image_id) a ON a.image_id = b.image_id AND b.label = 'amount' LEFT JOIN fx_time_text t ON t.row_id = b.image_id AND b.label = 'time' LEFT JOIN fx_field_rows f ON f.row_id = b.image_id AND b.label NOT IN ('amount', 'time')),
+  v AS (SELECT image_id, label, CASE WHEN coalesce(arow, trow, frow) IS NULL THEN 'unreadable' ELSE 'read' END AS state, CASE WHEN label = 'time' THEN {_time_of('ttext')} END AS time_value, CASE WHEN label = 'amount' THEN {_amount_of('atext')} END AS amount_fen,
+    CASE WHEN label = 'transfer_status' AND frow IS NOT NULL THEN {_STATUS.replace('s LIKE', "replace(status, ' ', '') LIKE")} END AS status, CASE WHEN label = 'recipient_field' AND frow IS NOT NULL THEN {_recipient_of('rtext')} END AS recipient, CASE WHEN label = 'payment_method_field' AND frow IS NOT NULL THEN {_PAYMENT.replace('s LIKE', 'payment LIKE')} END AS payment FROM j)
 SELECT image_id, {', '.join(f"coalesce(max(CASE WHEN label = '{c}' THEN state END), 'absent') AS {c}_state" for c in ('time', 'amount', 'transfer_status', 'recipient_field', 'payment_method_field'))}, max(time_value) AS time_value, max(amount_fen) AS amount_fen, max(status) AS status, max(recipient) AS recipient, max(payment) AS payment FROM v GROUP BY image_id""", *_OCR_FX),
     "clean_text": fx("SELECT image_id, line_no, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM fx_ocr_lines", "fx_ocr_lines"),
-    "extract_field_value": fx(f"SELECT row_id, {_RECIPIENT} AS value FROM fx_field_rows", "fx_field_rows"),
-    "normalize_time": fx(f"SELECT row_id, {_TIME} AS time FROM fx_time_text", "fx_time_text"),
-    "normalize_amount": fx(f"WITH a AS (SELECT row_id, CAST({_AMOUNT} AS BIGINT) AS f FROM fx_amount_text) SELECT row_id, '¥' || CAST(f // 100 AS VARCHAR) || '.' || lpad(CAST(f % 100 AS VARCHAR), 2, '0') AS normalized, f AS amount_fen FROM a", "fx_amount_text"),
+    "extract_field_value": fx(f"SELECT row_id, {_recipient_of('recipient')} AS value FROM fx_field_rows", "fx_field_rows"),
+    "normalize_time": fx(f"SELECT row_id, {_time_of('text')} AS time FROM fx_time_text", "fx_time_text"),
+    "normalize_amount": fx(f"WITH a AS (SELECT row_id, {_amount_of('text')} AS f FROM fx_amount_text) SELECT row_id, '¥' || CAST(f // 100 AS VARCHAR) || '.' || lpad(CAST(f % 100 AS VARCHAR), 2, '0') AS normalized, f AS amount_fen FROM a", "fx_amount_text"),
     "normalize_status": fx(f"WITH a AS (SELECT row_id, replace(status, ' ', '') AS s FROM fx_field_rows) SELECT row_id, {_STATUS} AS status FROM a", "fx_field_rows"),
     "normalize_payment_method": fx(f"WITH a AS (SELECT row_id, replace(payment, ' ', '') AS s FROM fx_field_rows) SELECT row_id, {_PAYMENT} AS payment FROM a", "fx_field_rows"),
     "order_quad": fx(f"WITH {_ORDERED} SELECT pos, ax, ay, bx, by_, cx, cy, dx, dy FROM oq", "fx_quads"),
@@ -151,10 +182,6 @@ SELECT image_id, {', '.join(f"coalesce(max(CASE WHEN label = '{c}' THEN state EN
     "next_unlabelled": fx(f"WITH {_MERGED}, u AS (SELECT cohort, ord FROM mg WHERE label IS NULL), a AS (SELECT m.ord, min(CASE WHEN u.ord > m.ord THEN u.ord END) AS later, min(u.ord) AS lowest FROM mg m LEFT JOIN u ON u.cohort = m.cohort GROUP BY m.ord) SELECT ord, coalesce(later, lowest) AS next_ord FROM a", "fx_manifest", "fx_reviewed"),
     "review_position": fx("SELECT ord, CAST(row_number() OVER (PARTITION BY cohort ORDER BY ord) AS VARCHAR) || '/' || CAST(count(*) OVER (PARTITION BY cohort) AS VARCHAR) AS position FROM fx_manifest", "fx_manifest"),
     "limit_valid": fx(f"WITH {_MERGED} SELECT result_json, label FROM mg WHERE label IS NOT NULL ORDER BY sha256(result_json), result_json LIMIT 50", "fx_manifest", "fx_reviewed"),
-    "export_crop_plan": fx(f"""WITH {_MAPPED}, r AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, pos) AS rn, count(*) OVER (PARTITION BY image_id) AS n FROM m WHERE class_id = 3),
-  c AS (SELECT image_id, pos, n, x2 > x1 AND y2 > y1 AS box, {_CROP.format(mx="(x2 - x1) * 0.3::DOUBLE", my="(y2 - y1) * 0.3::DOUBLE")} FROM r WHERE rn = 1),
-  e AS (SELECT *, CASE WHEN n <> 1 THEN 'not exactly one transfer_status' WHEN NOT (box AND r > l AND b > t) THEN 'empty crop' END AS error FROM c)
-SELECT image_id, pos, error, CASE WHEN error IS NULL THEN l END AS "left", CASE WHEN error IS NULL THEN t END AS top, CASE WHEN error IS NULL THEN r END AS "right", CASE WHEN error IS NULL THEN b END AS bottom FROM e""", "fx_detections"),
 }
 
 _TAG = "CASE b.style_label WHEN 'check_offset' THEN 'android' WHEN 'check_aligned' THEN 'ios' WHEN 'check_absent' THEN 'suspected_fake' ELSE 'review' END"
@@ -162,7 +189,6 @@ _MANIFEST = (
     f"SELECT image_id AS source, {_STEM} || '.json' AS result, {_STEM} || '_rectified_annotated.jpg' AS annotated_rectified, "
     f"{_STEM} || '_original_annotated.jpg' AS annotated_original"
 )
-_PAYMENT_VALUE = "CASE WHEN payment LIKE '付款方式 %' THEN substring(payment, 6) ELSE payment END"
 
 ORACLES |= {
     "is_bundle_committed_style": _committed(
@@ -201,9 +227,9 @@ ORACLES |= {
     ),
     "structured_caption_text": fx(
         f"""WITH {_BEST}, t AS (SELECT image_id, 'amount' AS label, min_by(text, row_id) AS text, min(row_id) AS row_id FROM fx_amount_text GROUP BY image_id),
-  o AS (SELECT image_id, label, text, (SELECT '¥' || CAST(f // 100 AS VARCHAR) || '.' || lpad(CAST(f % 100 AS VARCHAR), 2, '0') FROM (SELECT CAST({_AMOUNT} AS BIGINT) AS f)) AS value FROM t
-    UNION ALL SELECT row_id, 'recipient_field', recipient, {_RECIPIENT} FROM fx_field_rows UNION ALL SELECT row_id, 'transfer_status', status, NULL FROM fx_field_rows
-    UNION ALL SELECT row_id, 'payment_method_field', payment, {_PAYMENT_VALUE} FROM fx_field_rows UNION ALL SELECT row_id, 'time', text, {_TIME} FROM fx_time_text)
+  o AS (SELECT image_id, label, text, (SELECT '¥' || CAST(f // 100 AS VARCHAR) || '.' || lpad(CAST(f % 100 AS VARCHAR), 2, '0') FROM (SELECT {_amount_of('text')} AS f)) AS value FROM t
+    UNION ALL SELECT row_id, 'recipient_field', recipient, {_recipient_of('recipient')} FROM fx_field_rows UNION ALL SELECT row_id, 'transfer_status', status, NULL FROM fx_field_rows
+    UNION ALL SELECT row_id, 'payment_method_field', payment, {_payment_of('payment')} FROM fx_field_rows UNION ALL SELECT row_id, 'time', text, {_time_of('text')} FROM fx_time_text)
 SELECT b.image_id, b.label, coalesce(o.value, o.text) AS text FROM best b LEFT JOIN o ON o.image_id = b.image_id AND o.label = b.label""",
         *_OCR_FX,
     ),
@@ -229,19 +255,19 @@ UNION ALL SELECT doc_id, 0, 'x' || CAST(doc_id AS VARCHAR), 0.75 FROM documents
 }
 
 _SCORES = "'ocr_confidence', confidence, 'detector_score', round(score, 6)"
-_FEN = f"(SELECT CAST({_AMOUNT} AS BIGINT))"
+_FEN = _amount_of("text")
 _YUAN = "(SELECT '¥' || CAST(f // 100 AS VARCHAR) || '.' || lpad(CAST(f % 100 AS VARCHAR), 2, '0') FROM (SELECT fen AS f))"
 _R = {c: og.exact(c, 3) for c in ("x1", "y1", "x2", "y2")}
 _PHOTO = [f"[round_even({x} * 1000.0::DOUBLE, 0) / 1000.0::DOUBLE + 0.0, round_even({y} * 1000.0::DOUBLE, 0) / 1000.0::DOUBLE + 0.0]" for x, y in (og.projected(a, b) for a, b in (("x1", "y1"), ("x2", "y1"), ("x2", "y2"), ("x1", "y2")))]
 _QUAD = f"[{', '.join(_PHOTO)}]"
 _BOX = f"'label', label, 'score', round(score, 6), 'bbox_rectified', [{_R['x1']}, {_R['y1']}, {_R['x2']}, {_R['y2']}], 'quad_original', {_QUAD}"
 _READ = f"""CASE WHEN text IS NULL OR text = '' THEN json_object('state', 'unreadable', 'raw', NULL, 'score', round(score, 6))
-    WHEN label = 'time' THEN json_object('state', 'read', 'raw', text, {_SCORES}, 'value', {_TIME})
-    WHEN label = 'amount' AND fen IS NOT NULL THEN json_object('state', 'read', 'raw', replace(text, '　', ' '), {_SCORES}, 'normalized', {_YUAN}, 'amount_fen', fen, 'currency', 'CNY')
+    WHEN label = 'time' THEN json_object('state', 'read', 'raw', text, {_SCORES}, 'value', {_time_of('text')})
+    WHEN label = 'amount' AND fen IS NOT NULL THEN json_object('state', 'read', 'raw', {_cleaned('text')}, {_SCORES}, 'normalized', {_YUAN}, 'amount_fen', fen, 'currency', 'CNY')
     WHEN label = 'amount' THEN json_object('state', 'read', 'raw', text, {_SCORES})
     WHEN label = 'transfer_status' THEN json_object('state', 'read', 'raw', text, {_SCORES}, 'normalized', {_STATUS.replace('s LIKE', "replace(text, ' ', '') LIKE")})
-    WHEN label = 'recipient_field' THEN json_object('state', 'read', 'raw', text, {_SCORES}, 'value', {_RECIPIENT})
-    ELSE json_object('state', 'read', 'raw', text, {_SCORES}, 'value', {_PAYMENT_VALUE.replace('payment', 'text')}, 'normalized', {_PAYMENT.replace('s LIKE', f"({_PAYMENT_VALUE.replace('payment', 'text')}) LIKE")}) END"""
+    WHEN label = 'recipient_field' THEN json_object('state', 'read', 'raw', text, {_SCORES}, 'value', {_recipient_of('text')})
+    ELSE json_object('state', 'read', 'raw', text, {_SCORES}, 'value', {_payment_of('text')}, 'normalized', {_PAYMENT.replace('s LIKE', f"({_payment_of('text')}) LIKE")}) END"""
 _STYLE_OBJECT = """json_object('schema_version', 2, 'state', CASE WHEN g.label = 'unknown' THEN 'review' ELSE 'classified' END, 'label', g.label, 'confidence', round(round(g.confidence, 9), 6),
     'business_tag', CASE g.label WHEN 'check_offset' THEN 'android' WHEN 'check_aligned' THEN 'ios' WHEN 'check_absent' THEN 'suspected_fake' ELSE 'review' END, 'model', 'style-1')"""
 _TAGS_OBJECT = """json_object('platform', CASE g.label WHEN 'check_offset' THEN 'android' WHEN 'check_aligned' THEN 'ios' END, 'authenticity', 'not_assessed',
@@ -281,3 +307,31 @@ SELECT line_no, concat_ws(',', CASE WHEN NOT good THEN 'not an object' END, CASE
   CASE WHEN result_json IS NOT NULL AND k > 1 THEN 'repeated' END) AS violations FROM q""",
     "fx_label_lines",
 )
+
+_ITEMS = """mg0 AS (SELECT max(generation) + 1 AS g FROM fx_cohort),
+it AS (SELECT c.generation, c.place, c.result_json, r.value, r.mtime, true AS old, c.crop AS wcrop, c.source AS wsource, c.group_id AS wgroup FROM fx_cohort c LEFT JOIN fx_results r ON r.result_json = c.result_json
+  UNION ALL SELECT (SELECT g FROM mg0), sha256(result_json) || ' ' || result_json, result_json, value, mtime, false, NULL, NULL, NULL FROM fx_results r WHERE NOT EXISTS (SELECT 1 FROM fx_cohort c WHERE lower(c.result_json) = lower(r.result_json))),
+js AS (SELECT *, CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS j, regexp_replace(result_json, '[.][^./]+$', '') AS stem FROM it),
+dt AS (SELECT *, coalesce(json_type(j) = 'OBJECT' AND json_exists(j, '$.source') AND json_exists(j, '$.geometry') AND json_exists(j, '$.detections'), false) AS whole, nullif(trim(json_extract_string(j, '$.source')), '') AS src,
+  CAST(json_extract(j, '$.geometry.rectified_size.width') AS INT) AS rw, CAST(json_extract(j, '$.geometry.rectified_size.height') AS INT) AS rh, CAST(json_extract(j, '$.geometry.source_size.width') AS INT) AS sw,
+  json_array_length(j, '$.geometry.H_original_to_rectified') AS nrows, CAST(json_extract(j, '$.geometry.H_original_to_rectified[0][0]') AS DOUBLE) AS m0,
+  list_filter(CAST(json_extract(j, '$.detections[*]') AS JSON[]), lambda x: json_extract_string(x, '$.label') = 'transfer_status') AS st FROM js),
+bx AS (SELECT dt.*, ph.w, ph.image_id AS live, len(st) AS n, c.length > 0 AND c.mtime >= greatest(dt.mtime, p.mtime) AS fresh, stem || '.jpg' AS crop, CAST(json_extract(st[1], '$.bbox_rectified') AS DOUBLE[]) AS b
+  FROM dt LEFT JOIN fx_photos ph ON '/photos/' || ph.image_id = src LEFT JOIN fx_paths p ON p.page_id = ph.page_id LEFT JOIN fx_crops c ON c.crop = stem || '.jpg'),
+ed AS (SELECT *, CAST(greatest(0, floor(b[1] - (b[3] - b[1]) * 0.3::DOUBLE)) AS BIGINT) AS l, CAST(greatest(0, floor(b[2] - (b[4] - b[2]) * 0.3::DOUBLE)) AS BIGINT) AS t,
+  CAST(least(rw, ceil(b[3] + (b[3] - b[1]) * 0.3::DOUBLE)) AS BIGINT) AS r, CAST(least(rh, ceil(b[4] + (b[4] - b[2]) * 0.3::DOUBLE)) AS BIGINT) AS bo FROM bx WHERE NOT (j IS NOT NULL AND NOT whole AND NOT old)),
+er AS (SELECT *, CASE WHEN value IS NULL THEN result_json WHEN j IS NULL THEN 'invalid JSON' WHEN NOT whole THEN 'no longer a result document' WHEN src IS NULL THEN 'result has no source path' WHEN live IS NULL THEN src
+  WHEN coalesce(fresh, false) THEN NULL WHEN rw < 2 THEN 'rectified size must be at least 2' WHEN sw <> w THEN 'source size changed' WHEN nrows <> 3 THEN 'matrix must be finite and 3 x 3' WHEN m0 = 0 THEN 'matrix is singular'
+  WHEN n <> 1 THEN 'expected one transfer_status, found ' || CAST(n AS VARCHAR) WHEN b[3] <= b[1] THEN 'box must be finite and not empty' WHEN r <= l OR bo <= t THEN 'box outside the image' END AS message,
+  CASE WHEN value IS NULL OR (whole AND src IS NOT NULL AND live IS NULL) THEN 'FileNotFoundError' ELSE 'ValueError' END AS kind FROM ed)"""
+_EXPORT = ("fx_results", "fx_cohort", "fx_crops", "fx_photos")
+_GROUP = "regexp_extract(result_json, '^(.*/)', 1) || coalesce(nullif(regexp_extract(regexp_replace(regexp_replace(src, '^.*/', ''), '[.][^./]+$', ''), '^(.*)[_-](19|20)[0-9]{12}$', 1), ''), regexp_replace(stem, '^.*/', ''))"
+ORACLES |= {
+    "export_cohort": fx(
+        f"WITH {_ITEMS} SELECT generation, place, CASE WHEN message IS NULL THEN crop ELSE wcrop END AS crop, CASE WHEN message IS NULL THEN src ELSE wsource END AS source, result_json, "
+        f"CASE WHEN message IS NULL THEN {_GROUP} ELSE wgroup END AS group_id, NULL AS label FROM er WHERE message IS NULL OR old", *_EXPORT,
+    ),
+    "export_crop_plan": fx(f'WITH {_ITEMS} SELECT result_json, src AS source, crop, l AS "left", t AS top, r AS "right", bo AS bottom FROM er WHERE message IS NULL AND NOT coalesce(fresh, false)', *_EXPORT),
+    "export_errors": fx(f"WITH {_ITEMS} SELECT generation, place, result_json, kind AS error_type, message FROM er WHERE message IS NOT NULL", *_EXPORT),
+    "first_error": fx(f"WITH {_ITEMS} SELECT kind AS error_type, message FROM er WHERE message IS NOT NULL ORDER BY generation, place LIMIT 1", *_EXPORT),
+}

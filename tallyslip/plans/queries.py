@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyslip.functions import geometry as geo
 from tallyslip.functions import style, text
-from tallyslip.operators import batch, bundles, detections, rectify, review
+from tallyslip.operators import batch, bundles, crops, detections, errors, rectify, review
 from tallyslip.plans.fixtures import fixture
 from tallyslip.sources import files
 
@@ -481,15 +481,34 @@ def limit_valid(spark, d):
     return review.limit_valid(_merged(spark, d), 50).select("result_json", "label")
 
 
+def _export(spark, d, limit=None):
+    photos = fixture(spark, d, "fx_photos").join(fixture(spark, d, "fx_paths").select("page_id", "mtime"), "page_id")
+    sources = photos.select(F.concat(F.lit("/photos/"), "image_id").alias("source"), F.col("w").alias("width"), F.col("h").alias("height"), "mtime")
+    results = fixture(spark, d, "fx_results").select("result_json", "value", "mtime")
+    return crops.export_crops(results, sources, fixture(spark, d, "fx_cohort"), fixture(spark, d, "fx_crops"), limit=limit)
+
+
+@query
+def export_cohort(spark, d):
+    """The new cohort of a crop export: former members in their order, those that fail with their former record, then new ones."""
+    return _export(spark, d)[0]
+
+
 @query
 def export_crop_plan(spark, d):
-    """Crop boxes of status rows that are the only one of their image; the others are errors."""
-    boxes = detections.map_labels(fixture(spark, d, "fx_detections"))
-    only = detections.status_box(boxes).select("image_id", "pos", "strict_ok")
-    crops = detections.status_crop_box(boxes.filter("label = 'transfer_status'"), WIDTH, HEIGHT).select("image_id", "pos", "left", "top", "right", "bottom")
-    out = only.join(crops, ["image_id", "pos"], "left")
-    error = F.when(~F.col("strict_ok"), "not exactly one transfer_status").when(F.col("left").isNull(), "empty crop")
-    return out.select("image_id", "pos", error.alias("error"), *[F.when(error.isNull(), F.col(c)).alias(c) for c in ("left", "top", "right", "bottom")])
+    """What is to be cut, and where."""
+    return _export(spark, d)[1].select("result_json", "source", "crop", "left", "top", "right", "bottom")
+
+
+@query
+def export_errors(spark, d):
+    return _export(spark, d)[2]
+
+
+@query
+def first_error(spark, d):
+    """The one error that would end the export if it didn't continue."""
+    return errors.first_error(_export(spark, d)[2], *crops.ORDER)
 
 
 # --- resume, manifests, captions and geometry records

@@ -111,9 +111,3 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
     """Staged rows with `error` where the version is another."""
     df = spark.read.parquet(path)
     return df.withColumn("error", F.when(F.col("schema_version") != SCHEMA_VERSION, "unknown stage version"))
-
-
-def write_records(df: DataFrame, path: str, shard: str | None = None) -> None:
-    """Manifest or error rows as JSON lines, by shard if there is one."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(shard) if shard else writer).json(path)

@@ -5,7 +5,6 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from tallyslip.operators.scoring import score_rows
 from tallyslip.sources import files
 from tallyslip.streaming.ingest import incremental_ingest
 
@@ -45,6 +44,16 @@ def test_corrections_tell_null_from_absent(spark):
     assert not rows["b.png"]["skip"] and rows["b.png"]["max_side_set"] and not rows["b.png"]["orientation_set"]
 
 
+def test_switches_of_corrections(spark):
+    """Every value but null, false, 0 and empty ones switches on; an absent key isn't set."""
+    values = {"t": "true", "f": "false", "n": "null", "z": "0", "zz": "0.0", "one": "2", "e": '""', "s": '"false"', "l": "[]", "ll": "[0]", "o": "{}", "oo": '{"a": 1}'}
+    text = ", ".join(f'"{k}": {{"prefer_portrait": {v}}}' for k, v in values.items())
+    df = spark.createDataFrame([(f'{{{text}, "absent": {{"screen_quad": [[1, 2], [3, 4.5], [5, 6], [7, 8]]}}}}',)], "value string")
+    rows = {r["key"]: r for r in files.load_corrections(df).collect()}
+    assert {k for k in values if rows[k]["prefer_portrait"]} == {"t", "one", "s", "ll", "oo"} and all(rows[k]["prefer_portrait_set"] for k in values)
+    assert rows["absent"]["prefer_portrait"] is None and not rows["absent"]["prefer_portrait_set"] and rows["absent"]["screen_quad"][1] == [3.0, 4.5]
+
+
 def test_payloads(spark):
     texts = ['{"rec_texts": ["a", "b", "c"], "rec_scores": [0.5, 0.25]}', '{"texts": ["x"]}', '[[[0,1], ["t", "0.75"]], [[1,1], ["u", "bad"]]]']
     df = spark.createDataFrame(list(enumerate(texts)), "id int, payload string")
@@ -55,6 +64,9 @@ def test_payloads(spark):
 def test_stage_and_bundles(spark, tmp_path):
     files.write_stage(spark.createDataFrame([(1, 0.1 + 0.2)], "id int, x double"), str(tmp_path / "stage"))
     assert files.read_stage(spark, str(tmp_path / "stage")).first()["x"] == 0.1 + 0.2
+    spark.sql("SELECT 2 AS id, 0.5D AS x, 99 AS schema_version").write.mode("append").parquet(str(tmp_path / "stage"))
+    staged = {r["id"]: r["error"] for r in files.read_stage(spark, str(tmp_path / "stage")).collect()}
+    assert staged == {1: None, 2: "unknown stage version"}
     (tmp_path / "b").mkdir()
     (tmp_path / "b/one.json").write_text('﻿{"source": "s", "geometry": {}, "detections": []}')
     (tmp_path / "b/two.json").write_text('{"source": "s"}')
@@ -77,8 +89,3 @@ def test_fingerprints_and_listings(spark, tmp_path):
     assert [r["image_id"][-5:] for r in listed] == ["a.png", "b.png"]
     with pytest.raises(ValueError):
         files.require_images(files.scan_images(spark, str(tmp_path)).limit(0), str(tmp_path))
-
-
-def test_scoring_hook(spark):
-    out = score_rows(spark.range(3).withColumn("x", F.col("id") * 2), lambda: 10, lambda m, r: [{"id": r["id"], "y": m // r["x"], "error": None}], "id long, y long, error string", "k").collect()
-    assert {r["id"]: r["y"] for r in out if r["error"] is None} == {1: 5, 2: 2} and "ZeroDivision" in next(r["error"] for r in out if r["id"] == 0)
