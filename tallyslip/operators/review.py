@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 REVIEW_LABELS = ["check_offset", "check_aligned", "check_absent", "unclear"]
 # Keys of a label line.
 NAMES = ["crop", "source", "result_json", "group_id", "label"]
-#: Stretches of a cohort's order in which windows work.
-RANGES = 64
+#: Rows that a stretch of a cohort's order should hold, in which windows work, and the fewest and most stretches.
+RANGE_ROWS, LEAST_RANGES, MOST_RANGES = 1 << 20, 8, 10_000
 
 
 def read_label_manifest(lines: DataFrame) -> DataFrame:
@@ -78,10 +78,11 @@ def duplicate_keys(df: DataFrame) -> DataFrame:
 
 
 def _in_ranges(df: DataFrame) -> DataFrame:
-    """`df` with `_range`: which of RANGES stretches of `ord`, of about equal numbers of rows, a row lies in. Windows within (cohort,
+    """`df` with `_range`: in which of some stretches of `ord`, of about RANGE_ROWS rows each, a row lies. Windows within (cohort,
     _range) never see a whole cohort; what lies between ranges is carried over by their few totals."""
-    bounds = df.agg(F.percentile_approx("ord", [i / RANGES for i in range(1, RANGES)], 20 * RANGES)).first()[0]
-    edges = F.array(*map(F.lit, sorted(set(bounds or [])))).cast("array<bigint>")
+    ranges = min(MOST_RANGES, max(LEAST_RANGES, df.count() // RANGE_ROWS))
+    bounds = df.agg(F.percentile_approx("ord", [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
+    edges = F.from_json(F.lit(str(sorted(set(bounds or [])))), "array<bigint>")
     return df.withColumn("_range", F.size(F.filter(edges, lambda b: b < F.col("ord"))))
 
 

@@ -126,7 +126,10 @@ SELECT image_id, concat_ws(',', CASE WHEN NOT coalesce(a1, false) THEN 'time' EN
     "status_box": fx(f"WITH {_MAPPED}, r AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, pos) AS rn, count(*) OVER (PARTITION BY image_id) AS n FROM m WHERE class_id = 3) SELECT image_id, n, pos, score, n = 1 AS strict_ok FROM r WHERE rn = 1", "fx_detections"),
     "ocr_crop_box": fx("WITH c AS (SELECT pos, " + _CROP.format(mx="greatest(2.0, (x2 - x1) * 0.08::DOUBLE)", my="greatest(2.0, (y2 - y1) * 0.08::DOUBLE)") + f" FROM fx_detections) SELECT pos, {_CROP_OUT} FROM c", "fx_detections"),
     "status_crop_box": fx("WITH c AS (SELECT pos, " + _CROP.format(mx="(x2 - x1) * 0.3::DOUBLE", my="(y2 - y1) * 0.3::DOUBLE") + f", x2 > x1 AND y2 > y1 AS box FROM fx_detections), e AS (SELECT pos, box, CASE WHEN box THEN l END AS l, CASE WHEN box THEN t END AS t, CASE WHEN box THEN r END AS r, CASE WHEN box THEN b END AS b FROM c) SELECT pos, {_CROP_OUT}, CASE WHEN NOT box THEN 'empty box' WHEN NOT (r > l AND b > t) THEN 'box outside the image' END AS crop_error FROM e", "fx_detections"),
-    "caption": fx(f"WITH {_BEST} SELECT image_id, label, CASE label WHEN 'time' THEN '时间' WHEN 'amount' THEN '金额' WHEN 'transfer_status' THEN '转账状态' WHEN 'recipient_field' THEN '收款方' ELSE '付款方式' END || ' ' || '(' || CAST(CAST(round_even(score * 100, 0) AS BIGINT) AS VARCHAR) || '%)' AS caption FROM best", "fx_detections"),
+    "caption": fx(
+        f"WITH {_BEST}, {_OCR} SELECT b.image_id, b.label, CASE b.label WHEN 'time' THEN '时间' WHEN 'amount' THEN '金额' WHEN 'transfer_status' THEN '转账状态' WHEN 'recipient_field' THEN '收款方' ELSE '付款方式' END "
+        "|| coalesce(' ' || nullif(trim(o.text), ''), '') || ' (' || CAST(CAST(round_even(b.score * 100, 0) AS BIGINT) AS VARCHAR) || '%)' AS caption FROM best b LEFT JOIN ocr o ON o.image_id = b.image_id AND o.label = b.label", *_OCR_FX,
+    ),
     "caption_rows": fx(f"WITH {_BEST} SELECT image_id, label, CAST(row_number() OVER (PARTITION BY image_id ORDER BY class_id, pos) AS INT) AS number FROM best", "fx_detections"),
     "ellipse_points": fx(
         f"WITH {_BEST}, {og.PHOTOS_OF_BOXES}, {og.plan(_SIDES + ', ' + _SCORED)}, e AS (SELECT b.image_id, b.pos, k, (x1 + x2) / 2 + greatest(2.0, (x2 - x1) / 2 + 3) * cos(k * (2 * 3.141592653589793::DOUBLE / 39)) AS px, "

@@ -29,13 +29,11 @@ def _best(spark: SparkSession, d: str) -> DataFrame:
 def _receipt_ocr(spark: SparkSession, d: str) -> DataFrame:
     """One OCR text per image and label from time, amount and field rows, keyed as detections are."""
     amounts = fixture(spark, d, "fx_amount_text").groupBy("image_id").agg(F.min_by("text", "row_id").alias("text")).withColumn("label", F.lit("amount"))
-    rows = fixture(spark, d, "fx_field_rows")
-    parts = [rows.select(F.col("row_id").alias("image_id"), F.col(c).alias("text"), F.lit(label).alias("label")) for c, label in (("recipient", "recipient_field"), ("status", "transfer_status"), ("payment", "payment_method_field"))]
+    fields = {"recipient": "recipient_field", "status": "transfer_status", "payment": "payment_method_field"}
+    each = F.explode(F.array(*[F.struct(F.col(c).alias("text"), F.lit(label).alias("label")) for c, label in fields.items()])).alias("f")
+    rows = fixture(spark, d, "fx_field_rows").select(F.col("row_id").alias("image_id"), each).select("image_id", "f.*")
     times = fixture(spark, d, "fx_time_text").select(F.col("row_id").alias("image_id"), "text", F.lit("time").alias("label"))
-    out = amounts.select("image_id", "text", "label")
-    for p in [*parts, times]:
-        out = out.unionByName(p)
-    return out
+    return amounts.select("image_id", "text", "label").unionByName(rows).unionByName(times)
 
 
 # --- selection and batches
@@ -205,7 +203,8 @@ def status_crop_box(spark, d):
 
 @query
 def caption(spark, d):
-    return _best(spark, d).select("image_id", "label", detections.caption(F.col("label"), F.lit(None).cast("string"), F.col("score")).alias("caption"))
+    rows = detections.attach_ocr(_best(spark, d), _receipt_ocr(spark, d))
+    return rows.select("image_id", "label", detections.caption(F.col("label"), F.col("text"), F.col("score")).alias("caption"))
 
 
 @query

@@ -126,8 +126,9 @@ def test_review_order_in_any_number_of_ranges(spark, monkeypatch):
         for k, (o, _, _) in enumerate(own):
             want[o] = next((x for x in open_ if x > o), open_[0] if open_ else None)
             place[o] = f"{k + 1}/{len(own)}"
-    for ranges in (2, 64):
-        monkeypatch.setattr(review, "RANGES", ranges)
+    for rows_each, least in ((150, 2), (1 << 20, 8), (5, 2)):
+        monkeypatch.setattr(review, "RANGE_ROWS", rows_each)
+        monkeypatch.setattr(review, "LEAST_RANGES", least)
         assert {r["ord"]: r["next_ord"] for r in review.next_unlabelled(df).collect()} == want
         assert {r["ord"]: r["position"] for r in review.review_position(df).collect()} == place
     assert review.next_unlabelled(df.limit(0)).count() == review.review_position(df.limit(0)).count() == 0
