@@ -3,12 +3,12 @@
 The network reads the UTF-8 bytes of the lower-cased text from both ends, in windows of `WINDOW` bytes that carry `CONTEXT` bytes of their
 neighbours, cut between characters. It labels every position with a distribution over languages; a document pools
 them as the mean probability over the positions of its letters, so the score doesn't rise with length. Every byte of the
-whole text is read. Training is backpropagation through time with Adam on a bounded sample: `WINDOWS_PER_DOC` stretches of
-`TRAIN_WINDOW` bytes of at most `DOCS_PER_LANG` documents of every language, those with the smallest hashes of id and text. The network has one
-output per language, so what the driver holds grows with the number of languages only.
+whole text is read. Training is backpropagation through time with Adam on a bounded sample: the whole texts, in windows of
+`TRAIN_WINDOW` bytes of equal weight per document, of at most `DOCS_PER_LANG` documents of every language, those with the smallest
+hashes of id and text. The network has one output per language, so what the driver holds grows with the number of languages only.
 
 Defined results: null text, or no letter (\\p{L}): `und` with score 0. Very long texts are read whole. Repeated rows give
-repeated results; extra columns are ignored. No labelled documents: everything is `und`. One language: it always wins.
+repeated results, null ids too; extra columns pass through, but for lang_pred and score. Empty table: empty result. No labelled documents: everything is `und`. One language: it always wins.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from tallyslip.llm.common import add_from_text, crc32_mod
 
 UNKNOWN = "und"
-DOCS_PER_LANG, WINDOWS_PER_DOC, TRAIN_WINDOW = 400, 6, 48
+#: Sampled documents per language, and bytes of the windows into which their whole texts are cut for training.
+DOCS_PER_LANG, TRAIN_WINDOW = 300, 48
 HIDDEN, WINDOW, CONTEXT = 8, 480, 16
 #: Windows that are read at once.
 READ_AT_ONCE = 1024
@@ -235,23 +236,25 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
     def cut(stream):
         for batch in stream:
-            langs, data = [], []
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                whole = text.lower().encode()
-                for k in range(WINDOWS_PER_DOC):
-                    first = char_start(whole, k * max(0, len(whole) - TRAIN_WINDOW) // max(1, WINDOWS_PER_DOC - 1))
-                    part = whole[first : char_start(whole, first + TRAIN_WINDOW)]
-                    if LETTER.search(part.decode(errors="ignore")) and (k == 0 or len(whole) > TRAIN_WINDOW):
-                        langs.append(lang)
+                whole, data, first = text.lower().encode(), [], 0
+                while first < len(whole):
+                    last = max(char_start(whole, first + TRAIN_WINDOW), first + 1)
+                    part = whole[first:last]
+                    if LETTER.search(part.decode(errors="ignore")):
                         data.append(part)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()), "part": pa.array(data, pa.binary())})
+                    first = last
+                if data:
+                    yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(data), pa.string()), "part": pa.array(data, pa.binary()), "weight": pa.array([1 / len(data)] * len(data))})
 
-    sample = sorted(map(tuple, few.select("lang", "text").mapInArrow(cut, "lang string, part binary").collect()))
+    cuts = few.select("lang", "text").mapInArrow(cut, "lang string, part binary, weight double").toArrow()
+    sample = sorted(zip(*[cuts.column(c).to_pylist() for c in ("lang", "part", "weight")]))
     langs = sorted(counts)
     model = ByteGRU(langs)
     if sample and len(langs) > 1:
         number = {lang: k for k, lang in enumerate(langs)}
-        model.train([bytes(p) for _, p in sample], np.array([number[lang] for lang, _ in sample]), np.ones(len(sample)))
+        lang, parts, weight = zip(*sample)
+        model.train(list(parts), np.array([number[x] for x in lang]), np.array(weight))
     return model
 
 
