@@ -87,14 +87,11 @@ class BoostedTrees:
 def isotonic(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: (margins, probabilities) to interpolate between; probabilities shrink a little
     towards 1/2 so none is certain."""
-    order = np.argsort(margin, kind="stable")
+    levels, at = np.unique(margin, return_inverse=True)  # rows of one margin are one point from the start
+    hits, rows = np.bincount(at, y), np.bincount(at).astype(float)
     blocks: list[list[float]] = []
-    for m, v in zip(margin[order].tolist(), y[order].tolist()):
-        if blocks and blocks[-1][3] == m:
-            blocks[-1][1] += v
-            blocks[-1][2] += 1
-        else:
-            blocks.append([m, v, 1.0, m])
+    for m, h, n in zip(levels.tolist(), hits.tolist(), rows.tolist()):
+        blocks.append([m, h, n, m])
         while len(blocks) > 1 and blocks[-2][1] * blocks[-1][2] >= blocks[-1][1] * blocks[-2][2]:
             last = blocks.pop()
             blocks[-1][1] += last[1]
