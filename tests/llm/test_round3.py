@@ -155,6 +155,14 @@ def test_repair_of_the_table(spark):
     check_repair(spark.read.parquet(f"{SF}/conversations.parquet").withColumn("cost", F.lit("clash")))
 
 
+def test_repair_oracle(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
+    cursor = con.execute(ORACLES["op12_conversation_repair"])
+    names = [c[0] for c in cursor.description]
+    assert sorted(map(tuple, QUERIES["op12_conversation_repair"](spark, SF).select(*names).collect())) == sorted(cursor.fetchall())
+
+
 @pytest.mark.parametrize("piece_rows", [2, 7, 2000])
 def test_repair_in_pieces_of_any_size(spark, piece_rows):
     """Odd roles, nulls and long conversations; cutting them into pieces changes nothing."""
