@@ -8,7 +8,8 @@ always has its lowest rank applied first and equal ranks leftmost first. No shuf
 the whole corpus instead of a block's would send every pre-token through one.
 
 Defined results: null text counts as empty: no ids, the hashes of empty strings. Very long words pass through
-the same replay and aren't cached. Repeated rows give repeated results; extra columns are ignored.
+the same replay and aren't cached; very long texts are blocks by themselves. Repeated rows and null ids give results row by row; extra
+columns are ignored. Empty table: empty result.
 """
 
 from __future__ import annotations

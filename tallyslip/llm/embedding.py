@@ -14,7 +14,7 @@ dealt in blocks and every pair of blocks meets in a run of its own, as every lin
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components link with nothing. Vectors
 of different lengths don't link. Repeated rows (same id) are vectors like others. A null id is no smallest one of its component unless
-all are null. Extra columns are ignored.
+all are null. Extra columns are ignored. Empty table: empty result.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ Ranks are counted by (length, bucket) with buckets of hashed row numbers, their
 neither a very common length nor a very common id meets in one task.
 
 Defined results: null text is an empty document, which is its end id alone. Repeated rows (same id) are
-separate documents. Extra columns are ignored. Empty table, empty result.
+separate documents, and so are rows with a null id. Very long texts are encoded whole and cut into pieces of the capacity. Extra columns
+are ignored. Empty table, empty result.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ logistic scorer over hashed word shapes, words and repetition, trained on at mos
 hashes of id and text; documents are scored whole.
 
 Defined results: null or empty text, or only white space: score 0, not kept. Very long texts are read whole.
-Repeated rows give repeated results; extra columns are ignored. Empty table: empty result.
+Repeated rows and null ids give results row by row; extra columns pass through, but for the model's own. Empty table: empty result.
 """
 
 from __future__ import annotations

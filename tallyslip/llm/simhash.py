@@ -13,7 +13,7 @@ were more copies than the 78 keys of the chain's third segment (two bits left ou
 
 Defined results: null text is an empty document; no words: fingerprint zero, which links like any other.
 Very long texts are hashed whole, in slices. Repeated rows give repeated results with one component; null ids have
-fingerprints and a component (the smallest id that isn't null, else null). Extra columns are ignored.
+fingerprints and a component (the smallest id that isn't null, else null). Extra columns are ignored. Empty table: empty result.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ token counts, chosen by Misra-Gries summaries of all documents (merged in a tree
 the library in one call per batch.
 
 Defined results: null text counts as empty (0 bytes, 0 tokens). Very long words are encoded but never
-cached. Repeated rows give repeated results; extra columns are ignored; empty table, empty result.
+cached; very long texts are counted whole. Repeated rows and null ids give results row by row; extra columns are ignored; empty table,
+empty result.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ at most `TRAIN_ROWS` labelled rows, those with the smallest hashes; the calibrat
 Defined results: null and empty texts have all features zero and get a score like any other. No labels, or
 labels of one kind: the score is the (smoothed) share of toxic ones. A document labelled twice counts once, as toxic
 if either label says so; null labels don't count. Very long texts are read whole; repeated rows give repeated results;
-extra columns are ignored.
+null ids are rows like others; extra columns pass through, but for score and predicted. Empty table: empty result.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ all listed keys, and what may be listed goes on to the exact hash join, which re
 Any number of rules, hosts and path lengths works: a url has as many keys as the list has lengths for its hosts.
 
 Defined results: null url or no `://`: host and path empty, no rule, verdict `allow`. Empty table: empty
-result. Repeated rows: one result each. Extra columns are ignored. A rule given twice: `block` wins over
+result. Repeated rows: one result each, null ids too. Very long urls: they have as many keys as the list has path lengths for their hosts. Extra columns are ignored. A rule given twice: `block` wins over
 `allow`. Equal lengths can't tie between different fitting rules of one url unless host and path split
 differently; then the longer host wins. Only A-Z are lower-cased in hosts.
 """

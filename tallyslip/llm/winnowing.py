@@ -18,7 +18,7 @@ the first half guarantees. The edited text and, for `near_next`, the next one ar
 Defined results: null text counts as empty. Fewer units than a gram: one hash of all of them; no words: an empty
 fingerprint. Two empty fingerprints are alike (1), an empty and another not at all (0). Very long texts are
 taken whole; positions wrap at 2**24 grams, where only tie choices are affected. Repeated rows follow one another, equal ids ordered by text.
-Null ids come last. A single document is its own next. Extra columns are ignored.
+Null ids come last. A single document is its own next. Extra columns are ignored. Empty table: empty result.
 """
 
 from __future__ import annotations
