@@ -78,7 +78,9 @@ def best_quad(df: DataFrame, prefer_portrait: bool | Column = True) -> DataFrame
     LEAST_SCREEN_SCORE; else pos null and the quad of the full image. One aggregation, no sort."""
     scored = df.withColumn("_score", F.coalesce(quad_score(prefer_portrait), F.lit(-1.0)))
     quad = F.struct("pos", F.expr(quad_points()).alias("quad"))
-    top = scored.groupBy("image_id").agg(F.max_by(quad, F.struct("_score", -F.col("pos"))).alias("_top"), F.max("_score").alias("score"), F.first("w").alias("w"), F.first("h").alias("h"))
+    top = scored.groupBy("image_id").agg(
+        F.max_by(quad, F.struct("_score", -F.col("pos"))).alias("_top"), F.max("_score").alias("score"), F.first("w").alias("w"), F.first("h").alias("h")
+    )
     good = F.col("score") >= LEAST_SCREEN_SCORE
     full = full_image_quad(F.col("w"), F.col("h")).cast("array<array<double>>")
     out = top.select("image_id", F.when(good, F.col("_top.pos")).alias("pos"), good.alias("screen_detected"), F.when(good, F.col("_top.quad")).otherwise(full).alias("quad"))

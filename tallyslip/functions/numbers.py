@@ -18,7 +18,8 @@ def round_exact(x: str, digits: int) -> str:
     two integers does the rest, or without a rest the even one, decide; the quotient of the two integers is rounded once."""
     power, low = f"{float(10**digits)}D", "CAST(floor(p) AS DOUBLE)"
     split = f"{2**27 + 1}D"
-    rest = let(f"f * {split} - (f * {split} - f)", "h", let(f"(h * {power} - p) + (f - h) * {power}", "e", f"CASE WHEN e > 0 THEN {low} + 1 WHEN e < 0 THEN {low} ELSE rint(p) END"))
+    by_rest = let(f"(h * {power} - p) + (f - h) * {power}", "e", f"CASE WHEN e > 0 THEN {low} + 1 WHEN e < 0 THEN {low} ELSE rint(p) END")
+    rest = let(f"f * {split} - (f * {split} - f)", "h", by_rest)
     near = f"CASE WHEN p - {low} = 0.5D THEN {rest} ELSE rint(p) END"
     joined = f"CASE WHEN w * {power} + n < {2**53}D THEN (w * {power} + n) / {power} ELSE w + n / {power} END"
     rounded = let("CAST(floor(abs(v)) AS DOUBLE)", "w", let("abs(v) - w", "f", let(f"f * {power}", "p", let(near, "n", joined))))

@@ -57,6 +57,7 @@ def checked(items: DataFrame, sources: DataFrame, crops: DataFrame | None, margi
     shape = (F.size(f"{g}.H_original_to_rectified") == 3) & F.forall(f"{g}.H_original_to_rectified", lambda r: F.size(r) == 3)
     good_box = (F.size("_b") == 4) & finite(F.col("_b")) & (box[2] > box[0]) & (box[3] > box[1])
     wide, high = F.col(f"{g}.rectified_size.width"), F.col(f"{g}.rectified_size.height")
+    same_size = (F.col(f"{g}.source_size.width") == F.col("_w")) & (F.col(f"{g}.source_size.height") == F.col("_h"))
     todo, value = ~F.col("_fresh"), "ValueError"
     no = lambda c: ~F.coalesce(c, F.lit(False))
     return rows.withColumns({
@@ -69,7 +70,7 @@ def checked(items: DataFrame, sources: DataFrame, crops: DataFrame | None, margi
             (F.col("_live").isNull(), "FileNotFoundError", F.col("source")),
             (todo & (wide.isNull() | high.isNull()), value, "geometry has no rectified size"),
             (todo & ((wide < 2) | (high < 2)), value, "rectified size must be at least 2"),
-            (todo & F.col(f"{g}.source_size").isNotNull() & no((F.col(f"{g}.source_size.width") == F.col("_w")) & (F.col(f"{g}.source_size.height") == F.col("_h"))), value, "source size changed"),
+            (todo & F.col(f"{g}.source_size").isNotNull() & no(same_size), value, "source size changed"),
             (todo & (no(shape) | no(finite(F.col("_m")))), value, "matrix must be finite and 3 x 3"),
             (todo & (F.abs(geo.determinant(F.col("_m"))) < 1e-12), value, "matrix is singular"),
             (todo & (F.col("_n") != 1), value, F.concat(F.lit("expected one transfer_status, found "), F.col("_n").cast("string"))),

@@ -133,8 +133,9 @@ def detect(images: DataFrame, make_model: Callable[[], Any], key: str) -> DataFr
         join = lambda parts: np.concatenate([np.zeros(0), *parts]).tolist() + none
         boxes = np.concatenate([np.zeros((0, 4)), *[r[2] for _, r in good]])
         return {
-            "image_id": batch.column("image_id").take(pa.array(np.concatenate(at).astype(np.int64))), "pos": [int(p) for _, r in good for p in range(len(r[0]))] + none,
-            "class_id": [int(c) for _, r in good for c in r[0]] + none, "score": join(r[1] for _, r in good), **{c: boxes[:, k].tolist() + none for k, c in enumerate(("x1", "y1", "x2", "y2"))},
+            "image_id": batch.column("image_id").take(pa.array(np.concatenate(at).astype(np.int64))),
+            "pos": [int(p) for _, r in good for p in range(len(r[0]))] + none, "class_id": [int(c) for _, r in good for c in r[0]] + none,
+            "score": join(r[1] for _, r in good), **{c: boxes[:, k].tolist() + none for k, c in enumerate(("x1", "y1", "x2", "y2"))},
             "error_type": [None] * n + [t for _, t, _ in bad], "message": [None] * n + [m for _, _, m in bad],
         }
 
@@ -159,7 +160,10 @@ def read_texts(crops: DataFrame, make_model: Callable[[], Any], key: str) -> Dat
         good = [(None, None) if isinstance(r, Exception) else r for r in results]
         errors = {i: (t, m) for i, t, m in _errors(results)}
         what = [errors.get(i, (None, None)) for i in range(len(results))]
-        return {"image_id": batch.column("image_id"), "label": batch.column("label"), "text": [g[0] for g in good], "confidence": [g[1] for g in good], "error_type": [w[0] for w in what], "message": [w[1] for w in what]}
+        return {
+            "image_id": batch.column("image_id"), "label": batch.column("label"), "text": [g[0] for g in good], "confidence": [g[1] for g in good],
+            "error_type": [w[0] for w in what], "message": [w[1] for w in what],
+        }
 
     return _run(crops, TEXTS, lambda: model_of(key, make_model, check), columns)
 
@@ -178,7 +182,8 @@ def classify_styles(crops: DataFrame, make_model: Callable[[], Any], key: str) -
         results = each(call, arrays)
         errors = {i: (t, m) for i, t, m in _errors(results)}
         what = [errors.get(i, (None, None)) for i in range(len(results))]
-        return {"image_id": batch.column("image_id"), "probs": [None if isinstance(r, Exception) else r for r in results], "error_type": [w[0] for w in what], "message": [w[1] for w in what]}
+        probs = [None if isinstance(r, Exception) else r for r in results]
+        return {"image_id": batch.column("image_id"), "probs": probs, "error_type": [w[0] for w in what], "message": [w[1] for w in what]}
 
     return _run(crops, STYLES, lambda: model_of(key, make_model, lambda m: check_classes(m, STYLE_CLASSES)), columns)
 
