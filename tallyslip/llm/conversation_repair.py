@@ -305,7 +305,10 @@ def _choose(group: pa.Table) -> pa.Table:
     })
 
 
-PIECE = "part int, piece int, turns array<struct<edit:string,role:string,text:string>>, n_faults array<long>, illegal long, cost long, audit string, initials string, n_turns long, low long, high long, end int"
+PIECE = (
+    "part int, piece int, turns array<struct<edit:string,role:string,text:string>>, n_faults array<long>, illegal long, cost long, "
+    "audit string, initials string, n_turns long, low long, high long, end int"
+)
 
 
 def _repair_piece(group: pa.Table) -> pa.Table:
@@ -354,7 +357,8 @@ def _join_pieces(id_type: pa.DataType):
                 if now is None or p["conv_id"] != now["conv"]:
                     if now is not None:
                         yield result()
-                    now = {"conv": p["conv_id"], "sha": hashlib.sha256(), "mark": "", "faults": [0, 0, 0], "illegal": 0, "cost": 0, "audit": [], "last": "", "n": 0, "low": None, "high": None}
+                    now = {"conv": p["conv_id"], "sha": hashlib.sha256(), "mark": "", "faults": [0, 0, 0], "illegal": 0, "cost": 0}
+                    now |= {"audit": [], "last": "", "n": 0, "low": None, "high": None}
                 digest(p["turns"])
                 now["faults"] = [a + b for a, b in zip(now["faults"], p["n_faults"])]
                 now["illegal"] += p["illegal"]

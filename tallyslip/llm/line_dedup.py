@@ -2,9 +2,9 @@
 
 Only DataFrame functions. Documents come in batches by falling id. A batch counts, per line key, in how many documents it is and in
 which largest one, anti-joins the runs that are there (merge joins) to leave out what they have settled, and adds the rest as a run of its
-own, sorted by the hash. Two runs of a level are compacted into one of the next, by a merge join. As ids fall, a key that a run holds in `least_docs` documents is settled: its last holder is known, and later batches neither
-count nor store it, however often it comes. What is left of the runs is merged once, and lines of settled keys go, but for the largest
-document holding them.
+own, sorted by the hash. Two runs of a level are compacted into one of the next, by a merge join. As ids fall, a key that a run holds in
+`least_docs` documents is settled: its last holder is known, and later batches neither count nor store it, however often it comes. What is
+left of the runs is merged once, and lines of settled keys go, but for the largest document holding them.
 
 A key is a line without white space at its ends, A-Z lower-cased; it counts if it has `least_chars` code points. Two 64-bit hashes stand
 for it. Defined results: null text: one empty line. Rows with equal ids are one document in counts, all rows with a null id too, below
@@ -112,5 +112,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     all_lines = lines_of(F.col(text_col))
     stay = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("_gone"))
     kept = F.when(F.col("_gone").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n"))
-    rows = rows.withColumn("_lines", all_lines).withColumns({"n_lines": F.size("_lines").cast("long"), "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"), "_kept": kept})
+    counts = {"n_lines": F.size("_lines").cast("long"), "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")}
+    rows = rows.withColumn("_lines", all_lines).withColumns({**counts, "_kept": kept})
     return rows.select(*[F.col("_kept").alias(c) if c == text_col else F.col(c) for c in own], "n_lines", "n_dropped")

@@ -225,9 +225,10 @@ def whiten(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", co
             if wide.dtype != object and float(np.abs(wide).max(initial=0)) ** 2 * d >= 2**62:
                 wide = wide.astype(object)
             squares = [int(s) if s < 2**63 else None for s in (wide * wide).sum(axis=1)]
-            ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(x)), k)))
-            cols = [ids, pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), len(x))), pa.array(np.full(len(x) * k, n)), pa.array(squares, pa.int64()).take(pa.array(np.repeat(np.arange(len(x)), k))), pa.array(white.ravel())]
-            cols += [pa.array(np.tile(explained, len(x))), pa.array(np.full(len(x) * k, error))]
+            row = pa.array(np.repeat(np.arange(len(x)), k))
+            number = pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), len(x)))
+            cols = [batch.column(0).take(row), number, pa.array(np.full(len(x) * k, n)), pa.array(squares, pa.int64()).take(row)]
+            cols += [pa.array(white.ravel()), pa.array(np.tile(explained, len(x))), pa.array(np.full(len(x) * k, error))]
             yield pa.RecordBatch.from_arrays(cols, [id_col, "component", "n", "deviation", "whitened", "explained", "identity_error"])
 
     kind = coded.schema["id"].dataType.simpleString()
