@@ -240,9 +240,10 @@ LANES = 16
 SIMILAR_SHINGLE = 5
 #: Fingerprints compared in one run; length of chains at which larger buckets are cut in blocks; expected pivots of those.
 RUN_ROWS, CHAIN, PIVOTS = 1024, 3, 32
-#: Steps from lane to lane in chains. A pair whose shared lanes all lie in large buckets has to share a whole chain: at a Jaccard similarity
-#: of 0.68 it misses all of two lanes with probability 0.0003, all of three with 0.008 (with one step 0.001 and 0.036).
-STRIDES = (1, 3)
+#: Chains: offsets of their lanes in the ring of lanes, and the step between the lanes where they start; 16 and 8 chains. Two of them share few
+#: lanes, so that they miss a pair more independently than neighbours do. A pair whose shared lanes all lie in large buckets has to share a whole
+#: chain: at a Jaccard similarity of 0.68 it misses all of two lanes with probability 0.001, all of three with 0.009.
+CHAINS = (((0, 2, 6), 1), ((0, 7, 15), 2))
 
 
 def sketch(hashes: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -308,17 +309,19 @@ def _similar_runs(runs: DataFrame, most: int) -> DataFrame:
 
 def _buckets(sketches: DataFrame, run_rows: int, chain: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
     """(run, rep) of buckets of 2 to `run_rows` rows, (run, rep, n) of larger ones, and the tables that these read: rows meet that share a lane's smallest value; a
-    larger bucket is parted by a further lane in the ring of lanes, once for each of STRIDES, in chains of at most `chain` lanes."""
+    larger bucket is parted by a further lane, in CHAINS of at most `chain` lanes (three)."""
     small, large, written = [], None, []
-    for length in range(1, chain + 1):
+    for length in range(1, min(chain, len(CHAINS[0][0])) + 1):
         if length == 1:
             member = sketches.select("rep", F.posexplode("least").alias("start", "run"))
             member = member.select("rep", "start", F.xxhash64("start", "run").alias("run"))
         else:
             if length == 2:
-                large = large.withColumn("stride", F.explode(F.array(*map(F.lit, STRIDES)))).withColumn("run", F.xxhash64("run", "stride"))
-            lane = F.col("least")[(F.col("start") + F.col("stride") * (length - 1)) % LANES]
-            member = large.join(sketches.select("rep", "least"), "rep").select("rep", "start", "stride", F.xxhash64("run", lane).alias("run"))
+                begun = F.array(*[F.when(F.col("start") % step == 0, F.lit(k)) for k, (_, step) in enumerate(CHAINS)])
+                large = large.withColumn("kind", F.explode(F.array_compact(begun)))
+            offset = F.element_at(F.array(*[F.lit(lanes[length - 1]) for lanes, _ in CHAINS]), F.col("kind") + 1)
+            lane = F.col("least")[(F.col("start") + offset) % LANES]
+            member = large.join(sketches.select("rep", "least"), "rep").select("rep", "start", "kind", F.xxhash64("run", "kind", lane).alias("run"))
         counts = materialize(member.groupBy("run").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
         shared = materialize(member.join(counts, "run"))
         discard(counts)
