@@ -10,8 +10,8 @@ _OCR = """ocr AS (SELECT image_id, min_by(text, row_id) AS text, 'amount' AS lab
   UNION ALL SELECT row_id, recipient, 'recipient_field' FROM fx_field_rows UNION ALL SELECT row_id, status, 'transfer_status' FROM fx_field_rows
   UNION ALL SELECT row_id, payment, 'payment_method_field' FROM fx_field_rows UNION ALL SELECT row_id, text, 'time' FROM fx_time_text)"""
 _OCR_FX = ("fx_detections", "fx_amount_text", "fx_field_rows", "fx_time_text")
-_COMMITTED = """c AS (SELECT p.*, coalesce(b.all_outputs AND b.result_mtime >= p.mtime AND b.fields_object AND b.recorded_source = p.image_id AND b.n_detections > 0 AND b.n_detections = b.n_with_ocr, false) AS committed
-  FROM fx_paths p LEFT JOIN fx_bundles b ON b.source = p.image_id)"""
+_STANDS = "b.all_outputs AND b.result_mtime >= p.mtime AND b.fields_object AND b.recorded_source = p.image_id AND b.n_detections > 0 AND b.n_detections = b.n_with_ocr"
+_COMMITTED = f"c AS (SELECT p.*, coalesce({_STANDS}, false) AS committed FROM fx_paths p LEFT JOIN fx_bundles b ON b.source = p.image_id)"
 _CORRECTED = """j AS (SELECT p.image_id, CASE WHEN a.c_id IS NOT NULL THEN a.c_id ELSE b.c_id END AS c_id, CASE WHEN a.c_id IS NOT NULL THEN a.skip ELSE b.skip END AS skip,
   CASE WHEN a.c_id IS NOT NULL THEN a.orientation_set ELSE b.orientation_set END AS os, CASE WHEN a.c_id IS NOT NULL THEN a.orientation ELSE b.orientation END AS o,
   CASE WHEN a.c_id IS NOT NULL THEN a.max_side_set ELSE b.max_side_set END AS ms, CASE WHEN a.c_id IS NOT NULL THEN a.max_side ELSE b.max_side END AS m
@@ -194,9 +194,10 @@ _MANIFEST = (
 )
 
 ORACLES |= {
-    "is_bundle_committed_style": _committed(
-        "SELECT c.image_id, c.committed AND coalesce(b.style_schema = 2 AND b.style_model = 'style-1' AND b.style_config = 0.3 "
-        f"AND b.style_tag = {_TAG}, false) AS committed FROM c LEFT JOIN fx_bundles b ON b.source = c.image_id"
+    # a path may repeat: outputs and style are those of one and the same bundle
+    "is_bundle_committed_style": fx(
+        f"SELECT p.image_id, coalesce({_STANDS} AND b.style_schema = 2 AND b.style_model = 'style-1' AND b.style_config = 0.3 "
+        f"AND b.style_tag = {_TAG}, false) AS committed FROM fx_paths p LEFT JOIN fx_bundles b ON b.source = p.image_id", "fx_paths", "fx_bundles",
     ),
     "result_paths": fx(_MANIFEST.replace("AS source", "AS image_id") + " FROM fx_paths", "fx_paths"),
     "union_manifests": _committed(f"{_MANIFEST}, CASE WHEN committed THEN 'skipped_existing' ELSE 'written' END AS status, committed AS carried FROM c"),

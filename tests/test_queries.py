@@ -38,6 +38,18 @@ def test_oracle(spark, duck, name):
     assert got == want
 
 
+def test_style_of_repeated_paths(spark, tmp_path):
+    """Pages may share a url, so that an image has several bundles: each counts with its own outputs and its own style."""
+    shared, own = [6, 18, 42], [30, 66, 102, 90]  # 6, 66 and 102 stand; 18 has no boxes, 42 another source and config
+    pages = spark.createDataFrame([(i, f"https://a.example/{0 if i in shared else i}") for i in shared + own], "page_id long, url string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(tuple(r) for r in QUERIES["is_bundle_committed_style"](spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == sorted(con.execute(ORACLES["is_bundle_committed_style"]).fetchall())
+    assert len(got) == 9 + 4 and sum(c for _, c in got) == 3
+
+
 def test_shards_partition_the_input(spark):
     from tallyslip.operators.batch import select_shard
     from tallyslip.plans.fixtures import fixture
