@@ -333,15 +333,57 @@ def _buckets(sketches: DataFrame, run_rows: int, chain: int) -> tuple[DataFrame,
     return reduce(DataFrame.unionByName, small), large, written
 
 
+#: Least number of blocks in which links are thinned, and links of a block.
+LINK_BLOCKS, BLOCK_LINKS = 8, 500_000
+
+
+def _forests(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b), of every BLOCK_LINKS read only a forest that joins the same."""
+
+    def forest(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        ends = np.concatenate([batch.column(c).to_numpy() for c in (0, 1) for batch in held])
+        ids, at = np.unique(ends, return_inverse=True)
+        links = np.array(list(tree(len(ids), *thinned(len(ids), *np.split(at, 2)))), dtype=np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_pydict({"a": ids[links[:, 0]], "b": ids[links[:, 1]]})
+
+    held: list[pa.RecordBatch] = []
+    for batch in stream:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= BLOCK_LINKS:
+            yield forest(held)
+            held = []
+    if held:
+        yield forest(held)
+
+
+def ring_groups(sketches: DataFrame) -> DataFrame:
+    """(run, rep, n) of the groups of two and more rows that pigeonring chains over `fp` (near_links) connect: whatever differs in at most
+    MAX_BITS bits of it is in one group."""
+    links = materialize(near_links(materialize(sketches.select("fp").distinct())))
+    # a group of many prints comes with a tree from each of its keys; a tree per block of links joins the same
+    blocks = max(LINK_BLOCKS, math.ceil(links.count() / BLOCK_LINKS))
+    of_print = components(links.coalesce(blocks).mapInArrow(_forests, "a long, b long")).withColumnRenamed("id", "fp")
+    discard(links)
+    group = F.xxhash64(F.lit(7), F.coalesce("component", "fp")).alias("run")
+    member = materialize(sketches.select("rep", "fp").join(of_print, "fp", "left").select("rep", group))
+    return member.join(member.groupBy("run").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "run").select("run", "rep", "n")
+
+
 def similar_links(sketches: DataFrame, most: int, run_rows: int = RUN_ROWS, chain: int = CHAIN) -> DataFrame:
-    """`sketches`: rep long, print binary, least array of LANES longs. (id, component) of all reps that some pair of fingerprints with
-    at most `most` different bits connects, of those pairs that meet in a bucket.
+    """`sketches`: rep long, print binary, fp long (the first 64 bits of print), least array of LANES longs. (id, component) of all reps
+    that some pair of fingerprints with at most `most` different bits connects, of those pairs that meet in a bucket.
 
+    Buckets are first the groups of the pigeonring join, in which all pairs within MAX_BITS of 64 bits meet, then those of the lanes, which
+    reach the pairs from there to the bar.
     Buckets that stay large hold texts that agree in whole chains of lanes, so mostly one group. They are cut in blocks;
     every block also gets the bucket's few pivots, which join what is one group over all blocks at a cost that grows with the bucket.
     Then what isn't in the bucket's main group meets all blocks, so no pair of the bucket goes unseen."""
     prints = sketches.select("rep", "print")
     small, large, written = _buckets(sketches, run_rows, chain)
+    ring = materialize(ring_groups(sketches))
+    written.append(ring)
+    small = small.unionByName(ring.filter(F.col("n") <= run_rows).select("run", "rep"))
+    large = large.select("run", "rep", "n").unionByName(ring.filter(F.col("n") > run_rows))
     links = materialize(_similar_runs(small.join(prints, "rep").withColumn("side", F.lit(0)), most))
     if not large.limit(1).count():
         discard(*written)
@@ -376,33 +418,35 @@ def similar_rows(docs: DataFrame, similarity: float = 0.8, shingle: int = SIMILA
     """`docs` with a number `_row` for each row, written once, and (_row, _group): what pairs of similar texts connect.
 
     Texts are similar if their SimHash fingerprints, of LANES * 64 bits over the distinct shingles, agree in at least `similarity` of the
-    bits; at 0.8 that is a cosine of 0.81 between the shingle sets. Equal sets are one from the start. Candidates share the
-    smallest value of a lane, and keys of chains of lanes where buckets are large; each candidate is decided by its full distance."""
+    bits; at 0.8 that is a cosine of 0.81 between the shingle sets. Equal sets are one from the start. Candidates are what pigeonring
+    chains over the first 64 bits connect (all pairs within MAX_BITS of them), and what shares the smallest value of a lane, or keys of
+    chains of lanes where buckets are large; each candidate is decided by its full distance."""
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     at = numbered.columns.index(text_col)
 
     def make(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(stream, at):
-            reps, prints, least = [], [], []
+            reps, prints, first, least = [], [], [], []
             for text in batch.column(at).to_pylist():
                 hashes = np.unique(shingle_hashes(text, shingle))
                 reps.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
                 wide, low = sketch(hashes) if len(hashes) else (None, None)
                 prints.append(wide)
+                first.append(None if wide is None else int.from_bytes(wide[:8], "little", signed=True))
                 least.append(None if low is None else low.view(np.int64))
-            new = [pa.array(np.array(reps, dtype=np.uint64).view(np.int64)), pa.array(prints, pa.binary()), pa.array(least, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "_rep", "_print", "_least"])
+            new = [pa.array(np.array(reps, dtype=np.uint64).view(np.int64)), pa.array(prints, pa.binary()), pa.array(first, pa.int64()), pa.array(least, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "_rep", "_print", "_fp", "_least"])
 
-    schema = T.StructType([*numbered.schema.fields, T.StructField("_rep", T.LongType()), T.StructField("_print", T.BinaryType()), T.StructField("_least", T.ArrayType(T.LongType()))])
+    schema = T.StructType([*numbered.schema.fields, T.StructField("_rep", T.LongType()), T.StructField("_print", T.BinaryType()), T.StructField("_fp", T.LongType()), T.StructField("_least", T.ArrayType(T.LongType()))])
     rows = materialize(numbered.mapInArrow(make, schema))
-    sketches = rows.filter("_print is not null").select(F.col("_rep").alias("rep"), F.col("_print").alias("print"), F.col("_least").alias("least"))
+    sketches = rows.filter("_print is not null").select(F.col("_rep").alias("rep"), F.col("_print").alias("print"), F.col("_fp").alias("fp"), F.col("_least").alias("least"))
     sketches = materialize(sketches.dropDuplicates(["rep"]))
     most = math.floor(64 * LANES * (1 - Fraction(str(similarity))))
     classes = similar_links(sketches, most, run_rows, chain)
     of_rows = rows.select("_row", F.col("_rep").alias("id")).join(classes, "id", "left")
     groups = materialize(of_rows.select("_row", F.coalesce("component", "id").alias("_group")))
     discard(sketches)
-    return rows.drop("_rep", "_print", "_least"), groups
+    return rows.drop("_rep", "_print", "_fp", "_least"), groups
 
 
 def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = SIMILAR_SHINGLE, id_col: str = "doc_id", text_col: str = "text", run_rows: int = RUN_ROWS, chain: int = CHAIN) -> DataFrame:

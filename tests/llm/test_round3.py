@@ -306,3 +306,48 @@ def test_links_under_a_passage_that_many_texts_share(spark, passage_words):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(docs, run_rows=32).collect()}
     assert np.mean([got[i] == got[i + 1] for i in near]) >= 0.98
+
+
+def test_near_dedup_stage_joins_by_pigeonring(spark, monkeypatch):
+    """Pairs within four of the first 64 bits meet without any lane, in groups over and under the size of a run, and are decided by all bits."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(rng.choice(words, 300)) for _ in range(30)]
+    for text in texts[:10]:  # copies with one other word
+        split = text.split()
+        for _ in range(4):
+            split[rng.integers(300)] = "other"
+            texts.append(" ".join(split))
+    wide = np.array([np.frombuffer(simhash.sketch(np.unique(simhash.shingle_hashes(t, 5)))[0], dtype="<u8") for t in texts])
+    apart = np.bitwise_count(wide[:, None] ^ wide[None]).astype(int)
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if apart[i, j, 0] <= 4 and apart[i, j].sum() <= 204]
+    assert len(near) >= 20
+    # no two texts share a lane
+    monkeypatch.setattr(simhash, "_buckets", lambda sketches, run_rows, chain: (sketches.select(F.col("rep").alias("run"), "rep").limit(0), sketches.selectExpr("rep AS run", "rep", "1L AS n").limit(0), []))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for run_rows in (1024, 2):
+        got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(docs, run_rows=run_rows).collect()}
+        assert all(got[i] == got[j] for i, j in near)
+        assert all(got[i] == i for i in range(30))
+
+
+def test_forests_join_what_links_join(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(-500, 500, (2, 900))
+
+    def parts(x, y):
+        label = {}
+        find = lambda v: v if label.setdefault(v, v) == v else find(label[v])
+        for p, q in zip(x.tolist(), y.tolist()):
+            p, q = sorted((find(p), find(q)))
+            label[q] = p
+        return {v: find(v) for v in list(label) if find(v) != v}
+
+    stream = [pa.RecordBatch.from_pydict({"a": a[i : i + 100], "b": b[i : i + 100]}) for i in range(0, 900, 100)]
+    for size in (500_000, 250, 1):
+        monkeypatch.setattr(simhash, "BLOCK_LINKS", size)
+        out = pa.Table.from_batches(simhash._forests(iter(stream)))
+        assert parts(out["a"].to_numpy(), out["b"].to_numpy()) == parts(a, b) and (size < 500_000 or out.num_rows < 900)
+    assert not list(simhash._forests(iter([])))
