@@ -17,9 +17,10 @@ REPEATED_CORNERS = "screen_quad must have four distinct corners"
 def order_points(points: str) -> str:
     """Four points by angle about their centroid, from the one with the smallest x + y; null unless they are four different points."""
     centre = f"array({', '.join('(' + ' + '.join(f'p[{i}][{k}]' for i in range(4)) + ') / 4' for k in range(2))})"
-    around = "transform(array_sort(transform(p, (q, i) -> struct(atan2(q[1] - c[1], q[0] - c[0]) AS a, i AS i, q AS q))), z -> z.q)"
-    start = "CAST(array_position(transform(s, q -> q[0] + q[1]), array_min(transform(s, q -> q[0] + q[1]))) AS INT)"
-    cycle = let(centre, "c", let(around, "s", let(start, "n", "concat(slice(s, n, 4), slice(s, 1, n - 1))")))
+    around = f"sort_array(array({', '.join(f'struct(atan2(p[{i}][1] - c[1], p[{i}][0] - c[0]) AS a, {i} AS i, p[{i}] AS q)' for i in range(4))})).q"
+    sums = f"array({', '.join(f's[{i}][0] + s[{i}][1]' for i in range(4))})"
+    start = "CAST(array_position(t, array_min(t)) AS INT)"
+    cycle = let(centre, "c", let(around, "s", let(sums, "t", let(start, "n", "concat(slice(s, n, 4), slice(s, 1, n - 1))"))))
     return let(points, "p", f"CASE WHEN size(p) = 4 AND size(array_distinct(p)) = 4 THEN {cycle} END")
 
 

@@ -27,27 +27,31 @@ def _object(**parts: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{k}":'), v) for k, v in parts.items()]), F.lit("}"))
 
 
-def field_document(field: str, of: str) -> Column:
+def field_value(field: str, of: str) -> Column:
+    """What a field's text (in the struct column `of`) comes to: amounts a struct, the others a string."""
+    text = F.col(f"{of}.text")
+    if field in ("recipient", "payment_method"):
+        return extract_field_value(text, field)
+    return {"time": normalize_time, "amount": normalize_amount, "transfer_status": normalize_status}[field](text)
+
+
+def field_document(field: str, of: str, value: Column) -> Column:
     """A field (the struct column `of` with score, text and confidence) as JSON: absent, unreadable (with the box's score) or read (text, both scores, and the normalised values its kind
-    has). An amount with a figure shows the cleaned text."""
+    has). An amount with a figure shows the cleaned text. `value` is the column with its field_value: texts are matched once, not in every part that shows them."""
     score, text = F.col(f"{of}.score"), F.col(f"{of}.text")
     state, box = field_state(score, text).alias("state"), F.expr(round_exact(f"{of}.score", 6))
     nothing = F.lit(None).cast("string").alias("raw")
     scores = [F.expr(round_exact(f"{of}.confidence", 6)).alias("ocr_confidence"), box.alias("detector_score")]
     plain = [state, text.alias("raw"), *scores]
     read = _json(*plain)
-    if field == "time":
-        read = _json(*plain, normalize_time(text).alias("value"))
+    if field in ("time", "recipient"):
+        read = _json(*plain, value.alias("value"))
     elif field == "amount":
-        money = normalize_amount(text)
-        figures = [money["normalized"].alias("normalized"), money["amount_fen"].alias("amount_fen"), money["currency"].alias("currency")]
-        read = F.when(money.isNotNull(), _json(state, money["raw"].alias("raw"), *scores, *figures)).otherwise(read)
+        figures = [value["normalized"].alias("normalized"), value["amount_fen"].alias("amount_fen"), value["currency"].alias("currency")]
+        read = F.when(value.isNotNull(), _json(state, value["raw"].alias("raw"), *scores, *figures)).otherwise(read)
     elif field == "transfer_status":
-        read = _json(*plain, normalize_status(text).alias("normalized"))
-    elif field == "recipient":
-        read = _json(*plain, extract_field_value(text, "recipient").alias("value"))
+        read = _json(*plain, value.alias("normalized"))
     elif field == "payment_method":
-        value = extract_field_value(text, "payment_method")
         read = _json(*plain, value.alias("value"), normalize_payment_method(value).alias("normalized"))
     return F.when(state == "absent", _json(state, nothing)).when(state == "unreadable", _json(state, nothing, box.alias("score"))).otherwise(read)
 
@@ -77,7 +81,8 @@ def write_bundles(images: DataFrame, boxes: DataFrame, styles: DataFrame | None
     if styles is not None:
         rows = rows.join(styles.select("image_id", "status_style", "tags"), "image_id", "left")
     optional = {c: F.col(c) for c in ("status_style", "tags")} if styles is not None else {}
-    fields = _object(**{f: field_document(f, f"_{f}") for f in FIELDS})
+    rows = rows.withColumns({f"_{f}_value": field_value(f, f"_{f}") for f in FIELDS})
+    fields = _object(**{f: field_document(f, f"_{f}", F.col(f"_{f}_value")) for f in FIELDS})
     source = F.substring(_json(F.col("source").alias("s")), 6, 1 << 30)
     document = _object(
         source=F.expr("left(_source, length(_source) - 1)"), geometry=F.to_json("geometry", {"ignoreNullFields": "false"}), fields=fields,

@@ -123,6 +123,17 @@ def test_bundle_documents(spark):
     assert got[2]["source"] is None and got[2]["detections"] == [] and {f["state"] for f in got[2]["fields"].values()} == {"absent"}
 
 
+def test_bundles_match_texts_once(spark):
+    """An amount is searched for in one column, which the parts of the document then read, not in each of them."""
+    from tallyslip.operators.bundles import write_bundles
+
+    images = spark.createDataFrame([(1, "a")], "image_id int, source string").selectExpr("*", "struct(10 AS width) AS geometry", "array(1D, 0D, 0D, 0D, 1D, 0D, 0D, 0D, 1D) AS to_original")
+    boxes = spark.range(1).selectExpr("1 AS image_id", "0 AS pos", "'amount' AS label", "0.5D AS score", "'x' AS text", "0.5D AS confidence", "1D AS x1", "2D AS y1", "3D AS x2", "4D AS y2")
+    plan = write_bundles(images, boxes)._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.splitlines() if "[0-9OoIl]{1,3}(?:" in line]
+    assert len(lines) == 1 and "ocr_confidence" not in lines[0]
+
+
 def test_review_order_in_any_number_of_ranges(spark, monkeypatch):
     import random
 
