@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -17,6 +18,8 @@ from pyspark.sql import types as T
 
 #: Entries that a Python worker keeps in one cache before it starts it anew.
 CACHE_ENTRIES = 500_000
+#: Words of a WordTable: new ones come with every document, the frequent ones are soon learnt again.
+TABLE_WORDS = 100_000
 #: Documents, and bytes of their texts, whose words are in memory at once (a longer text is a block by itself).
 BLOCK_DOCS, BLOCK_BYTES = 1000, 8 << 20
 #: Longer words aren't kept in a cache.
@@ -111,7 +114,7 @@ class WordTable:
     """One row of numbers per distinct white-space word, made in batches and kept in the Python worker; starts
     anew when full, so its memory is bounded by one Arrow batch and `entries` rows."""
 
-    def __init__(self, make: Callable[[list[str]], np.ndarray], entries: int = CACHE_ENTRIES):
+    def __init__(self, make: Callable[[list[str]], np.ndarray], entries: int = TABLE_WORDS):
         self.make, self.entries = make, entries
         self.index: dict[str, int] = {}
         self.rows: np.ndarray | None = None
@@ -152,6 +155,11 @@ def worker_state(key, make: Callable):
     return _worker[key]
 
 
+def forget() -> None:
+    """Drop what an earlier operator left in this worker; for operators that keep nothing there."""
+    _worker.clear()
+
+
 @contextmanager
 def without_gc() -> Iterator[None]:
     """No garbage collection while a block is worked on: no cycles arise there, and scans of large caches take longer than the work."""
@@ -164,6 +172,16 @@ def without_gc() -> Iterator[None]:
             gc.enable()
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return to the system what is free in this worker: its allocators hold it otherwise, beside the executor's heap and through all stages."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def text_blocks(stream: Iterable[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most BLOCK_DOCS rows and BLOCK_BYTES bytes of the texts (or elements of the arrays) in
     column `at`, a row at least."""
@@ -176,6 +194,7 @@ def text_blocks(stream: Iterable[pa.RecordBatch], at: int) -> Iterator[pa.Record
             fits = int(np.searchsorted(total, before + BLOCK_BYTES, side="right"))
             last = max(first + 1, min(fits, first + BLOCK_DOCS))
             yield batch.slice(first, last - first)
+            give_back()
             first = last
 
 

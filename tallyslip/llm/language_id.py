@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyslip.llm.common import add_from_text, crc32_mod
+from tallyslip.llm.common import add_from_text, crc32_mod, forget
 
 UNKNOWN = "und"
 #: Sampled documents per language, and bytes of the windows into which their whole texts are cut for training.
@@ -265,6 +265,7 @@ def predict(docs: DataFrame, model: ByteGRU | None, text_col: str = "text") -> D
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make(texts: list[str | None]) -> dict:
+        forget()
         net = shared.value
         mean = net.pooled(texts)
         none = np.isnan(mean[:, 0])

@@ -68,7 +68,7 @@ class WordIds:
     #: letters up to U+00FF; and the bar, which the special tokens hold.
     ODD = re.compile(r"[^\t\n\r!-/1-{}~À-ÖØ-öø-ÿ]")
     #: Keys, and characters of all keys, beyond which the cache starts anew.
-    CACHE_PARTS, CACHE_CHARS = 300_000, 8 << 20
+    CACHE_PARTS, CACHE_CHARS = 150_000, 8 << 20
 
     def __init__(self, tokenizer_file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core

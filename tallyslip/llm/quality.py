@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyslip.llm.common import WordTable, add_from_text, sample_by_hash, worker_state
+from tallyslip.llm.common import WordTable, add_from_text, sample_by_hash, text_blocks, worker_state
 
 TRAIN_ROWS, HASH_BITS = 4000, 18
 EPOCHS, RATE, RIDGE = 150, 0.5, 1e-4
@@ -227,7 +227,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
 
     def make(stream):
         reader = Reader()
-        for batch in stream:
+        for batch in text_blocks(stream, 1):
             texts = batch.column(1).to_pylist()
             means = reader.means(texts)
             pattern = pattern_of(votes_of(np.nan_to_num(means)))

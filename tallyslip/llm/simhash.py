@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tallyslip.llm.common import batches, components, discard, materialize, text_blocks
+from tallyslip.llm.common import batches, components, discard, forget, materialize, text_blocks
 from tallyslip.llm.tiles import thinned, tree, whole_runs
 
 SEGMENTS, MAX_BITS = 5, 4
@@ -425,6 +425,7 @@ def similar_rows(docs: DataFrame, similarity: float = 0.8, shingle: int = SIMILA
     at = numbered.columns.index(text_col)
 
     def make(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in text_blocks(stream, at):
             reps, prints, first, least = [], [], [], []
             for text in batch.column(at).to_pylist():
